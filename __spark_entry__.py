@@ -35,9 +35,27 @@ def _q_pepfar_tx_mmd(spark, sf_dir):
     return tx_mmd(_wh(spark, sf_dir), END, cutoff=K.PEPFAR_CUTOFF_DAYS)
 
 
+def _q_moh_cohort(spark, sf_dir):
+    from kalulu.plans.reports.cohort_disaggregated import cohort_disaggregated
+    return cohort_disaggregated(_wh(spark, sf_dir), START, END, cutoff=K.MOH_CUTOFF_DAYS)
+
+
+def _q_pepfar_cohort(spark, sf_dir):
+    from kalulu.plans.reports.cohort_disaggregated import cohort_disaggregated
+    return cohort_disaggregated(_wh(spark, sf_dir), START, END, cutoff=K.PEPFAR_CUTOFF_DAYS)
+
+
+def _q_tx_new(spark, sf_dir):
+    from kalulu.plans.reports.tx_new import tx_new
+    return tx_new(_wh(spark, sf_dir), START, END)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_tx_mmd": _q_moh_tx_mmd,
     "pepfar_tx_mmd": _q_pepfar_tx_mmd,
+    "moh_cohort_disaggregated": _q_moh_cohort,
+    "pepfar_cohort_disaggregated": _q_pepfar_cohort,
+    "moh_tx_new": _q_tx_new,
 }
 
 
@@ -56,4 +74,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "moh_tx_mmd": R.tx_mmd_sql(END, K.MOH_CUTOFF_DAYS),
         "pepfar_tx_mmd": R.tx_mmd_sql(END, K.PEPFAR_CUTOFF_DAYS),
+        "moh_cohort_disaggregated": R.cohort_disaggregated_sql(START, END, K.MOH_CUTOFF_DAYS),
+        "pepfar_cohort_disaggregated": R.cohort_disaggregated_sql(START, END, K.PEPFAR_CUTOFF_DAYS),
+        "moh_tx_new": R.tx_new_sql(START, END),
     }

@@ -6,7 +6,7 @@ import datetime as _dt
 
 from kalulu import constants as K
 from kalulu.params import period_start
-from oracle.common_sql import (AGE_LABELS, D, age_band_sql, ci, cohort_sql, detail_rows_sql,
+from oracle.common_sql import (AGE_LABELS, D, age_band_sql, ci, cohort_sql, detail_rows_sql, only_here_sql,
                                group_rows_sql, last_outcome_sql)
 from oracle.fixtures_sql import with_fixtures
 
@@ -41,3 +41,62 @@ def tx_mmd_sql(end: _dt.date, cutoff: int) -> str:
                  ON c.patient_id = x.patient_id AND c.location = x.location)"""
     groups = group_rows_sql(grows, ind, 41, "c_gender", "c_preg")
     return report_sql(detail, groups)
+
+
+def _regimen_indicators(active: str) -> dict[str, str]:
+    ind = {"tx_curr": active}
+    for code, text in K.REGIMENS:
+        ind[code] = f"{active} AND current_regimen = {_lit(text)}"
+    return ind
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def cohort_disaggregated_sql(start: _dt.date, end: _dt.date, cutoff: int) -> str:
+    active = (f"({ci('state')} = 'on antiretrovirals' AND "
+              f"date_diff('day', last_appt_date, {D(end)}) <= {cutoff})")
+    ind = _regimen_indicators(active)
+    rows = cohort_sql(start, end)
+    detail = detail_rows_sql(rows, ind, age_band_sql("age", "gender"), AGE_LABELS)
+    groups = group_rows_sql(rows, ind, 41, "gender", "pregnant_or_lactating")
+    return report_sql(detail, groups)
+
+
+def _tx_new_ind(start, end, init="initial_visit_date", transfer="transfer_in_date", cd4="cd4_count",
+                pid="src.patient_id", loc="src.location") -> dict[str, str]:
+    here = only_here_sql(pid, loc)
+    newp = f"{init} BETWEEN {D(start)} AND {D(end)} AND {transfer} IS NULL AND {here}"
+    return {
+        "tx_new_cd4_less_than_two_hundred": f"{cd4} < 200 AND ({newp})",
+        "tx_new_cd4_equal_to_or_greater_than_two_hundred": f"{cd4} >= 200 AND ({newp})",
+        "tx_new_cd4_equal_unknown_or_not_done": f"{cd4} IS NULL AND ({newp})",
+        "transfer_ins": f"{transfer} IS NOT NULL AND ({init} BETWEEN {D(start)} AND {D(end)} AND {here})",
+    }
+
+
+def tx_new_sql(start: _dt.date, end: _dt.date) -> str:
+    rows = f"""(
+        SELECT DISTINCT mwp.patient_id, opi.identifier, ops.program, ops.state, ops.start_date,
+               ops.program_state_id, mwp.gender,
+               CASE WHEN {ci('ops.state')} = 'on antiretrovirals'
+                    THEN CAST(floor(date_diff('day', mwp.birthdate, {D(end)}) / 30) AS INTEGER)
+                    ELSE CAST(floor(date_diff('day', mwp.birthdate, ops.start_date) / 30) AS INTEGER) END AS age,
+               ops.location, piv.initial_visit_date, piv.transfer_in_date, piv.cd4_count
+        FROM mw_patient mwp
+        LEFT JOIN (SELECT mar.patient_id, mar.cd4_count, mar.visit_date AS initial_visit_date, mar.transfer_in_date
+                   FROM mw_art_initial mar
+                   JOIN (SELECT patient_id, MAX(visit_date) AS visit_date FROM mw_art_initial
+                         WHERE visit_date <= {D(end)} GROUP BY patient_id) mar1
+                   ON mar.patient_id = mar1.patient_id AND mar.visit_date = mar1.visit_date) piv
+          ON piv.patient_id = mwp.patient_id
+        JOIN omrs_patient_identifier opi ON mwp.patient_id = opi.patient_id
+        JOIN {last_outcome_sql(end)} ops ON opi.patient_id = ops.patient_id AND opi.location = ops.location
+        WHERE {ci('opi.type')} = 'arv number')"""
+    detail = detail_rows_sql(rows, _tx_new_ind(start, end), age_band_sql("age", "gender"), AGE_LABELS)
+    grows = f"""(SELECT mai.patient_id AS patient_id, mai.cd4_count, mai.transfer_in_date, c.initial_visit_date,
+                        c.location, c.gender, c.pregnant_or_lactating
+                 FROM mw_art_initial mai JOIN {cohort_sql(start, end)} c ON c.patient_id = mai.patient_id)"""
+    groups = group_rows_sql(grows, _tx_new_ind(start, end), 41, "gender", "pregnant_or_lactating")
+    return report_sql(detail, groups)
