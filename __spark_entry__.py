@@ -50,12 +50,42 @@ def _q_tx_new(spark, sf_dir):
     return tx_new(_wh(spark, sf_dir), START, END)
 
 
+def _q_tpt(spark, sf_dir):
+    from kalulu.plans.reports.tpt import tpt_initiation
+    return tpt_initiation(_wh(spark, sf_dir), START, END)
+
+
+def _q_tb_prev(spark, sf_dir):
+    from kalulu.plans.reports.tpt import tb_prev
+    return tb_prev(_wh(spark, sf_dir), END)
+
+
+def _q_tx_tb(spark, sf_dir):
+    from kalulu.plans.reports.screening import tx_tb
+    return tx_tb(_wh(spark, sf_dir), END)
+
+
+def _q_htn(spark, sf_dir):
+    from kalulu.plans.reports.screening import tx_hiv_htn
+    return tx_hiv_htn(_wh(spark, sf_dir), END)
+
+
+def _q_tx_ml(spark, sf_dir):
+    from kalulu.plans.reports.tx_ml import tx_ml
+    return tx_ml(_wh(spark, sf_dir), START, END)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_tx_mmd": _q_moh_tx_mmd,
     "pepfar_tx_mmd": _q_pepfar_tx_mmd,
     "moh_cohort_disaggregated": _q_moh_cohort,
     "pepfar_cohort_disaggregated": _q_pepfar_cohort,
     "moh_tx_new": _q_tx_new,
+    "moh_tpt_initiation": _q_tpt,
+    "pepfar_tb_prev": _q_tb_prev,
+    "pepfar_tx_tb": _q_tx_tb,
+    "pepfar_tx_hiv_htn": _q_htn,
+    "pepfar_tx_ml": _q_tx_ml,
 }
 
 
@@ -77,4 +107,9 @@ def oracle_sql() -> dict[str, str]:
         "moh_cohort_disaggregated": R.cohort_disaggregated_sql(START, END, K.MOH_CUTOFF_DAYS),
         "pepfar_cohort_disaggregated": R.cohort_disaggregated_sql(START, END, K.PEPFAR_CUTOFF_DAYS),
         "moh_tx_new": R.tx_new_sql(START, END),
+        "moh_tpt_initiation": R.tpt_initiation_sql(START, END),
+        "pepfar_tb_prev": R.tb_prev_sql(END),
+        "pepfar_tx_tb": R.tx_tb_sql(END, K.PEPFAR_CUTOFF_DAYS),
+        "pepfar_tx_hiv_htn": R.tx_hiv_htn_sql(END, K.PEPFAR_CUTOFF_DAYS),
+        "pepfar_tx_ml": R.tx_ml_sql(START, END, K.PEPFAR_CUTOFF_DAYS),
     }

@@ -121,26 +121,37 @@ def latest_initial(wh: Warehouse, end: _dt.date) -> DataFrame:
         F.col("pregnant_or_lactating").alias("initial_pregnant_or_lactating"), "transfer_in_date")
 
 
-def hiv_cohort(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None) -> DataFrame:
-    """Patients with an ARV Number and a last outcome at the facility, with
-    their latest follow-up, TPT visits and latest initial visit (distinct rows).
-
-    Inner joins first (they restrict to the facility cohort), then left
-    joins on ``patient_id``; the follow-up snapshots come from one shuffle.
-    """
+def cohort_rows(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None,
+                tpt: bool = True) -> DataFrame:
+    """Undeduplicated cohort rows: ARV Number x last outcome at the facility x
+    patient, left-joined to the follow-up snapshots and the latest initial
+    visit.  ``tpt=False`` skips the three TPT snapshots (callers that project
+    no TPT column get the same distinct rows without those joins)."""
     ops = outcome if outcome is not None else last_outcome_at_facility(wh, p.end, p.location)
-    ops = ops.select("patient_id", "state", "start_date", "location")
+    ops = ops.select("patient_id", "state", "start_date", "location", "program",
+                     "program_state_id").distinct()
     base = (arv_numbers(wh).join(ops, ["patient_id", "location"], "inner")
             .join(wh.mw_patient.select("patient_id", "gender", "birthdate"), "patient_id", "inner"))
     snaps = followup_extremes(wh, p)
-    out = base
-    for name in ("latest", "last_ipt", "previous_ipt", "first_ipt"):
-        out = out.join(snaps[name], "patient_id", "left")
+    out = base.join(snaps["latest"], "patient_id", "left")
+    if tpt:
+        for name in ("last_ipt", "previous_ipt", "first_ipt"):
+            out = out.join(snaps[name], "patient_id", "left")
     out = out.join(latest_initial(wh, p.end), "patient_id", "left")
     end = lit_date(p.end)
     age = F.when(ci_eq("state", K.ON_ART), age_in_units(end, F.col("birthdate"), p.divider)).otherwise(
         age_in_units(F.col("start_date"), F.col("birthdate"), p.divider))
-    return out.withColumn("age", age).select(*COHORT_COLUMNS).distinct()
+    return out.withColumn("age", age)
+
+
+def hiv_cohort(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None) -> DataFrame:
+    """Patients with an ARV Number and a last outcome at the facility, with
+    their latest follow-up, TPT visits and latest initial visit (distinct rows).
+
+    Inner joins first (they restrict to the facility cohort), then left
+    joins on ``patient_id``; the follow-up snapshots come from one shuffle.
+    """
+    return cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS).distinct()
 
 
 def identifier_flags(wh: Warehouse, location: str | None = None) -> DataFrame:

@@ -100,3 +100,170 @@ def tx_new_sql(start: _dt.date, end: _dt.date) -> str:
                  FROM mw_art_initial mai JOIN {cohort_sql(start, end)} c ON c.patient_id = mai.patient_id)"""
     groups = group_rows_sql(grows, _tx_new_ind(start, end), 41, "gender", "pregnant_or_lactating")
     return report_sql(detail, groups)
+
+
+def _three_hp(prefix=""):
+    return (f"(({prefix}first_inh_300 IS NOT NULL AND {prefix}first_rfp_150 IS NOT NULL) "
+            f"OR {prefix}first_rfp_inh IS NOT NULL)")
+
+
+def _six_h(prefix=""):
+    return f"({prefix}first_inh_300 IS NOT NULL AND {prefix}first_rfp_150 IS NULL)"
+
+
+def _new_since(s):
+    return f"((initial_visit_date >= {D(s)} AND transfer_in_date IS NULL) OR start_date >= {D(s)})"
+
+
+def _add_months_sql(d: _dt.date, n: int) -> str:
+    from kalulu.params import _add_months
+    return D(_add_months(d, n))
+
+
+def tpt_initiation_sql(start: _dt.date, end: _dt.date) -> str:
+    ind = {
+        "new_start_three_hp": f"{_new_since(start)} AND {_three_hp()}",
+        "previous_start_three_hp": f"initial_visit_date < {D(start)} AND previous_ipt_date < "
+                                   f"{_add_months_sql(start, -1)} AND {_three_hp()}",
+        "new_start_six_h": f"{_new_since(start)} AND {_six_h()}",
+        "previous_start_six_h": f"initial_visit_date < {D(start)} AND previous_ipt_date < "
+                                f"{_add_months_sql(start, -2)} AND {_six_h()}",
+    }
+    coh = cohort_sql(start, end)
+    rows = (f"(SELECT * FROM {coh} c WHERE (first_inh_300 IS NOT NULL OR first_rfp_150 IS NOT NULL "
+            f"OR first_rfp_inh IS NOT NULL) AND first_ipt_date >= {D(start)})")
+    detail = detail_rows_sql(rows, ind, age_band_sql("age", "gender"), AGE_LABELS)
+    groups = group_rows_sql(coh, ind, 41, "gender", "pregnant_or_lactating")
+    body = f"SELECT location, 'Neno' AS district, * EXCLUDE (location) FROM ({detail}\nUNION ALL\n{groups})"
+    return with_fixtures(body)
+
+
+def tb_prev_sql(end: _dt.date) -> str:
+    six, seven, thirteen = (period_start(end, months=m) for m in (6, 7, 13))
+    quarter = period_start(end, days=90)
+    hp_done = ("(COALESCE(total_6_months_rfp_150_pills, 0) + COALESCE(total_6_months_rfp_inh_pills, 0)) "
+               f">= {K.TPT_3HP_PILLS}")
+    h_done = f"total_1_yr_inh_300_pills >= {K.TPT_6H_PILLS}"
+    new, old = _new_since(six), f"initial_visit_date < {D(six)}"
+    ind = {
+        "new_start_three_hp": f"{new} AND {_three_hp()}",
+        "new_start_six_h": f"{new} AND {_six_h()}",
+        "previous_start_three_hp": f"{old} AND {_three_hp()}",
+        "previous_start_six_h": f"{old} AND {_six_h()}",
+        "completed_new_start_three_hp": f"{new} AND {hp_done}",
+        "completed_new_start_six_h": f"{new} AND {h_done}",
+        "completed_old_three_hp": f"{old} AND {hp_done}",
+        "completed_old_six_h": f"{old} AND {h_done}",
+    }
+    rows = f"""(SELECT c.*, map2.total_1_yr_inh_300_pills, map3.total_6_months_rfp_150_pills,
+                       map3.total_6_months_rfp_inh_pills
+        FROM {cohort_sql(six, end)} c
+        LEFT JOIN (SELECT patient_id, SUM(inh_300_pills) AS total_1_yr_inh_300_pills FROM mw_art_followup
+                   WHERE visit_date BETWEEN {D(thirteen)} AND {D(end)} GROUP BY patient_id) map2
+          ON map2.patient_id = c.patient_id
+        LEFT JOIN (SELECT patient_id, SUM(rfp_150_pills) AS total_6_months_rfp_150_pills,
+                          SUM(rfp_inh_pills) AS total_6_months_rfp_inh_pills FROM mw_art_followup
+                   WHERE visit_date BETWEEN {D(seven)} AND {D(end)} GROUP BY patient_id) map3
+          ON map3.patient_id = c.patient_id
+        WHERE c.first_ipt_date >= {D(six)})"""
+    detail = detail_rows_sql(rows, ind, age_band_sql("age", "gender"), AGE_LABELS)
+    grows = f"""(SELECT y.*, sub1.gender AS g_gender, sub1.pregnant_or_lactating AS g_preg
+                 FROM {rows} y JOIN {cohort_sql(quarter, end)} sub1
+                 ON sub1.patient_id = y.patient_id AND sub1.location = y.location)"""
+    groups = group_rows_sql(grows, ind, 41, "g_gender", "g_preg")
+    return report_sql(detail, groups)
+
+
+def _active_sql(end, cutoff):
+    return f"({ci('state')} = 'on antiretrovirals' AND date_diff('day', last_appt_date, {D(end)}) <= {cutoff})"
+
+
+def _new_here_sql(start, end, pid="src.patient_id", loc="src.location"):
+    return (f"(initial_visit_date BETWEEN {D(start)} AND {D(end)} AND transfer_in_date IS NULL "
+            f"AND {only_here_sql(pid, loc)})")
+
+
+def tx_tb_sql(end: _dt.date, cutoff: int) -> str:
+    start = period_start(end, days=90)
+    nh = _new_here_sql(start, end)
+    prev = f"initial_visit_date < {D(start)}"
+    statuses = ", ".join(_lit(s.lower()) for s in K.TB_STATUSES)
+    ind = {
+        "tx_curr": _active_sql(end, cutoff),
+        "symptom_screen_alone": f"{ci('tb_status')} IN ({statuses})",
+        "cxr_screen": "FALSE",
+        "mwrd_screen": "FALSE",
+        "screened_for_tb_tx_new_pos": f"tb_status = 'TB suspected' AND {nh}",
+        "screened_for_tb_tx_new_neg": f"tb_status = 'TB NOT suspected' AND {nh}",
+        "screened_for_tb_tx_prev_pos": f"tb_status = 'TB suspected' AND {prev}",
+        "screened_for_tb_tx_prev_neg": f"tb_status = 'TB NOT suspected' AND {prev}",
+        "tb_rx_new": f"tb_status = 'Confirmed TB on treatment' AND {nh}",
+        "tb_rx_prev": f"tb_status = 'Confirmed TB NOT on treatment' AND {prev}",
+    }
+    coh = cohort_sql(start, end)
+    rows = f"""(SELECT DISTINCT hc.patient_id, opi.identifier, ops.program, ops.state, ops.start_date,
+                   ops.program_state_id, mwp.gender, hc.age, ops.location, hc.last_appt_date,
+                   hc.followup_visit_date, hc.initial_visit_date, hc.transfer_in_date, hc.tb_status
+        FROM {coh} hc JOIN mw_patient mwp ON hc.patient_id = mwp.patient_id
+        JOIN omrs_patient_identifier opi ON mwp.patient_id = opi.patient_id
+        JOIN {last_outcome_sql(end)} ops ON opi.patient_id = ops.patient_id AND opi.location = ops.location
+             AND ops.location = hc.location
+        WHERE {ci('opi.type')} = 'arv number')"""
+    detail = detail_rows_sql(rows, ind, age_band_sql("age", "gender"), AGE_LABELS)
+    groups = group_rows_sql(coh, ind, 41, "gender", "pregnant_or_lactating")
+    return report_sql(detail, groups)
+
+
+def tx_hiv_htn_sql(end: _dt.date, cutoff: int) -> str:
+    start = period_start(end, months=6)
+    here = only_here_sql("src.patient_id", "src.location")
+    high = "(systolic_bp >= 140 OR diastolic_bp >= 90)"
+    fu_in = f"followup_visit_date BETWEEN {D(start)} AND {D(end)}"
+    ind = {
+        "tx_curr": _active_sql(end, cutoff),
+        "diagnosed_htn": f"{high} AND {here}",
+        "screened_for_htn": f"{fu_in} AND {here} AND (systolic_bp IS NOT NULL OR diastolic_bp IS NOT NULL)",
+        "newly_diagnosed": f"initial_visit_date BETWEEN {D(start)} AND {D(end)} AND transfer_in_date IS NULL "
+                           f"AND {high} AND {here}",
+        "controlled_htn": f"{fu_in} AND {here} AND (systolic_bp < 140 AND diastolic_bp < 90)",
+    }
+    coh = cohort_sql(start, end)
+    rows = f"""(SELECT DISTINCT patient_id, identifier, ops_program AS program, state, start_date,
+                   ops_psid AS program_state_id, gender, age, location, last_appt_date, current_regimen,
+                   pregnant_or_lactating, initial_pregnant_or_lactating, followup_visit_date,
+                   initial_visit_date, transfer_in_date, systolic_bp, diastolic_bp
+        FROM (SELECT c.*, o.program AS ops_program, o.program_state_id AS ops_psid
+              FROM {coh} c JOIN (SELECT DISTINCT patient_id, location, program, program_state_id
+                                 FROM {last_outcome_sql(end)} x) o
+              ON o.patient_id = c.patient_id AND o.location = c.location) z)"""
+    detail = detail_rows_sql(rows, ind, age_band_sql("age", "gender"), AGE_LABELS)
+    groups = group_rows_sql(coh, ind, 41, "gender", "pregnant_or_lactating")
+    return report_sql(detail, groups)
+
+
+def tx_ml_sql(start: _dt.date, end: _dt.date, cutoff: int) -> str:
+    in_p = f"start_date BETWEEN {D(start)} AND {D(end)}"
+    lost = (f"(({ci('state')} = 'patient defaulted' AND {in_p}) OR ({ci('state')} = 'on antiretrovirals' "
+            f"AND date_diff('day', last_appt_date, {D(end)}) >= {cutoff}))")
+
+    def iit(cond):
+        return (f"{lost} AND src.patient_id IN (SELECT patient_id FROM mw_art_initial "
+                f"WHERE {cond.format(g=f'date_diff(' + chr(39) + 'day' + chr(39) + f', visit_date, src.last_appt_date + {cutoff})')})")
+
+    ind = {
+        "Died": f"{ci('state')} = 'patient died' AND {in_p}",
+        "IIT_3mo_or_less_mo": iit("{g} <= 90"),
+        "IIT_3to5_mo": iit("{g} >= 90 AND {g} <= 179"),
+        "IIT_6plus_mo": iit("{g} >= 180"),
+        "Transferred_out": f"{ci('state')} = 'patient transferred out' AND {in_p}",
+        "Refused_Stopped": f"{ci('state')} = 'treatment stopped' AND {in_p}",
+    }
+    coh = cohort_sql(start, end)
+    rows = f"""(SELECT DISTINCT hv.patient_id, opi.identifier, hv.state, hv.start_date, mwp.gender, hv.age,
+                   hv.location, hv.last_appt_date
+        FROM {coh} hv JOIN mw_patient mwp ON hv.patient_id = mwp.patient_id
+        JOIN omrs_patient_identifier opi ON hv.patient_id = opi.patient_id
+             AND {ci('opi.type')} = 'arv number' AND opi.location = hv.location)"""
+    detail = detail_rows_sql(rows, ind, age_band_sql("age", "gender"), AGE_LABELS)
+    groups = group_rows_sql(coh, ind, 41, "gender", "pregnant_or_lactating")
+    return report_sql(detail, groups)
