@@ -75,6 +75,26 @@ def _q_tx_ml(spark, sf_dir):
     return tx_ml(_wh(spark, sf_dir), START, END)
 
 
+def _q_pvls(spark, sf_dir):
+    from kalulu.plans.reports.viral_load import tx_pvls
+    return tx_pvls(_wh(spark, sf_dir), END)
+
+
+def _q_rtt(spark, sf_dir):
+    from kalulu.plans.reports.rtt import tx_rtt
+    return tx_rtt(_wh(spark, sf_dir), START, END)
+
+
+def _q_dispensation(spark, sf_dir):
+    from kalulu.plans.reports.viral_load import regimen_dispensation
+    return regimen_dispensation(_wh(spark, sf_dir), END)
+
+
+def _q_by_weight(spark, sf_dir):
+    from kalulu.plans.reports.viral_load import regimen_by_weight
+    return regimen_by_weight(_wh(spark, sf_dir), END)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_tx_mmd": _q_moh_tx_mmd,
     "pepfar_tx_mmd": _q_pepfar_tx_mmd,
@@ -86,6 +106,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pepfar_tx_tb": _q_tx_tb,
     "pepfar_tx_hiv_htn": _q_htn,
     "pepfar_tx_ml": _q_tx_ml,
+    "pepfar_tx_pvls": _q_pvls,
+    "pepfar_tx_rtt": _q_rtt,
+    "moh_regimen_dispensation": _q_dispensation,
+    "moh_regimen_by_weight": _q_by_weight,
 }
 
 
@@ -112,4 +136,8 @@ def oracle_sql() -> dict[str, str]:
         "pepfar_tx_tb": R.tx_tb_sql(END, K.PEPFAR_CUTOFF_DAYS),
         "pepfar_tx_hiv_htn": R.tx_hiv_htn_sql(END, K.PEPFAR_CUTOFF_DAYS),
         "pepfar_tx_ml": R.tx_ml_sql(START, END, K.PEPFAR_CUTOFF_DAYS),
+        "pepfar_tx_pvls": R.tx_pvls_sql(END),
+        "pepfar_tx_rtt": R.tx_rtt_sql(START, END, K.PEPFAR_CUTOFF_DAYS),
+        "moh_regimen_dispensation": R.regimen_dispensation_sql(END, K.MOH_CUTOFF_DAYS),
+        "moh_regimen_by_weight": R.regimen_by_weight_sql(END, K.MOH_CUTOFF_DAYS),
     }

@@ -29,3 +29,11 @@ def completed_months(a: Column, b: Column) -> Column:
 def report_date_label(d: Column) -> Column:
     """dd-MMM-yy, e.g. 05-Apr-00."""
     return F.date_format(d, "dd-MMM-yy")
+
+
+def months_between_completed(a: Column, b: Column) -> Column:
+    """Signed whole months from a to b, truncated toward zero (TIMESTAMPDIFF MONTH)."""
+    raw = (F.year(b) - F.year(a)) * 12 + (F.month(b) - F.month(a))
+    adj = (F.when((b >= a) & (F.dayofmonth(b) < F.dayofmonth(a)), -1)
+           .when((b < a) & (F.dayofmonth(b) > F.dayofmonth(a)), 1).otherwise(0))
+    return (raw + adj).cast("int")
