@@ -95,6 +95,26 @@ def _q_by_weight(spark, sf_dir):
     return regimen_by_weight(_wh(spark, sf_dir), END)
 
 
+def _q_switch(spark, sf_dir):
+    from kalulu.plans.reports.regimen_switch import regimen_switch
+    return regimen_switch(_wh(spark, sf_dir), START)
+
+
+def _q_survival_general(spark, sf_dir):
+    from kalulu.plans.reports.survival import survival
+    return survival(_wh(spark, sf_dir), START, END, age_limit_years=200, subgroup="General")
+
+
+def _q_survival_children(spark, sf_dir):
+    from kalulu.plans.reports.survival import survival
+    return survival(_wh(spark, sf_dir), START, END, age_limit_years=14, subgroup="Children")
+
+
+def _q_survival_women(spark, sf_dir):
+    from kalulu.plans.reports.survival import survival
+    return survival(_wh(spark, sf_dir), START, END, subgroup="Option B+", option_b=True)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_tx_mmd": _q_moh_tx_mmd,
     "pepfar_tx_mmd": _q_pepfar_tx_mmd,
@@ -110,6 +130,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pepfar_tx_rtt": _q_rtt,
     "moh_regimen_dispensation": _q_dispensation,
     "moh_regimen_by_weight": _q_by_weight,
+    "moh_regimen_switch": _q_switch,
+    "moh_survival_general": _q_survival_general,
+    "moh_survival_children": _q_survival_children,
+    "moh_survival_women": _q_survival_women,
 }
 
 
@@ -140,4 +164,8 @@ def oracle_sql() -> dict[str, str]:
         "pepfar_tx_rtt": R.tx_rtt_sql(START, END, K.PEPFAR_CUTOFF_DAYS),
         "moh_regimen_dispensation": R.regimen_dispensation_sql(END, K.MOH_CUTOFF_DAYS),
         "moh_regimen_by_weight": R.regimen_by_weight_sql(END, K.MOH_CUTOFF_DAYS),
+        "moh_regimen_switch": R.regimen_switch_sql(START),
+        "moh_survival_general": R.survival_sql(START, END, 200, "General", False),
+        "moh_survival_children": R.survival_sql(START, END, 14, "Children", False),
+        "moh_survival_women": R.survival_sql(START, END, 200, "Option B+", True),
     }

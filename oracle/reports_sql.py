@@ -422,3 +422,107 @@ def regimen_by_weight_sql(end: _dt.date, cutoff: int) -> str:
     ind = {code: f"art_regimen = {_lit(text)}" for code, text in codes}
     return with_fixtures(detail_rows_sql(_dispensed_sql(end, cutoff), ind, weight_band_sql("weight"),
                                          WEIGHT_LABELS, band_col="weight_group"))
+
+
+def _name_sql(col: str) -> str:
+    return (f"CASE WHEN strpos({col}, ':') > 0 THEN substr({col}, length({col}) - strpos(reverse({col}), ':') + 2) "
+            f"ELSE {col} END")
+
+
+def regimen_switch_sql(start: _dt.date) -> str:
+    from kalulu.params import _add_months
+    parts = []
+    for k in range(3):
+        ms = _add_months(start, k)
+        nxt = _add_months(ms, 1)
+        parts.append(f"""
+        SELECT mav2.patient_id, opi.identifier, CASE WHEN mwp.gender = 'F' THEN 'Female' ELSE 'Male' END AS gender,
+               strftime(mwp.birthdate, '%d-%b-%y') AS dob, CAST(mav.weight AS DECIMAL(12,0)) AS weight,
+               split_part(mav2.art_regimen, ':', 1) AS previous_regimen,
+               strftime(mav.last_visit_date, '%d-%b-%y') AS dispense_date,
+               split_part(mav.current_regimen, ':', 1) AS current_regimen,
+               {_name_sql('mav.current_regimen')} || ' (' || CAST(mav.arvs_given AS VARCHAR) || ')' AS arvs,
+               mav.arvs_given, mav.location, opi.location AS report_location
+        FROM mw_art_followup mav2
+        JOIN (SELECT patient_id, MAX(visit_date) AS last_visit_date FROM mw_art_visits
+              WHERE visit_date < {D(ms)} GROUP BY patient_id) x
+          ON mav2.patient_id = x.patient_id AND mav2.visit_date = x.last_visit_date
+        JOIN (SELECT m.patient_id, m.art_regimen AS current_regimen, m.arvs_given, m.visit_date AS last_visit_date,
+                     m.location, m.weight
+              FROM mw_art_followup m
+              JOIN (SELECT patient_id, MIN(visit_date) AS d FROM mw_art_visits
+                    WHERE visit_date >= {D(ms)} AND visit_date < {D(nxt)} GROUP BY patient_id) y
+              ON m.patient_id = y.patient_id AND m.visit_date = y.d) mav ON mav.patient_id = mav2.patient_id
+        JOIN omrs_patient_identifier opi ON opi.patient_id = mav.patient_id AND {ci('opi.type')} = 'arv number'
+             AND opi.location = parent_facility
+        JOIN mw_patient mwp ON mwp.patient_id = opi.patient_id
+        WHERE mav2.art_regimen <> mav.current_regimen AND mav.last_visit_date >= {D(ms)}""")
+    parent_case = "CASE " + " ".join(
+        f"WHEN {ci('mav.location')} = {_lit(c.rstrip().lower())} THEN {_lit(p)}" for c, p in K.OUTREACH_PARENT
+    ) + " ELSE mav.location END"
+    union = "\nUNION ALL\n".join(p.replace("opi.location = parent_facility", f"opi.location = {parent_case}")
+                                 for p in parts)
+    body = f"""SELECT x.identifier, x.gender, x.dob, strftime(mai.visit_date, '%d-%b-%y') AS art_start_date, x.weight,
+               x.previous_regimen, x.current_regimen, x.dispense_date, x.arvs, x.arvs_given, x.location,
+               x.report_location
+        FROM mw_art_initial mai JOIN ({union}) x ON mai.patient_id = x.patient_id"""
+    return with_fixtures(body)
+
+
+def survival_sql(start: _dt.date, end: _dt.date, age_limit: int, subgroup: str, option_b: bool,
+                 cutoff: int = 60, as_of: _dt.date | None = None) -> str:
+    from kalulu.params import _add_months
+    as_of = as_of or end
+    q = (end.month - 1) // 3 + 1
+    per = []
+    for i in range(21):
+        s, e = _add_months(start, -12 * i), _add_months(end, -12 * i)
+        extra = ""
+        if option_b:
+            extra = (f" AND {ci('pregnant_or_lactating')} IN ('currently breastfeeding child', 'patient pregnant')"
+                     f" AND mwp.patient_id IN (SELECT patient_id FROM (SELECT patient_id, count(*) AS n "
+                     f"FROM omrs_patient_identifier WHERE {ci('type')} = 'arv number' GROUP BY patient_id) z "
+                     f"WHERE n = 1)")
+        per.append(f"""
+        SELECT {e.year} AS reporting_year, lfc.location,
+            COUNT(CASE WHEN art_initial_visit BETWEEN {D(s)} AND {D(e)} THEN 1 END) AS new_reg,
+            COUNT(CASE WHEN {ci('state')} = 'on antiretrovirals'
+                        AND date_diff('day', last_appt_date, {D(e)}) <= {cutoff} THEN 1 END) AS active,
+            COUNT(CASE WHEN {ci('state')} = 'patient died' AND start_date BETWEEN {D(s)} AND {D(e)} THEN 1 END) AS died,
+            COUNT(CASE WHEN ({ci('state')} = 'patient defaulted' AND start_date BETWEEN {D(s)} AND {D(e)})
+                        OR ({ci('state')} = 'on antiretrovirals' AND date_diff('day', last_appt_date, {D(e)}) > {cutoff})
+                        OR ({ci('state')} = 'on antiretrovirals' AND last_appt_date IS NULL) THEN 1 END) AS defaulted,
+            COUNT(CASE WHEN {ci('state')} = 'treatment stopped' AND start_date BETWEEN {D(s)} AND {D(e)} THEN 1 END)
+                AS treatment_stopped,
+            COUNT(CASE WHEN {ci('state')} = 'patient transferred out' AND start_date BETWEEN {D(s)} AND {D(e)}
+                       THEN 1 END) AS transferred_out
+        FROM {last_outcome_sql(e)} lfc
+        JOIN mw_patient mwp ON mwp.patient_id = lfc.patient_id
+        JOIN (SELECT map.patient_id, map.next_appointment_date AS last_appt_date FROM mw_art_followup map
+              JOIN (SELECT patient_id, MAX(visit_date) AS visit_date FROM mw_art_followup
+                    WHERE visit_date <= {D(e)} GROUP BY patient_id) map1
+              ON map.patient_id = map1.patient_id AND map.visit_date = map1.visit_date) pv
+          ON pv.patient_id = mwp.patient_id
+        JOIN (SELECT mar.patient_id, mar.visit_date AS art_initial_visit, mar.transfer_in_date, mar.pregnant_or_lactating
+              FROM mw_art_initial mar
+              JOIN (SELECT patient_id, MAX(visit_date) AS visit_date FROM mw_art_initial
+                    WHERE visit_date BETWEEN {D(s)} AND {D(e)} GROUP BY patient_id) mar1
+              ON mar.patient_id = mar1.patient_id) piv ON piv.patient_id = mwp.patient_id
+        WHERE floor(date_diff('day', mwp.birthdate, {D(e)}) / 365) <= {age_limit}
+          AND transfer_in_date IS NULL{extra}
+        GROUP BY lfc.location""")
+    years = ", ".join(f"({_add_months(end, -12 * i).year})" for i in range(21))
+    body = f"""SELECT ll.target_value AS location, y.reporting_year, {q} AS reporting_quarter,
+               'Q{q} ' || CAST(y.reporting_year AS VARCHAR) AS reg_cohort,
+               ({as_of.year} - y.reporting_year) * 12 AS interval_year, {_lit(subgroup)} AS subgroup,
+               CAST(COALESCE(d.active, 0) + COALESCE(d.died, 0) + COALESCE(d.defaulted, 0)
+                    + COALESCE(d.treatment_stopped, 0) + COALESCE(d.transferred_out, 0) AS BIGINT) AS total_reg_database,
+               CAST(COALESCE(d.active, 0) AS BIGINT) AS alive, CAST(COALESCE(d.died, 0) AS BIGINT) AS died,
+               CAST(COALESCE(d.defaulted, 0) AS BIGINT) AS defaulted,
+               CAST(COALESCE(d.treatment_stopped, 0) AS BIGINT) AS stopped,
+               CAST(COALESCE(d.transferred_out, 0) AS BIGINT) AS "to", 0 AS unknown
+        FROM lookup_location ll CROSS JOIN (VALUES {years}) AS y(reporting_year)
+        LEFT JOIN ({' UNION ALL '.join(per)}) d ON d.location = ll.target_value AND d.reporting_year = y.reporting_year
+        WHERE y.reporting_year > COALESCE((SELECT year(min(visit_date)) FROM mw_art_initial mi
+                                           WHERE mi.location = ll.target_value), -1)"""
+    return with_fixtures(body)
