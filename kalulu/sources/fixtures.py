@@ -13,6 +13,8 @@ reads, and Catalyst prunes every unused derived column.
 from __future__ import annotations
 
 import functools
+import hashlib
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +41,52 @@ def facility(n: Column) -> Column:
     return _pick(K.FACILITIES, n)
 
 
+# Warehouse tables that reports read.  They are loaded once per data
+# directory into the shared checkpoint folder (the warehouse refresh) and
+# read back as Parquet, so a report plan starts from scans with pushed-down
+# filters instead of re-deriving every table inline.
+MATERIALIZED = ["mw_patient", "omrs_program_state", "omrs_program_enrollment", "omrs_patient_identifier",
+                "mw_art_initial", "mw_art_followup", "mw_art_visits", "mw_art_viral_load",
+                "mw_art_followup_testing"]
+_LOADED: set[str] = set()
+
+
 class Warehouse:
-    """Lazily projected clinical tables for one driver data directory."""
+    """Clinical tables for one driver data directory.
+
+    ``materialize=True`` (default) writes each projected table once to
+    ``<spark.checkpoint.dir>/kalulu-warehouse/<key>/<table>`` and serves it
+    from there; ``False`` keeps the whole projection inline (lazy).
+    """
 
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, materialize: bool = True):
         self.spark = spark
         self.base = base
+        self.materialize = materialize
+
+    def _root(self) -> str:
+        from kalulu.session import ensure_checkpoint_dir
+
+        stamp = []
+        for name in ("customer", "orders"):
+            path = f"{self.base.rstrip('/')}/{name}.parquet"
+            st = os.stat(path) if os.path.exists(path) else None
+            stamp.append(f"{path}:{st.st_size if st else 0}:{int(st.st_mtime) if st else 0}")
+        key = hashlib.sha1("|".join(stamp).encode()).hexdigest()[:16]
+        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/kalulu-warehouse/{key}"
+
+    def table(self, name: str) -> DataFrame:
+        """A warehouse table, loaded on first use (full refresh, atomic _SUCCESS marker)."""
+        df = getattr(self, f"_build_{name}")()
+        if not self.materialize:
+            return df
+        path = f"{self._root()}/{name}"
+        if path not in _LOADED:
+            if not os.path.exists(f"{path}/_SUCCESS"):
+                sort_key = "patient_id" if "patient_id" in df.columns else df.columns[0]
+                df.repartition(sort_key).sortWithinPartitions(sort_key).write.mode("overwrite").parquet(path)
+            _LOADED.add(path)
+        return self.spark.read.parquet(path)
 
     # -- driver tables -------------------------------------------------------
     def _orders(self) -> DataFrame:
@@ -66,6 +108,9 @@ class Warehouse:
     # -- source tables ---------------------------------------------------------
     @functools.cached_property
     def mw_patient(self) -> DataFrame:
+        return self.table("mw_patient")
+
+    def _build_mw_patient(self) -> DataFrame:
         p = F.col("p")
         return self._customers().select(
             p.alias("patient_id"),
@@ -79,6 +124,9 @@ class Warehouse:
 
     @functools.cached_property
     def omrs_program_state(self) -> DataFrame:
+        return self.table("omrs_program_state")
+
+    def _build_omrs_program_state(self) -> DataFrame:
         k, p = F.col("k"), F.col("p")
         state = (F.when(k % 10 <= 5, F.lit(K.ON_ART))
                  .when(k % 10 == 6, F.lit(K.DIED))
@@ -101,6 +149,9 @@ class Warehouse:
 
     @functools.cached_property
     def omrs_program_enrollment(self) -> DataFrame:
+        return self.table("omrs_program_enrollment")
+
+    def _build_omrs_program_enrollment(self) -> DataFrame:
         p = F.col("p")
         closed = (p % 3) == 0
         return self._customers().select(
@@ -112,6 +163,9 @@ class Warehouse:
 
     @functools.cached_property
     def omrs_patient_identifier(self) -> DataFrame:
+        return self.table("omrs_patient_identifier")
+
+    def _build_omrs_patient_identifier(self) -> DataFrame:
         p = F.col("p")
         arv_type = F.when(p % 17 == 0, F.lit("ARV number")).otherwise(F.lit(K.ARV_NUMBER))
         created = F.date_add(F.lit("1995-01-01").cast("date"), (p % 97).cast("int"))
@@ -158,6 +212,9 @@ class Warehouse:
 
     @functools.cached_property
     def mw_art_initial(self) -> DataFrame:
+        return self.table("mw_art_initial")
+
+    def _build_mw_art_initial(self) -> DataFrame:
         return self._initial_k().drop("k")
 
     def _followup_k(self) -> DataFrame:
@@ -196,10 +253,16 @@ class Warehouse:
 
     @functools.cached_property
     def mw_art_followup(self) -> DataFrame:
+        return self.table("mw_art_followup")
+
+    def _build_mw_art_followup(self) -> DataFrame:
         return self._followup_k().drop("k")
 
     @functools.cached_property
     def mw_art_visits(self) -> DataFrame:
+        return self.table("mw_art_visits")
+
+    def _build_mw_art_visits(self) -> DataFrame:
         """Follow-up and initial visits; ids 2k+1 / 2k (unique without a global sort)."""
         k = F.col("k")
         fu = self._followup_k().select(
@@ -213,6 +276,9 @@ class Warehouse:
 
     @functools.cached_property
     def mw_art_viral_load(self) -> DataFrame:
+        return self.table("mw_art_viral_load")
+
+    def _build_mw_art_viral_load(self) -> DataFrame:
         k, p, d = F.col("k"), F.col("p"), F.col("d")
         r = k % 4
         return self._orders().where(k % 3 == 0).select(
@@ -228,6 +294,9 @@ class Warehouse:
 
     @functools.cached_property
     def mw_art_followup_testing(self) -> DataFrame:
+        return self.table("mw_art_followup_testing")
+
+    def _build_mw_art_followup_testing(self) -> DataFrame:
         k, p, d = F.col("k"), F.col("p"), F.col("d")
         return self._orders().where(k % 5 == 0).select(
             p.alias("patient_id"), d.alias("visit_date"), facility(p % 5).alias("location"),
