@@ -115,6 +115,13 @@ def _q_survival_women(spark, sf_dir):
     return survival(_wh(spark, sf_dir), START, END, subgroup="Option B+", option_b=True)
 
 
+def _loader(fn_name):
+    def run(spark, sf_dir):
+        from kalulu.plans.loaders import art
+        return getattr(art, fn_name)(_wh(spark, sf_dir))
+    return run
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_tx_mmd": _q_moh_tx_mmd,
     "pepfar_tx_mmd": _q_pepfar_tx_mmd,
@@ -134,6 +141,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_survival_general": _q_survival_general,
     "moh_survival_children": _q_survival_children,
     "moh_survival_women": _q_survival_women,
+    "load_art_followup": _loader("load_art_followup"),
+    "load_art_initial": _loader("load_art_initial"),
+    "load_art_visits": _loader("load_art_visits"),
+    "load_lab_tests_vl": _loader("load_lab_tests_vl"),
 }
 
 
@@ -147,6 +158,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
+    from oracle import loaders_sql as L
     from oracle import reports_sql as R
 
     return {
@@ -168,4 +180,8 @@ def oracle_sql() -> dict[str, str]:
         "moh_survival_general": R.survival_sql(START, END, 200, "General", False),
         "moh_survival_children": R.survival_sql(START, END, 14, "Children", False),
         "moh_survival_women": R.survival_sql(START, END, 200, "Option B+", True),
+        "load_art_followup": L.art_followup_sql(),
+        "load_art_initial": L.art_initial_sql(),
+        "load_art_visits": L.art_visits_sql(),
+        "load_lab_tests_vl": L.lab_tests_vl_sql(),
     }

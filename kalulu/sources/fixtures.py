@@ -302,3 +302,30 @@ class Warehouse:
             p.alias("patient_id"), d.alias("visit_date"), facility(p % 5).alias("location"),
             ((k * 53) % 800).cast("int").alias("cd4_count"),
         )
+
+    # -- EAV source (inputs of the warehouse loaders) ---------------------------
+    @functools.cached_property
+    def omrs_encounter(self) -> DataFrame:
+        k, p = F.col("k"), F.col("p")
+        return self._orders().select(
+            k.alias("encounter_id"), p.alias("patient_id"), F.col("d").alias("encounter_date"),
+            _pick(K.ENCOUNTER_TYPES, k % len(K.ENCOUNTER_TYPES)).alias("encounter_type"),
+            facility(p % 5).alias("location"))
+
+    @functools.cached_property
+    def omrs_obs(self) -> DataFrame:
+        from kalulu.plans.loaders.concepts import ALL_CODED, ALL_CONCEPTS
+
+        li = read_parquet(self.spark, self.base, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
+                          "l_linenumber", "l_quantity", "l_shipdate")
+        ship = F.col("l_shipdate").cast("date")
+        return li.select(
+            F.col("l_orderkey").alias("encounter_id"),
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("obs_group_id"),
+            _pick(ALL_CONCEPTS, (F.col("l_partkey") + F.col("l_linenumber")) % len(ALL_CONCEPTS)).alias("concept"),
+            ship.alias("obs_date"),
+            _pick(ALL_CODED, (F.col("l_partkey") * 3 + F.col("l_suppkey")) % len(ALL_CODED)).alias("value_coded"),
+            F.col("l_quantity").cast("decimal(16,4)").alias("value_numeric"),
+            ship.alias("value_date"),
+            F.concat(F.lit("T"), F.col("l_partkey").cast("string")).alias("value_text"),
+            F.date_add(ship, (F.col("l_suppkey") % 30).cast("int")).alias("date_created"))

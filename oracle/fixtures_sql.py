@@ -7,6 +7,7 @@ Lists are 1-based in DuckDB, so ``list[i + 1]`` picks the i-th (0-based) item.
 from __future__ import annotations
 
 from kalulu import constants as K
+from kalulu.plans.loaders.concepts import ALL_CODED, ALL_CONCEPTS
 from kalulu.sources.fixtures import PREGNANCY_CYCLE, REGIMEN_CYCLE
 
 
@@ -105,6 +106,20 @@ CTES: dict[str, str] = {
         SELECT p AS patient_id, d AS visit_date, ({FAC})[CAST(p % 5 AS INTEGER) + 1] AS location,
                CAST((k * 53) % 800 AS INTEGER) AS cd4_count
         FROM o_ WHERE k % 5 = 0""",
+    "omrs_encounter": f"""
+        SELECT k AS encounter_id, p AS patient_id, d AS encounter_date,
+               ({_lst(K.ENCOUNTER_TYPES)})[CAST(k % {len(K.ENCOUNTER_TYPES)} AS INTEGER) + 1] AS encounter_type,
+               ({FAC})[CAST(p % 5 AS INTEGER) + 1] AS location
+        FROM o_""",
+    "omrs_obs": f"""
+        SELECT l_orderkey AS encounter_id, l_orderkey * 10 + l_linenumber AS obs_group_id,
+               ({_lst(ALL_CONCEPTS)})[CAST((l_partkey + l_linenumber) % {len(ALL_CONCEPTS)} AS INTEGER) + 1] AS concept,
+               CAST(l_shipdate AS DATE) AS obs_date,
+               ({_lst(ALL_CODED)})[CAST((l_partkey * 3 + l_suppkey) % {len(ALL_CODED)} AS INTEGER) + 1] AS value_coded,
+               CAST(l_quantity AS DECIMAL(16,4)) AS value_numeric, CAST(l_shipdate AS DATE) AS value_date,
+               'T' || CAST(l_partkey AS VARCHAR) AS value_text,
+               CAST(l_shipdate AS DATE) + CAST(l_suppkey % 30 AS INTEGER) AS date_created
+        FROM lineitem""",
 }
 
 
