@@ -122,6 +122,28 @@ def _loader(fn_name):
     return run
 
 
+def _q_register(spark, sf_dir):
+    from kalulu.plans.loaders.register import load_art_register
+    return load_art_register(_wh(spark, sf_dir))
+
+
+def _q_parent(spark, sf_dir):
+    from kalulu.plans.functions_queries import parent_facilities
+    return parent_facilities(_wh(spark, sf_dir))
+
+
+def _q_ident(spark, sf_dir):
+    from kalulu.plans.functions_queries import formatted_identifiers
+    return formatted_identifiers(_wh(spark, sf_dir))
+
+
+def _q_latest_test(spark, sf_dir):
+    from kalulu.plans.functions_queries import latest_test_result
+    from kalulu.plans.loaders.art import load_lab_tests_vl
+    wh = _wh(spark, sf_dir)
+    return latest_test_result(wh, load_lab_tests_vl(wh), offset=1)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_tx_mmd": _q_moh_tx_mmd,
     "pepfar_tx_mmd": _q_pepfar_tx_mmd,
@@ -145,6 +167,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_art_initial": _loader("load_art_initial"),
     "load_art_visits": _loader("load_art_visits"),
     "load_lab_tests_vl": _loader("load_lab_tests_vl"),
+    "load_art_register": _q_register,
+    "fn_parent_health_facility": _q_parent,
+    "fn_identifier_format": _q_ident,
+    "fn_latest_test_result_offset1": _q_latest_test,
 }
 
 
@@ -184,4 +210,8 @@ def oracle_sql() -> dict[str, str]:
         "load_art_initial": L.art_initial_sql(),
         "load_art_visits": L.art_visits_sql(),
         "load_lab_tests_vl": L.lab_tests_vl_sql(),
+        "load_art_register": L.art_register_sql(),
+        "fn_parent_health_facility": L.parent_facilities_sql(),
+        "fn_identifier_format": L.formatted_identifiers_sql(),
+        "fn_latest_test_result_offset1": L.latest_test_result_sql(1),
     }

@@ -88,3 +88,50 @@ def lab_tests_vl_sql() -> str:
                  FULL OUTER JOIN {t} t USING (patient_id, encounter_id)
                  FULL OUTER JOIN {r} r USING (patient_id, encounter_id)"""
     return with_fixtures(body)
+
+
+def art_register_sql() -> str:
+    body = """
+    SELECT s.patient_id, s.location,
+           array_to_string(list_transform(string_split(idn.identifier, ' '),
+               lambda x: CASE WHEN regexp_matches(x, '^[0-9]') AND length(x) < 4 THEN lpad(x, 4, '0') ELSE x END), '-')
+               AS art_number,
+           s.start_date, COALESCE(s.end_date, e.completion_date) AS end_date,
+           COALESCE(s.next_state, e.outcome) AS outcome, lv.art_visit_id AS last_art_visit_id
+    FROM (SELECT *, LEAD(state) OVER (PARTITION BY program_enrollment_id ORDER BY start_date, program_state_id)
+                    AS next_state FROM omrs_program_state) s
+    LEFT JOIN omrs_program_enrollment e ON e.program_enrollment_id = s.program_enrollment_id
+    LEFT JOIN (SELECT patient_id, location, identifier,
+                      row_number() OVER (PARTITION BY patient_id, location
+                                         ORDER BY date_created DESC, patient_identifier_id DESC) AS rn
+               FROM omrs_patient_identifier WHERE lower(rtrim(type)) = 'arv number') idn
+      ON idn.patient_id = s.patient_id AND idn.location = s.location AND idn.rn = 1
+    LEFT JOIN (SELECT patient_id, art_visit_id,
+                      row_number() OVER (PARTITION BY patient_id ORDER BY visit_date DESC, art_visit_id DESC) AS rn
+               FROM mw_art_visits) lv ON lv.patient_id = s.patient_id AND lv.rn = 1
+    WHERE lower(rtrim(s.state)) = 'on antiretrovirals'"""
+    return with_fixtures(body)
+
+
+def parent_facilities_sql() -> str:
+    case = "CASE " + " ".join(f"WHEN lower(rtrim(location)) = {_q(c.rstrip().lower())} THEN {_q(p)}"
+                              for c, p in K.OUTREACH_PARENT) + " ELSE location END"
+    return with_fixtures(f"SELECT DISTINCT location, {case} AS parent_facility FROM mw_art_followup")
+
+
+def formatted_identifiers_sql() -> str:
+    return with_fixtures("""SELECT patient_identifier_id, identifier,
+        array_to_string(list_transform(string_split(identifier, ' '),
+            lambda x: CASE WHEN regexp_matches(x, '^[0-9]') AND length(x) < 4 THEN lpad(x, 4, '0') ELSE x END), '-')
+            AS formatted
+        FROM omrs_patient_identifier""")
+
+
+def latest_test_result_sql(offset: int = 0) -> str:
+    lab = lab_tests_vl_sql()[len("WITH "):]
+    # reuse the lab load as a CTE, then the n-th newest per patient
+    ctes, _, body = lab.rpartition("\nSELECT patient_id, encounter_id, ")
+    return (f"WITH {ctes}, lab AS (SELECT patient_id, encounter_id, {body})\n"
+            f"SELECT patient_id, encounter_id, date_result_entered FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY patient_id ORDER BY date_result_entered DESC, encounter_id DESC) AS rn FROM lab "
+            f"WHERE COALESCE(CAST(result_numeric AS VARCHAR), result_exception) IS NOT NULL) z WHERE rn = {offset + 1}")
