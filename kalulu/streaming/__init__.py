@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The reference has no streaming work: no watermark, event-time window, stateful
+operator or late-data rule; its loads are full refreshes.  Incremental refresh
+would be a batch job over new encounters, not a stream.
+"""
