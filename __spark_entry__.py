@@ -168,6 +168,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_art_visits": _loader("load_art_visits"),
     "load_lab_tests_vl": _loader("load_lab_tests_vl"),
     "load_art_register": _q_register,
+    "load_art_regimen": _loader("load_art_regimen"),
     "fn_parent_health_facility": _q_parent,
     "fn_identifier_format": _q_ident,
     "fn_latest_test_result_offset1": _q_latest_test,
@@ -211,6 +212,7 @@ def oracle_sql() -> dict[str, str]:
         "load_art_visits": L.art_visits_sql(),
         "load_lab_tests_vl": L.lab_tests_vl_sql(),
         "load_art_register": L.art_register_sql(),
+        "load_art_regimen": L.art_regimen_sql(),
         "fn_parent_health_facility": L.parent_facilities_sql(),
         "fn_identifier_format": L.formatted_identifiers_sql(),
         "fn_latest_test_result_offset1": L.latest_test_result_sql(1),

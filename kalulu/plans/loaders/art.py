@@ -90,3 +90,23 @@ def load_lab_tests_vl(wh: Warehouse) -> DataFrame:
         F.col("result_numeric").cast("decimal(10,2)").alias("result_numeric"),
         F.coalesce(F.when(F.col("l_date").isNotNull(), F.lit(C.VL_LDL_TEXT)),
                    F.concat(F.lit("<"), F.col("t_value").cast("string"))).alias("result_exception"))
+
+
+def load_art_regimen(wh: Warehouse) -> DataFrame:
+    """mw_art_regimen: one row per regimen-line observation with the start date
+    recorded in the same encounter; the line number is the count of previous
+    regimens (0, 1, 2).  The three lines are appended (union), as three inputs."""
+    enc = wh.omrs_encounter.select("encounter_id", "patient_id")
+    obs = wh.omrs_obs.join(enc, "encounter_id")
+    parts = []
+    for n_prev, regimen_concept, date_concept in C.REGIMEN_LINES:
+        reg = obs.where(F.col("concept") == regimen_concept).select(
+            "patient_id", "encounter_id", F.col("value_coded").alias("regimen"))
+        start = (obs.where(F.col("concept") == date_concept).groupBy("encounter_id")
+                 .agg(F.min("value_date").alias("regimen_init_date")))
+        parts.append(reg.join(start, "encounter_id", "left").select(
+            "patient_id", "regimen", "regimen_init_date", F.lit(n_prev).alias("num_of_prev_regimens")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

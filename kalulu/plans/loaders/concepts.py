@@ -93,3 +93,10 @@ ALL_CONCEPTS = sorted({c for _, c, _, _ in ART_FOLLOWUP + ART_INITIAL + ART_VISI
 ALL_CODED = sorted({v for _, v in TPT_DRUGS} | {v for _, v in SIDE_EFFECTS}
                    | {"Yes", "True", K.PREGNANT, K.BREASTFEEDING}
                    | set(K.TB_STATUSES) | {t for _, t in K.REGIMENS[:6]})
+
+# --- FIXED VALUES: regimen lines (coded regimen concept, its start-date concept)
+REGIMEN_LINES = [
+    (0, "Malawi Antiretroviral drugs change 1", "Start date 1st line ARV"),
+    (1, "Malawi Antiretroviral drugs change 2", "Date of starting alternative 1st line ARV regimen"),
+    (2, "Malawi Antiretroviral drugs change 3", "Date of starting 2nd line ARV regimen"),
+]

@@ -41,8 +41,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the setting is unset (local tests) a scratch folder is created.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - no SparkContext access (e.g. remote session)
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="kalulu-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - some sessions reject core confs at runtime
+            pass
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001
+        pass
     return d

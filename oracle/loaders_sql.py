@@ -135,3 +135,15 @@ def latest_test_result_sql(offset: int = 0) -> str:
             f"SELECT patient_id, encounter_id, date_result_entered FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY patient_id ORDER BY date_result_entered DESC, encounter_id DESC) AS rn FROM lab "
             f"WHERE COALESCE(CAST(result_numeric AS VARCHAR), result_exception) IS NOT NULL) z WHERE rn = {offset + 1}")
+
+
+def art_regimen_sql() -> str:
+    parts = []
+    for n_prev, reg, dt in C.REGIMEN_LINES:
+        parts.append(f"""SELECT e.patient_id, o.value_coded AS regimen, s.d AS regimen_init_date,
+                                {n_prev} AS num_of_prev_regimens
+            FROM omrs_obs o JOIN omrs_encounter e ON e.encounter_id = o.encounter_id
+            LEFT JOIN (SELECT encounter_id, MIN(value_date) AS d FROM omrs_obs WHERE concept = {_q(dt)}
+                       GROUP BY encounter_id) s ON s.encounter_id = o.encounter_id
+            WHERE o.concept = {_q(reg)}""")
+    return with_fixtures("\nUNION ALL\n".join(parts))
