@@ -17,6 +17,7 @@ from kalulu.functions.dates import age_in_units, lit_date
 from kalulu.functions.text import ci_eq
 from kalulu.operators.latest import latest_per_key, tag_extremes
 from kalulu.params import ReportParams
+from kalulu.session import ensure_checkpoint_dir
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -151,7 +152,13 @@ def hiv_cohort(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None)
     Inner joins first (they restrict to the facility cohort), then left
     joins on ``patient_id``; the follow-up snapshots come from one shuffle.
     """
-    return cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS).distinct()
+    cohort = cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS).distinct()
+    # The cohort (one row per patient x number x tie, far smaller than the
+    # visit tables) is read by the detail rows, the group rows and the flags
+    # of a report: compute it once and cut its lineage with a reliable
+    # checkpoint in the shared checkpoint folder (survives executor loss).
+    ensure_checkpoint_dir(wh.spark)
+    return cohort.checkpoint(eager=True)
 
 
 def identifier_flags(wh: Warehouse, location: str | None = None) -> DataFrame:
