@@ -115,10 +115,11 @@ def _q_survival_women(spark, sf_dir):
     return survival(_wh(spark, sf_dir), START, END, subgroup="Option B+", option_b=True)
 
 
-def _loader(fn_name):
+def _loader(fn_name, module="art"):
     def run(spark, sf_dir):
-        from kalulu.plans.loaders import art
-        return getattr(art, fn_name)(_wh(spark, sf_dir))
+        import importlib
+        mod = importlib.import_module(f"kalulu.plans.loaders.{module}")
+        return getattr(mod, fn_name)(_wh(spark, sf_dir))
     return run
 
 
@@ -169,6 +170,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_lab_tests_vl": _loader("load_lab_tests_vl"),
     "load_art_register": _q_register,
     "load_art_regimen": _loader("load_art_regimen"),
+    "load_eid_initial": _loader("load_eid_initial", "wide"),
+    "load_eid_followup": _loader("load_eid_followup", "wide"),
+    "load_eid_visits": _loader("load_eid_visits", "wide"),
+    "load_eid_lab_tests": _loader("load_eid_lab_tests", "wide"),
+    "load_pre_art_visits": _loader("load_pre_art_visits", "wide"),
+    "load_art_followup_testing": _loader("load_art_followup_testing", "wide"),
+    "load_art_viral_load": _loader("load_art_viral_load", "wide"),
+    "load_lab_tests_hiv": _loader("load_lab_tests_hiv", "wide"),
     "fn_parent_health_facility": _q_parent,
     "fn_identifier_format": _q_ident,
     "fn_latest_test_result_offset1": _q_latest_test,
@@ -213,6 +222,14 @@ def oracle_sql() -> dict[str, str]:
         "load_lab_tests_vl": L.lab_tests_vl_sql(),
         "load_art_register": L.art_register_sql(),
         "load_art_regimen": L.art_regimen_sql(),
+        "load_eid_initial": L.eid_initial_sql(),
+        "load_eid_followup": L.eid_followup_sql(),
+        "load_eid_visits": L.eid_visits_sql(),
+        "load_eid_lab_tests": L.eid_lab_tests_sql(),
+        "load_pre_art_visits": L.pre_art_visits_sql(),
+        "load_art_followup_testing": L.art_followup_testing_sql(),
+        "load_art_viral_load": L.art_viral_load_sql(),
+        "load_lab_tests_hiv": L.lab_tests_hiv_sql(),
         "fn_parent_health_facility": L.parent_facilities_sql(),
         "fn_identifier_format": L.formatted_identifiers_sql(),
         "fn_latest_test_result_offset1": L.latest_test_result_sql(1),

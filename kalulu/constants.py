@@ -38,6 +38,7 @@ EID_SCREENING = "EID Screening"
 ENCOUNTER_TYPES = [
     ART_INITIAL, ART_FOLLOWUP, ART_FOLLOWUP_TESTING, VIRAL_LOAD_SCREENING,
     PART_INITIAL, PART_FOLLOWUP, EXPOSED_CHILD_INITIAL, EXPOSED_CHILD_FOLLOWUP,
+    EID_SCREENING,
 ]
 
 # --- FIXED VALUES: population groups and their labels ----------------------

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def eav_pivot(obs: DataFrame, keys: Sequence[str], spec: Sequence[tuple[str, str, str, str | None]],
-              type_col: str = "encounter_type") -> DataFrame:
-    """One row per key with one column per (column, concept, value kind, type filter).
+def eav_pivot(obs: DataFrame, keys: Sequence[str], spec: Sequence[tuple],
+              type_col: str = "encounter_type", group_col: str = "group_concept") -> DataFrame:
+    """One row per key with one column per (column, concept, value kind, type
+    filter[, observation-group concept]).
 
     A single ``groupBy(keys)`` with one conditional aggregate per column
     replaces a chain of sorted left joins (one per concept).  When a key has
@@ -18,12 +19,14 @@ def eav_pivot(obs: DataFrame, keys: Sequence[str], spec: Sequence[tuple[str, str
     deterministic and combinable map-side.
     """
     aggs = []
-    for col, concept, kind, etype in spec:
+    for col, concept, kind, etype, *group in spec:
         cond = F.col("concept") == concept
         if etype:
             cond = cond & (F.col(type_col) == etype)
+        if group:
+            cond = cond & (F.col(group_col) == group[0])
         aggs.append(F.min(F.when(cond, F.col(kind))).alias(col))
-    concepts = sorted({c for _, c, _, _ in spec})
+    concepts = sorted({e[1] for e in spec})
     return obs.where(F.col("concept").isin(concepts)).groupBy(*keys).agg(*aggs)
 
 

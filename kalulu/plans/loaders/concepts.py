@@ -86,12 +86,103 @@ VL_RESULT = "HIV viral load"
 VL_TEST_TYPE = "Viral Load"
 VL_LDL_TEXT = "Lower than Detection Limit"
 
+# --- FIXED VALUES: observation-group (construct) concepts ------------------
+NVP_CONSTRUCT = "Age at start of Neviripine construct"
+SEROLOGY_CONSTRUCT = "Child HIV serology construct"
+GROUP_CONCEPTS = [NVP_CONSTRUCT, SEROLOGY_CONSTRUCT, "Other construct"]
+
+# --- FIXED VALUES: exposed-child follow-up (spine: EXPOSED_CHILD_FOLLOWUP) --
+_ECF, _ECI = K.EXPOSED_CHILD_FOLLOWUP, K.EXPOSED_CHILD_INITIAL
+EID_FOLLOWUP = [
+    ("breast_feeding", "Breast feeding", CODED, _ECF),
+    ("clinical_monitoring", "Clinical Monitoring Exposed Child", CODED, _ECF),
+    ("height", "Height (cm)", NUMERIC, None),
+    ("mother_status", "Mother HIV Status", CODED, _ECF),
+    ("next_appointment_date", "Appointment date", DATE, _ECF),
+    ("wasting_or_malnutrition", "Wasting/malnutrition", CODED, _ECF),
+    ("weight", "Weight (kg)", NUMERIC, None),
+    ("cpt", "Number of CPT tablets dispensed", NUMERIC, _ECF),
+    ("hiv_infection", "Childs current HIV status", CODED, _ECF),
+    ("muac", "Middle upper arm circumference (cm)", NUMERIC, _ECF),
+]
+
+# --- FIXED VALUES: exposed-child initial visit (spine: EXPOSED_CHILD_INITIAL)
+# 5th element: the concept of the observation group the obs must belong to
+EID_INITIAL = [
+    ("age", "Age", NUMERIC, _ECI),
+    ("age_when_starting_nvp", "Patient age when result to guardian", NUMERIC, _ECI, NVP_CONSTRUCT),
+    ("birth_weight", "Birth weight", NUMERIC, _ECI),
+    ("duration_type_when_starting_nvp", "Units of age of child", CODED, _ECI, NVP_CONSTRUCT),
+    ("mother_art_reg_no", "Mother ART registration number", TEXT, _ECI),
+    ("mother_art_start_date", "Mother art start date", DATE, _ECI),
+    ("mother_hiv_status", "Mother HIV Status", CODED, _ECI),
+    ("nvp_duration", "Medication duration", NUMERIC, _ECI),
+    ("nvp_duration_type", "Time units", CODED, _ECI),
+]
+
+# --- FIXED VALUES: exposed-child visits (spine: both child encounter types) -
+EID_VISITS = [
+    ("next_appointment_date", "Appointment date", DATE, _ECF),
+    ("breastfeeding_status", "Breast feeding", CODED, None),
+    ("mother_status", "Mother HIV Status", CODED, None),
+]
+
+# --- FIXED VALUES: EID laboratory tests (spine: EID Screening) --------------
+_EID = K.EID_SCREENING
+EID_LAB_TESTS = [
+    ("result_date", "Date of returned result", DATE, _EID),
+    ("test_type", "HIV test type", CODED, _EID),
+    ("lab_laboratory", "Location of laboratory", CODED, _EID),
+    ("reasons_for_testing", "Reason for testing (coded)", CODED, _EID),
+    ("hiv_result", "Result of HIV test", CODED, _EID),
+    ("sample_id", "Lab test serial number", TEXT, _EID),
+]
+
+# --- FIXED VALUES: pre-ART visits (spine: PART_INITIAL and PART_FOLLOWUP) ---
+PRE_ART_VISITS = [
+    ("next_appointment_date", "Appointment date", DATE, None),
+]
+
+# --- FIXED VALUES: viral-load screening (spine: Viral Load Screening) -------
+# reason_for_test anchors the observation group; the others must share it
+_VLS = K.VIRAL_LOAD_SCREENING
+ART_VIRAL_LOAD_ANCHOR = ("reason_for_test", "Reason for testing (coded)", CODED, _VLS)
+ART_VIRAL_LOAD = [
+    ("ldl", "Lower than Detection Limit", CODED, _VLS),
+    ("bled", "Sample taken for Viral Load", CODED, _VLS),
+    ("lab_location", "Location of laboratory", CODED, _VLS),
+    ("less_than_limit", "Less than limit", NUMERIC, _VLS),
+    ("other_results", "Reason for no result", CODED, _VLS),
+    ("sample_id", "Viral Load Sample ID", TEXT, _VLS),
+    ("viral_load_result", "HIV viral load", NUMERIC, _VLS),
+]
+
+# --- FIXED VALUES: ART follow-up testing (spine: ART_FOLLOWUP_UP_TESTING) ---
+_AFT = K.ART_FOLLOWUP_TESTING
+FOLLOWUP_TESTING_REQUIRED = ("cd4_count", "CD4 count", NUMERIC, None)
+FOLLOWUP_TESTING = [
+    ("cd4_pct", "Cd4%", NUMERIC, None),
+    ("phq_nine_score", "PHQ 9 Score", NUMERIC, None),
+    ("serum_glucose", "Serum glucose", NUMERIC, None),
+    ("test_type", "Blood sugar test type", CODED, None),
+]
+
+# --- FIXED VALUES: child HIV serology (lab tests, HIV) ----------------------
+HIV_SAMPLE_DATE = "Date of blood sample"
+HIV_RESULT_DATE = "Date of returned result"
+HIV_RESULT = "Result of HIV test"
+HIV_TEST_TYPE = "HIV test type"
+HIV_DEFAULT_TEST_TYPE = "HIV test"
+MOTHER_ART_NUMBER = "Mother ART registration number"
+
 # Every concept the fixture cycles through (fixture only; built from the maps).
-ALL_CONCEPTS = sorted({c for _, c, _, _ in ART_FOLLOWUP + ART_INITIAL + ART_VISITS}
+ALL_CONCEPTS = sorted({e[1] for e in ART_FOLLOWUP + ART_INITIAL + ART_VISITS + EID_FOLLOWUP + EID_INITIAL
+                       + EID_VISITS + EID_LAB_TESTS + PRE_ART_VISITS + ART_VIRAL_LOAD + FOLLOWUP_TESTING
+                       + [ART_VIRAL_LOAD_ANCHOR, FOLLOWUP_TESTING_REQUIRED]}
                       | {TPT_CONCEPT, PILLS_CONCEPT, SIDE_EFFECTS_CONCEPT,
-                         VL_SAMPLE, VL_LDL, VL_LESS_THAN, VL_RESULT})
+                         VL_SAMPLE, VL_LDL, VL_LESS_THAN, VL_RESULT, HIV_SAMPLE_DATE})
 ALL_CODED = sorted({v for _, v in TPT_DRUGS} | {v for _, v in SIDE_EFFECTS}
-                   | {"Yes", "True", K.PREGNANT, K.BREASTFEEDING}
+                   | {"Yes", "True", K.PREGNANT, K.BREASTFEEDING, K.ROUTINE, K.TARGET, "Positive", "Negative"}
                    | set(K.TB_STATUSES) | {t for _, t in K.REGIMENS[:6]})
 
 # --- FIXED VALUES: regimen lines (coded regimen concept, its start-date concept)

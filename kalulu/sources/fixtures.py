@@ -329,3 +329,43 @@ class Warehouse:
             ship.alias("value_date"),
             F.concat(F.lit("T"), F.col("l_partkey").cast("string")).alias("value_text"),
             F.date_add(ship, (F.col("l_suppkey") % 30).cast("int")).alias("date_created"))
+
+    @functools.cached_property
+    def omrs_obs_group(self) -> DataFrame:
+        """One row per observation group (construct) with its concept."""
+        from kalulu.plans.loaders.concepts import GROUP_CONCEPTS
+
+        li = read_parquet(self.spark, self.base, "lineitem", "l_orderkey", "l_linenumber")
+        return li.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("obs_group_id"),
+            F.col("l_orderkey").alias("encounter_id"),
+            _pick(GROUP_CONCEPTS, (F.col("l_orderkey") + F.col("l_linenumber")) % len(GROUP_CONCEPTS))
+            .alias("concept")).distinct()
+
+    @functools.cached_property
+    def omrs_patient(self) -> DataFrame:
+        c = read_parquet(self.spark, self.base, "customer", "c_custkey", "c_name", "c_nationkey")
+        p = F.col("c_custkey")
+        return c.select(
+            p.alias("patient_id"), F.col("c_name").alias("identifier"),
+            F.when(p % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
+            F.date_sub(F.lit(ANCHOR).cast("date"), ((p * 7919) % 33000).cast("int")).alias("birthdate"),
+            (p % 9 == 0).alias("birthdate_estimated"),
+            F.lit("Neno").alias("state_province"),
+            F.concat(F.lit("TA "), F.col("c_nationkey").cast("string")).alias("county_district"),
+            F.concat(F.lit("Village "), (p % 40).cast("string")).alias("city_village"),
+            (p % 23 == 0).alias("dead"),
+            F.when(p % 23 == 0, F.lit("2001-01-01").cast("date")).alias("death_date"),
+            F.concat(F.lit("uuid-"), p.cast("string")).alias("patient_uuid"))
+
+    @functools.cached_property
+    def omrs_relationship(self) -> DataFrame:
+        k, p, d = F.col("k"), F.col("p"), F.col("d")
+        return self._orders().where(k % 10 == 3).select(
+            k.alias("relationship_id"), p.alias("patient_id"),
+            F.concat(F.lit("CHW "), (k % 50).cast("string")).alias("related_person"),
+            F.when(k % 3 != 0, F.lit("Community Health Worker")).otherwise(F.lit("Guardian"))
+            .alias("related_person_role"),
+            F.when(k % 4 != 0, d).alias("start_date"),
+            F.when(k % 5 == 0, F.date_add(d, 365)).alias("end_date"),
+            F.date_add(d, (k % 11).cast("int")).alias("date_created"))

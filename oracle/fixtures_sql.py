@@ -7,7 +7,7 @@ Lists are 1-based in DuckDB, so ``list[i + 1]`` picks the i-th (0-based) item.
 from __future__ import annotations
 
 from kalulu import constants as K
-from kalulu.plans.loaders.concepts import ALL_CODED, ALL_CONCEPTS
+from kalulu.plans.loaders.concepts import ALL_CODED, ALL_CONCEPTS, GROUP_CONCEPTS
 from kalulu.sources.fixtures import PREGNANCY_CYCLE, REGIMEN_CYCLE
 
 
@@ -120,6 +120,11 @@ CTES: dict[str, str] = {
                'T' || CAST(l_partkey AS VARCHAR) AS value_text,
                CAST(l_shipdate AS DATE) + CAST(l_suppkey % 30 AS INTEGER) AS date_created
         FROM lineitem""",
+    "omrs_obs_group": f"""
+        SELECT DISTINCT l_orderkey * 10 + l_linenumber AS obs_group_id, l_orderkey AS encounter_id,
+               ({_lst(GROUP_CONCEPTS)})[CAST((l_orderkey + l_linenumber) % {len(GROUP_CONCEPTS)} AS INTEGER) + 1]
+                   AS concept
+        FROM lineitem""",
 }
 
 

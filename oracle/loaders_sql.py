@@ -6,8 +6,10 @@ from kalulu import constants as K
 from kalulu.plans.loaders import concepts as C
 from oracle.fixtures_sql import _q, with_fixtures
 
-OBS = """(SELECT o.*, e.patient_id, e.encounter_date AS visit_date, e.location, e.encounter_type
-          FROM omrs_obs o JOIN omrs_encounter e ON e.encounter_id = o.encounter_id)"""
+OBS = """(SELECT o.*, e.patient_id, e.encounter_date AS visit_date, e.location, e.encounter_type,
+                 g.concept AS group_concept
+          FROM omrs_obs o JOIN omrs_encounter e ON e.encounter_id = o.encounter_id
+          LEFT JOIN omrs_obs_group g ON g.obs_group_id = o.obs_group_id)"""
 KEYS = "patient_id, visit_date, location"
 
 
@@ -19,8 +21,10 @@ def _spine(types):
 def _concept_inputs(spec):
     """One grouped input per concept (the shape of the source: one SQL per column)."""
     joins, cols = [], []
-    for i, (col, concept, kind, etype) in enumerate(spec):
+    for i, (col, concept, kind, etype, *grp) in enumerate(spec):
         flt = f" AND encounter_type = {_q(etype)}" if etype else ""
+        if grp:
+            flt += f" AND group_concept = {_q(grp[0])}"
         joins.append(f"LEFT JOIN (SELECT {KEYS}, MIN({kind}) AS v FROM {OBS} x WHERE concept = {_q(concept)}{flt} "
                      f"GROUP BY {KEYS}) c{i} ON c{i}.patient_id = s.patient_id AND c{i}.visit_date = s.visit_date "
                      f"AND c{i}.location = s.location")
@@ -147,3 +151,75 @@ def art_regimen_sql() -> str:
                        GROUP BY encounter_id) s ON s.encounter_id = o.encounter_id
             WHERE o.concept = {_q(reg)}""")
     return with_fixtures("\nUNION ALL\n".join(parts))
+
+
+def eid_initial_sql() -> str:
+    return _simple(C.EID_INITIAL, [K.EXPOSED_CHILD_INITIAL])
+
+
+def eid_followup_sql() -> str:
+    return _simple(C.EID_FOLLOWUP, [K.EXPOSED_CHILD_FOLLOWUP])
+
+
+def eid_visits_sql() -> str:
+    return _simple(C.EID_VISITS, [K.EXPOSED_CHILD_INITIAL, K.EXPOSED_CHILD_FOLLOWUP])
+
+
+def eid_lab_tests_sql() -> str:
+    return _simple(C.EID_LAB_TESTS, [K.EID_SCREENING])
+
+
+def pre_art_visits_sql() -> str:
+    return _simple(C.PRE_ART_VISITS, [K.PART_INITIAL, K.PART_FOLLOWUP])
+
+
+def art_followup_testing_sql() -> str:
+    spec = [C.FOLLOWUP_TESTING_REQUIRED, *C.FOLLOWUP_TESTING]
+    joins, cols = _concept_inputs(spec)
+    joins[0] = joins[0].replace("LEFT JOIN", "JOIN", 1)  # CD4 is the inner input
+    body = (f"SELECT s.patient_id, s.visit_date, s.location, {', '.join(cols)} "
+            f"FROM {_spine([K.ART_FOLLOWUP_TESTING])} s\n" + "\n".join(joins))
+    return with_fixtures(body)
+
+
+def art_viral_load_sql() -> str:
+    anchor = C.ART_VIRAL_LOAD_ANCHOR
+    cols = []
+    joins = []
+    for i, (col, concept, kind, etype) in enumerate(C.ART_VIRAL_LOAD):
+        joins.append(f"""LEFT JOIN (SELECT {KEYS}, obs_group_id, MIN({kind}) AS v FROM {OBS} x
+                                   WHERE concept = {_q(concept)} AND encounter_type = {_q(etype)}
+                                   GROUP BY {KEYS}, obs_group_id) c{i}
+                    ON c{i}.patient_id = r.patient_id AND c{i}.visit_date = r.visit_date
+                   AND c{i}.location = r.location AND c{i}.obs_group_id = r.obs_group_id""")
+        cols.append(f"c{i}.v AS {col}")
+    body = f"""SELECT s.patient_id, s.visit_date, s.location, r.obs_group_id, r.reason_for_test,
+                      {', '.join(cols)}
+        FROM {_spine([K.VIRAL_LOAD_SCREENING])} s
+        LEFT JOIN (SELECT * FROM (SELECT {KEYS}, obs_group_id, MIN({anchor[2]}) AS reason_for_test,
+                                         row_number() OVER (PARTITION BY {KEYS} ORDER BY obs_group_id) AS rn
+                                  FROM {OBS} a WHERE concept = {_q(anchor[1])} AND encounter_type = {_q(anchor[3])}
+                                  GROUP BY {KEYS}, obs_group_id) z WHERE rn = 1) r
+          ON r.patient_id = s.patient_id AND r.visit_date = s.visit_date AND r.location = s.location
+        {' '.join(joins)}"""
+    return with_fixtures(body)
+
+
+def lab_tests_hiv_sql() -> str:
+    ob = f"""(SELECT * FROM {OBS} q WHERE group_concept = {_q(C.SEROLOGY_CONSTRUCT)})"""
+
+    def part(concept, cols):
+        return (f"(SELECT patient_id, encounter_id, obs_group_id, visit_date, {cols} FROM {ob} w "
+                f"WHERE concept = {_q(concept)} GROUP BY patient_id, encounter_id, obs_group_id, visit_date)")
+
+    s_ = part(C.HIV_SAMPLE_DATE, "MIN(value_date) AS v")
+    rd = part(C.HIV_RESULT_DATE, "MIN(value_date) AS v")
+    rs = part(C.HIV_RESULT, "MIN(value_coded) AS v, MIN(date_created) AS e")
+    tt = part(C.HIV_TEST_TYPE, "MIN(value_coded) AS v")
+    body = f"""SELECT patient_id, encounter_id, obs_group_id, COALESCE(s_.v, visit_date) AS date_collected,
+                   COALESCE(tt.v, {_q(C.HIV_DEFAULT_TEST_TYPE)}) AS test_type, rd.v AS date_result_received,
+                   rs.e AS date_result_entered, rs.v AS result_coded
+            FROM {s_} s_ FULL OUTER JOIN {rd} rd USING (patient_id, encounter_id, obs_group_id, visit_date)
+                 FULL OUTER JOIN {rs} rs USING (patient_id, encounter_id, obs_group_id, visit_date)
+                 LEFT JOIN {tt} tt USING (patient_id, encounter_id, obs_group_id, visit_date)"""
+    return with_fixtures(body)
