@@ -30,6 +30,8 @@ ANCHOR = "2000-06-30"
 # reports count, then the two weight-report extras.
 REGIMEN_CYCLE = [t for _, t in K.REGIMENS] + [t for _, t in K.WEIGHT_REPORT_EXTRA_REGIMENS]
 PREGNANCY_CYCLE = [K.PREGNANT, K.BREASTFEEDING, K.NOT_PREGNANT, None]
+EXTRA_STATE_ID_OFFSET = 1_000_000_000
+EXTRA_STATE_DAYS = 7300
 
 
 def _pick(values: list, idx: Column) -> Column:
@@ -72,9 +74,27 @@ class Warehouse:
             path = f"{self.base.rstrip('/')}/{name}.parquet"
             st = os.stat(path) if os.path.exists(path) else None
             stamp.append(f"{path}:{st.st_size if st else 0}:{int(st.st_mtime) if st else 0}")
+        # the projection code is part of the key: a changed formula never
+        # reuses tables loaded by an older version
+        import kalulu.constants as _k
+        import kalulu.plans.loaders.concepts as _c
+
+        for mod_file in (__file__, _k.__file__, _c.__file__):
+            with open(mod_file, "rb") as fh:
+                stamp.append(hashlib.sha1(fh.read()).hexdigest())
         key = hashlib.sha1("|".join(stamp).encode()).hexdigest()[:16]
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/kalulu-warehouse/{key}"
 
+    def refresh(self) -> None:
+        """Full refresh of every warehouse table (overwrite), like the nightly load."""
+        root = self._root()
+        for name in MATERIALIZED:
+            df = getattr(self, f"_build_{name}")()
+            sort_key = "patient_id" if "patient_id" in df.columns else df.columns[0]
+            df.repartition(sort_key).sortWithinPartitions(sort_key).write.mode("overwrite").parquet(
+                f"{root}/{name}")
+            _LOADED.add(f"{root}/{name}")
+
     def table(self, name: str) -> DataFrame:
         """A warehouse table, loaded on first use (full refresh, atomic _SUCCESS marker)."""
         df = getattr(self, f"_build_{name}")()
@@ -127,6 +147,9 @@ class Warehouse:
         return self.table("omrs_program_state")
 
     def _build_omrs_program_state(self) -> DataFrame:
+        """Treatment-status states, one per order.  Orders with k % 13 = 5 add a
+        pre-ART or exposed-child enrolment state dated 20 years later, i.e.
+        after every report period (the report fixtures stay as probed)."""
         k, p = F.col("k"), F.col("p")
         state = (F.when(k % 10 <= 5, F.lit(K.ON_ART))
                  .when(k % 10 == 6, F.lit(K.DIED))
@@ -134,18 +157,18 @@ class Warehouse:
                  .when(k % 10 == 8, F.lit(K.STOPPED))
                  .otherwise(F.lit(K.TRANSFERRED_OUT)))
         loc = facility((p + F.when(k % 7 == 0, 1).otherwise(0)) % 5)
-        nxt = F.lead("d").over(Window.partitionBy("p").orderBy("d", "k"))
-        return self._orders().select(
-            k.alias("program_state_id"),
-            p.alias("program_enrollment_id"),
-            p.alias("patient_id"),
-            F.lit(K.HIV_PROGRAM).alias("program"),
-            F.lit(K.TREATMENT_WORKFLOW).alias("workflow"),
-            state.alias("state"),
-            loc.alias("location"),
-            F.col("d").alias("start_date"),
-            nxt.alias("end_date"),
-        )
+        o = self._orders()
+        treat = o.select(k.alias("program_state_id"), p.alias("patient_id"), state.alias("state"),
+                         loc.alias("location"), F.col("d").alias("start_date"))
+        extra = o.where(k % 13 == 5).select(
+            (k + EXTRA_STATE_ID_OFFSET).alias("program_state_id"), p.alias("patient_id"),
+            F.when(k % 2 == 0, F.lit(K.PRE_ART_CONTINUE)).otherwise(F.lit(K.EXPOSED_CHILD_CONTINUE)).alias("state"),
+            loc.alias("location"), F.date_add(F.col("d"), EXTRA_STATE_DAYS).alias("start_date"))
+        nxt = F.lead("start_date").over(Window.partitionBy("patient_id").orderBy("start_date", "program_state_id"))
+        return treat.unionByName(extra).select(
+            "program_state_id", F.col("patient_id").alias("program_enrollment_id"), "patient_id",
+            F.lit(K.HIV_PROGRAM).alias("program"), F.lit(K.TREATMENT_WORKFLOW).alias("workflow"),
+            "state", "location", "start_date", nxt.alias("end_date"))
 
     @functools.cached_property
     def omrs_program_enrollment(self) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from kalulu import constants as K
 from kalulu.plans.loaders.concepts import ALL_CODED, ALL_CONCEPTS, GROUP_CONCEPTS
-from kalulu.sources.fixtures import PREGNANCY_CYCLE, REGIMEN_CYCLE
+from kalulu.sources.fixtures import EXTRA_STATE_DAYS, EXTRA_STATE_ID_OFFSET, PREGNANCY_CYCLE, REGIMEN_CYCLE
 
 
 def _q(s: str | None) -> str:
@@ -30,15 +30,22 @@ CTES: dict[str, str] = {
                DATE '2000-06-30' - CAST((c_custkey * 7919) % 33000 AS INTEGER) AS birthdate
         FROM customer""",
     "omrs_program_state": f"""
-        SELECT k AS program_state_id, p AS program_enrollment_id, p AS patient_id,
-               'HIV program' AS program, 'Treatment status' AS workflow,
-               CASE WHEN k % 10 <= 5 THEN 'On antiretrovirals' WHEN k % 10 = 6 THEN 'Patient died'
-                    WHEN k % 10 = 7 THEN 'Patient defaulted' WHEN k % 10 = 8 THEN 'Treatment stopped'
-                    ELSE 'Patient transferred out' END AS state,
-               ({FAC})[CAST((p + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END) % 5 AS INTEGER) + 1] AS location,
-               d AS start_date,
-               LEAD(d) OVER (PARTITION BY p ORDER BY d, k) AS end_date
-        FROM o_""",
+        SELECT program_state_id, patient_id AS program_enrollment_id, patient_id, 'HIV program' AS program,
+               'Treatment status' AS workflow, state, location, start_date,
+               LEAD(start_date) OVER (PARTITION BY patient_id ORDER BY start_date, program_state_id) AS end_date
+        FROM (SELECT k AS program_state_id, p AS patient_id,
+                     CASE WHEN k % 10 <= 5 THEN 'On antiretrovirals' WHEN k % 10 = 6 THEN 'Patient died'
+                          WHEN k % 10 = 7 THEN 'Patient defaulted' WHEN k % 10 = 8 THEN 'Treatment stopped'
+                          ELSE 'Patient transferred out' END AS state,
+                     ({FAC})[CAST((p + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END) % 5 AS INTEGER) + 1] AS location,
+                     d AS start_date
+              FROM o_
+              UNION ALL
+              SELECT k + {EXTRA_STATE_ID_OFFSET}, p,
+                     CASE WHEN k % 2 = 0 THEN 'Pre-ART (Continue)' ELSE 'Exposed Child (Continue)' END,
+                     ({FAC})[CAST((p + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END) % 5 AS INTEGER) + 1],
+                     d + {EXTRA_STATE_DAYS}
+              FROM o_ WHERE k % 13 = 5) s""",
     "omrs_program_enrollment": """
         SELECT c_custkey AS program_enrollment_id, c_custkey AS patient_id,
                CASE WHEN c_custkey % 3 = 0 THEN DATE '2001-12-31' END AS completion_date,
