@@ -169,6 +169,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_art_visits": _loader("load_art_visits"),
     "load_lab_tests_vl": _loader("load_lab_tests_vl"),
     "load_art_register": _q_register,
+    "load_pre_art_register": _loader("load_pre_art_register", "register"),
+    "load_eid_register": _loader("load_eid_register", "register"),
+    "load_patient": _loader("load_patient", "register"),
     "load_art_regimen": _loader("load_art_regimen"),
     "load_eid_initial": _loader("load_eid_initial", "wide"),
     "load_eid_followup": _loader("load_eid_followup", "wide"),
@@ -221,6 +224,9 @@ def oracle_sql() -> dict[str, str]:
         "load_art_visits": L.art_visits_sql(),
         "load_lab_tests_vl": L.lab_tests_vl_sql(),
         "load_art_register": L.art_register_sql(),
+        "load_pre_art_register": L.pre_art_register_sql(),
+        "load_eid_register": L.eid_register_sql(),
+        "load_patient": L.patient_sql(),
         "load_art_regimen": L.art_regimen_sql(),
         "load_eid_initial": L.eid_initial_sql(),
         "load_eid_followup": L.eid_followup_sql(),

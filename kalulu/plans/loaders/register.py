@@ -9,33 +9,103 @@ from pyspark.sql.window import Window
 from kalulu import constants as K
 from kalulu.functions.text import ci_eq, format_identifier
 from kalulu.operators.latest import latest_per_key
+from kalulu.plans.loaders import concepts as C
 from kalulu.sources.fixtures import Warehouse
 
 
-def load_art_register(wh: Warehouse) -> DataFrame:
-    """One row per 'On antiretrovirals' state interval.
-
+def state_intervals(wh: Warehouse, state: str) -> DataFrame:
+    """Intervals of one treatment-status state, inner-joined to the enrolment:
     end = the state's end, else the enrolment's completion; outcome = the next
-    state of the same enrolment (by start, id), else the enrolment outcome;
-    art_number = the newest ARV Number at the facility, formatted; last visit
-    = the patient's newest ART visit id.
-    """
-    ps = wh.omrs_program_state
+    state of the same enrolment (by start, id), else the enrolment outcome."""
+    ps = wh.omrs_program_state.where(ci_eq("program", K.HIV_PROGRAM) & ci_eq("workflow", K.TREATMENT_WORKFLOW))
     nxt = Window.partitionBy("program_enrollment_id").orderBy("start_date", "program_state_id")
-    states = ps.withColumn("next_state", F.lead("state").over(nxt)).where(ci_eq("state", K.ON_ART))
+    states = ps.withColumn("next_state", F.lead("state").over(nxt)).where(ci_eq("state", state))
     enr = wh.omrs_program_enrollment.select("program_enrollment_id", "completion_date",
                                             F.col("outcome").alias("enrollment_outcome"))
-    ids = wh.omrs_patient_identifier.where(ci_eq("type", K.ARV_NUMBER)).select(
+    return states.join(enr, "program_enrollment_id", "inner").select(
+        "program_state_id", "program_enrollment_id", "patient_id", "location", "start_date",
+        F.coalesce("end_date", "completion_date").alias("end_date"),
+        F.coalesce("next_state", "enrollment_outcome").alias("outcome"))
+
+
+def newest_number(wh: Warehouse, id_type: str, out_col: str) -> DataFrame:
+    """Newest identifier of a type per (patient, facility), formatted."""
+    ids = wh.omrs_patient_identifier.where(ci_eq("type", id_type)).select(
         "patient_id", "location", "date_created", "patient_identifier_id", "identifier")
-    newest_id = latest_per_key(ids, ["patient_id", "location"], ["date_created", "patient_identifier_id"],
-                               ["identifier"]).select("patient_id", "location",
-                                                      format_identifier("identifier").alias("art_number"))
+    return latest_per_key(ids, ["patient_id", "location"], ["date_created", "patient_identifier_id"],
+                          ["identifier"]).select("patient_id", "location",
+                                                 format_identifier("identifier").alias(out_col))
+
+
+def load_art_register(wh: Warehouse) -> DataFrame:
+    """mw_art_register: 'On antiretrovirals' intervals + ARV Number + the patient's
+    newest ART visit and newest viral-load test / result (any facility)."""
+    from kalulu.plans.loaders.art import load_lab_tests_vl
+
     last_visit = latest_per_key(wh.mw_art_visits.select("patient_id", "visit_date", "art_visit_id"),
                                 ["patient_id"], ["visit_date", "art_visit_id"], []).select(
         "patient_id", F.col("art_visit_id").alias("last_art_visit_id"))
-    return (states.join(enr, "program_enrollment_id", "left")
-            .join(newest_id, ["patient_id", "location"], "left")
+    lab = load_lab_tests_vl(wh).withColumn("__d", F.coalesce("date_collected", "date_result_entered"))
+    last_test = latest_per_key(lab.select("patient_id", "__d", "encounter_id"), ["patient_id"],
+                               ["__d", "encounter_id"], []).select(
+        "patient_id", F.col("encounter_id").alias("last_viral_load_test_id"))
+    with_result = lab.where(F.col("result_numeric").isNotNull() | F.col("result_exception").isNotNull())
+    last_result = latest_per_key(with_result.select("patient_id", "__d", "encounter_id"), ["patient_id"],
+                                 ["__d", "encounter_id"], []).select(
+        "patient_id", F.col("encounter_id").alias("last_viral_load_result_id"))
+    return (state_intervals(wh, K.ON_ART)
+            .join(newest_number(wh, K.ARV_NUMBER, "art_number"), ["patient_id", "location"], "left")
+            .join(last_visit, "patient_id", "left")
+            .join(last_test, "patient_id", "left")
+            .join(last_result, "patient_id", "left")
+            .select("patient_id", "location", "art_number", "start_date", "end_date", "outcome",
+                    "last_art_visit_id", "last_viral_load_test_id", "last_viral_load_result_id"))
+
+
+def load_pre_art_register(wh: Warehouse) -> DataFrame:
+    """mw_pre_art_register: 'Pre-ART (Continue)' intervals + newest HCC Number."""
+    return (state_intervals(wh, K.PRE_ART_CONTINUE)
+            .join(newest_number(wh, K.HCC_NUMBER, "pre_art_number"), ["patient_id", "location"], "left")
+            .select("patient_id", "location", "pre_art_number", "start_date", "end_date", "outcome"))
+
+
+def mother_art_numbers(wh: Warehouse) -> DataFrame:
+    """All mother ART registration numbers recorded for a child, joined with ','
+    (sorted, so the text is deterministic).  Values are de-duplicated per
+    (child, number) by a partial aggregate before the per-child list is built."""
+    enc = wh.omrs_encounter.select("encounter_id", "patient_id")
+    obs = wh.omrs_obs.where(F.col("concept") == C.MOTHER_ART_NUMBER).join(enc, "encounter_id")
+    per_value = obs.groupBy("patient_id", "value_text").agg(F.count(F.lit(1)).alias("n"))
+    repeated = per_value.select("patient_id", F.expr("array_repeat(value_text, cast(n as int))").alias("vals"))
+    return repeated.groupBy("patient_id").agg(
+        F.array_join(F.array_sort(F.flatten(F.collect_list("vals"))), ",").alias("mother_art_number"))
+
+
+def load_eid_register(wh: Warehouse) -> DataFrame:
+    """mw_eid_register: 'Exposed Child (Continue)' intervals + newest HCC Number +
+    last EID visit date + concatenated mother ART numbers."""
+    from kalulu.plans.loaders.wide import load_eid_visits
+
+    last_visit = load_eid_visits(wh).groupBy("patient_id").agg(F.max("visit_date").alias("last_eid_visit_date"))
+    return (state_intervals(wh, K.EXPOSED_CHILD_CONTINUE)
+            .join(newest_number(wh, K.HCC_NUMBER, "eid_number"), ["patient_id", "location"], "left")
             .join(last_visit, "patient_id", "left")
-            .select("patient_id", "location", "art_number", "start_date",
-                    F.coalesce("end_date", "completion_date").alias("end_date"),
-                    F.coalesce("next_state", "enrollment_outcome").alias("outcome"), "last_art_visit_id"))
+            .join(mother_art_numbers(wh), "patient_id", "left")
+            .select("patient_id", "location", "eid_number", "start_date", "end_date", "outcome",
+                    "last_eid_visit_date", "mother_art_number"))
+
+
+def load_patient(wh: Warehouse) -> DataFrame:
+    """mw_patient: demographics + the preferred community health worker
+    (open-ended relationship first, then one with a start date, then newest)."""
+    rel = wh.omrs_relationship.where(F.col("related_person_role") == "Community Health Worker").select(
+        "patient_id", "related_person",
+        F.col("end_date").isNull().cast("int").alias("open_ended"),
+        F.col("start_date").isNotNull().cast("int").alias("has_start"), "date_created", "relationship_id")
+    chw = latest_per_key(rel, ["patient_id"], ["open_ended", "has_start", "date_created", "relationship_id"],
+                         ["related_person"]).select("patient_id", F.col("related_person").alias("chw"))
+    pat = wh.omrs_patient.select(
+        "patient_id", "identifier", "gender", "birthdate", "birthdate_estimated",
+        F.col("state_province").alias("district"), F.col("county_district").alias("traditional_authority"),
+        F.col("city_village").alias("village"), "dead", "death_date", "patient_uuid")
+    return pat.join(chw, "patient_id", "left")

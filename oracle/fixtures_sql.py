@@ -127,6 +127,22 @@ CTES: dict[str, str] = {
                'T' || CAST(l_partkey AS VARCHAR) AS value_text,
                CAST(l_shipdate AS DATE) + CAST(l_suppkey % 30 AS INTEGER) AS date_created
         FROM lineitem""",
+    "omrs_patient": """
+        SELECT c_custkey AS patient_id, c_name AS identifier,
+               CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+               DATE '2000-06-30' - CAST((c_custkey * 7919) % 33000 AS INTEGER) AS birthdate,
+               c_custkey % 9 = 0 AS birthdate_estimated, 'Neno' AS state_province,
+               'TA ' || CAST(c_nationkey AS VARCHAR) AS county_district,
+               'Village ' || CAST(c_custkey % 40 AS VARCHAR) AS city_village,
+               c_custkey % 23 = 0 AS dead, CASE WHEN c_custkey % 23 = 0 THEN DATE '2001-01-01' END AS death_date,
+               'uuid-' || CAST(c_custkey AS VARCHAR) AS patient_uuid
+        FROM customer""",
+    "omrs_relationship": """
+        SELECT k AS relationship_id, p AS patient_id, 'CHW ' || CAST(k % 50 AS VARCHAR) AS related_person,
+               CASE WHEN k % 3 <> 0 THEN 'Community Health Worker' ELSE 'Guardian' END AS related_person_role,
+               CASE WHEN k % 4 <> 0 THEN d END AS start_date, CASE WHEN k % 5 = 0 THEN d + 365 END AS end_date,
+               d + CAST(k % 11 AS INTEGER) AS date_created
+        FROM o_ WHERE k % 10 = 3""",
     "omrs_obs_group": f"""
         SELECT DISTINCT l_orderkey * 10 + l_linenumber AS obs_group_id, l_orderkey AS encounter_id,
                ({_lst(GROUP_CONCEPTS)})[CAST((l_orderkey + l_linenumber) % {len(GROUP_CONCEPTS)} AS INTEGER) + 1]

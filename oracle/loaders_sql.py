@@ -94,27 +94,83 @@ def lab_tests_vl_sql() -> str:
     return with_fixtures(body)
 
 
+def _intervals_sql(state: str) -> str:
+    return f"""(SELECT s.program_state_id, s.program_enrollment_id, s.patient_id, s.location, s.start_date,
+                   COALESCE(s.end_date, e.completion_date) AS end_date, COALESCE(s.next_state, e.outcome) AS outcome
+        FROM (SELECT *, LEAD(state) OVER (PARTITION BY program_enrollment_id ORDER BY start_date, program_state_id)
+                        AS next_state
+              FROM omrs_program_state WHERE lower(program) = 'hiv program' AND lower(workflow) = 'treatment status') s
+        JOIN omrs_program_enrollment e ON e.program_enrollment_id = s.program_enrollment_id
+        WHERE lower(rtrim(s.state)) = {_q(state.lower())})"""
+
+
+def _newest_number_sql(id_type: str) -> str:
+    return f"""(SELECT patient_id, location,
+                   array_to_string(list_transform(string_split(identifier, ' '),
+                       lambda x: CASE WHEN regexp_matches(x, '^[0-9]') AND length(x) < 4 THEN lpad(x, 4, '0')
+                                      ELSE x END), '-') AS num
+        FROM (SELECT *, row_number() OVER (PARTITION BY patient_id, location
+                                           ORDER BY date_created DESC, patient_identifier_id DESC) AS rn
+              FROM omrs_patient_identifier WHERE lower(rtrim(type)) = {_q(id_type.lower())}) z WHERE rn = 1)"""
+
+
 def art_register_sql() -> str:
-    body = """
-    SELECT s.patient_id, s.location,
-           array_to_string(list_transform(string_split(idn.identifier, ' '),
-               lambda x: CASE WHEN regexp_matches(x, '^[0-9]') AND length(x) < 4 THEN lpad(x, 4, '0') ELSE x END), '-')
-               AS art_number,
-           s.start_date, COALESCE(s.end_date, e.completion_date) AS end_date,
-           COALESCE(s.next_state, e.outcome) AS outcome, lv.art_visit_id AS last_art_visit_id
-    FROM (SELECT *, LEAD(state) OVER (PARTITION BY program_enrollment_id ORDER BY start_date, program_state_id)
-                    AS next_state FROM omrs_program_state) s
-    LEFT JOIN omrs_program_enrollment e ON e.program_enrollment_id = s.program_enrollment_id
-    LEFT JOIN (SELECT patient_id, location, identifier,
-                      row_number() OVER (PARTITION BY patient_id, location
-                                         ORDER BY date_created DESC, patient_identifier_id DESC) AS rn
-               FROM omrs_patient_identifier WHERE lower(rtrim(type)) = 'arv number') idn
-      ON idn.patient_id = s.patient_id AND idn.location = s.location AND idn.rn = 1
+    lab = lab_tests_vl_sql()[len("WITH "):]
+    ctes, _, body = lab.rpartition("\nSELECT patient_id, encounter_id, ")
+    q = f"""
+    SELECT s.patient_id, s.location, idn.num AS art_number, s.start_date, s.end_date, s.outcome,
+           lv.art_visit_id AS last_art_visit_id, lt.encounter_id AS last_viral_load_test_id,
+           lr.encounter_id AS last_viral_load_result_id
+    FROM {_intervals_sql(K.ON_ART)} s
+    LEFT JOIN {_newest_number_sql(K.ARV_NUMBER)} idn ON idn.patient_id = s.patient_id AND idn.location = s.location
     LEFT JOIN (SELECT patient_id, art_visit_id,
                       row_number() OVER (PARTITION BY patient_id ORDER BY visit_date DESC, art_visit_id DESC) AS rn
                FROM mw_art_visits) lv ON lv.patient_id = s.patient_id AND lv.rn = 1
-    WHERE lower(rtrim(s.state)) = 'on antiretrovirals'"""
-    return with_fixtures(body)
+    LEFT JOIN (SELECT patient_id, encounter_id, row_number() OVER (PARTITION BY patient_id
+                   ORDER BY COALESCE(date_collected, date_result_entered) DESC NULLS LAST, encounter_id DESC) AS rn
+               FROM lab) lt ON lt.patient_id = s.patient_id AND lt.rn = 1
+    LEFT JOIN (SELECT patient_id, encounter_id, row_number() OVER (PARTITION BY patient_id
+                   ORDER BY COALESCE(date_collected, date_result_entered) DESC NULLS LAST, encounter_id DESC) AS rn
+               FROM lab WHERE result_numeric IS NOT NULL OR result_exception IS NOT NULL) lr
+      ON lr.patient_id = s.patient_id AND lr.rn = 1"""
+    return f"WITH {ctes}, lab AS (SELECT patient_id, encounter_id, {body})\n{q}"
+
+
+def pre_art_register_sql() -> str:
+    return with_fixtures(f"""
+    SELECT s.patient_id, s.location, idn.num AS pre_art_number, s.start_date, s.end_date, s.outcome
+    FROM {_intervals_sql(K.PRE_ART_CONTINUE)} s
+    LEFT JOIN {_newest_number_sql(K.HCC_NUMBER)} idn ON idn.patient_id = s.patient_id AND idn.location = s.location""")
+
+
+def eid_register_sql() -> str:
+    visits = eid_visits_sql()[len("WITH "):]
+    ctes, _, body = visits.rpartition("\nSELECT s.patient_id, s.visit_date, s.location, ")
+    q = f"""
+    SELECT s.patient_id, s.location, idn.num AS eid_number, s.start_date, s.end_date, s.outcome,
+           lv.d AS last_eid_visit_date, m.mother_art_number
+    FROM {_intervals_sql(K.EXPOSED_CHILD_CONTINUE)} s
+    LEFT JOIN {_newest_number_sql(K.HCC_NUMBER)} idn ON idn.patient_id = s.patient_id AND idn.location = s.location
+    LEFT JOIN (SELECT patient_id, MAX(visit_date) AS d FROM eid_visits GROUP BY patient_id) lv
+      ON lv.patient_id = s.patient_id
+    LEFT JOIN (SELECT e.patient_id, string_agg(o.value_text, ',' ORDER BY o.value_text) AS mother_art_number
+               FROM omrs_obs o JOIN omrs_encounter e ON e.encounter_id = o.encounter_id
+               WHERE o.concept = {_q(C.MOTHER_ART_NUMBER)} GROUP BY e.patient_id) m ON m.patient_id = s.patient_id"""
+    return f"WITH {ctes}, eid_visits AS (SELECT s.patient_id, s.visit_date, s.location, {body})\n{q}"
+
+
+def patient_sql() -> str:
+    return with_fixtures("""
+    SELECT p.patient_id, p.identifier, p.gender, p.birthdate, p.birthdate_estimated, p.state_province AS district,
+           p.county_district AS traditional_authority, p.city_village AS village, p.dead, p.death_date,
+           p.patient_uuid, c.related_person AS chw
+    FROM omrs_patient p
+    LEFT JOIN (SELECT patient_id, related_person, row_number() OVER (PARTITION BY patient_id
+                   ORDER BY CASE WHEN end_date IS NULL THEN 1 ELSE 0 END DESC,
+                            CASE WHEN start_date IS NULL THEN 0 ELSE 1 END DESC,
+                            date_created DESC, relationship_id DESC) AS rn
+               FROM omrs_relationship WHERE related_person_role = 'Community Health Worker') c
+      ON c.patient_id = p.patient_id AND c.rn = 1""")
 
 
 def parent_facilities_sql() -> str:
