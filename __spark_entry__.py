@@ -145,6 +145,32 @@ def _q_latest_test(spark, sf_dir):
     return latest_test_result(wh, load_lab_tests_vl(wh), offset=1)
 
 
+def _q_first_test(spark, sf_dir):
+    from kalulu.plans.functions_queries import first_test_result
+    from kalulu.plans.loaders.art import load_lab_tests_vl
+    return first_test_result(load_lab_tests_vl(_wh(spark, sf_dir)), "Viral Load", END)
+
+
+def _q_test_by_sample(spark, sf_dir):
+    from kalulu.plans.functions_queries import latest_test_by_sample_date
+    from kalulu.plans.loaders.art import load_lab_tests_vl
+    return latest_test_by_sample_date(load_lab_tests_vl(_wh(spark, sf_dir)), "Viral Load", offset=0)
+
+
+def _q_regimen(offset):
+    def run(spark, sf_dir):
+        from kalulu.plans.functions_queries import regimen_at_offset
+        from kalulu.plans.loaders.art import load_art_regimen
+        return regimen_at_offset(load_art_regimen(_wh(spark, sf_dir)), offset)
+    return run
+
+
+def _q_breastfeeding(spark, sf_dir):
+    from kalulu.plans.functions_queries import first_date_no_breastfeeding
+    from kalulu.plans.loaders.wide import load_eid_visits
+    return first_date_no_breastfeeding(load_eid_visits(_wh(spark, sf_dir)), END)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_tx_mmd": _q_moh_tx_mmd,
     "pepfar_tx_mmd": _q_pepfar_tx_mmd,
@@ -184,6 +210,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fn_parent_health_facility": _q_parent,
     "fn_identifier_format": _q_ident,
     "fn_latest_test_result_offset1": _q_latest_test,
+    "fn_first_test_result_by_date_entered": _q_first_test,
+    "fn_latest_test_result_by_sample_date": _q_test_by_sample,
+    "fn_get_regimen_offset0": _q_regimen(0),
+    "fn_get_regimen_offset1": _q_regimen(1),
+    "fn_first_date_no_breastfeeding": _q_breastfeeding,
 }
 
 
@@ -239,4 +270,9 @@ def oracle_sql() -> dict[str, str]:
         "fn_parent_health_facility": L.parent_facilities_sql(),
         "fn_identifier_format": L.formatted_identifiers_sql(),
         "fn_latest_test_result_offset1": L.latest_test_result_sql(1),
+        "fn_first_test_result_by_date_entered": L.first_test_result_sql(END),
+        "fn_latest_test_result_by_sample_date": L.latest_test_by_sample_date_sql(0),
+        "fn_get_regimen_offset0": L.regimen_at_offset_sql(0),
+        "fn_get_regimen_offset1": L.regimen_at_offset_sql(1),
+        "fn_first_date_no_breastfeeding": L.first_date_no_breastfeeding_sql(END),
     }

@@ -33,3 +33,59 @@ def latest_test_result(wh: Warehouse, lab: DataFrame, offset: int = 0,
         t = t.where(F.col("date_result_entered") <= F.lit(date_to))
     return nth_latest(t, ["patient_id"], [F.col("date_result_entered").desc(), F.col("encounter_id").desc()],
                       offset).select("patient_id", "encounter_id", "date_result_entered")
+
+
+def first_test_result(lab: DataFrame, test_type: str, end=None) -> DataFrame:
+    """Per patient: the first test (by date entered) of a type with any result,
+    entered on or before ``end`` when given."""
+    from kalulu.operators.latest import latest_per_key
+
+    t = lab.where((F.col("test_type") == test_type) & (F.col("result_numeric").isNotNull()
+                                                       | F.col("result_exception").isNotNull()))
+    if end is not None:
+        t = t.where(F.col("date_result_entered") <= F.lit(end))
+    first = latest_per_key(t.select("patient_id", "date_result_entered", "encounter_id"), ["patient_id"],
+                           ["date_result_entered", "encounter_id"], [], newest=False)
+    return first.select("patient_id", F.col("encounter_id").alias("lab_test_id"), "date_result_entered")
+
+
+def latest_test_by_sample_date(lab: DataFrame, test_type: str, offset: int = 0,
+                               date_from=None, date_to=None) -> DataFrame:
+    """Per patient: the (offset+1)-th newest test of a type by sample date (no
+    result needed); optional bounds apply only when given; undated samples last."""
+    t = lab.where(F.col("test_type") == test_type)
+    if date_from is not None:
+        t = t.where(F.col("date_collected") >= F.lit(date_from))
+    if date_to is not None:
+        t = t.where(F.col("date_collected") <= F.lit(date_to))
+    return nth_latest(t, ["patient_id"], [F.col("date_collected").desc_nulls_last(), F.col("encounter_id").desc()],
+                      offset).select("patient_id", F.col("encounter_id").alias("lab_test_id"), "date_collected")
+
+
+def regimen_at_offset(regimens: DataFrame, offset: int = 0) -> DataFrame:
+    """get_regimen / get_regimen_start: the (offset+1)-th newest regimen line per
+    patient by start date (undated lines last)."""
+    return nth_latest(regimens, ["patient_id"],
+                      [F.col("regimen_init_date").desc_nulls_last(), F.col("num_of_prev_regimens").desc(),
+                       F.col("regimen").desc_nulls_last()], offset).select(
+        "patient_id", "regimen", F.col("regimen_init_date").alias("regimen_start"))
+
+
+def first_date_no_breastfeeding(eid_visits: DataFrame, end) -> DataFrame:
+    """Per child: the earliest visit recorded as "stopped over 6 weeks ago".
+
+    When the child also has a visit with another status on or before ``end``
+    (the last such date is ``last_invalid``), the stopped visit must be on or
+    before ``end`` and on or before ``last_invalid`` -- the source's condition,
+    kept as written.  Two partial aggregates per child, no per-child loop.
+    """
+    from kalulu.plans.loaders import concepts as C
+
+    e = F.lit(end).cast("date")
+    status = F.col("breastfeeding_status")
+    invalid = (eid_visits.where((status != C.BREASTFEEDING_STOPPED) & (F.col("visit_date") <= e))
+               .groupBy("patient_id").agg(F.max("visit_date").alias("last_invalid")))
+    stopped = eid_visits.where(status == C.BREASTFEEDING_STOPPED).select("patient_id", "visit_date")
+    cand = stopped.join(invalid, "patient_id", "left").where(
+        F.col("last_invalid").isNull() | ((F.col("visit_date") <= e) & (F.col("visit_date") <= F.col("last_invalid"))))
+    return cand.groupBy("patient_id").agg(F.min("visit_date").alias("first_date_no_breastfeeding"))

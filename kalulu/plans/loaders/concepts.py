@@ -173,6 +173,7 @@ HIV_RESULT_DATE = "Date of returned result"
 HIV_RESULT = "Result of HIV test"
 HIV_TEST_TYPE = "HIV test type"
 HIV_DEFAULT_TEST_TYPE = "HIV test"
+BREASTFEEDING_STOPPED = "Breastfeeding stopped over 6 weeks ago"
 MOTHER_ART_NUMBER = "Mother ART registration number"
 
 # Every concept the fixture cycles through (fixture only; built from the maps).
@@ -182,7 +183,8 @@ ALL_CONCEPTS = sorted({e[1] for e in ART_FOLLOWUP + ART_INITIAL + ART_VISITS + E
                       | {TPT_CONCEPT, PILLS_CONCEPT, SIDE_EFFECTS_CONCEPT,
                          VL_SAMPLE, VL_LDL, VL_LESS_THAN, VL_RESULT, HIV_SAMPLE_DATE})
 ALL_CODED = sorted({v for _, v in TPT_DRUGS} | {v for _, v in SIDE_EFFECTS}
-                   | {"Yes", "True", K.PREGNANT, K.BREASTFEEDING, K.ROUTINE, K.TARGET, "Positive", "Negative"}
+                   | {"Yes", "True", K.PREGNANT, K.BREASTFEEDING, K.ROUTINE, K.TARGET, "Positive", "Negative",
+                      BREASTFEEDING_STOPPED}
                    | set(K.TB_STATUSES) | {t for _, t in K.REGIMENS[:6]})
 
 # --- FIXED VALUES: regimen lines (coded regimen concept, its start-date concept)

@@ -279,3 +279,51 @@ def lab_tests_hiv_sql() -> str:
                  FULL OUTER JOIN {rs} rs USING (patient_id, encounter_id, obs_group_id, visit_date)
                  LEFT JOIN {tt} tt USING (patient_id, encounter_id, obs_group_id, visit_date)"""
     return with_fixtures(body)
+
+
+def _with_lab(q: str) -> str:
+    lab = lab_tests_vl_sql()[len("WITH "):]
+    ctes, _, body = lab.rpartition("\nSELECT patient_id, encounter_id, ")
+    return f"WITH {ctes}, lab AS (SELECT patient_id, encounter_id, {body})\n{q}"
+
+
+def first_test_result_sql(end) -> str:
+    return _with_lab(f"""SELECT patient_id, encounter_id AS lab_test_id, date_result_entered FROM (
+        SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY date_result_entered, encounter_id) AS rn
+        FROM lab WHERE test_type = 'Viral Load' AND (result_numeric IS NOT NULL OR result_exception IS NOT NULL)
+          AND date_result_entered <= DATE '{end.isoformat()}') z WHERE rn = 1""")
+
+
+def latest_test_by_sample_date_sql(offset: int) -> str:
+    return _with_lab(f"""SELECT patient_id, encounter_id AS lab_test_id, date_collected FROM (
+        SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY date_collected DESC NULLS LAST,
+                                     encounter_id DESC) AS rn
+        FROM lab WHERE test_type = 'Viral Load') z WHERE rn = {offset + 1}""")
+
+
+def regimen_at_offset_sql(offset: int) -> str:
+    reg = art_regimen_sql()[len("WITH "):]
+    ctes, _, body = reg.rpartition("\nSELECT e.patient_id, o.value_coded AS regimen")
+    # the regimen union is the last statement; wrap the whole union as a CTE
+    first_sel = reg.index("SELECT e.patient_id, o.value_coded AS regimen")
+    ctes, union = reg[:first_sel].rstrip().rstrip("\n"), reg[first_sel:]
+    return (f"WITH {ctes}\n, regimens AS ({union})\n"
+            f"SELECT patient_id, regimen, regimen_init_date AS regimen_start FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY patient_id ORDER BY regimen_init_date DESC NULLS LAST, num_of_prev_regimens DESC, "
+            f"regimen DESC NULLS LAST) AS rn FROM regimens) z WHERE rn = {offset + 1}")
+
+
+def first_date_no_breastfeeding_sql(end) -> str:
+    visits = eid_visits_sql()[len("WITH "):]
+    ctes, _, body = visits.rpartition("\nSELECT s.patient_id, s.visit_date, s.location, ")
+    stopped = _q(C.BREASTFEEDING_STOPPED)
+    e = f"DATE '{end.isoformat()}'"
+    q = f"""SELECT v.patient_id, MIN(v.visit_date) AS first_date_no_breastfeeding
+        FROM eid_visits v
+        LEFT JOIN (SELECT patient_id, MAX(visit_date) AS last_invalid FROM eid_visits
+                   WHERE breastfeeding_status <> {stopped} AND visit_date <= {e} GROUP BY patient_id) li
+          ON li.patient_id = v.patient_id
+        WHERE v.breastfeeding_status = {stopped}
+          AND (li.last_invalid IS NULL OR (v.visit_date <= {e} AND v.visit_date <= li.last_invalid))
+        GROUP BY v.patient_id"""
+    return f"WITH {ctes}, eid_visits AS (SELECT s.patient_id, s.visit_date, s.location, {body})\n{q}"
