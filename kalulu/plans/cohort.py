@@ -18,6 +18,9 @@ from kalulu.functions.text import ci_eq
 from kalulu.operators.latest import latest_per_key, tag_extremes
 from kalulu.params import ReportParams
 from kalulu.sources.fixtures import Warehouse
+from kalulu.sources.tables import stage
+
+STAGE_COHORT = True
 
 
 def facilities(wh: Warehouse, location: str | None = None) -> DataFrame:
@@ -151,7 +154,12 @@ def hiv_cohort(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None)
     Inner joins first (they restrict to the facility cohort), then left
     joins on ``patient_id``; the follow-up snapshots come from one shuffle.
     """
-    return cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS).distinct()
+    cohort = cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS).distinct()
+    if not STAGE_COHORT:
+        return cohort
+    # read by the detail rows, the group rows and the flags of a report:
+    # computed once, written once, then every consumer scans the table
+    return stage(cohort, "hiv_cohort")
 
 
 def identifier_flags(wh: Warehouse, location: str | None = None) -> DataFrame:

@@ -51,6 +51,8 @@ MATERIALIZED = ["mw_patient", "omrs_program_state", "omrs_program_enrollment", "
                 "mw_art_initial", "mw_art_followup", "mw_art_visits", "mw_art_viral_load",
                 "mw_art_followup_testing"]
 _LOADED: set[str] = set()
+_ROOTS: dict = {}
+_READERS: dict = {}
 
 
 class Warehouse:
@@ -67,6 +69,12 @@ class Warehouse:
         self.materialize = materialize
 
     def _root(self) -> str:
+        key = (id(self.spark), self.base)
+        if key not in _ROOTS:
+            _ROOTS[key] = self._compute_root()
+        return _ROOTS[key]
+
+    def _compute_root(self) -> str:
         from kalulu.session import ensure_checkpoint_dir
 
         stamp = []
@@ -85,28 +93,36 @@ class Warehouse:
         key = hashlib.sha1("|".join(stamp).encode()).hexdigest()[:16]
         return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/kalulu-warehouse/{key}"
 
+    def _write(self, name: str, path: str) -> None:
+        df = getattr(self, f"_build_{name}")()
+        sort_key = "patient_id" if "patient_id" in df.columns else df.columns[0]
+        df.repartition(sort_key).sortWithinPartitions(sort_key).write.mode("overwrite").parquet(path)
+
     def refresh(self) -> None:
         """Full refresh of every warehouse table (overwrite), like the nightly load."""
         root = self._root()
         for name in MATERIALIZED:
-            df = getattr(self, f"_build_{name}")()
-            sort_key = "patient_id" if "patient_id" in df.columns else df.columns[0]
-            df.repartition(sort_key).sortWithinPartitions(sort_key).write.mode("overwrite").parquet(
-                f"{root}/{name}")
-            _LOADED.add(f"{root}/{name}")
+            path = f"{root}/{name}"
+            self._write(name, path)
+            _LOADED.add(path)
+            _READERS.pop((id(self.spark), path), None)
 
     def table(self, name: str) -> DataFrame:
-        """A warehouse table, loaded on first use (full refresh, atomic _SUCCESS marker)."""
-        df = getattr(self, f"_build_{name}")()
+        """A warehouse table, loaded on first use (full refresh, atomic _SUCCESS marker).
+
+        The reader DataFrame is shared per session, so building a report does
+        not re-read Parquet footers or re-plan the projection."""
         if not self.materialize:
-            return df
+            return getattr(self, f"_build_{name}")()
         path = f"{self._root()}/{name}"
         if path not in _LOADED:
             if not os.path.exists(f"{path}/_SUCCESS"):
-                sort_key = "patient_id" if "patient_id" in df.columns else df.columns[0]
-                df.repartition(sort_key).sortWithinPartitions(sort_key).write.mode("overwrite").parquet(path)
+                self._write(name, path)
             _LOADED.add(path)
-        return self.spark.read.parquet(path)
+        key = (id(self.spark), path)
+        if key not in _READERS:
+            _READERS[key] = self.spark.read.parquet(path)
+        return _READERS[key]
 
     # -- driver tables -------------------------------------------------------
     def _orders(self) -> DataFrame:

@@ -44,3 +44,16 @@ def assert_schema(df: DataFrame, schema: StructType) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns for declared schema: {missing}")
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result once as Parquet in the shared checkpoint
+    folder and continue from the written table (cuts lineage; a lost executor
+    re-reads the files instead of recomputing the whole upstream plan)."""
+    import uuid
+
+    from kalulu.session import ensure_checkpoint_dir
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/kalulu-stage/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
