@@ -13,8 +13,7 @@ from kalulu.functions.text import ci_eq, ci_in
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams, period_start
-from kalulu.plans.cohort import (cohort_rows, facilities, hiv_cohort, identifier_flags,
-                                 last_outcome_at_facility)
+from kalulu.plans.cohort import facilities, hiv_cohort, identifier_flags, last_outcome_at_facility
 from kalulu.plans.reports.cohort_disaggregated import is_active
 from kalulu.sources.fixtures import Warehouse
 
@@ -46,8 +45,13 @@ def tx_tb_indicators(p: ReportParams) -> dict[str, Column]:
     }
 
 
-def _cohort_with_flags(wh: Warehouse, p: ReportParams, outcome: DataFrame, columns: list[str]) -> DataFrame:
-    rows = cohort_rows(wh, p, outcome, tpt=False).select(*columns).distinct()
+def _cohort_with_flags(wh: Warehouse, p: ReportParams, outcome: DataFrame, columns: list[str],
+                       cohort: DataFrame) -> DataFrame:
+    """Detail rows: a distinct projection of the (already computed) cohort plus
+    the state's program / id, which depend on (patient, facility) only."""
+    state_cols = outcome.select("patient_id", "location", "program", "program_state_id").distinct()
+    own = [c for c in columns if c not in ("program", "program_state_id")]
+    rows = cohort.select(*own).distinct().join(state_cols, ["patient_id", "location"]).select(*columns)
     return rows.join(identifier_flags(wh, p.location), ["patient_id", "location"], "left")
 
 
@@ -58,12 +62,13 @@ def tx_tb(wh: Warehouse, end: _dt.date, location: str | None = None,
     cols = ["patient_id", "identifier", "program", "state", "start_date", "program_state_id", "gender", "age",
             "location", "last_appt_date", "followup_visit_date", "initial_visit_date", "transfer_in_date",
             "tb_status"]
-    rows = _cohort_with_flags(wh, p, outcome, cols)
+    cohort = hiv_cohort(wh, p, outcome)
+    rows = _cohort_with_flags(wh, p, outcome, cols, cohort)
     locs = facilities(wh, location)
     ind = tx_tb_indicators(p)
     detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
                            age_labels())
-    coh = hiv_cohort(wh, p, outcome).join(identifier_flags(wh, location), ["patient_id", "location"], "left")
+    coh = cohort.join(identifier_flags(wh, location), ["patient_id", "location"], "left")
     grouped = group_rows(coh, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
     return detail.unionByName(grouped)
 
@@ -89,11 +94,12 @@ def tx_hiv_htn(wh: Warehouse, end: _dt.date, location: str | None = None,
             "location", "last_appt_date", "current_regimen", "pregnant_or_lactating",
             "initial_pregnant_or_lactating", "followup_visit_date", "initial_visit_date", "transfer_in_date",
             "systolic_bp", "diastolic_bp"]
-    rows = _cohort_with_flags(wh, p, outcome, cols)
+    cohort = hiv_cohort(wh, p, outcome)
+    rows = _cohort_with_flags(wh, p, outcome, cols, cohort)
     locs = facilities(wh, location)
     ind = htn_indicators(p)
     detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
                            age_labels())
-    coh = hiv_cohort(wh, p, outcome).join(identifier_flags(wh, location), ["patient_id", "location"], "left")
+    coh = cohort.join(identifier_flags(wh, location), ["patient_id", "location"], "left")
     grouped = group_rows(coh, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
     return detail.unionByName(grouped)
