@@ -36,8 +36,30 @@ def arv_numbers(wh: Warehouse) -> DataFrame:
             .select("patient_id", "identifier", "location"))
 
 
+_MEMO: dict = {}
+
+
+def _memo_key(wh: Warehouse, *parts) -> tuple:
+    return (id(wh.spark), wh._root() if wh.materialize else id(wh), *parts)
+
+
+def clear_memo() -> None:
+    """Forget staged cohorts (call after a warehouse refresh)."""
+    _MEMO.clear()
+
+
 def last_outcome_at_facility(wh: Warehouse, end: _dt.date, location: str | None = None,
                              strict: bool = False) -> DataFrame:
+    """Staged (written once per warehouse, date and facility) -- see
+    :func:`_last_outcome`."""
+    key = _memo_key(wh, "outcome", end, location, strict)
+    if key not in _MEMO:
+        _MEMO[key] = stage(_last_outcome(wh, end, location, strict), "last_outcome")
+    return _MEMO[key]
+
+
+def _last_outcome(wh: Warehouse, end: _dt.date, location: str | None = None,
+                  strict: bool = False) -> DataFrame:
     """Newest HIV-programme state per (patient, facility) with start <= end
     (``strict``: start < end), ties broken by the higher state id; joined to
     every ARV Number of the patient at that facility (fan-out kept) and to the
@@ -154,12 +176,15 @@ def hiv_cohort(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None)
     Inner joins first (they restrict to the facility cohort), then left
     joins on ``patient_id``; the follow-up snapshots come from one shuffle.
     """
-    cohort = cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS).distinct()
-    if not STAGE_COHORT:
-        return cohort
-    # read by the detail rows, the group rows and the flags of a report:
-    # computed once, written once, then every consumer scans the table
-    return stage(cohort, "hiv_cohort")
+    if outcome is not None or not STAGE_COHORT:
+        return cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS).distinct()
+    # read by the detail rows, the group rows and the flags of a report, and
+    # by every report of the same period: computed once, written once to the
+    # shared checkpoint folder, then every consumer scans the table
+    key = _memo_key(wh, "cohort", p.start, p.end, p.location, p.divider)
+    if key not in _MEMO:
+        _MEMO[key] = stage(cohort_rows(wh, p).select(*COHORT_COLUMNS).distinct(), "hiv_cohort")
+    return _MEMO[key]
 
 
 def identifier_flags(wh: Warehouse, location: str | None = None) -> DataFrame:

@@ -49,7 +49,7 @@ def tx_mmd(wh: Warehouse, end, location: str | None = None,
     ind = mmd_indicators()
     detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
                            age_labels())
-    cohort = hiv_cohort(wh, p, outcome).select(
+    cohort = hiv_cohort(wh, p).select(
         "patient_id", "location", F.col("gender").alias("c_gender"), F.col("pregnant_or_lactating").alias("c_preg"))
     grouped = group_rows(rows.join(cohort, ["patient_id", "location"], "inner"), locs,
                          F.col("c_gender"), F.col("c_preg"), ind, first_sort_value=41)

@@ -104,7 +104,7 @@ def tb_prev(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
     quarter = period_start(end, days=90)
     p6 = ReportParams(start=six, end=end, location=location)
     outcome = last_outcome_at_facility(wh, end, location)
-    rows = (hiv_cohort(wh, p6, outcome).join(pill_totals(wh, end, seven, thirteen), "patient_id", "left")
+    rows = (hiv_cohort(wh, p6).join(pill_totals(wh, end, seven, thirteen), "patient_id", "left")
             .where(F.col("first_ipt_date") >= lit_date(six)))
     locs = facilities(wh, location)
     ind = tb_prev_indicators(six)
@@ -112,7 +112,7 @@ def tb_prev(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
                            age_labels())
     # group rows: the same rows joined to the quarter cohort, grouped by the
     # quarter cohort's sex and pregnancy status
-    gcoh = hiv_cohort(wh, ReportParams(start=quarter, end=end, location=location), outcome).select(
+    gcoh = hiv_cohort(wh, ReportParams(start=quarter, end=end, location=location)).select(
         "patient_id", "location", F.col("gender").alias("g_gender"),
         F.col("pregnant_or_lactating").alias("g_preg"))
     grouped = group_rows(rows.join(gcoh, ["patient_id", "location"]), locs, F.col("g_gender"),

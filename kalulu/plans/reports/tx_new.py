@@ -62,7 +62,7 @@ def tx_new(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
     # group rows: every initial visit of the patient joined to the cohort rows;
     # the period test uses the cohort's latest initial visit, CD4 and
     # transfer-in come from each initial visit
-    cohort = hiv_cohort(wh, p, outcome).select(
+    cohort = hiv_cohort(wh, p).select(
         "patient_id", "location", "gender", "pregnant_or_lactating", "initial_visit_date")
     mai = wh.mw_art_initial.select("patient_id", "cd4_count", "transfer_in_date")
     grows = mai.join(cohort, "patient_id").join(flags, ["patient_id", "location"], "left")

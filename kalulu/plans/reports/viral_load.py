@@ -74,7 +74,7 @@ def tx_pvls(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
     ind = pvls_indicators()
     detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
                            age_labels())
-    coh = hiv_cohort(wh, ReportParams(start=year_start, end=end, location=location), outcome).select(
+    coh = hiv_cohort(wh, ReportParams(start=year_start, end=end, location=location)).select(
         "patient_id", "location", F.col("gender").alias("g_gender"), F.col("pregnant_or_lactating").alias("g_preg"))
     grouped = group_rows(rows.join(coh, ["patient_id", "location"]), locs, F.col("g_gender"), F.col("g_preg"),
                          ind, 41)

@@ -100,6 +100,9 @@ class Warehouse:
 
     def refresh(self) -> None:
         """Full refresh of every warehouse table (overwrite), like the nightly load."""
+        from kalulu.plans.cohort import clear_memo
+
+        clear_memo()
         root = self._root()
         for name in MATERIALIZED:
             path = f"{root}/{name}"
