@@ -31,8 +31,9 @@ def latest_test_result(wh: Warehouse, lab: DataFrame, offset: int = 0,
         t = t.where(F.col("date_result_entered") >= F.lit(date_from))
     if date_to is not None:
         t = t.where(F.col("date_result_entered") <= F.lit(date_to))
-    return nth_latest(t, ["patient_id"], [F.col("date_result_entered").desc(), F.col("encounter_id").desc()],
-                      offset).select("patient_id", "encounter_id", "date_result_entered")
+    return nth_latest(t.select("patient_id", "date_result_entered", "encounter_id"), ["patient_id"],
+                      ["date_result_entered", "encounter_id"], offset).select(
+        "patient_id", "encounter_id", "date_result_entered")
 
 
 def first_test_result(lab: DataFrame, test_type: str, end=None) -> DataFrame:
@@ -58,16 +59,16 @@ def latest_test_by_sample_date(lab: DataFrame, test_type: str, offset: int = 0,
         t = t.where(F.col("date_collected") >= F.lit(date_from))
     if date_to is not None:
         t = t.where(F.col("date_collected") <= F.lit(date_to))
-    return nth_latest(t, ["patient_id"], [F.col("date_collected").desc_nulls_last(), F.col("encounter_id").desc()],
-                      offset).select("patient_id", F.col("encounter_id").alias("lab_test_id"), "date_collected")
+    return nth_latest(t.select("patient_id", "date_collected", "encounter_id"), ["patient_id"],
+                      ["date_collected", "encounter_id"], offset).select(
+        "patient_id", F.col("encounter_id").alias("lab_test_id"), "date_collected")
 
 
 def regimen_at_offset(regimens: DataFrame, offset: int = 0) -> DataFrame:
     """get_regimen / get_regimen_start: the (offset+1)-th newest regimen line per
     patient by start date (undated lines last)."""
-    return nth_latest(regimens, ["patient_id"],
-                      [F.col("regimen_init_date").desc_nulls_last(), F.col("num_of_prev_regimens").desc(),
-                       F.col("regimen").desc_nulls_last()], offset).select(
+    return nth_latest(regimens.select("patient_id", "regimen_init_date", "num_of_prev_regimens", "regimen"),
+                      ["patient_id"], ["regimen_init_date", "num_of_prev_regimens", "regimen"], offset).select(
         "patient_id", "regimen", F.col("regimen_init_date").alias("regimen_start"))
 
 

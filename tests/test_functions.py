@@ -61,5 +61,17 @@ def test_latest_operators(spark):
     assert one == {1: "c", 2: "d"}  # higher id wins the tie
     ties = sorted(r.v for r in rows_at_extreme(df, ["p"], "d").collect())
     assert ties == ["b", "c", "d"]  # ties at the max date are all kept
-    second = {r.p: r.v for r in nth_latest(df, ["p"], [F.col("d").desc(), F.col("id").desc()], 1).collect()}
+    second = {r.p: r.v for r in nth_latest(df, ["p"], ["d", "id"], 1).collect()}
     assert second == {1: "b"}
+    third = {r.p: r.v for r in nth_latest(df, ["p"], ["d", "id"], 2).collect()}
+    assert third == {1: "a"}
+
+
+def test_nth_latest_duplicates_and_nulls(spark):
+    # OFFSET counts identical rows separately; undated rows rank last
+    df = spark.createDataFrame([(1, D(2000, 1, 1), "x"), (1, D(2000, 1, 1), "x"), (1, None, "y"),
+                                (2, None, "z"), (2, D(1999, 1, 1), "w")], "p int, d date, v string")
+    second = {r.p: r.v for r in nth_latest(df, ["p"], ["d"], 1).collect()}
+    assert second == {1: "x", 2: "z"}
+    third = {r.p: r.v for r in nth_latest(df, ["p"], ["d"], 2).collect()}
+    assert third == {1: "y"}
