@@ -96,7 +96,9 @@ class Warehouse:
     def _write(self, name: str, path: str) -> None:
         df = getattr(self, f"_build_{name}")()
         sort_key = "patient_id" if "patient_id" in df.columns else df.columns[0]
-        df.repartition(sort_key).sortWithinPartitions(sort_key).write.mode("overwrite").parquet(path)
+        # sorted inside each file (tight min/max statistics for patient
+        # filters) without a full shuffle of the table
+        df.sortWithinPartitions(sort_key).write.mode("overwrite").parquet(path)
 
     def refresh(self) -> None:
         """Full refresh of every warehouse table (overwrite), like the nightly load."""
