@@ -40,7 +40,9 @@ _MEMO: dict = {}
 
 
 def _memo_key(wh: Warehouse, *parts) -> tuple:
-    return (id(wh.spark), wh._root() if wh.materialize else id(wh), *parts)
+    from kalulu.sources.fixtures import session_key
+
+    return (session_key(wh.spark), wh._root() if wh.materialize else id(wh), *parts)
 
 
 def clear_memo() -> None:

@@ -51,6 +51,17 @@ MATERIALIZED = ["mw_patient", "omrs_program_state", "omrs_program_enrollment", "
                 "mw_art_initial", "mw_art_followup", "mw_art_visits", "mw_art_viral_load",
                 "mw_art_followup_testing"]
 _LOADED: set[str] = set()
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identity of a running session for process-level caches (a new session,
+    even at the same Python address, never sees another session's objects)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
+
+
 _ROOTS: dict = {}
 _READERS: dict = {}
 
@@ -69,7 +80,7 @@ class Warehouse:
         self.materialize = materialize
 
     def _root(self) -> str:
-        key = (id(self.spark), self.base)
+        key = (session_key(self.spark), self.base)
         if key not in _ROOTS:
             _ROOTS[key] = self._compute_root()
         return _ROOTS[key]
@@ -110,7 +121,7 @@ class Warehouse:
             path = f"{root}/{name}"
             self._write(name, path)
             _LOADED.add(path)
-            _READERS.pop((id(self.spark), path), None)
+            _READERS.pop((session_key(self.spark), path), None)
 
     def table(self, name: str) -> DataFrame:
         """A warehouse table, loaded on first use (full refresh, atomic _SUCCESS marker).
@@ -124,7 +135,7 @@ class Warehouse:
             if not os.path.exists(f"{path}/_SUCCESS"):
                 self._write(name, path)
             _LOADED.add(path)
-        key = (id(self.spark), path)
+        key = (session_key(self.spark), path)
         if key not in _READERS:
             _READERS[key] = self.spark.read.parquet(path)
         return _READERS[key]

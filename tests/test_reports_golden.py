@@ -5,6 +5,7 @@ each case checks the report semantics directly, independent of the oracle SQL.
 """
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 
@@ -158,3 +159,85 @@ def test_htn_thresholds(spark, schemas):
               mw_art_followup=[fu(i, v, v, systolic_bp=s, diastolic_bp=d_) for i, s, d_ in bps])
     r = _row(tx_hiv_htn(wh, END), "25-29 years", "Female")
     assert (r.diagnosed_htn, r.controlled_htn, r.screened_for_htn) == (2, 1, 3)
+
+
+def test_tx_ml_iit_exactly_90_days_counts_in_two_buckets(spark, schemas):
+    from kalulu.plans.reports.tx_ml import tx_ml
+
+    appt = D(2000, 5, 1)  # end - appt = 60 >= 30: interrupted
+    wh = make(spark, schemas,
+              mw_patient=[patient(1)],
+              omrs_program_state=[state(1, 1)],
+              omrs_patient_identifier=[arv(1, "NNO 1")],
+              mw_art_followup=[fu(1, D(2000, 4, 1), appt)],
+              mw_art_initial=[{"patient_id": 1, "visit_date": appt + dt.timedelta(days=30 - 90), "location": F0}])
+    r = _row(tx_ml(wh, START, END, cutoff=30), "25-29 years", "Female")
+    assert (r.IIT_3mo_or_less_mo, r.IIT_3to5_mo, r.IIT_6plus_mo) == (1, 1, 0)
+
+
+def test_tb_prev_completion_thresholds(spark, schemas):
+    from kalulu.plans.reports.tpt import tb_prev
+
+    ini = D(2000, 2, 1)  # initiated after the six-month start (2000-01-01): "new"
+
+    def tpt(pid, visit, **kw):
+        return fu(pid, visit, visit + dt.timedelta(days=28), **kw)
+
+    wh = make(spark, schemas,
+              mw_patient=[patient(i) for i in (1, 2, 3, 4)],
+              omrs_program_state=[state(i, i, start=D(1999, 1, 1)) for i in (1, 2, 3, 4)],
+              omrs_patient_identifier=[arv(i, f"NNO {i}") for i in (1, 2, 3, 4)],
+              mw_art_initial=[{"patient_id": i, "visit_date": ini, "location": F0} for i in (1, 2, 3, 4)],
+              mw_art_followup=[
+                  tpt(1, D(2000, 3, 1), inh_300="Isoniazid", rfp_150="Rifapentine", rfp_150_pills=Decimal(20)),
+                  tpt(1, D(2000, 4, 1), rfp_inh="3HP (Rifapentine and Isoniazid)", rfp_inh_pills=Decimal(13)),  # 33
+                  tpt(2, D(2000, 3, 1), inh_300="Isoniazid", rfp_150="Rifapentine", rfp_150_pills=Decimal(32)),  # 32
+                  tpt(3, D(2000, 3, 1), inh_300="Isoniazid", inh_300_pills=Decimal(144)),                        # 144
+                  tpt(4, D(2000, 3, 1), inh_300="Isoniazid", inh_300_pills=Decimal(143)),                        # 143
+              ])
+    r = _row(tb_prev(wh, END), "25-29 years", "Female")
+    assert r.new_start_three_hp == 2 and r.new_start_six_h == 2
+    assert r.completed_new_start_three_hp == 1 and r.completed_new_start_six_h == 1
+
+
+def test_weight_bands_rounding(spark, schemas):
+    from decimal import Decimal
+
+    from kalulu.plans.reports.viral_load import regimen_by_weight
+
+    text_5a = dict(K.REGIMENS)["5A"]
+    v = D(2000, 6, 1)
+    ws = [(1, "2.4"), (2, "2.5"), (3, "3.49"), (4, "3.5"), (5, "49.5"), (6, None)]
+    wh = make(spark, schemas,
+              mw_patient=[patient(i) for i, _ in ws],
+              omrs_program_state=[state(i, i) for i, _ in ws],
+              omrs_patient_identifier=[arv(i, f"NNO {i}") for i, _ in ws],
+              mw_art_followup=[fu(i, v, v, art_regimen=text_5a, weight=Decimal(w) if w else None) for i, w in ws])
+    out = {r.weight_group: r["5A"] for r in regimen_by_weight(wh, END).collect()
+           if r.location == F0 and r.gender == "Female"}
+    assert out["3 - 3.9 Kg"] == 2 and out["4 - 4.9 Kg"] == 1 and out["50 Kg +"] == 1 and out["Unknown"] == 1
+    assert sum(out.values()) == 5  # 2.4 rounds to 2: no band, not counted
+
+
+def test_switch_at_outreach_clinic_uses_parent_number(spark, schemas):
+    from kalulu.plans.reports.regimen_switch import regimen_switch
+
+    a, b = dict(K.REGIMENS)["5A"], dict(K.REGIMENS)["13A"]
+    before, first = D(2000, 3, 10), D(2000, 4, 5)
+    visits = [{"art_visit_id": 1, "patient_id": 1, "visit_date": before, "location": "Midzemba HC"},
+              {"art_visit_id": 2, "patient_id": 1, "visit_date": first, "location": "Kasamba Outreach Clinic"}]
+    wh = make(spark, schemas,
+              mw_patient=[patient(1)],
+              omrs_patient_identifier=[arv(1, "NNO 1", loc="Midzemba HC")],
+              mw_art_visits=visits,
+              mw_art_initial=[{"patient_id": 1, "visit_date": D(1998, 1, 1), "location": "Midzemba HC"}],
+              mw_art_followup=[
+                  {"patient_id": 1, "visit_date": before, "location": "Midzemba HC", "art_regimen": a, "arvs_given": 60},
+                  {"patient_id": 1, "visit_date": first, "location": "Kasamba Outreach Clinic", "art_regimen": b,
+                   "arvs_given": 90}])
+    rows = regimen_switch(wh, START).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.previous_regimen, r.current_regimen, r.report_location, r.dispense_date) == \
+        ("5A", "13A", "Midzemba HC", "05-Apr-00")
+    assert r.arvs == " TDF / 3TC / DTG (90)"
