@@ -52,3 +52,19 @@ def test_weights_and_ages(wh):
     pat = wh.mw_patient
     assert pat.where(F.datediff(F.lit(E), "birthdate") < 360).count() == 15
     assert pat.agg(F.max(F.floor(F.datediff(F.lit(E), "birthdate") / 30))).first()[0] == 1099
+
+
+def _neno_totals(df, cols):
+    df = df.where((F.col("location") == NENO) & (F.col("age_group") != "All"))
+    return tuple(df.agg(*[F.sum(c) for c in cols]).first())
+
+
+def test_outcomes_in_quarter_and_new_initiations(wh):
+    from kalulu.plans.reports.tx_ml import tx_ml
+    from kalulu.plans.reports.tx_new import tx_new
+
+    assert _neno_totals(tx_ml(wh, S, E), ["Died", "Transferred_out", "Refused_Stopped"]) == (11, 11, 8)
+    new = _neno_totals(tx_new(wh, S, E), ["tx_new_cd4_less_than_two_hundred",
+                                          "tx_new_cd4_equal_to_or_greater_than_two_hundred",
+                                          "tx_new_cd4_equal_unknown_or_not_done", "transfer_ins"])
+    assert sum(new) == 14 and new[3] == 10
