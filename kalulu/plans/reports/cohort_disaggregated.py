@@ -15,6 +15,7 @@ from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams
 from kalulu.plans.cohort import facilities, hiv_cohort
+from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -41,4 +42,4 @@ def cohort_disaggregated(wh: Warehouse, start: _dt.date, end: _dt.date, location
     detail = banded_counts(cohort, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
                            age_labels())
     grouped = group_rows(cohort, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
-    return detail.unionByName(grouped)
+    return order_report(detail.unionByName(grouped))

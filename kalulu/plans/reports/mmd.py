@@ -13,7 +13,7 @@ from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams, period_start
 from kalulu.plans.cohort import facilities, hiv_cohort, last_outcome_at_facility
-from kalulu.plans.reports.common import latest_followup, with_age_at_end
+from kalulu.plans.reports.common import latest_followup, order_report, with_age_at_end
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -53,4 +53,4 @@ def tx_mmd(wh: Warehouse, end, location: str | None = None,
         "patient_id", "location", F.col("gender").alias("c_gender"), F.col("pregnant_or_lactating").alias("c_preg"))
     grouped = group_rows(rows.join(cohort, ["patient_id", "location"], "inner"), locs,
                          F.col("c_gender"), F.col("c_preg"), ind, first_sort_value=41)
-    return detail.unionByName(grouped)
+    return order_report(detail.unionByName(grouped))

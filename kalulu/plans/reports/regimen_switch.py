@@ -9,7 +9,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kalulu.functions.dates import lit_date, report_date_label
+from kalulu.functions.dates import report_date_label
 from kalulu.functions.text import parent_facility, regimen_code, regimen_name, sex_label
 from kalulu.operators.periods import max_as_of_periods, period_in_range
 from kalulu.params import _add_months

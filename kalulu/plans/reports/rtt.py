@@ -14,6 +14,7 @@ from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts
 from kalulu.operators.latest import rows_at_extreme
 from kalulu.plans.cohort import arv_numbers, facilities, last_outcome_at_facility
+from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -66,5 +67,5 @@ def tx_rtt(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
         "returned_three_to_five_months": m.between(3, 5),
         "returned_six_months_plus": m >= 6,
     }
-    return banded_counts(rows, facilities(wh, location), age_band(F.col("age"), F.col("gender")),
-                         F.col("gender"), ind, age_labels())
+    return order_report(banded_counts(rows, facilities(wh, location), age_band(F.col("age"), F.col("gender")),
+                                      F.col("gender"), ind, age_labels()))

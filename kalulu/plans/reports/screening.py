@@ -15,6 +15,7 @@ from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams, period_start
 from kalulu.plans.cohort import facilities, hiv_cohort, identifier_flags, last_outcome_at_facility
 from kalulu.plans.reports.cohort_disaggregated import is_active
+from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -70,7 +71,7 @@ def tx_tb(wh: Warehouse, end: _dt.date, location: str | None = None,
                            age_labels())
     coh = cohort.join(identifier_flags(wh, location), ["patient_id", "location"], "left")
     grouped = group_rows(coh, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
-    return detail.unionByName(grouped)
+    return order_report(detail.unionByName(grouped))
 
 
 def htn_indicators(p: ReportParams) -> dict[str, Column]:
@@ -102,4 +103,4 @@ def tx_hiv_htn(wh: Warehouse, end: _dt.date, location: str | None = None,
                            age_labels())
     coh = cohort.join(identifier_flags(wh, location), ["patient_id", "location"], "left")
     grouped = group_rows(coh, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
-    return detail.unionByName(grouped)
+    return order_report(detail.unionByName(grouped))

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.dates import lit_date
 from kalulu.functions.text import ci_eq, ci_in
 from kalulu.operators.counts import count_if
 from kalulu.operators.periods import latest_as_of_periods, period_in_range, rows_at_max_per_period
@@ -92,4 +91,4 @@ def survival(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None
         .alias("total_reg_database"),
         c["active"].alias("alive"), c["died"].alias("died"), c["defaulted"].alias("defaulted"),
         c["treatment_stopped"].alias("stopped"), c["transferred_out"].alias("to"),
-        F.lit(0).alias("unknown"))
+        F.lit(0).alias("unknown")).orderBy("location", "reporting_year")

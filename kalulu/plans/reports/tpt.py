@@ -13,6 +13,7 @@ from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams, period_start
 from kalulu.plans.cohort import facilities, hiv_cohort, last_outcome_at_facility
+from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
 NEW_VS_PREVIOUS_DISTRICT = "Neno"  # FIXED VALUE: district label of the MOH report
@@ -57,7 +58,7 @@ def tpt_initiation(wh: Warehouse, start: _dt.date, end: _dt.date, location: str
     detail = banded_counts(cohort.where(started), locs, age_band(F.col("age"), F.col("gender")),
                            F.col("gender"), ind, age_labels())
     grouped = group_rows(cohort, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
-    out = detail.unionByName(grouped)
+    out = order_report(detail.unionByName(grouped))
     return out.select("location", F.lit(NEW_VS_PREVIOUS_DISTRICT).alias("district"), *[
         c for c in out.columns if c != "location"])
 
@@ -117,4 +118,4 @@ def tb_prev(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
         F.col("pregnant_or_lactating").alias("g_preg"))
     grouped = group_rows(rows.join(gcoh, ["patient_id", "location"]), locs, F.col("g_gender"),
                          F.col("g_preg"), ind, 41)
-    return detail.unionByName(grouped)
+    return order_report(detail.unionByName(grouped))

@@ -14,6 +14,7 @@ from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams
 from kalulu.plans.cohort import arv_numbers, facilities, hiv_cohort
+from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -66,4 +67,4 @@ def tx_ml(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
                            age_labels())
     grouped = group_rows(coh.join(flags, ["patient_id", "last_appt_date"], "left"), locs, F.col("gender"),
                          F.col("pregnant_or_lactating"), ind, 41)
-    return detail.unionByName(grouped)
+    return order_report(detail.unionByName(grouped))

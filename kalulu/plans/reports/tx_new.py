@@ -16,6 +16,7 @@ from kalulu.operators.latest import rows_at_extreme
 from kalulu.params import ReportParams
 from kalulu.plans.cohort import (arv_numbers, facilities, hiv_cohort, identifier_flags,
                                  last_outcome_at_facility)
+from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -68,4 +69,4 @@ def tx_new(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
     grows = mai.join(cohort, "patient_id").join(flags, ["patient_id", "location"], "left")
     grouped = group_rows(grows, locs, F.col("gender"), F.col("pregnant_or_lactating"),
                          tx_new_indicators(p), 41)
-    return detail.unionByName(grouped)
+    return order_report(detail.unionByName(grouped))

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from kalulu import constants as K
 from kalulu.functions.dates import age_in_units, lit_date
 from kalulu.functions.text import ci_eq, ci_in, regimen_code, regimen_name, sex_label
-from kalulu.operators.bands import age_band, age_labels, band_dimension, weight_band, weight_labels
-from kalulu.operators.counts import banded_counts, count_if, group_rows
+from kalulu.operators.bands import age_band, age_labels, weight_band, weight_labels
+from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.operators.latest import latest_per_key, rows_at_extreme
 from kalulu.params import ReportParams, period_start
 from kalulu.plans.cohort import arv_numbers, facilities, hiv_cohort, last_outcome_at_facility
-from kalulu.plans.reports.common import latest_followup
+from kalulu.plans.reports.common import latest_followup, order_report
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -78,7 +78,7 @@ def tx_pvls(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
         "patient_id", "location", F.col("gender").alias("g_gender"), F.col("pregnant_or_lactating").alias("g_preg"))
     grouped = group_rows(rows.join(coh, ["patient_id", "location"]), locs, F.col("g_gender"), F.col("g_preg"),
                          ind, 41)
-    return detail.unionByName(grouped)
+    return order_report(detail.unionByName(grouped))
 
 
 def _dispensed(wh: Warehouse, end: _dt.date, location: str | None, cutoff: int) -> DataFrame:
@@ -132,4 +132,4 @@ def regimen_by_weight(wh: Warehouse, end: _dt.date, location: str | None = None,
     ind_all[extra_11p[0]] = F.col("current_regimen") == extra_11p[1]  # counted, not output
     out = banded_counts(rows, facilities(wh, location), weight_band(F.col("weight")), F.col("gender"), ind_all,
                         weight_labels(), band_col="weight_group")
-    return out.drop(extra_11p[0])
+    return order_report(out.drop(extra_11p[0]))
