@@ -42,7 +42,7 @@ _MEMO: dict = {}
 def _memo_key(wh: Warehouse, *parts) -> tuple:
     from kalulu.sources.fixtures import session_key
 
-    return (session_key(wh.spark), wh._root() if wh.materialize else id(wh), *parts)
+    return (session_key(wh.spark), wh._root() if wh.materialize else wh.token, *parts)
 
 
 def clear_memo() -> None:

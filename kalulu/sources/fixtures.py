@@ -15,6 +15,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,8 @@ class Warehouse:
         self.spark = spark
         self.base = base
         self.materialize = materialize
+        # identity for caches of non-materialized instances (id() is reused)
+        self.token = uuid.uuid4().hex
 
     def _root(self) -> str:
         key = (session_key(self.spark), self.base)
