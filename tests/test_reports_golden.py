@@ -241,3 +241,38 @@ def test_switch_at_outreach_clinic_uses_parent_number(spark, schemas):
     assert (r.previous_regimen, r.current_regimen, r.report_location, r.dispense_date) == \
         ("5A", "13A", "Midzemba HC", "05-Apr-00")
     assert r.arvs == " TDF / 3TC / DTG (90)"
+
+
+def test_followup_loader_pairs_pills_by_obs_group(spark):
+    from decimal import Decimal as Dec
+
+    from kalulu.plans.loaders.art import load_art_followup, load_lab_tests_vl
+
+    ref = Warehouse(spark, "/root/testdata/sf0.001")
+    from pyspark.sql.types import StructField, StructType
+
+    def nullable(sch):
+        return StructType([StructField(f.name, f.dataType, True) for f in sch.fields])
+
+    enc_s, obs_s = nullable(ref.omrs_encounter.schema), nullable(ref.omrs_obs.schema)
+    v = D(2000, 5, 1)
+    enc = [(10, 1, v, K.ART_FOLLOWUP, F0), (11, 1, v, "Viral Load Screening", F0)]
+    obs = [  # (encounter, group, concept, obs_date, coded, numeric, date, text, created)
+        (10, 100, "HIV Preventive Therapy", v, "Isoniazid", None, None, None, v),
+        (10, 100, "Amount Dispensed", v, None, Dec(56), None, None, v),
+        (10, 200, "HIV Preventive Therapy", v, "Rifapentine", None, None, None, v),
+        (10, 200, "Amount Dispensed", v, None, Dec(12), None, None, v),
+        (10, 300, "Malawi ART side effects", v, "Skin rash", None, None, None, v),
+        (10, 301, "Weight (kg)", v, None, Dec("61.5"), None, None, v),
+        (11, 400, "Less than limit", v, None, Dec(40), None, None, D(2000, 5, 9)),
+        (11, 401, "HIV viral load", v, None, Dec(35), None, None, D(2000, 5, 9)),
+    ]
+    wh = TableWarehouse(spark, {"omrs_encounter": spark.createDataFrame(enc, enc_s),
+                                "omrs_obs": spark.createDataFrame(obs, obs_s)})
+    r = load_art_followup(wh).collect()
+    assert len(r) == 1
+    r = r[0]
+    assert (r.inh_300, float(r.inh_300_pills), r.rfp_150, float(r.rfp_150_pills)) == ("Isoniazid", 56.0, "Rifapentine", 12.0)
+    assert r.skin_rash and not r.hepatitis and float(r.weight) == 61.5
+    lab = load_lab_tests_vl(wh).collect()
+    assert len(lab) == 1 and lab[0].result_exception == "<40.0000" and float(lab[0].result_numeric) == 35.0
