@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kalulu import constants as K
 from kalulu.functions.text import ci_eq, format_identifier
@@ -13,13 +12,26 @@ from kalulu.plans.loaders import concepts as C
 from kalulu.sources.fixtures import Warehouse
 
 
+def next_state_for_enrollment(ps: DataFrame, states: DataFrame) -> DataFrame:
+    """The state of the same enrolment that starts on the day this one ends
+    (another state; the lowest id when several do): an equi-join on
+    (enrolment, date) and a partial aggregate -- no per-enrolment window."""
+    cand = ps.select("program_enrollment_id", F.col("start_date").alias("end_date"),
+                     F.col("program_state_id").alias("next_id"), F.col("state").alias("next_state"))
+    pairs = (states.select("program_state_id", "program_enrollment_id", "end_date")
+             .join(cand, ["program_enrollment_id", "end_date"])
+             .where(F.col("next_id") != F.col("program_state_id")))
+    return latest_per_key(pairs, ["program_state_id"], ["next_id"], ["next_state"], newest=False).select(
+        "program_state_id", "next_state")
+
+
 def state_intervals(wh: Warehouse, state: str) -> DataFrame:
     """Intervals of one treatment-status state, inner-joined to the enrolment:
     end = the state's end, else the enrolment's completion; outcome = the next
-    state of the same enrolment (by start, id), else the enrolment outcome."""
+    state of the same enrolment, else the enrolment outcome."""
     ps = wh.omrs_program_state.where(ci_eq("program", K.HIV_PROGRAM) & ci_eq("workflow", K.TREATMENT_WORKFLOW))
-    nxt = Window.partitionBy("program_enrollment_id").orderBy("start_date", "program_state_id")
-    states = ps.withColumn("next_state", F.lead("state").over(nxt)).where(ci_eq("state", state))
+    states = ps.where(ci_eq("state", state))
+    states = states.join(next_state_for_enrollment(ps, states), "program_state_id", "left")
     enr = wh.omrs_program_enrollment.select("program_enrollment_id", "completion_date",
                                             F.col("outcome").alias("enrollment_outcome"))
     return states.join(enr, "program_enrollment_id", "inner").select(

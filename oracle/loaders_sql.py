@@ -97,9 +97,13 @@ def lab_tests_vl_sql() -> str:
 def _intervals_sql(state: str) -> str:
     return f"""(SELECT s.program_state_id, s.program_enrollment_id, s.patient_id, s.location, s.start_date,
                    COALESCE(s.end_date, e.completion_date) AS end_date, COALESCE(s.next_state, e.outcome) AS outcome
-        FROM (SELECT *, LEAD(state) OVER (PARTITION BY program_enrollment_id ORDER BY start_date, program_state_id)
-                        AS next_state
-              FROM omrs_program_state WHERE lower(program) = 'hiv program' AND lower(workflow) = 'treatment status') s
+        FROM (SELECT x.*, (SELECT n.state FROM omrs_program_state n
+                           WHERE n.program_enrollment_id = x.program_enrollment_id AND n.start_date = x.end_date
+                             AND n.program_state_id <> x.program_state_id
+                             AND lower(n.program) = 'hiv program' AND lower(n.workflow) = 'treatment status'
+                           ORDER BY n.program_state_id LIMIT 1) AS next_state
+              FROM omrs_program_state x
+              WHERE lower(x.program) = 'hiv program' AND lower(x.workflow) = 'treatment status') s
         JOIN omrs_program_enrollment e ON e.program_enrollment_id = s.program_enrollment_id
         WHERE lower(rtrim(s.state)) = {_q(state.lower())})"""
 
