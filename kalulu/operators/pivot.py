@@ -34,3 +34,31 @@ def pivot_counts(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Seq
     """Counts per fixed (name, value) list, absent values as 0 (one pass, no Spark pivot discovery job)."""
     return df.groupBy(*keys).agg(*[
         F.count(F.when(F.col(pivot_col) == v, F.lit(1))).cast("bigint").alias(n) for n, v in values])
+
+
+def eav_pivot_encounters(obs: DataFrame, encounters: DataFrame, keys: Sequence[str], spec: Sequence[tuple],
+                         obs_keys: Sequence[str] = (), type_col: str = "encounter_type",
+                         group_col: str = "group_concept") -> DataFrame:
+    """:func:`eav_pivot` with the observations pre-aggregated per encounter.
+
+    ``min`` distributes over any partition of the rows, so the observations
+    (the largest table) are first reduced to one row per encounter (plus
+    ``obs_keys``) by a partial aggregate, joined to their encounter (which
+    brings the visit keys and the encounter type), and only then grouped per
+    visit.  The encounter-type filter is applied after the join, where the
+    type is known; the observation-group filter before it.
+    """
+    concepts = sorted({e[1] for e in spec})
+    pre = []
+    for i, (_, concept, kind, _etype, *group) in enumerate(spec):
+        cond = F.col("concept") == concept
+        if group:
+            cond = cond & (F.col(group_col) == group[0])
+        pre.append(F.min(F.when(cond, F.col(kind))).alias(f"__v{i}"))
+    per_enc = obs.where(F.col("concept").isin(concepts)).groupBy("encounter_id", *obs_keys).agg(*pre)
+    joined = per_enc.join(encounters, "encounter_id")
+    post = []
+    for i, (col, _concept, _kind, etype, *_g) in enumerate(spec):
+        v = F.col(f"__v{i}")
+        post.append(F.min(F.when(F.col(type_col) == etype, v) if etype else v).alias(col))
+    return joined.groupBy(*keys).agg(*post)

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.operators.pivot import eav_pivot
+from kalulu.operators.pivot import eav_pivot_encounters
 from kalulu.plans.loaders import concepts as C
 from kalulu.sources.fixtures import Warehouse
 
 KEYS = ["patient_id", "visit_date", "location"]
 
 
+def visit_encounters(wh: Warehouse) -> DataFrame:
+    """Encounters with their visit keys and type."""
+    return wh.omrs_encounter.select("encounter_id", "patient_id", F.col("encounter_date").alias("visit_date"),
+                                    "location", "encounter_type")
+
+
 def _obs_with_visit(wh: Warehouse) -> DataFrame:
     """Observations with the (patient, visit date, location, type) of their encounter."""
     enc = wh.omrs_encounter.select("encounter_id", "patient_id", F.col("encounter_date").alias("visit_date"),
@@ -29,7 +35,7 @@ def encounter_spine(wh: Warehouse, types: list[str]) -> DataFrame:
 def load_art_followup(wh: Warehouse) -> DataFrame:
     """mw_art_followup: one row per ART follow-up visit."""
     obs = _obs_with_visit(wh)
-    wide = eav_pivot(obs, KEYS, C.ART_FOLLOWUP)
+    wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, C.ART_FOLLOWUP)
     # drug obs paired with its "Amount Dispensed" obs of the same group
     drugs = obs.where(F.col("concept") == C.TPT_CONCEPT).select(*KEYS, "obs_group_id", "value_coded")
     pills = obs.where((F.col("concept") == C.PILLS_CONCEPT) & (F.col("encounter_type") == K.ART_FOLLOWUP)).select(
@@ -50,14 +56,14 @@ def load_art_followup(wh: Warehouse) -> DataFrame:
 
 def load_art_initial(wh: Warehouse) -> DataFrame:
     """mw_art_initial: one row per ART initial visit."""
-    wide = eav_pivot(_obs_with_visit(wh), KEYS, C.ART_INITIAL)
+    wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, C.ART_INITIAL)
     return encounter_spine(wh, [K.ART_INITIAL]).join(wide, KEYS, "left").select(
         *KEYS, *[c for c, _, _, _ in C.ART_INITIAL])
 
 
 def load_art_visits(wh: Warehouse) -> DataFrame:
     """mw_art_visits: initial and follow-up visits with regimen and appointment."""
-    wide = eav_pivot(_obs_with_visit(wh), KEYS, C.ART_VISITS)
+    wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, C.ART_VISITS)
     return encounter_spine(wh, [K.ART_INITIAL, K.ART_FOLLOWUP]).join(wide, KEYS, "left").select(
         *KEYS, *[c for c, _, _, _ in C.ART_VISITS])
 

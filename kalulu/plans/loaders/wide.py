@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.operators.latest import latest_per_key
-from kalulu.operators.pivot import eav_pivot
+from kalulu.operators.pivot import eav_pivot_encounters
 from kalulu.plans.loaders import concepts as C
-from kalulu.plans.loaders.art import KEYS, _obs_with_visit, encounter_spine
+from kalulu.plans.loaders.art import KEYS, _obs_with_visit, encounter_spine, visit_encounters
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -24,9 +24,14 @@ def _obs_with_group(wh: Warehouse) -> DataFrame:
     return _obs_with_visit(wh).join(grp, "obs_group_id", "left")
 
 
+def _raw_obs_with_group(wh: Warehouse) -> DataFrame:
+    grp = wh.omrs_obs_group.select("obs_group_id", F.col("concept").alias("group_concept"))
+    return wh.omrs_obs.join(grp, "obs_group_id", "left")
+
+
 def wide_load(wh: Warehouse, spine_types: list[str], spec: list[tuple], with_groups: bool = False) -> DataFrame:
-    obs = _obs_with_group(wh) if with_groups else _obs_with_visit(wh)
-    wide = eav_pivot(obs, KEYS, spec)
+    obs = _raw_obs_with_group(wh) if with_groups else wh.omrs_obs
+    wide = eav_pivot_encounters(obs, visit_encounters(wh), KEYS, spec)
     return encounter_spine(wh, spine_types).join(wide, KEYS, "left").select(*KEYS, *[e[0] for e in spec])
 
 
@@ -54,7 +59,8 @@ def load_art_followup_testing(wh: Warehouse) -> DataFrame:
     """Follow-up testing visits that have a CD4 count (inner), with the other
     tests of the visit attached (one row per visit)."""
     spec = [C.FOLLOWUP_TESTING_REQUIRED, *C.FOLLOWUP_TESTING]
-    wide = eav_pivot(_obs_with_visit(wh), KEYS, spec).where(F.col("cd4_count").isNotNull())
+    wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, spec).where(
+        F.col("cd4_count").isNotNull())
     return encounter_spine(wh, [K.ART_FOLLOWUP_TESTING]).join(wide, KEYS, "inner").select(
         *KEYS, *[e[0] for e in spec])
 
@@ -62,11 +68,11 @@ def load_art_followup_testing(wh: Warehouse) -> DataFrame:
 def load_art_viral_load(wh: Warehouse) -> DataFrame:
     """One row per viral-load screening visit: the reason-for-test obs anchors
     an observation group and the other results are read from that group."""
-    obs = _obs_with_visit(wh)
     gkeys = [*KEYS, "obs_group_id"]
     cols = [e[0] for e in C.ART_VIRAL_LOAD]
-    per_group = eav_pivot(obs, gkeys, [C.ART_VIRAL_LOAD_ANCHOR, *C.ART_VIRAL_LOAD]).where(
-        F.col("reason_for_test").isNotNull())
+    per_group = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), gkeys,
+                                     [C.ART_VIRAL_LOAD_ANCHOR, *C.ART_VIRAL_LOAD],
+                                     obs_keys=["obs_group_id"]).where(F.col("reason_for_test").isNotNull())
     # one reason per visit (the lowest group id), read with its group's results
     per_visit = latest_per_key(per_group, KEYS, ["obs_group_id"], ["reason_for_test", *cols], newest=False)
     return encounter_spine(wh, [K.VIRAL_LOAD_SCREENING]).join(per_visit, KEYS, "left").select(

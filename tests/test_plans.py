@@ -40,3 +40,16 @@ def test_report_scan_pushes_date_filter(spark):
     df = tx_mmd(Warehouse(spark, E.SF_SMOKE), dt.date(2000, 6, 30))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(visit_date,2000-06-30)" in plan
+
+
+def test_eav_loader_pre_aggregates_observations_per_encounter(spark):
+    from kalulu.plans.loaders.art import load_art_initial
+    from kalulu.sources.fixtures import Warehouse
+
+    df = load_art_initial(Warehouse(spark, "/root/testdata/sf0.001"))
+    plan = _plan(df)
+    lines = plan.splitlines()
+    # the observation rows are combined per encounter before their first shuffle
+    partial = [i for i, line in enumerate(lines) if "key=[encounter_id" in line and "partial_min" in line]
+    exch = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(encounter_id" in line]
+    assert partial and exch and min(exch) < max(partial)
