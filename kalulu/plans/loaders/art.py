@@ -73,13 +73,13 @@ def load_lab_tests_vl(wh: Warehouse) -> DataFrame:
     encounter merged into one test row (the full outer joins on
     (patient, encounter) expressed as one grouped aggregate)."""
     enc = wh.omrs_encounter.select("encounter_id", "patient_id")
-    obs = wh.omrs_obs.where(F.col("concept").isin(C.VL_SAMPLE, C.VL_LDL, C.VL_LESS_THAN, C.VL_RESULT)).join(
-        enc, "encounter_id")
+    obs = wh.omrs_obs.where(F.col("concept").isin(C.VL_SAMPLE, C.VL_LDL, C.VL_LESS_THAN, C.VL_RESULT))
     is_ = lambda c: F.col("concept") == c
     sample = is_(C.VL_SAMPLE) & (F.col("value_coded") == "True")
     ldl = is_(C.VL_LDL) & (F.col("value_coded") == "True")
     ltl, res = is_(C.VL_LESS_THAN), is_(C.VL_RESULT)
-    g = obs.where(sample | ldl | ltl | res).groupBy("patient_id", "encounter_id").agg(
+    # combined per encounter (map-side) before the patient is attached
+    g = obs.where(sample | ldl | ltl | res).groupBy("encounter_id").agg(
         F.min(F.when(sample, F.col("obs_date"))).alias("s_date"),
         F.min(F.when(ldl, F.col("obs_date"))).alias("l_date"),
         F.min(F.when(ldl, F.col("date_created"))).alias("l_entered"),
@@ -88,7 +88,7 @@ def load_lab_tests_vl(wh: Warehouse) -> DataFrame:
         F.min(F.when(ltl, F.col("value_numeric"))).alias("t_value"),
         F.min(F.when(res, F.col("obs_date"))).alias("r_date"),
         F.min(F.when(res, F.col("date_created"))).alias("r_entered"),
-        F.min(F.when(res, F.col("value_numeric"))).alias("result_numeric"))
+        F.min(F.when(res, F.col("value_numeric"))).alias("result_numeric")).join(enc, "encounter_id")
     return g.select(
         "patient_id", "encounter_id", F.lit(C.VL_TEST_TYPE).alias("test_type"),
         F.coalesce("s_date", "l_date", "t_date", "r_date").alias("date_collected"),

@@ -83,15 +83,17 @@ def load_lab_tests_hiv(wh: Warehouse) -> DataFrame:
     """mw_lab_tests (HIV): one row per child serology construct with a sample
     date, result date or result; the collection date falls back to the
     encounter date and the test type to 'HIV test'."""
-    obs = _obs_with_group(wh).where(F.col("group_concept") == C.SEROLOGY_CONSTRUCT)
+    obs = _raw_obs_with_group(wh).where(F.col("group_concept") == C.SEROLOGY_CONSTRUCT)
     is_ = lambda c: F.col("concept") == c
     g = obs.where(F.col("concept").isin(C.HIV_SAMPLE_DATE, C.HIV_RESULT_DATE, C.HIV_RESULT, C.HIV_TEST_TYPE)).groupBy(
-        "patient_id", "encounter_id", "obs_group_id", "visit_date").agg(
+        "encounter_id", "obs_group_id").agg(
         F.min(F.when(is_(C.HIV_SAMPLE_DATE), F.col("value_date"))).alias("sample_date"),
         F.min(F.when(is_(C.HIV_RESULT_DATE), F.col("value_date"))).alias("date_result_received"),
         F.min(F.when(is_(C.HIV_RESULT), F.col("value_coded"))).alias("result_coded"),
         F.min(F.when(is_(C.HIV_RESULT), F.col("date_created"))).alias("date_result_entered"),
         F.min(F.when(is_(C.HIV_TEST_TYPE), F.col("value_coded"))).alias("test_type"))
+    enc = wh.omrs_encounter.select("encounter_id", "patient_id", F.col("encounter_date").alias("visit_date"))
+    g = g.join(enc, "encounter_id")
     g = g.where(F.coalesce(F.col("sample_date").cast("string"), F.col("date_result_received").cast("string"),
                            F.col("result_coded")).isNotNull())
     return g.select("patient_id", "encounter_id", "obs_group_id",
