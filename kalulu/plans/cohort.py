@@ -51,13 +51,20 @@ def clear_memo() -> None:
 
 
 def last_outcome_at_facility(wh: Warehouse, end: _dt.date, location: str | None = None,
-                             strict: bool = False) -> DataFrame:
+                             strict: bool = False, dedupe: bool = False) -> DataFrame:
     """Staged (written once per warehouse, date and facility) -- see
-    :func:`_last_outcome`."""
+    :func:`_last_outcome`.  ``dedupe=True`` keeps one ARV Number per
+    (patient, facility) (the smallest), so a patient with several numbers
+    counts once; the default keeps the source's one row per number."""
     key = _memo_key(wh, "outcome", end, location, strict)
     if key not in _MEMO:
         _MEMO[key] = stage(_last_outcome(wh, end, location, strict), "last_outcome")
-    return _MEMO[key]
+    out = _MEMO[key]
+    if dedupe:
+        cols = [c for c in out.columns if c not in ("patient_id", "location", "identifier")]
+        out = latest_per_key(out, ["patient_id", "location"], ["identifier"], cols, newest=False).select(
+            *out.columns)
+    return out
 
 
 def _last_outcome(wh: Warehouse, end: _dt.date, location: str | None = None,

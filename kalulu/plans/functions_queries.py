@@ -72,7 +72,7 @@ def regimen_at_offset(regimens: DataFrame, offset: int = 0) -> DataFrame:
         "patient_id", "regimen", F.col("regimen_init_date").alias("regimen_start"))
 
 
-def first_date_no_breastfeeding(eid_visits: DataFrame, end) -> DataFrame:
+def first_date_no_breastfeeding(eid_visits: DataFrame, end, after_invalid: bool = False) -> DataFrame:
     """Per child: the earliest visit recorded as "stopped over 6 weeks ago".
 
     When the child also has a visit with another status on or before ``end``
@@ -87,6 +87,11 @@ def first_date_no_breastfeeding(eid_visits: DataFrame, end) -> DataFrame:
     invalid = (eid_visits.where((status != C.BREASTFEEDING_STOPPED) & (F.col("visit_date") <= e))
                .groupBy("patient_id").agg(F.max("visit_date").alias("last_invalid")))
     stopped = eid_visits.where(status == C.BREASTFEEDING_STOPPED).select("patient_id", "visit_date")
-    cand = stopped.join(invalid, "patient_id", "left").where(
-        F.col("last_invalid").isNull() | ((F.col("visit_date") <= e) & (F.col("visit_date") <= F.col("last_invalid"))))
+    if after_invalid:
+        cond = (F.col("visit_date") <= e) & (F.col("last_invalid").isNull()
+                                             | (F.col("visit_date") > F.col("last_invalid")))
+    else:
+        cond = F.col("last_invalid").isNull() | ((F.col("visit_date") <= e)
+                                                 & (F.col("visit_date") <= F.col("last_invalid")))
+    cand = stopped.join(invalid, "patient_id", "left").where(cond)
     return cand.groupBy("patient_id").agg(F.min("visit_date").alias("first_date_no_breastfeeding"))

@@ -276,3 +276,20 @@ def test_followup_loader_pairs_pills_by_obs_group(spark):
     assert r.skin_rash and not r.hepatitis and float(r.weight) == 61.5
     lab = load_lab_tests_vl(wh).collect()
     assert len(lab) == 1 and lab[0].result_exception == "<40.0000" and float(lab[0].result_numeric) == 35.0
+
+
+def test_optional_switches(spark, schemas):
+    from kalulu.plans.cohort import last_outcome_at_facility
+    from kalulu.plans.functions_queries import first_date_no_breastfeeding
+    from kalulu.plans.loaders.concepts import BREASTFEEDING_STOPPED
+
+    wh = make(spark, schemas, mw_patient=[patient(1)], omrs_program_state=[state(1, 1)],
+              omrs_patient_identifier=[arv(1, "NNO 1"), arv(1, "NNO 1 2")])
+    assert last_outcome_at_facility(wh, END).count() == 2
+    assert last_outcome_at_facility(wh, END, dedupe=True).count() == 1
+    visits = spark.createDataFrame(
+        [(1, D(2000, 1, 1), BREASTFEEDING_STOPPED), (1, D(2000, 2, 1), "Breastfeeding"),
+         (1, D(2000, 3, 1), BREASTFEEDING_STOPPED)], "patient_id long, visit_date date, breastfeeding_status string")
+    as_coded = first_date_no_breastfeeding(visits, END).first()[1]
+    as_documented = first_date_no_breastfeeding(visits, END, after_invalid=True).first()[1]
+    assert (as_coded, as_documented) == (D(2000, 1, 1), D(2000, 3, 1))
