@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 _SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # coalesce to the advisory partition size rather than to the core count:
+    # fewer, fuller tasks (measured faster here; recommended for busy clusters)
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
