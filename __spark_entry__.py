@@ -50,6 +50,12 @@ def _q_tx_new(spark, sf_dir):
     return tx_new(_wh(spark, sf_dir), START, END)
 
 
+def _q_pepfar_tx_new(spark, sf_dir):
+    # the PEPFAR twin differs only by its (unused) cutoff
+    from kalulu.plans.reports.tx_new import tx_new
+    return tx_new(_wh(spark, sf_dir), START, END, cutoff=K.PEPFAR_CUTOFF_DAYS)
+
+
 def _q_tpt(spark, sf_dir):
     from kalulu.plans.reports.tpt import tpt_initiation
     return tpt_initiation(_wh(spark, sf_dir), START, END)
@@ -177,6 +183,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "moh_cohort_disaggregated": _q_moh_cohort,
     "pepfar_cohort_disaggregated": _q_pepfar_cohort,
     "moh_tx_new": _q_tx_new,
+    "pepfar_tx_new": _q_pepfar_tx_new,
     "moh_tpt_initiation": _q_tpt,
     "pepfar_tb_prev": _q_tb_prev,
     "pepfar_tx_tb": _q_tx_tb,
@@ -237,6 +244,7 @@ def oracle_sql() -> dict[str, str]:
         "moh_cohort_disaggregated": R.cohort_disaggregated_sql(START, END, K.MOH_CUTOFF_DAYS),
         "pepfar_cohort_disaggregated": R.cohort_disaggregated_sql(START, END, K.PEPFAR_CUTOFF_DAYS),
         "moh_tx_new": R.tx_new_sql(START, END),
+        "pepfar_tx_new": R.tx_new_sql(START, END),
         "moh_tpt_initiation": R.tpt_initiation_sql(START, END),
         "pepfar_tb_prev": R.tb_prev_sql(END),
         "pepfar_tx_tb": R.tx_tb_sql(END, K.PEPFAR_CUTOFF_DAYS),
