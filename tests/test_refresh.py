@@ -13,10 +13,11 @@ SF = "/root/testdata/sf0.001"
 def test_refresh_writes_declared_tables(spark):
     wh = Warehouse(spark, SF)
     target = tempfile.mkdtemp(prefix="kalulu-refresh-", dir=os.environ.get("TMPDIR", "/tmp"))
-    tables = ["mw_art_followup", "mw_art_viral_load", "mw_eid_register", "mw_patient"]
-    paths = refresh_warehouse(wh, target, tables)
-    for name in tables:
-        back = spark.read.parquet(paths[name])
+    paths = refresh_warehouse(wh, target)
+    assert set(paths) == set(LOADERS)
+    for name, path in paths.items():
+        back = spark.read.parquet(path)
         assert [f.name for f in back.schema.fields] == [f.name for f in struct_type(name).fields]
         assert [f.dataType for f in back.schema.fields] == [f.dataType for f in struct_type(name).fields]
-        assert back.count() == LOADERS[name](wh).count()
+    for name in ["mw_art_followup", "mw_art_viral_load", "mw_eid_register", "mw_patient"]:
+        assert spark.read.parquet(paths[name]).count() == LOADERS[name](wh).count()
