@@ -53,3 +53,16 @@ def test_eav_loader_pre_aggregates_observations_per_encounter(spark):
     partial = [i for i, line in enumerate(lines) if "key=[encounter_id" in line and "partial_min" in line]
     exch = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(encounter_id" in line]
     assert partial and exch and min(exch) < max(partial)
+
+
+def test_no_query_plan_has_cross_products_windows_or_python(spark):
+    import __spark_entry__ as E
+
+    flagged = {}
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, E.SF_SMOKE))
+        hits = [w for w in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython",
+                            "ArrowEvalPython") if w in plan]
+        if hits:
+            flagged[name] = hits
+    assert flagged == {}
