@@ -49,25 +49,34 @@ def banded_counts(rows: DataFrame, locations: DataFrame, band: Column, gender: C
         *[F.coalesce(counted[n], F.lit(0).cast("bigint")).alias(n) for n in indicators])
 
 
+def group_label(gender: Column, pregnancy: Column) -> Column:
+    """The population group of a row.  The four groups are mutually exclusive
+    (male; female pregnant / not pregnant or unknown / breastfeeding), so one
+    label column replaces four filtered aggregates; other rows get null."""
+    expr = None
+    for g, pred in group_predicates(gender, pregnancy).items():
+        expr = F.when(pred, F.lit(g)) if expr is None else expr.when(pred, F.lit(g))
+    return expr
+
+
 def group_rows(rows: DataFrame, locations: DataFrame, gender: Column, pregnancy: Column,
                indicators: dict[str, Column], first_sort_value: int,
                band_col: str = "age_group", label_col: str = "gender") -> DataFrame:
-    """The four "All" rows per facility (Male, FP, FNP, FBF) in one aggregate.
+    """The four "All" rows per facility (Male, FP, FNP, FBF), zero filled.
 
     ``rows`` already carries the cohort row each indicator row was joined to;
-    every (group, indicator) pair is one conditional count.
+    one partial aggregate by (facility, group) with one conditional count per
+    indicator, then a left join onto the (facility x group) dimension.
     """
-    groups = group_predicates(gender, pregnancy)
-    aggs = [count_if(gp & ip).alias(f"{g}__{n}") for g, gp in groups.items()
-            for n, ip in indicators.items()]
-    per_loc = rows.groupBy("location").agg(*aggs)
-    # every facility gets its four rows, zero when it has no rows at all
-    full = locations.select("location").join(per_loc, "location", "left")
-    structs = [F.struct(F.lit(first_sort_value + i).alias("sort_value"),
-                        F.lit(g).alias("__label"),
-                        *[F.coalesce(F.col(f"{g}__{n}"), F.lit(0).cast("bigint")).alias(n)
-                          for n in indicators])
-               for i, g in enumerate(groups)]
-    out = full.select("location", F.explode(F.array(*structs)).alias("__r"))
-    return out.select("location", "__r.sort_value", F.lit("All").alias(band_col),
-                      F.col("__r.__label").alias(label_col), *[f"__r.{n}" for n in indicators])
+    counted = (rows.select("location", group_label(gender, pregnancy).alias("__grp"),
+                           *[p.alias(f"__p_{n}") for n, p in indicators.items()])
+               .where(F.col("__grp").isNotNull())
+               .groupBy("location", "__grp")
+               .agg(*[count_if(F.col(f"__p_{n}")).alias(n) for n in indicators]))
+    dim_rows = [F.struct(F.lit(first_sort_value + i).alias("sort_value"), F.lit(g).alias("__grp"))
+                for i, g in enumerate(K.GROUPS)]
+    dim = (locations.select("location", F.explode(F.array(*dim_rows)).alias("__d"))
+           .select("location", "__d.sort_value", "__d.__grp"))
+    out = dim.join(counted, ["location", "__grp"], "left")
+    return out.select("location", "sort_value", F.lit("All").alias(band_col), F.col("__grp").alias(label_col),
+                      *[F.coalesce(F.col(n), F.lit(0).cast("bigint")).alias(n) for n in indicators])
