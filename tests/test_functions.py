@@ -75,3 +75,12 @@ def test_nth_latest_duplicates_and_nulls(spark):
     assert second == {1: "x", 2: "z"}
     third = {r.p: r.v for r in nth_latest(df, ["p"], ["d"], 2).collect()}
     assert third == {1: "y"}
+
+
+def test_pivot_counts_fixed_list_zero_fills(spark):
+    from kalulu.operators.pivot import pivot_counts
+
+    df = spark.createDataFrame([("a", "5A: x"), ("a", "5A: x"), ("b", "2P: y")], "k string, r string")
+    got = {r.k: (r.c5a, r.c2p, r.cns) for r in pivot_counts(df, ["k"], "r", [("c5a", "5A: x"), ("c2p", "2P: y"),
+                                                                               ("cns", "Non standard")]).collect()}
+    assert got == {"a": (2, 0, 0), "b": (0, 1, 0)}
