@@ -27,6 +27,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         b = b.master(master)
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    if master and master.startswith("local"):
+        # local mode runs every task in the driver JVM: give it the heap an
+        # executor would have (on a cluster executor sizing comes from submit)
+        b = b.config("spark.driver.memory", os.environ.get("KALULU_DRIVER_MEMORY", "12g"))
     for k, v in _SCALE_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
