@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kalulu import constants as K
 from kalulu.functions.dates import age_in_units, lit_date
 from kalulu.functions.text import ci_eq
-from kalulu.operators.latest import latest_per_key, tag_extremes
+from kalulu.operators.latest import latest_per_key, rows_at_extreme, tag_extremes
 from kalulu.params import ReportParams
 from kalulu.sources.fixtures import Warehouse
 from kalulu.sources.tables import stage
@@ -92,12 +92,12 @@ def _last_outcome(wh: Warehouse, end: _dt.date, location: str | None = None,
                     "start_date", "end_date", "location", "location_key"))
 
 
-def _tpt_any() -> Column:
-    return F.coalesce(*[F.col(c).cast("string") for c in (
-        "inh_300", "inh_300_pills", "rfp_150", "rfp_150_pills", "rfp_inh", "rfp_inh_pills")]).isNotNull()
+TPT_COLS = ["inh_300", "inh_300_pills", "rfp_150", "rfp_150_pills", "rfp_inh", "rfp_inh_pills"]
 
 
-TPT_COLS = ["inh_300", "inh_300_pills", "rfp_150", "rfp_150_pills", "rfp_inh", "rfp_inh_pills"]
+def _tpt_any() -> Column:
+    """Any preventive-therapy drug or pill count recorded on the visit."""
+    return F.coalesce(*[F.col(c).cast("string") for c in TPT_COLS]).isNotNull()
 
 COHORT_COLUMNS = [
     "patient_id", "identifier", "state", "start_date", "gender", "age", "location",
@@ -146,8 +146,6 @@ def followup_extremes(wh: Warehouse, p: ReportParams) -> dict[str, DataFrame]:
 
 def latest_initial(wh: Warehouse, end: _dt.date) -> DataFrame:
     """Initial visits at the patient's latest initial-visit date <= end (ties kept)."""
-    from kalulu.operators.latest import rows_at_extreme
-
     ini = wh.mw_art_initial.where(F.col("visit_date") <= lit_date(end))
     return rows_at_extreme(ini.select("patient_id", "visit_date", "pregnant_or_lactating", "transfer_in_date"),
                            ["patient_id"], "visit_date").select(

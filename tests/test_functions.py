@@ -84,3 +84,13 @@ def test_pivot_counts_fixed_list_zero_fills(spark):
     got = {r.k: (r.c5a, r.c2p, r.cns) for r in pivot_counts(df, ["k"], "r", [("c5a", "5A: x"), ("c2p", "2P: y"),
                                                                                ("cns", "Non standard")]).collect()}
     assert got == {"a": (2, 0, 0), "b": (0, 1, 0)}
+
+
+def test_period_start_column_matches_python(spark):
+    from kalulu.params import period_start_col
+
+    ends = [D(2000, 6, 28), D(2000, 2, 29), D(2000, 6, 30), D(2000, 8, 31), D(2000, 6, 15), D(2001, 3, 31)]
+    df = spark.createDataFrame([(e,) for e in ends], "e date")
+    for kw in ({"days": 90}, {"months": 6}, {"months": 12}, {"months": 13}):
+        got = [r[0] for r in df.select(period_start_col(F.col("e"), **kw)).collect()]
+        assert got == [period_start(e, **kw) for e in ends], kw
