@@ -12,9 +12,16 @@ from kalulu.sources.fixtures import Warehouse
 
 
 def latest_followup(wh: Warehouse, p: ReportParams) -> DataFrame:
-    """Follow-up rows at each patient's latest visit date <= end (ties kept)."""
-    fu = wh.mw_art_followup.where(F.col("visit_date") <= lit_date(p.end))
-    return rows_at_extreme(fu, ["patient_id"], "visit_date")
+    """Follow-up rows at each patient's latest visit date <= end (ties kept);
+    staged once per (warehouse, end date) and shared by the reports of that date."""
+    from kalulu.plans.cohort import _MEMO, _memo_key
+    from kalulu.sources.tables import stage
+
+    key = _memo_key(wh, "latest_followup", p.end)
+    if key not in _MEMO:
+        fu = wh.mw_art_followup.where(F.col("visit_date") <= lit_date(p.end))
+        _MEMO[key] = stage(rows_at_extreme(fu, ["patient_id"], "visit_date"), "latest_followup")
+    return _MEMO[key]
 
 
 def with_age_at_end(df: DataFrame, wh: Warehouse, p: ReportParams) -> DataFrame:
