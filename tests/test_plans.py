@@ -34,12 +34,14 @@ def test_as_of_operators_use_partial_aggregates(spark):
 
 def test_report_scan_pushes_date_filter(spark):
     import __spark_entry__ as E
-    from kalulu.plans.reports.mmd import tx_mmd
+    from kalulu.params import ReportParams
+    from kalulu.plans.cohort import cohort_rows
     from kalulu.sources.fixtures import Warehouse
 
-    df = tx_mmd(Warehouse(spark, E.SF_SMOKE), dt.date(2000, 6, 30))
+    # the unstaged cohort plan: the "as of end" filter of the initial visits reaches the Parquet scan
+    df = cohort_rows(Warehouse(spark, E.SF_SMOKE), ReportParams(dt.date(2000, 4, 1), dt.date(2000, 6, 30)))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(visit_date,2000-06-30)" in plan
+    assert "PushedFilters: [IsNotNull(visit_date), LessThanOrEqual(visit_date,2000-06-30)" in plan
 
 
 def test_eav_loader_pre_aggregates_observations_per_encounter(spark):
