@@ -225,20 +225,31 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+try:  # the training-data operators are optional: their folders may be absent
+    import corpus_pipeline as _pipeline
+    from kalulu.llm import queries as _llm
+except ImportError:
+    _pipeline = _llm = None
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: MOH multi-month dispensing report on sf0.001, all facilities."""
     return _q_moh_tx_mmd(spark, SF_SMOKE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    more = {**_llm.QUERIES, "pipeline": _pipeline.run} if _llm else {}
+    return {**_QUERIES, **more}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle import loaders_sql as L
     from oracle import reports_sql as R
 
-    return {
+    more = dict(_llm.ORACLE_SQL) if _llm else {}
+    if _llm and _pipeline.ORACLE_SQL:
+        more["pipeline"] = _pipeline.ORACLE_SQL
+    return more | {
         "moh_tx_mmd": R.tx_mmd_sql(END, K.MOH_CUTOFF_DAYS),
         "pepfar_tx_mmd": R.tx_mmd_sql(END, K.PEPFAR_CUTOFF_DAYS),
         "moh_cohort_disaggregated": R.cohort_disaggregated_sql(START, END, K.MOH_CUTOFF_DAYS),
