@@ -65,3 +65,16 @@ def flat_bytes(column) -> tuple[np.ndarray, np.ndarray]:
 def is_space(data: np.ndarray) -> np.ndarray:
     """The bytes that part words: 0x20 and 0x09-0x0D."""
     return (data == 32) | ((data >= 9) & (data <= 13))
+
+
+#: tables of at most so many narrow rows may be broadcast
+BROADCAST_ROWS = 100_000
+
+
+def checked_side(df: DataFrame) -> DataFrame:
+    """A side of a join, computed once and marked for broadcast only if it is counted and small.
+
+    A larger table joins by shuffle; the result is the same.
+    """
+    df = checkpoint(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

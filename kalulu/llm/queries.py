@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kalulu.llm.common import read_table
+from kalulu.llm.common import id_crc, read_table
+from kalulu.llm.mixing import mix_sql
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,31 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"))
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.simhash_dedup import simhash_components
+    return simhash_components(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2).select(
+        "doc_id", "fingerprint", "component_id")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.toxicity import FOLDS, learn, score_documents
+    docs = read_table(spark, sf_dir, "documents")
+    scored = score_documents(docs, learn(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", (id_crc() % FOLDS == 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.decontamination import contaminated
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.mixing import mix
+    return mix(read_table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kalulu.llm.suffix_dedup import suffix_dedup
     done = suffix_dedup(read_table(spark, sf_dir, "documents"), length=100)
@@ -26,7 +52,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
+    "op7_source_mixing": op7_source_mixing,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_source_mixing": mix_sql()}
