@@ -42,6 +42,24 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents"))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.winnowing import compare_with_edits
+    return compare_with_edits(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.chat_format import format_conversations, read_back
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return read_back(format_conversations(rows)).select(
+        "conv_id", "n_turns", digest("turns").alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
+        digest("loss_text").alias("loss_sha256"), "formatted_chars")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kalulu.llm.suffix_dedup import suffix_dedup
     done = suffix_dedup(read_table(spark, sf_dir, "documents"), length=100)
@@ -55,7 +73,9 @@ QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op6_winnowing": op6_winnowing,
     "op7_source_mixing": op7_source_mixing,
+    "op8_chat_format": op8_chat_format,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
