@@ -60,6 +60,12 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest("loss_text").alias("loss_sha256"), "formatted_chars")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.license_scan import fit, sample_lines, scan
+    docs = read_table(spark, sf_dir, "documents")
+    return scan(docs, fit(sample_lines(docs)))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kalulu.llm.suffix_dedup import suffix_dedup
     done = suffix_dedup(read_table(spark, sf_dir, "documents"), length=100)
@@ -76,6 +82,7 @@ QUERIES = {
     "op6_winnowing": op6_winnowing,
     "op7_source_mixing": op7_source_mixing,
     "op8_chat_format": op8_chat_format,
+    "op9_license_scan": op9_license_scan,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
