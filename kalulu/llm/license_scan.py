@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu.llm.common import flat_bytes
-from kalulu.llm.repeats import _BYTE_HASH, BLOCK, _mix, _prefix, _range_hash
+from kalulu.llm.repeats import _mix, word_hashes
 
 FEATURES = 1 << 16
 WINDOW = 60
@@ -110,14 +110,7 @@ class Paragraphs:
         start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         self.raw = padded
         self.start, self.end = start, end
-        self.hash = np.zeros(len(start), np.uint64)
-        first = 0
-        while first < len(start):
-            stop = max(first + 1, int(np.searchsorted(end, start[first] + BLOCK, "right")))
-            lo = start[first]
-            c = _prefix(_BYTE_HASH[folded[lo:end[stop - 1]]])
-            self.hash[first:stop] = _range_hash(c, start[first:stop] - lo, end[first:stop] - lo)
-            first = stop
+        self.hash = word_hashes(folded, start, end)
         # words of each line, and the document of each line
         bound = np.searchsorted(start, line_end)
         lo = np.concatenate(([0], bound[:-1])) if len(bound) else np.zeros(0, np.int64)

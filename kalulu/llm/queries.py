@@ -9,6 +9,11 @@ from kalulu.llm.common import id_crc, read_table
 from kalulu.llm.mixing import mix_sql
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.lm_scoring import score_documents
+    return score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kalulu.llm.substring_dedup import substring_dedup
     done = substring_dedup(read_table(spark, sf_dir, "documents"), words=13)
@@ -75,6 +80,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_toxicity": op4_toxicity,

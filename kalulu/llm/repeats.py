@@ -87,6 +87,40 @@ def _size(n: int) -> int:
     return max(2 * BLOCK, 1 << int(n + 1).bit_length())
 
 
+def normal_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts as words with one blank after each: bytes, word starts and ends, and each text's first word."""
+    n_docs = len(off) - 1
+    sizes = np.diff(off)
+    padded = np.full(len(data) + n_docs, 32, np.uint8)       # a blank ends each text
+    keep = np.ones(len(padded), bool)
+    keep[off[1:] + np.arange(n_docs)] = False
+    padded[keep] = data
+    space = is_space(padded)
+    padded[space] = 32
+    take = ~space
+    take[1:] |= space[1:] & ~space[:-1]                      # one blank after each word
+    ends_before = np.concatenate(([0], np.cumsum(space[1:] & ~space[:-1]) if len(space) else []))
+    out = padded[take]
+    blank = np.flatnonzero(out == 32)
+    start = np.concatenate(([0], blank[:-1] + 1)).astype(np.int64) if len(blank) else np.zeros(0, np.int64)
+    last = np.cumsum(sizes + 1) - 1                          # the blank that ends each text
+    words = np.concatenate(([0], ends_before[last])).astype(np.int64) if n_docs else np.zeros(1, np.int64)
+    return out, start, blank.astype(np.int64), words
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word's bytes, about a block of bytes at a time."""
+    out = np.zeros(len(start), np.uint64)
+    first = 0
+    while first < len(start):
+        stop = max(first + 1, int(np.searchsorted(end, start[first] + BLOCK, "right")))
+        lo = start[first]
+        c = _prefix(_BYTE_HASH[data[lo:end[stop - 1]]])
+        out[first:stop] = _range_hash(c, start[first:stop] - lo, end[first:stop] - lo)
+        first = stop
+    return out
+
+
 @dataclass(frozen=True)
 class Spec:
     """What counts as a repeat."""
@@ -122,32 +156,8 @@ class Bucket:
         self.doc = None
 
     def _words(self, data: np.ndarray, off: np.ndarray) -> None:
-        n_docs = len(off) - 1
-        sizes = np.diff(off)
-        padded = np.full(len(data) + n_docs, 32, np.uint8)   # a blank ends each text
-        keep = np.ones(len(padded), bool)
-        keep[off[1:] + np.arange(n_docs)] = False
-        padded[keep] = data
-        space = is_space(padded)
-        padded[space] = 32
-        take = ~space
-        take[1:] |= space[1:] & ~space[:-1]                  # one blank after each word
-        ends_before = np.concatenate(([0], np.cumsum(space[1:] & ~space[:-1]) if len(space) else []))
-        self.data = padded[take]
-        blank = np.flatnonzero(self.data == 32)
-        self.start = np.concatenate(([0], blank[:-1] + 1)).astype(np.int64) if len(blank) else np.zeros(0, np.int64)
-        self.end = blank.astype(np.int64)
-        last = np.cumsum(sizes + 1) - 1                      # the blank that ends each text
-        self.off = np.concatenate(([0], ends_before[last])).astype(np.int64) if n_docs else np.zeros(1, np.int64)
-        out = np.zeros(len(self.start), np.uint64)
-        first = 0
-        while first < len(self.start):                       # words of about a block of bytes
-            stop = max(first + 1, int(np.searchsorted(self.end, self.start[first] + BLOCK, "right")))
-            lo, hi = self.start[first], self.end[stop - 1]
-            c = _prefix(_BYTE_HASH[self.data[lo:hi]])
-            out[first:stop] = _range_hash(c, self.start[first:stop] - lo, self.end[first:stop] - lo)
-            first = stop
-        self.units = out
+        self.data, self.start, self.end, self.off = normal_words(data, off)
+        self.units = word_hashes(self.data, self.start, self.end)
 
     def text(self, lo: int, hi: int) -> tuple[int, int]:
         """Byte range of units lo..hi."""
