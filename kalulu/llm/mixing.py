@@ -49,9 +49,11 @@ def repetition_rates(docs: DataFrame, weights: dict | None = None, temperature:
         pairs = [x for k, v in weights.items() for x in (F.lit(k), F.lit(float(v)))]
         weight = F.coalesce(F.create_map(*pairs)[F.col("source")], F.lit(0.0)) if pairs else F.lit(0.0)
     n = n.withColumn("weight", weight)
-    total = n.agg(F.sum("weight").alias("all_weight"), F.sum("n_docs").alias("all_docs"))
-    rate = F.col("weight") / F.col("all_weight") * F.col("all_docs") / F.col("n_docs") * F.lit(float(size))
-    return n.join(F.broadcast(total)).select("source", "n_docs", F.when(F.col("all_weight") > 0, rate).otherwise(F.lit(0.0)).alias("rate"))
+    all_weight, all_docs = n.agg(F.sum("weight"), F.sum("n_docs")).first()
+    if not all_weight:
+        return n.select("source", "n_docs", F.lit(0.0).alias("rate"))
+    rate = F.col("weight") / F.lit(all_weight) * F.lit(all_docs) / F.col("n_docs") * F.lit(float(size))
+    return n.select("source", "n_docs", rate.alias("rate"))
 
 
 def _with_distribution(rates: DataFrame) -> DataFrame:
