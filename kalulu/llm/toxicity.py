@@ -10,8 +10,9 @@ words: each kind counts the clauses it occurs in.  The weights of the kinds are
 fitted to ``labels.toxic`` by logistic regression that shrinks to prior
 weights, so that kinds rare in the labels keep a sensible weight.
 
-The insult words are a fixed list and words learned from the labels: those in
-``MIN_TEXTS`` sampled texts or more, nearly all toxic.  Fixed words that the
+The insult words are a fixed list, and words and word beginnings (of
+``STEM_CHARS`` characters) learned from the labels: those in ``MIN_TEXTS``
+sampled texts or more, nearly all toxic.  Fixed words that the
 labels contradict are dropped.  Learning uses the labelled rows outside the
 held-out fold (crc32(doc_id as text) mod 5 is 0), at most about ``SAMPLE_ROWS``
 of them, chosen by a hash of the id.  doc_id, lang, source and labels are never
@@ -37,7 +38,9 @@ from pyspark.sql import functions as F
 from kalulu.llm.common import checked_side, id_crc
 
 SAMPLE_ROWS = 20_000
-MIN_TEXTS = 10
+MIN_TEXTS = 6
+HEAD_CHARS = 48            # sampled texts that begin alike count once: copies are no evidence
+STEM_CHARS = (4, 5, 6)
 FOLDS = 5
 
 # the grammar's words
@@ -109,25 +112,35 @@ _PRIOR = np.array([3.0 * (0.3 if "-" in k else 1) * (0.4 if '"' in k else 1) * (
 
 
 class Grammar:
-    def __init__(self, insults: set[bytes], weights: np.ndarray = _PRIOR):
+    def __init__(self, insults: set[bytes], weights: np.ndarray = _PRIOR, stems: frozenset = frozenset()):
+        """``stems``: beginnings of insults, as text."""
+        self.stems, self.stem_sizes = stems, sorted({len(x) for x in stems})
         self.symbols = {w.encode(): s for s, ws in (("T", THREATS), ("P", TARGETS), ("N", NEGATIONS), ("R", REPORTS)) for w in ws}
         self.symbols |= {w: "I" for w in insults}
         self.loaded = {w for w, s in self.symbols.items() if s in "IT"}
         self.machine = grammar()
         self.weights = weights
 
+    def symbol(self, word: bytes) -> str:
+        known = self.symbols.get(word)
+        if known is None and self.stems:
+            text = word.decode("utf-8", "ignore")
+            known = "I" if any(text[:n] in self.stems for n in self.stem_sizes) else None
+        return known or "O"
+
     def kinds(self, text: str | None) -> dict[str, int]:
         """How many clauses hold each kind of match."""
         raw = (text or "").encode().lower()
         out: Counter = Counter()
-        if self.loaded.isdisjoint(x.strip(_EDGE) for x in raw.split()):
+        symbols = {w: self.symbol(w) for w in {x.strip(_EDGE) for x in raw.split()}}
+        if not any(s in "IT" for s in symbols.values()):
             return out
         for clause in _CLAUSE.split(raw):
-            words = [w.strip(_EDGE) for w in clause.split()]
-            if not self.loaded.isdisjoint(words):
+            read = [symbols.get(w) or self.symbol(w) for w in (x.strip(_EDGE) for x in clause.split())]
+            if "I" in read or "T" in read:
                 state, found = None, set()
-                for w in words:
-                    state, symbol = self.machine.step(state, self.symbols.get(w, "O"))
+                for s in read:
+                    state, symbol = self.machine.step(state, s)
                     if symbol[0] in "IT":
                         found.add(symbol)
                 out.update(found)
@@ -161,13 +174,14 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 2.0) -> np.ndarray:
 
 
 def _labelled_sample(docs: DataFrame, labels: DataFrame, folds: int) -> DataFrame:
-    """text, toxic of about SAMPLE_ROWS labelled documents outside the held-out fold, equal texts once."""
+    """text, toxic of about SAMPLE_ROWS labelled documents outside the held-out fold, one of those that begin alike."""
     mine = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (id_crc() % folds != 0))
     mine = mine.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_toxic"))
     share = min(1.0, SAMPLE_ROWS / max(1, mine.count()))
     picked = checked_side(mine.where(F.pmod(F.xxhash64(F.lit("sample"), "_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
     rows = docs.join(picked, docs["doc_id"].cast("long") == F.col("_id")).select(F.col("text").cast("string").alias("text"), F.col("_toxic").alias("toxic"))
-    return rows.groupBy("text").agg(F.max("toxic").alias("toxic"))
+    best = F.max(F.struct("toxic", F.coalesce("text", F.lit("")).alias("text"))).alias("m")
+    return rows.groupBy(F.substring("text", 1, HEAD_CHARS)).agg(best).select("m.text", "m.toxic")
 
 
 def _words_seen(batches):
@@ -176,6 +190,8 @@ def _words_seen(batches):
         words, label = [], []
         for t, y in zip(text, toxic):
             seen = {w for w in (x.strip(_EDGE) for x in (t or "").encode().lower().split()) if w}
+            text = [w.decode("utf-8", "ignore") for w in seen]
+            seen |= {x[:n].encode() + b"*" for x in text for n in STEM_CHARS if len(x) >= n}
             words += seen
             label += [y] * len(seen)
         yield pa.record_batch({"word": pa.array(words, pa.binary()), "toxic": pa.array(label, pa.int64())})
@@ -194,12 +210,14 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Grammar:
         F.count("*").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= MIN_TEXTS)
     known = [F.lit(w) for w in sorted(fixed)]
     words = words.withColumn("p", F.col("toxic") / F.col("n"))
-    strong = (F.col("p") >= max(0.9, 1 - base / 4)) & ((F.col("p") - base) * F.sqrt("n") >= 8 * (base * (1 - base)) ** 0.5)
+    strong = (F.col("p") >= max(0.9, 1 - base / 4)) & ((F.col("p") - base) * F.sqrt("n") >= 7 * (base * (1 - base)) ** 0.5)
     weak = F.col("word").isin(*known) & (F.col("p") < 2 * base)
     found = words.where(strong | weak).select("word", strong.alias("strong")).collect()   # bounded by the sample
-    insults = (fixed | {bytes(r.word) for r in found if r.strong}) - {bytes(r.word) for r in found if not r.strong}
+    learned = {bytes(r.word) for r in found if r.strong}
+    stems = frozenset(w[:-1].decode() for w in learned if w.endswith(b"*"))
+    insults = (fixed | {w for w in learned if not w.endswith(b"*")}) - {bytes(r.word) for r in found if not r.strong}
     insults -= {w.encode() for ws in (TARGETS, NEGATIONS, REPORTS) for w in ws}
-    grammar_ = Grammar(insults)
+    grammar_ = Grammar(insults, stems=stems)
 
     def features(batches):
         for batch in batches:
@@ -210,7 +228,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Grammar:
     x = np.array([r.x for r in rows for _ in (0, 1)])
     y = np.array([v for _ in rows for v in (1.0, 0.0)])
     m = np.array([v for r in rows for v in (r.t, r.n - r.t)], float)
-    return Grammar(insults, _fit_counted(x, y, m))
+    return Grammar(insults, _fit_counted(x, y, m), stems)
 
 
 def _fit_counted(x: np.ndarray, y: np.ndarray, m: np.ndarray) -> np.ndarray:
