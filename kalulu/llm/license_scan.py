@@ -1,7 +1,7 @@
 """License scans by a trained paragraph classifier (operator 9).
 
 A text is cut into lines, and long lines into windows of ``WINDOW`` words that
-overlap by half.  Hashed word 1- to 3-grams (those of the templates) feed a softmax regression over the
+overlap by half.  Word 1- to 3-grams (those of the templates) feed a softmax regression over the
 licence families and one class for paragraphs that are no licence.  It is
 trained here: on the templates below in varied surroundings, and, for the
 unknown class, on at most ``SAMPLE_LINES`` lines of the corpus (those with the
@@ -27,7 +27,6 @@ from pyspark.sql import functions as F
 from kalulu.llm.common import flat_bytes
 from kalulu.llm.repeats import _mix, word_hashes
 
-FEATURES = 1 << 16
 WINDOW = 60
 SAMPLE_LINES = 4000
 SAMPLE_BYTES = 2000        # of a sampled line, for fitting only
@@ -70,7 +69,7 @@ TEMPLATES = {
         "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY-NC-ND 4.0."],
     "CC0": ["Released into the public domain under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work."],
     "Proprietary": [
-        "Copyright the authors. All rights reserved.", "No part of this publication may be reproduced without prior written permission of the publisher.",
+        "All rights reserved.", "Copyright the authors. All rights reserved.", "No part of this publication may be reproduced without prior written permission of the publisher.",
         "This document is confidential and proprietary. Unauthorized copying is prohibited."],
 }
 # the same words in other uses: fixed values
@@ -124,33 +123,44 @@ class Paragraphs:
         self.hi = np.minimum(self.lo + WINDOW, bound[line])
         self.doc, self.line = doc[line], line - first_line[doc[line]]
 
-    def grams(self) -> list[np.ndarray]:
+    def gram_hashes(self) -> list[np.ndarray]:
         h, out = self.hash, []
         key = np.zeros(len(h), np.uint64)
         for n in range(3):
             key = (key[:-1] if n else key) * np.uint64(0x9E3779B97F4A7C15) + h[n:]
-            out.append((_mix(key + np.uint64(n)) % np.uint64(FEATURES)).astype(np.int64))
+            out.append(_mix(key + np.uint64(n)))
             if len(h) <= n + 1:
                 break
         return out
 
-    def sums(self, weights: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        """Sum of the weight rows of the grams inside each window."""
+    def grams(self, known: np.ndarray) -> list[np.ndarray]:
+        """Number of each gram among ``known`` (sorted hashes), or one past the last."""
+        out = []
+        for h in self.gram_hashes():
+            i = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            out.append(np.where(known[i] == h, i, len(known)))
+        return out
+
+    def hits(self, known: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, number of a known gram in it) pairs, each once."""
+        pairs = [np.zeros(0, np.int64)]
+        for n, g in enumerate(self.grams(known)):
+            at = np.flatnonzero(g < len(known))
+            first = np.searchsorted(at, lo)
+            size = np.maximum(0, np.searchsorted(at, hi - n) - first)
+            window = np.repeat(np.arange(len(lo)), size)
+            nth = np.arange(len(window)) - np.repeat(np.cumsum(size) - size, size)
+            pairs.append(window * len(known) + g[at[first[window] + nth]])
+        pairs = np.unique(np.concatenate(pairs))
+        return pairs // len(known), pairs % len(known)
+
+    def sums(self, known: np.ndarray, weights: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Sum of the weight rows of the grams inside each window, each gram once."""
         out = np.zeros((len(lo), weights.shape[1]))
-        grams = self.grams()
-        step = 1 << 15                                    # words at a time; windows are short
-        order = np.argsort(lo, kind="stable")
-        cut = np.searchsorted(lo[order], np.arange(0, len(self.hash) + step, step))
-        for a, b in zip(cut[:-1], cut[1:]):
-            if a == b:
-                continue
-            s = order[a:b]
-            base, top = lo[s[0]], int(hi[s].max())
-            for n, g in enumerate(grams):
-                c = np.zeros((max(0, min(top, len(g)) - base) + 1, weights.shape[1]))
-                np.cumsum(weights[g[base:top]], axis=0, out=c[1:])
-                ends = np.maximum(hi[s] - n, lo[s]) - base
-                out[s] += c[np.minimum(ends, len(c) - 1)] - c[np.minimum(lo[s] - base, len(c) - 1)]
+        window, gram = self.hits(known, lo, hi)
+        if len(window):
+            head = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+            out[window[head]] = np.add.reduceat(weights[gram].astype(np.float64), head, axis=0)
         return out
 
     def text(self, i: int) -> str:
@@ -217,22 +227,20 @@ def training_texts(lines: list[str], seed: int = 9) -> tuple[list[str], np.ndarr
     return texts, np.array(y)
 
 
-def _known_features() -> np.ndarray:
-    """The hashed n-grams of the templates and of the other uses: the only features."""
+def _known_grams() -> np.ndarray:
+    """Hashes of the n-grams of the templates and of the other uses: the only features,
+    so that surroundings do not outweigh a notice."""
     p = _paragraphs([t for ts in TEMPLATES.values() for t in ts] + OTHER_USES)
-    known = np.zeros(FEATURES, bool)
-    for n, g in enumerate(p.grams()):
-        for lo, hi in zip(p.lo, p.hi):
-            known[g[lo:max(lo, hi - n)]] = True
-    return known
+    found = [g[lo:max(lo, hi - n)] for n, g in enumerate(p.gram_hashes()) for lo, hi in zip(p.lo, p.hi)]
+    return np.unique(np.concatenate(found))
 
 
 class Classifier:
-    def __init__(self, weights: np.ndarray, bias: np.ndarray, temperature: float, least: float):
-        self.weights, self.bias, self.temperature, self.least = weights, bias, temperature, least
+    def __init__(self, known: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float, least: float):
+        self.known, self.weights, self.bias, self.temperature, self.least = known, weights, bias, temperature, least
 
     def probabilities(self, p: Paragraphs) -> np.ndarray:
-        z = (p.sums(self.weights, p.lo, p.hi) + self.bias) / self.temperature
+        z = (p.sums(self.known, self.weights, p.lo, p.hi) + self.bias) / self.temperature
         z = np.exp(z - z.max(axis=1, keepdims=True)) if len(z) else z
         return z / z.sum(axis=1, keepdims=True)
 
@@ -243,23 +251,12 @@ def fit(lines: list[str], steps: int = 60, rate: float = 0.3, decay: float = 1e-
     p = _paragraphs(texts)
     keep = np.unique(p.doc, return_index=True)[1]         # the first window of each text
     y, lo, hi = y[p.doc[keep]], p.lo[keep], p.hi[keep]
-    rows = [(np.repeat(np.arange(len(lo)), np.maximum(0, hi - lo - n)), n) for n in range(3)]
-    grams = p.grams()
-    idx, row = [], []
-    for r, n in rows:
-        size = np.maximum(0, hi - lo - n)
-        at = np.arange(len(r)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)
-        idx.append(grams[n][at])
-        row.append(r)
-    idx, row = np.concatenate(idx), np.concatenate(row)
-    known = _known_features()                             # surroundings must not outweigh the notice
-    idx, row = idx[known[idx]], row[known[idx]]
-    order = np.argsort(row, kind="stable")
-    idx, row = idx[order], row[order]
+    known = _known_grams()
+    row, idx = p.hits(known, lo, hi)
     fold = np.random.default_rng(1).random(len(y)) < 0.2
     k = len(FAMILIES)
     one = np.eye(k)[y]
-    w, b = np.zeros((FEATURES, k)), np.zeros(k)
+    w, b = np.zeros((len(known), k)), np.zeros(k)
     gw, gb = np.full_like(w, 1e-6), np.full(k, 1e-6)
     used, inverse = np.unique(idx, return_inverse=True)
     by = np.argsort(inverse, kind="stable")
@@ -289,7 +286,7 @@ def fit(lines: list[str], steps: int = 60, rate: float = 0.3, decay: float = 1e-
     wrong = np.sort(q[yh == UNKNOWN, :UNKNOWN].max(axis=1))[::-1]
     allowed = int(len(wrong) * FALSE_RATE)
     least = max(2 / k, float(wrong[min(allowed, len(wrong) - 1)]) + 1e-6) if len(wrong) else 0.5
-    return Classifier(w.astype(np.float32), b, float(t), min(least, 0.999))
+    return Classifier(known, w.astype(np.float32), b, float(t), min(least, 0.999))
 
 
 def sample_lines(docs: DataFrame) -> list[str]:
@@ -308,7 +305,7 @@ _FOUND = "doc_id bigint, line bigint, family string, probability double, similar
 
 def scan(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """A row per line and licence family named in it."""
-    shared = docs.sparkSession.sparkContext.broadcast(classifier)   # FEATURES x families
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)   # the templates' n-grams x families
 
     def run(batches):
         model = shared.value
