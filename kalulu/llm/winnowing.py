@@ -29,7 +29,7 @@ GRAM, WINDOW = 4, 8
 MODULUS = 2 ** 31 - 1
 BASE = 1_000_003
 POSITIONS = 2 ** 31
-RANGE_BYTES = 16 << 20     # text of the neighbouring ids that one task holds
+RANGE_BYTES = 4 << 20     # text of the neighbouring ids that one task holds
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
