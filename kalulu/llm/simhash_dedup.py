@@ -93,7 +93,9 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Links (a, b) between the distinct fingerprints ``fp``: enough to connect all within ``max_bits`` <= 2."""
     if max_bits > 2:
         raise ValueError("the grid covers up to two differing bits")
-    at = prints.select("fp", F.explode(_grid_points(F.col("fp"))).alias("point"))
+    # each fingerprint becomes 33 rows: spread them first, adaptive coalescing looks at the bytes before
+    width = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = prints.repartition(width, "fp").select("fp", F.explode(_grid_points(F.col("fp"))).alias("point"))
     # points that hold two or more; their fullness decides how they are verified
     full = at.groupBy("point").agg(F.count("*").alias("n")).where("n > 1")
     at = at.join(full, "point")
@@ -141,4 +143,4 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFra
     """
     keep = simhash_components(docs, shingle, max_bits).where(
         F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["_kept"]), "left_semi")
