@@ -250,4 +250,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """The rows of ``docs`` whose document holds no benchmark item."""
     bad = contaminated(docs, benchmark, threshold, overlap).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")

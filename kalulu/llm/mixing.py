@@ -72,16 +72,16 @@ def mix(docs: DataFrame, weights: dict | None = None, temperature: float = TEMPE
     """The columns of ``docs``, ``copy`` (0, 1, ...) and ``shuffle_key``, in shuffled order."""
     rates = checked_side(_with_distribution(repetition_rates(docs, weights, temperature, size)))
     docs = docs.drop("copy", "shuffle_key")
-    out = docs.columns
-    doc_id = F.coalesce(docs["doc_id"].cast("string"), F.lit(""))
-    rows = docs.join(rates, docs["source"].cast("string").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("_draw", F.explode(F.sequence(F.lit(0), F.col("_rate.draws") - 1)))
-    u = _uniform(_hashed(F.lit(seed), doc_id, F.col("_draw").cast("string")))
-    rows = rows.withColumn("_u", u)
-    count = F.size(F.filter("_rate.cdf", lambda c: c <= F.col("_u")))
-    rows = rows.withColumn("_n", count).where("_n > 0").withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    key = F.substring(_hashed(F.lit(seed), doc_id, F.col("_draw").cast("string"), F.col("_k").cast("string"), F.lit("key")), 1, 16)
-    rows = rows.select(*[F.col(f"`{c}`") for c in out], (F.col("_draw").cast("long") * 1_000_000 + F.col("_k")).alias("copy"), key.alias("shuffle_key"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")     # no name of a document can clash
+    rows = docs.select(row, F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("source").cast("string").alias("source"))
+    rows = rows.join(rates, F.col("source").eqNullSafe(F.col("_source")))
+    rows = rows.withColumn("draw", F.explode(F.sequence(F.lit(0), F.col("_rate.draws") - 1)))
+    rows = rows.withColumn("u", _uniform(_hashed(F.lit(seed), F.col("id"), F.col("draw").cast("string"))))
+    rows = rows.withColumn("n", F.size(F.filter("_rate.cdf", lambda c: c <= F.col("u")))).where("n > 0")
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    key = F.substring(_hashed(F.lit(seed), F.col("id"), F.col("draw").cast("string"), F.col("k").cast("string"), F.lit("key")), 1, 16)
+    rows = rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns],
+                       (F.col("draw").cast("long") * 1_000_000 + F.col("k")).alias("copy"), key.alias("shuffle_key"))
     return rows.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 

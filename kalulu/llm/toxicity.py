@@ -179,7 +179,8 @@ def _labelled_sample(docs: DataFrame, labels: DataFrame, folds: int) -> DataFram
     mine = mine.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_toxic"))
     share = min(1.0, SAMPLE_ROWS / max(1, mine.count()))
     picked = checked_side(mine.where(F.pmod(F.xxhash64(F.lit("sample"), "_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
-    rows = docs.join(picked, docs["doc_id"].cast("long") == F.col("_id")).select(F.col("text").cast("string").alias("text"), F.col("_toxic").alias("toxic"))
+    rows = docs.join(picked, docs["doc_id"].cast("long") == picked["_id"]).select(
+        docs["text"].cast("string").alias("text"), picked["_toxic"].alias("toxic"))
     best = F.max(F.struct("toxic", F.coalesce("text", F.lit("")).alias("text"))).alias("m")
     return rows.groupBy(F.substring("text", 1, HEAD_CHARS)).agg(best).select("m.text", "m.toxic")
 
