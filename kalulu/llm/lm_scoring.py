@@ -15,7 +15,8 @@ Everything is learned from the training documents, by Spark jobs that cover
 them all: document sketches are clustered into topics (Lloyd's rounds over a
 checkpointed table); word counts per topic are gathered by shards of the
 vocabulary, which answer every bucket of documents with its words' counts and
-classes; the class weights are trained in ``ROUNDS`` rounds of distributed
+classes; each bucket is written once as coded tokens (checkpointed), which the
+later passes read without a shuffle; the class weights are trained in ``ROUNDS`` rounds of distributed
 gradient updates: each bucket runs AdaGrad steps over its tokens from the
 shared weights, and the token-weighted mean of the results, summed in a tree,
 is the next round's start.  Scores are computed in numpy batches over the
@@ -33,6 +34,7 @@ the score is that base.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -197,6 +199,15 @@ class Vocabulary:
     spread: np.ndarray       # of each topic's lowest band: words seen once and unseen
 
 
+def _sum_stats(batches):
+    """The shards' sizes that came with the buckets of a task, summed."""
+    total = np.zeros(4 * END)
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            total += np.frombuffer(raw, np.float64).reshape(-1, 4 * END).sum(axis=0)
+    yield pa.record_batch({"s": pa.array([total.tobytes()], pa.binary())})
+
+
 def _vocabulary(stats: np.ndarray, n_train: int) -> Vocabulary:
     stats = stats.reshape(4, END) if stats.size else np.zeros((4, END))
     sizes = np.append(stats[0], n_train)
@@ -206,42 +217,69 @@ def _vocabulary(stats: np.ndarray, n_train: int) -> Vocabulary:
     return Vocabulary(int(sizes.sum()), int(stats[1].sum()) + (n_train > 0), np.log(share), sizes, once + unseen)
 
 
-class Encoded:
-    """A bucket's tokens with ends: counts, classes, features, log P(token | class)."""
+UNKNOWN = CLASSES                          # the code of a word that training never saw; as context, as START + 1 would be
+
+_CODED = "b int, rows binary, coded binary, stats binary"
+_CODED_SCHEMA = pa.schema([("b", pa.int32()), ("rows", pa.binary()), ("coded", pa.binary()), ("stats", pa.binary())])
+
+
+def _encode(shards: int):
+    """Bucket: its tokens as class codes and hashed words, and its documents with their sums of log counts.
 
-    def __init__(self, table: pa.Table, reply: pa.Table, shards: int, v: Vocabulary):
+    Three bytes a token, packed: later passes neither tokenise nor shuffle.
+    """
+    def run(table: pa.Table, reply: pa.Table) -> pa.Table:
+        got = {r["shard"]: r for r in reply.to_pylist()}
+        stats = b"".join(r["stats"] for r in got.values() if r["stats"]) or None
+        if not len(table):
+            return pa.Table.from_pylist([], schema=_CODED_SCHEMA)
         t = Tokens(table["text"])
         words, inverse = np.unique(t.word, return_inverse=True)
         order, which, at = _by_shard(words, shards)
         count, topic = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        got = {r["shard"]: r for r in reply.to_pylist()}
         for s, x, y in zip(which, at[:-1], at[1:]):
             count[order[x:y]] = np.frombuffer(got[int(s)]["count"], np.int64)
             topic[order[x:y]] = np.frombuffer(got[int(s)]["topic"], np.uint8)
         n_docs = len(t.off) - 1
-        n = len(t.word) + n_docs
         end = t.off[1:] + np.arange(n_docs)                   # places of the end tokens
-        word = np.ones(n, bool)
+        word = np.ones(len(t.word) + n_docs, bool)
         word[end] = False
-        self.off = np.concatenate(([0], end + 1))
-        self.doc = np.repeat(np.arange(n_docs), np.diff(self.off))
-        self.count = np.full(n, v.tokens_of[END], np.int64)
-        self.count[word] = count[inverse]
-        self.cls = np.full(n, END, np.int64)
-        self.cls[word] = (topic * BANDS + band_of(count))[inverse]
-        self.unknown = np.zeros(n, bool)
-        self.unknown[word] = count[inverse] == 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            inside = np.log(self.count / v.tokens_of[self.cls])
-        low = (self.cls % BANDS == 0) & (self.cls < END)
-        inside[low] = -np.log(v.spread[self.cls[low] // BANDS])
-        inside[self.cls == END] = 0.0
-        self.inside = inside
-        hashed = np.zeros(n, np.int64)
-        hashed[word] = (_mix(words + np.uint64(5)) % np.uint64(WORD_FEATURES)).astype(np.int64)[inverse]
-        # the tokens before, START before the first
-        place = np.arange(n) - self.off[:-1][self.doc]
-        context = np.where(self.unknown, END, self.cls)        # END is no context: it stands for a word without a topic
+        code = np.full(len(word), END, np.uint8)
+        code[word] = np.where(count > 0, topic * BANDS + band_of(count), UNKNOWN).astype(np.uint8)[inverse]
+        hashed = np.zeros(len(word), np.uint16)
+        hashed[word] = (_mix(words + np.uint64(5)) % np.uint64(WORD_FEATURES)).astype(np.uint16)[inverse]
+        known = np.bincount(t.doc, count[inverse] > 0, n_docs)
+        plus_one = np.bincount(t.doc, np.log(count + 1.0)[inverse], n_docs)
+        above = np.bincount(t.doc, np.log(np.maximum(count, 1.0))[inverse], n_docs)   # words seen once add nothing
+        docs = pa.table({
+            "doc_id": table["doc_id"], "held": table["held"], "n": np.diff(t.off) + 1, "known": known.astype(np.int64),
+            "plus_one": plus_one, "above": above})
+        return pa.Table.from_pylist([{
+            "b": table["b"][0].as_py(), "rows": _to_ipc(docs), "stats": stats,
+            "coded": zlib.compress(code.tobytes() + hashed.tobytes(), 1)}], schema=_CODED_SCHEMA)
+    return run
+
+
+def _to_ipc(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+class Encoded:
+    """A bucket's tokens read back: class codes, features, and its documents."""
+
+    def __init__(self, row: dict):
+        self.docs = pa.ipc.open_stream(row["rows"]).read_all()
+        sizes = self.docs["n"].to_numpy()
+        raw = zlib.decompress(row["coded"])
+        n = int(sizes.sum())
+        self.cls = np.frombuffer(raw[:n], np.uint8).astype(np.int64)
+        hashed = np.frombuffer(raw[n:], np.uint16).astype(np.int64)
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        context = np.where(self.cls == UNKNOWN, END, self.cls)   # END is no context: it stands for a word without a topic
 
         def back(x, k, none):
             out = np.full(n, none)
@@ -267,67 +305,71 @@ def _logits(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.n
     return z + bias
 
 
-def _train(weights_of, shards: int, v: Vocabulary, rate: float = 0.5):
-    """Bucket: AdaGrad steps over its training tokens; returns tokens * weights, and tokens."""
-    def run(table: pa.Table, reply: pa.Table) -> pa.Table:
-        rows = []
-        keep = table.filter(pa.compute.invert(table["held"])) if len(table) else table
-        if len(keep):
-            e = Encoded(table, reply, shards, v)
-            mine = ~table["held"].to_numpy(zero_copy_only=False)[e.doc]
-            features, cls = e.features[mine], e.cls[mine]
-            w = weights_of.value.astype(np.float32)
-            bias = v.log_share.astype(np.float32)
-            seen = np.full(w.shape, 1e-4, np.float32)
-            for lo in range(0, len(cls), BATCH):
-                f, y = features[lo:lo + BATCH], cls[lo:lo + BATCH]
-                r = np.exp(_log_softmax(_logits(w, bias, f)))
-                r[np.arange(len(y)), y] -= 1
-                g = np.empty_like(w)
-                flat = f.T.reshape(-1)
-                for k in range(CLASSES):
-                    g[:, k] = np.bincount(flat, np.tile(r[:, k], f.shape[1]), FEATURES)
-                g /= np.sqrt(len(y))
-                seen += g * g
-                w -= rate * g / np.sqrt(seen)
-            n = len(cls)
-            rows.append({"s": np.append((w * (n / 1e6)).reshape(-1), n / 1e6).astype(np.float32).tobytes()})
-        return pa.Table.from_pylist(rows, schema=pa.schema([("s", pa.binary())]))
+def _train(weights_of, v: Vocabulary, rate: float = 0.5):
+    """AdaGrad steps over the training tokens of each bucket; yields tokens * weights, and tokens, summed over a task's buckets."""
+    def run(batches):
+        total = np.zeros(FEATURES * CLASSES + 1)
+        start = weights_of.value.astype(np.float32)
+        bias = v.log_share.astype(np.float32)
+        for batch in batches:
+            for row in batch.to_pylist():
+                e = Encoded(row)
+                # a training word is known; only words of held-out documents are not
+                mine = ~e.docs["held"].to_numpy(zero_copy_only=False)[e.doc]
+                features, cls = e.features[mine], e.cls[mine]
+                if not len(cls):
+                    continue
+                w = start.copy()
+                seen = np.full(w.shape, 1e-4, np.float32)
+                for lo in range(0, len(cls), BATCH):
+                    f, y = features[lo:lo + BATCH], cls[lo:lo + BATCH]
+                    r = np.exp(_log_softmax(_logits(w, bias, f)))
+                    r[np.arange(len(y)), y] -= 1
+                    g = np.empty_like(w)
+                    flat = f.T.reshape(-1)
+                    for k in range(CLASSES):
+                        g[:, k] = np.bincount(flat, np.tile(r[:, k], f.shape[1]), FEATURES)
+                    g /= np.sqrt(len(y))
+                    seen += g * g
+                    w -= rate * g / np.sqrt(seen)
+                total[:-1] += w.reshape(-1) * (len(cls) / 1e6)
+                total[-1] += len(cls) / 1e6
+        yield pa.record_batch({"s": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
     return run
 
 
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
-def _score(weights_of, shards: int, v: Vocabulary):
-    def run(table: pa.Table, reply: pa.Table) -> pa.Table:
-        if not len(table):
-            return pa.Table.from_pylist([], schema=_OUT)
-        e = Encoded(table, reply, shards, v)
+def _score(weights_of, v: Vocabulary, n_train: int):
+    def run(batches):
         w, bias = weights_of.value.astype(np.float32), v.log_share.astype(np.float32)
-        log_p = np.empty(len(e.cls))
         lowest = np.arange(TOPICS) * BANDS
-        for lo in range(0, len(e.cls), BATCH):
-            y = e.cls[lo:lo + BATCH]
-            z = _log_softmax(_logits(w, bias, e.features[lo:lo + BATCH])).astype(np.float64)
-            p = z[np.arange(len(y)), y] + e.inside[lo:lo + BATCH]
-            new = np.flatnonzero(e.unknown[lo:lo + BATCH])
-            p[new] = np.log((np.exp(z[new][:, lowest]) / v.spread).sum(axis=1))
-            log_p[lo:lo + BATCH] = p
-        base = np.log10((e.count + 1) / (v.tokens + v.types + 1))
-        n = len(e.off) - 1
-        return pa.table({
-            "doc_id": table["doc_id"], "held_out": table["held"], "n_tokens": np.diff(e.off),
-            "n_known": np.bincount(e.doc, e.count > 0, n).astype(np.int64), "train_tokens": np.full(n, v.tokens, np.int64),
-            "base_score": np.bincount(e.doc, base, n), "score": np.bincount(e.doc, log_p / LOG10, n) if v.tokens else np.bincount(e.doc, base, n),
-        }).cast(_OUT)
+        with np.errstate(divide="ignore"):
+            inside = -np.log(np.append(v.tokens_of, 1.0))       # of a class; a word's own log count is in its document's sum
+        inside[lowest], inside[END], inside[UNKNOWN] = -np.log(v.spread), 0.0, 0.0
+        for batch in batches:
+            for row in batch.to_pylist():
+                e = Encoded(row)
+                n = len(e.docs)
+                score = e.docs["above"].to_numpy().copy()
+                for lo in range(0, len(e.cls), BATCH):
+                    y = e.cls[lo:lo + BATCH]
+                    z = _log_softmax(_logits(w, bias, e.features[lo:lo + BATCH])).astype(np.float64)
+                    p = z[np.arange(len(y)), np.minimum(y, END)] + inside[y]
+                    new = np.flatnonzero(y == UNKNOWN)
+                    p[new] = np.log((np.exp(z[new][:, lowest]) / v.spread).sum(axis=1))
+                    score += np.bincount(e.doc[lo:lo + BATCH], p, n)
+                size = e.docs["n"].to_numpy()
+                base = (e.docs["plus_one"].to_numpy() + np.log(n_train + 1.0) - size * np.log(v.tokens + v.types + 1.0)) / LOG10
+                yield pa.record_batch({
+                    "doc_id": e.docs["doc_id"].combine_chunks(), "held_out": e.docs["held"].combine_chunks(), "n_tokens": pa.array(size, pa.int64()),
+                    "n_known": pa.array(e.docs["known"].to_numpy() + (n_train > 0), pa.int64()),
+                    "train_tokens": pa.array(np.full(n, v.tokens), pa.int64()), "base_score": pa.array(base, pa.float64()),
+                    "score": pa.array(score / LOG10 if v.tokens else base, pa.float64())})
     return run
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-                  ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-
-
 def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row; reads doc_id and text only."""
     spark = docs.sparkSession
@@ -339,15 +381,14 @@ def score_documents(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OU
     centres = fit_topics(base.where(~F.col("held")), buckets)
     base = base.withColumn("b", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
     asked = base.groupBy("b").applyInArrow(_ask(centres, shards), "shard int, b int, words binary, at binary, topic binary, n binary")
-    answers = checkpoint(asked.groupBy("shard").applyInArrow(_answer, "b int, shard int, count binary, topic binary, stats binary"))
-    found = answers.where("stats is not null").select(F.col("stats").alias("s"))
-    v = _vocabulary(_tree_sum(found, np.float64, shards), n_train)
-    replies = answers.drop("stats")
+    answers = asked.groupBy("shard").applyInArrow(_answer, "b int, shard int, count binary, topic binary, stats binary")
+    coded = checkpoint(base.groupBy("b").cogroup(answers.groupBy("b")).applyInArrow(_encode(shards), _CODED))
+    found = coded.where("stats is not null").select(F.col("stats").alias("s")).mapInArrow(_sum_stats, "s binary")
+    v = _vocabulary(_tree_sum(found, np.float64, buckets), n_train)
     weights = np.zeros((FEATURES, CLASSES), np.float32)
     for _ in range(rounds if v.tokens else 0):
         shared = spark.sparkContext.broadcast(weights.astype(np.float16))     # FEATURES x CLASSES, whatever the data
-        done = base.groupBy("b").cogroup(replies.groupBy("b")).applyInArrow(_train(shared, shards, v), "s binary")
-        mean = _tree_sum(done, np.float32, buckets)
+        mean = _tree_sum(coded.select("rows", "coded").mapInArrow(_train(shared, v), "s binary"), np.float32, buckets)
         weights = (mean[:-1] / mean[-1]).reshape(weights.shape)
     shared = spark.sparkContext.broadcast(weights.astype(np.float16))
-    return base.groupBy("b").cogroup(replies.groupBy("b")).applyInArrow(_score(shared, shards, v), _SCORED)
+    return coded.select("rows", "coded").mapInArrow(_score(shared, v, n_train), _SCORED)
