@@ -42,8 +42,8 @@ from kalulu.llm.common import NULL_ID, flat_bytes, is_space, parts_for, text_byt
 
 BUCKET_BYTES = 2 << 20      # text in one bucket of documents
 SHARD_BYTES = 8 << 20       # text whose anchors meet in one shard
-BLOCK = 1 << 20             # units hashed at a time
-MATCH_UNITS = 1 << 20       # units given to a matcher at a time
+BLOCK = 1 << 17             # units hashed at a time
+MATCH_UNITS = 1 << 18       # units given to a matcher at a time
 HOT_COPIES = 50_000         # anchors with more copies are cut by context ...
 CUT_WINDOWS = 16            # ... into pieces of so many windows
 HOT_AGAIN = 64 * HOT_COPIES  # and beyond this into single windows
@@ -265,7 +265,7 @@ def _cut(b: Bucket, first, count, anchor, key, hot):
         out[1].append(np.diff(np.append(head, len(s))))
         at, cls = a[run][head], q[head]
         lo = at - cls * g
-        hi = at - (cls * g + g - 1) + L
+        hi = at - np.minimum(cls * g + g - 1, L - b.spec.gram) + L     # an anchor has L - gram + 1 places
         out[2].append(_range_hash(c, lo, hi) ^ _mix(cls.astype(np.uint64) + np.uint64(1)))
     order = np.argsort(np.concatenate(out[0]), kind="stable")
     return tuple(np.concatenate(x)[order] for x in out)

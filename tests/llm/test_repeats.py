@@ -1,12 +1,15 @@
 """Operators 2 and 10 against brute force."""
 
 import random
+import zlib
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from kalulu.llm import repeats
-from kalulu.llm.substring_dedup import SuffixAutomaton, substring_dedup
-from kalulu.llm.suffix_dedup import suffix_dedup, suffix_dedup_texts
+from kalulu.llm.substring_dedup import SuffixAutomaton, automaton_matcher, substring_dedup
+from kalulu.llm.suffix_dedup import lpf_matcher, suffix_dedup, suffix_dedup_texts
 
 SCHEMA = "text string, doc_id bigint, n_removed string, b int"
 
@@ -65,11 +68,8 @@ def corpus(seed, n_docs=60):
     return docs
 
 
-@pytest.mark.parametrize("buckets,hot", [(None, None), (400, None), (400, 3), (900, 1)])
-def test_against_brute_force(spark, monkeypatch, buckets, hot):
-    if hot:
-        monkeypatch.setattr(repeats, "HOT_COPIES", hot)
-        monkeypatch.setattr(repeats, "HOT_AGAIN", 8 * hot)
+@pytest.mark.parametrize("buckets", [None, 400, 900])
+def test_against_brute_force(spark, monkeypatch, buckets):
     if buckets:
         monkeypatch.setattr(repeats, "BUCKET_BYTES", buckets)
         monkeypatch.setattr(repeats, "SHARD_BYTES", 3 * buckets)
@@ -81,6 +81,37 @@ def test_against_brute_force(spark, monkeypatch, buckets, hot):
     assert got == brute_bytes(docs, 40)
 
 
+def in_process(docs, spec, matcher, buckets, shards):
+    """The steps of remove_repeats without Spark, so that this process's constants hold."""
+    def by(table, column):
+        return {k: table.filter(pa.compute.equal(table[column], k)) for k in set(table[column].to_pylist())}
+    table = pa.table({
+        "rest": pa.array([{"doc_id": d} for d, _ in docs]), "text": pa.array([t or "" for _, t in docs]),
+        "k": pa.array([d for d, _ in docs]), "h": pa.array([zlib.crc32((t or "").encode()) for _, t in docs], pa.int64()),
+        "b": pa.array([zlib.crc32(str(d).encode()) % buckets for d, _ in docs], pa.int32())})
+    mine = by(table, "b")
+    anchors = pa.concat_tables([repeats._report_anchors(spec, shards)(t) for t in mine.values()])
+    repeated = pa.concat_tables([repeats._repeated_anchors(t) for t in by(anchors, "shard").values()])
+    asked = by(repeated, "b")
+    none = repeated.slice(0, 0)
+    pieces = pa.concat_tables([repeats._send_pieces(spec, shards)(t, asked.get(b, none)) for b, t in mine.items()])
+    verdicts = [repeats._judge(spec, matcher)(t) for t in by(pieces, "shard").values()]
+    replies = by(pa.concat_tables([repeated, *verdicts]), "b")
+    out = [repeats._remove(spec)(t, replies.get(b, none)) for b, t in mine.items()]
+    return pa.concat_tables(out).to_pylist()
+
+
+@pytest.mark.parametrize("block,units,hot,again", [(64, 200, 10 ** 9, 10 ** 9), (1 << 17, 1 << 18, 3, 10), (100, 500, 1, 2), (37, 10 ** 6, 2, 10 ** 9)])
+def test_blocks_and_hot_anchors(monkeypatch, block, units, hot, again):
+    for name, value in (("BLOCK", block), ("MATCH_UNITS", units), ("HOT_COPIES", hot), ("HOT_AGAIN", again)):
+        monkeypatch.setattr(repeats, name, value)
+    docs = corpus(block, 45)
+    got = in_process(docs, repeats.Spec("word", 13, 5, False), automaton_matcher(13), 7, 3)
+    assert sorted(((r["rest"]["doc_id"], r["n_units"], r["n_removed"], r["kept"].decode()) for r in got), key=str) == brute_words(docs, 13)
+    got = in_process(docs, repeats.Spec("byte", 40, 13, True), lpf_matcher(40), 7, 3)
+    assert sorted(((r["rest"]["doc_id"], r["n_units"], r["n_removed"], len(r["spans"]), r["kept"]) for r in got), key=str) == brute_bytes(docs, 40)
+
+
 def test_ties_nulls_and_repeated_rows(spark):
     p = " ".join(f"w{i}" for i in range(20))
     df = spark.createDataFrame(rows_of([(5, p), (5, p), (None, p + " end"), (None, p), (7, p), (5, p + " more")]), SCHEMA)
