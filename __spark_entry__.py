@@ -15,14 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kalulu import constants as K
 from kalulu.sources.fixtures import Warehouse
+from kalulu.sources.normalise import NormalisedWarehouse
 
 SF_SMOKE = "/root/testdata/sf0.001"
 START = _dt.date(2000, 4, 1)
 END = _dt.date(2000, 6, 30)
+BOUNDS = (_dt.date(1996, 1, 1), _dt.date(1998, 12, 31))   # of the bounded test lookups
 
 
-def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, sf_dir)
+def _wh(spark: SparkSession, sf_dir: str) -> NormalisedWarehouse:
+    return NormalisedWarehouse(Warehouse(spark, sf_dir))
 
 
 def _q_moh_tx_mmd(spark, sf_dir):
@@ -144,23 +146,34 @@ def _q_ident(spark, sf_dir):
     return formatted_identifiers(_wh(spark, sf_dir))
 
 
-def _q_latest_test(spark, sf_dir):
-    from kalulu.plans.functions_queries import latest_test_result
-    from kalulu.plans.loaders.art import load_lab_tests_vl
-    wh = _wh(spark, sf_dir)
-    return latest_test_result(wh, load_lab_tests_vl(wh), offset=1)
+def _tests(fn_name, **kw):
+    """A lookup over the one lab-test table, for a test type and bounds."""
+    def run(spark, sf_dir):
+        from kalulu.plans import functions_queries
+        from kalulu.plans.loaders.lab import load_lab_tests
+        return getattr(functions_queries, fn_name)(load_lab_tests(_wh(spark, sf_dir)), **kw)
+    return run
+
 
+def _loaded(spark, sf_dir):
+    """The warehouse that the loaders make of the observations."""
+    from kalulu.sources.warehouse import LoadedWarehouse
+    return LoadedWarehouse(_wh(spark, sf_dir))
 
-def _q_first_test(spark, sf_dir):
-    from kalulu.plans.functions_queries import first_test_result
-    from kalulu.plans.loaders.art import load_lab_tests_vl
-    return first_test_result(load_lab_tests_vl(_wh(spark, sf_dir)), "Viral Load", END)
+
+def _q_loaded_mmd(spark, sf_dir):
+    from kalulu.plans.reports.mmd import tx_mmd
+    return tx_mmd(_loaded(spark, sf_dir), END, cutoff=K.MOH_CUTOFF_DAYS)
 
 
-def _q_test_by_sample(spark, sf_dir):
-    from kalulu.plans.functions_queries import latest_test_by_sample_date
-    from kalulu.plans.loaders.art import load_lab_tests_vl
-    return latest_test_by_sample_date(load_lab_tests_vl(_wh(spark, sf_dir)), "Viral Load", offset=0)
+def _q_loaded_cohort(spark, sf_dir):
+    from kalulu.plans.reports.cohort_disaggregated import cohort_disaggregated
+    return cohort_disaggregated(_loaded(spark, sf_dir), START, END, cutoff=K.MOH_CUTOFF_DAYS)
+
+
+def _q_loaded_tx_new(spark, sf_dir):
+    from kalulu.plans.reports.tx_new import tx_new
+    return tx_new(_loaded(spark, sf_dir), START, END)
 
 
 def _q_regimen(offset):
@@ -200,7 +213,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_art_followup": _loader("load_art_followup"),
     "load_art_initial": _loader("load_art_initial"),
     "load_art_visits": _loader("load_art_visits"),
-    "load_lab_tests_vl": _loader("load_lab_tests_vl"),
+    "load_lab_tests": _loader("load_lab_tests", "lab"),
+    "load_lab_tests_vl": _loader("load_lab_tests_vl", "lab"),
     "load_art_register": _q_register,
     "load_pre_art_register": _loader("load_pre_art_register", "register"),
     "load_eid_register": _loader("load_eid_register", "register"),
@@ -213,12 +227,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_pre_art_visits": _loader("load_pre_art_visits", "wide"),
     "load_art_followup_testing": _loader("load_art_followup_testing", "wide"),
     "load_art_viral_load": _loader("load_art_viral_load", "wide"),
-    "load_lab_tests_hiv": _loader("load_lab_tests_hiv", "wide"),
+    "load_lab_tests_hiv": _loader("load_lab_tests_hiv", "lab"),
     "fn_parent_health_facility": _q_parent,
     "fn_identifier_format": _q_ident,
-    "fn_latest_test_result_offset1": _q_latest_test,
-    "fn_first_test_result_by_date_entered": _q_first_test,
-    "fn_latest_test_result_by_sample_date": _q_test_by_sample,
+    "fn_latest_test_result_offset0": _tests("latest_test_result", test_type="Viral Load"),
+    "fn_latest_test_result_offset1": _tests("latest_test_result", test_type="Viral Load", offset=1),
+    "fn_latest_test_result_hiv_bounded": _tests("latest_test_result", test_type="HIV test", date_from=BOUNDS[0], date_to=BOUNDS[1]),
+    "fn_first_test_result_by_date_entered": _tests("first_test_result", test_type="Viral Load", end=END),
+    "fn_first_test_result_hiv_unbounded": _tests("first_test_result", test_type="HIV test"),
+    "fn_latest_test_result_by_sample_date": _tests("latest_test_by_sample_date", test_type="Viral Load"),
+    "fn_latest_test_by_sample_date_hiv_bounded": _tests("latest_test_by_sample_date", test_type="HIV test", date_from=BOUNDS[0], date_to=BOUNDS[1]),
+    "pipeline_moh_tx_mmd": _q_loaded_mmd,
+    "pipeline_moh_cohort_disaggregated": _q_loaded_cohort,
+    "pipeline_pepfar_tx_new": _q_loaded_tx_new,
     "fn_get_regimen_offset0": _q_regimen(0),
     "fn_get_regimen_offset1": _q_regimen(1),
     "fn_first_date_no_breastfeeding": _q_breastfeeding,
@@ -272,6 +293,7 @@ def oracle_sql() -> dict[str, str]:
         "load_art_followup": L.art_followup_sql(),
         "load_art_initial": L.art_initial_sql(),
         "load_art_visits": L.art_visits_sql(),
+        "load_lab_tests": L.lab_tests_sql(),
         "load_lab_tests_vl": L.lab_tests_vl_sql(),
         "load_art_register": L.art_register_sql(),
         "load_pre_art_register": L.pre_art_register_sql(),
@@ -288,9 +310,16 @@ def oracle_sql() -> dict[str, str]:
         "load_lab_tests_hiv": L.lab_tests_hiv_sql(),
         "fn_parent_health_facility": L.parent_facilities_sql(),
         "fn_identifier_format": L.formatted_identifiers_sql(),
-        "fn_latest_test_result_offset1": L.latest_test_result_sql(1),
-        "fn_first_test_result_by_date_entered": L.first_test_result_sql(END),
-        "fn_latest_test_result_by_sample_date": L.latest_test_by_sample_date_sql(0),
+        "fn_latest_test_result_offset0": L.test_lookup_sql("date_result_entered", "Viral Load", True),
+        "fn_latest_test_result_offset1": L.test_lookup_sql("date_result_entered", "Viral Load", True, offset=1),
+        "fn_latest_test_result_hiv_bounded": L.test_lookup_sql("date_result_entered", "HIV test", True, bounds=BOUNDS),
+        "fn_first_test_result_by_date_entered": L.test_lookup_sql("date_result_entered", "Viral Load", True, newest=False, bounds=(None, END)),
+        "fn_first_test_result_hiv_unbounded": L.test_lookup_sql("date_result_entered", "HIV test", True, newest=False),
+        "fn_latest_test_result_by_sample_date": L.test_lookup_sql("date_collected", "Viral Load", False),
+        "fn_latest_test_by_sample_date_hiv_bounded": L.test_lookup_sql("date_collected", "HIV test", False, bounds=BOUNDS),
+        "pipeline_moh_tx_mmd": R.tx_mmd_sql(END, K.MOH_CUTOFF_DAYS, L.loaded_tables()),
+        "pipeline_moh_cohort_disaggregated": R.cohort_disaggregated_sql(START, END, K.MOH_CUTOFF_DAYS, L.loaded_tables()),
+        "pipeline_pepfar_tx_new": R.tx_new_sql(START, END, L.loaded_tables()),
         "fn_get_regimen_offset0": L.regimen_at_offset_sql(0),
         "fn_get_regimen_offset1": L.regimen_at_offset_sql(1),
         "fn_first_date_no_breastfeeding": L.first_date_no_breastfeeding_sql(END),

@@ -17,15 +17,6 @@ def age_in_units(as_of: Column, birthdate: Column, divider: int) -> Column:
     return F.floor(F.datediff(as_of, birthdate) / F.lit(divider)).cast("int")
 
 
-def completed_months(a: Column, b: Column) -> Column:
-    """Whole calendar months from a to b (Jan-31 -> Feb-28 is 0).
-
-    Year/month/day arithmetic so the value is the same in every engine.
-    """
-    raw = (F.year(b) - F.year(a)) * 12 + (F.month(b) - F.month(a))
-    return (raw - F.when(F.dayofmonth(b) < F.dayofmonth(a), 1).otherwise(0)).cast("int")
-
-
 def report_date_label(d: Column) -> Column:
     """dd-MMM-yy, e.g. 05-Apr-00."""
     return F.date_format(d, "dd-MMM-yy")

@@ -1,38 +1,17 @@
-"""Collation-aware comparison and small text transforms."""
+"""Small text transforms.  Tables come in one spelling (``kalulu.sources.normalise``)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
 
 
-def norm(c: Column | str) -> Column:
-    """Normalised form used for equality: lower case, trailing blanks removed."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.lower(F.rtrim(c))
-
-
-def ci_eq(c: Column | str, value: str) -> Column:
-    """Case-insensitive, trailing-blank-insensitive equality with a literal."""
-    return norm(c) == value.rstrip().lower()
-
-
-def ci_in(c: Column | str, values: Iterable[str]) -> Column:
-    return norm(c).isin([v.rstrip().lower() for v in values])
-
-
-def ci_eq_cols(a: Column | str, b: Column | str) -> Column:
-    return norm(a) == norm(b)
-
-
 def sex_label(gender: Column | str) -> Column:
     """F -> Female, anything else -> Male."""
     g = F.col(gender) if isinstance(gender, str) else gender
-    return F.when(ci_eq(g, "F"), F.lit("Female")).otherwise(F.lit("Male"))
+    return F.when(g == "F", F.lit("Female")).otherwise(F.lit("Male"))
 
 
 def parent_facility(location: Column | str) -> Column:
@@ -40,7 +19,7 @@ def parent_facility(location: Column | str) -> Column:
     loc = F.col(location) if isinstance(location, str) else location
     expr = None
     for clinic, parent in K.OUTREACH_PARENT:
-        cond = ci_eq(loc, clinic)
+        cond = loc == clinic.rstrip()
         expr = F.when(cond, F.lit(parent)) if expr is None else expr.when(cond, F.lit(parent))
     return expr.otherwise(loc)
 
@@ -69,3 +48,10 @@ def regimen_name(regimen: Column | str) -> Column:
     """Text after the last ':' (the whole string when there is none)."""
     c = F.col(regimen) if isinstance(regimen, str) else regimen
     return F.substring_index(c, ":", -1)
+
+
+def natural_key_id(*columns: str) -> Column:
+    """A row id from the row's natural key: 60 bits of the digest of its values
+    (no global sort, the same on every run; equal rows share an id)."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 15), 16, 10).cast("bigint")

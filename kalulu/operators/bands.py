@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.text import ci_in
 
 
 def age_band(age_months: Column, gender: Column) -> Column:
@@ -16,7 +15,7 @@ def age_band(age_months: Column, gender: Column) -> Column:
         # the lowest band is open below (an age under 12 months of any sign)
         cond = age_months >= lower if lower > 0 else age_months.isNotNull()
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return F.when(ci_in(gender, ["M", "F"]), expr)
+    return F.when(gender.isin(["M", "F"]), expr)
 
 
 def weight_band(weight: Column) -> Column:

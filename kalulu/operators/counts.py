@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.text import ci_eq, norm, sex_label
+from kalulu.functions.text import sex_label
 from kalulu.operators.bands import band_dimension
 
 
@@ -23,12 +23,12 @@ def count_if(pred: Column) -> Column:
 
 def group_predicates(gender: Column, pregnancy: Column) -> dict[str, Column]:
     """The four population groups of the appended rows (may overlap)."""
-    female = ci_eq(gender, "F")
+    female = (gender == "F")
     return {
-        "Male": ci_eq(gender, "M"),
-        "FP": ci_eq(pregnancy, K.PREGNANT) & female,
-        "FNP": (ci_eq(pregnancy, K.NOT_PREGNANT) | pregnancy.isNull()) & female,
-        "FBF": ci_eq(pregnancy, K.BREASTFEEDING) & female,
+        "Male": (gender == "M"),
+        "FP": (pregnancy == K.PREGNANT) & female,
+        "FNP": ((pregnancy == K.NOT_PREGNANT) | pregnancy.isNull()) & female,
+        "FBF": (pregnancy == K.BREASTFEEDING) & female,
     }
 
 
@@ -36,14 +36,14 @@ def banded_counts(rows: DataFrame, locations: DataFrame, band: Column, gender: C
                   indicators: dict[str, Column], labels: list[str],
                   band_col: str = "age_group") -> DataFrame:
     """Detail rows: one per (location, band, gender) of the dimension, zero filled."""
-    counted = (rows.select("location", band.alias(band_col), norm(gender).alias("__g"),
+    counted = (rows.select("location", band.alias(band_col), gender.alias("__g"),
                            *[p.alias(f"__p_{n}") for n, p in indicators.items()])
                .where(F.col(band_col).isNotNull())
                .groupBy("location", band_col, "__g")
                .agg(*[count_if(F.col(f"__p_{n}")).alias(n) for n in indicators]))
     dim = band_dimension(locations, labels, band_col)
     joined = dim.join(counted, (dim.location == counted.location) & (dim[band_col] == counted[band_col])
-                      & (F.lower(dim.gender) == counted["__g"]), "left")
+                      & (dim.gender == counted["__g"]), "left")
     return joined.select(
         dim.location, dim.sort_value, dim[band_col], sex_label(dim.gender).alias("gender"),
         *[F.coalesce(counted[n], F.lit(0).cast("bigint")).alias(n) for n in indicators])

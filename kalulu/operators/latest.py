@@ -1,6 +1,6 @@
 """As-of operators: latest / earliest row per key.
 
-All of them are built from a *partial* aggregate (map-side combine before the
+The first three are built from a *partial* aggregate (map-side combine before the
 shuffle), so a key that holds a third of all rows costs one combined buffer
 per task, never one giant sorted window partition.
 
@@ -11,33 +11,30 @@ per task, never one giant sorted window partition.
 * :func:`tag_extremes` -- several extremes of one table in a single aggregate
   pass, joined back once (the cohort uses four of them).
 * :func:`nth_latest` -- the (n+1)-th newest row (``ORDER BY .. LIMIT 1 OFFSET n``),
-  n+1 rounds of the same aggregate.
+  a ranked window whose rows are limited per key before the shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   payload: Sequence[str] | None = None, newest: bool = True,
-                   keep_null_first: bool = False) -> DataFrame:
+                   payload: Sequence[str] | None = None, newest: bool = True) -> DataFrame:
     """One row per key: the row that is greatest (``newest``) or least by ``order``.
 
     ``order`` must be a total order within a key for a deterministic result.
-    Rows whose first order column is null are dropped unless
-    ``keep_null_first`` (then null ranks lowest, as in a descending sort with
-    nulls last).
+    Nulls in ``order`` rank lowest, as in the source: last when newest comes
+    first, first in ascending order; a key with nulls only still has a row.
     """
     payload = [c for c in (payload if payload is not None else df.columns)
                if c not in keys and c not in order]
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])
     agg = F.max(packed) if newest else F.min(packed)
-    src = df if keep_null_first else df.where(F.col(order[0]).isNotNull())
-    return (src
+    return (df
             .groupBy(*keys).agg(agg.alias("__r"))
             .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in (*order, *payload)]))
 
@@ -72,35 +69,16 @@ def nth_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int
     """The (n+1)-th row per key by ``order`` (``ORDER BY .. DESC LIMIT 1 OFFSET n``
     for ``newest``; nulls rank lowest, i.e. last when newest first).
 
-    ``n`` is a small constant (the offset of a regimen line or test).  Identical
-    rows are first combined with their multiplicity (a partial aggregate); then
-    at most n+1 rounds take the greatest remaining row per key and either answer
-    (its multiplicity covers the remaining offset) or remove it (anti join on
-    key + order).  No per-key sort: a key holding a third of the rows stays
-    spread over tasks.  Ties on ``order`` are broken by the payload values.
+    ``n`` is a small constant (the offset of a regimen line or test).  One scan
+    and one shuffle: the rank filter lets Spark keep the first n+1 rows of a key
+    in each task before the shuffle (window group limit), so a key that holds a
+    third of all rows arrives as n+1 rows per task.  Ties on ``order`` are broken
+    by the payload values.
     """
     payload = [c for c in (payload if payload is not None else df.columns)
                if c not in keys and c not in order]
-    cur = df.groupBy(*keys, *order, *payload).agg(F.count(F.lit(1)).alias("__n"))
-    found_parts = []
-    state = None
-    for r in range(n + 1):
-        top = latest_per_key(cur, keys, [*order, *payload], ["__n"], newest=newest, keep_null_first=True)
-        top = top.withColumn("__rem", F.lit(n)) if state is None else top.join(state, list(keys))
-        found_parts.append(top.where(F.col("__rem") < F.col("__n")).select(*keys, *order, *payload))
-        if r == n:
-            break
-        pending = top.where(F.col("__rem") >= F.col("__n"))
-        state = pending.select(*keys, (F.col("__rem") - F.col("__n")).alias("__rem"))
-        # null-safe: order / payload values may be null (e.g. an undated line)
-        cols = [*keys, *order, *payload]
-        gone = pending.select(*[F.col(c).alias(f"__g_{c}") for c in cols])
-        cond = None
-        for c in cols:
-            e = F.col(c).eqNullSafe(F.col(f"__g_{c}"))
-            cond = e if cond is None else cond & e
-        cur = cur.join(gone, cond, "left_anti").join(state.select(*keys), list(keys), "left_semi")
-    out = found_parts[0]
-    for part in found_parts[1:]:
-        out = out.unionByName(part)
-    return out
+    cols = [*order, *payload]
+    by = [F.col(c).desc_nulls_last() if newest else F.col(c).asc_nulls_first() for c in cols]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+    return df.select(*keys, *cols, rank.alias("__rank")).where(F.col("__rank") <= n + 1).where(
+        F.col("__rank") == n + 1).select(*keys, *cols)

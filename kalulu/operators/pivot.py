@@ -8,38 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def eav_pivot(obs: DataFrame, keys: Sequence[str], spec: Sequence[tuple],
-              type_col: str = "encounter_type", group_col: str = "group_concept") -> DataFrame:
-    """One row per key with one column per (column, concept, value kind, type
-    filter[, observation-group concept]).
-
-    A single ``groupBy(keys)`` with one conditional aggregate per column
-    replaces a chain of sorted left joins (one per concept).  When a key has
-    several observations of a concept the smallest value is kept, which is
-    deterministic and combinable map-side.
-    """
-    aggs = []
-    for col, concept, kind, etype, *group in spec:
-        cond = F.col("concept") == concept
-        if etype:
-            cond = cond & (F.col(type_col) == etype)
-        if group:
-            cond = cond & (F.col(group_col) == group[0])
-        aggs.append(F.min(F.when(cond, F.col(kind))).alias(col))
-    concepts = sorted({e[1] for e in spec})
-    return obs.where(F.col("concept").isin(concepts)).groupBy(*keys).agg(*aggs)
-
-
-def pivot_counts(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence[tuple[str, str]]) -> DataFrame:
-    """Counts per fixed (name, value) list, absent values as 0 (one pass, no Spark pivot discovery job)."""
-    return df.groupBy(*keys).agg(*[
-        F.count(F.when(F.col(pivot_col) == v, F.lit(1))).cast("bigint").alias(n) for n, v in values])
-
-
 def eav_pivot_encounters(obs: DataFrame, encounters: DataFrame, keys: Sequence[str], spec: Sequence[tuple],
                          obs_keys: Sequence[str] = (), type_col: str = "encounter_type",
                          group_col: str = "group_concept") -> DataFrame:
-    """:func:`eav_pivot` with the observations pre-aggregated per encounter.
+    """One row per key with one column per (column, concept, value kind, type
+    filter[, observation-group concept]), in place of one sorted join per concept.
+    When a key has several observations of a concept the smallest value is kept.
 
     ``min`` distributes over any partition of the rows, so the observations
     (the largest table) are first reduced to one row per encounter (plus

@@ -14,14 +14,9 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.dates import age_in_units, lit_date
-from kalulu.functions.text import ci_eq
 from kalulu.operators.latest import latest_per_key, rows_at_extreme, tag_extremes
 from kalulu.params import ReportParams
 from kalulu.sources.fixtures import Warehouse
-from kalulu.sources.tables import stage
-
-STAGE_COHORT = True
-
 
 def facilities(wh: Warehouse, location: str | None = None) -> DataFrame:
     """The facility rows a report covers: (location, location_key)."""
@@ -32,64 +27,37 @@ def facilities(wh: Warehouse, location: str | None = None) -> DataFrame:
 
 def arv_numbers(wh: Warehouse) -> DataFrame:
     """ARV Numbers (type compared case-insensitively)."""
-    return (wh.omrs_patient_identifier.where(ci_eq("type", K.ARV_NUMBER))
+    return (wh.omrs_patient_identifier.where((F.col("type") == K.ARV_NUMBER))
             .select("patient_id", "identifier", "location"))
 
 
-_MEMO: dict = {}
-
-
-def _memo_key(wh: Warehouse, *parts) -> tuple:
-    from kalulu.sources.fixtures import session_key
-
-    return (session_key(wh.spark), wh._root() if wh.materialize else wh.token, *parts)
-
-
-def clear_memo() -> None:
-    """Forget staged cohorts (call after a warehouse refresh)."""
-    _MEMO.clear()
-
-
 def last_outcome_at_facility(wh: Warehouse, end: _dt.date, location: str | None = None,
                              strict: bool = False, dedupe: bool = False) -> DataFrame:
-    """Staged (written once per warehouse, date and facility) -- see
-    :func:`_last_outcome`.  ``dedupe=True`` keeps one ARV Number per
-    (patient, facility) (the smallest), so a patient with several numbers
-    counts once; the default keeps the source's one row per number."""
-    key = _memo_key(wh, "outcome", end, location, strict)
-    if key not in _MEMO:
-        _MEMO[key] = stage(_last_outcome(wh, end, location, strict), "last_outcome")
-    out = _MEMO[key]
-    if dedupe:
-        cols = [c for c in out.columns if c not in ("patient_id", "location", "identifier")]
-        out = latest_per_key(out, ["patient_id", "location"], ["identifier"], cols, newest=False).select(
-            *out.columns)
-    return out
-
-
-def _last_outcome(wh: Warehouse, end: _dt.date, location: str | None = None,
-                  strict: bool = False) -> DataFrame:
     """Newest HIV-programme state per (patient, facility) with start <= end
     (``strict``: start < end), ties broken by the higher state id; joined to
     every ARV Number of the patient at that facility (fan-out kept) and to the
-    facility key.
+    facility key.  ``dedupe=True`` keeps one ARV Number per (patient, facility)
+    (the smallest), so a patient with several numbers counts once.
 
     Columns: patient_id, identifier, state, program, program_state_id,
     start_date, end_date, location, location_key.
     """
-    ps = wh.omrs_program_state.where(ci_eq("program", K.HIV_PROGRAM))
+    ps = wh.omrs_program_state.where((F.col("program") == K.HIV_PROGRAM))
     ps = ps.where(F.col("start_date") < lit_date(end) if strict else F.col("start_date") <= lit_date(end))
     if location:
         ps = ps.where(F.col("location") == location)
     latest = latest_per_key(ps.select("patient_id", "location", "start_date", "program_state_id",
                                       "state", "program", "end_date"),
                             keys=["patient_id", "location"], order=["start_date", "program_state_id"])
-    # facility dimension: one row per facility, a bounded broadcast
-    fac = F.broadcast(facilities(wh, location))
-    return (latest.join(arv_numbers(wh), ["patient_id", "location"], "inner")
-            .join(fac, "location", "inner")
-            .select("patient_id", "identifier", "state", "program", "program_state_id",
-                    "start_date", "end_date", "location", "location_key"))
+    out = (latest.join(arv_numbers(wh), ["patient_id", "location"], "inner")
+           .join(facilities(wh, location), "location", "inner")
+           .select("patient_id", "identifier", "state", "program", "program_state_id",
+                   "start_date", "end_date", "location", "location_key"))
+    if dedupe:
+        cols = [c for c in out.columns if c not in ("patient_id", "location", "identifier")]
+        out = latest_per_key(out, ["patient_id", "location"], ["identifier"], cols, newest=False).select(
+            *out.columns)
+    return out
 
 
 TPT_COLS = ["inh_300", "inh_300_pills", "rfp_150", "rfp_150_pills", "rfp_inh", "rfp_inh_pills"]
@@ -101,7 +69,7 @@ def _tpt_any() -> Column:
 
 COHORT_COLUMNS = [
     "patient_id", "identifier", "state", "start_date", "gender", "age", "location",
-    "last_appt_date", "current_regimen", "pregnant_or_lactating", "tb_status",
+    "last_appt_date", "current_regimen", "pregnant_or_lactating",
     "initial_pregnant_or_lactating", "initial_visit_date", "transfer_in_date",
     "first_ipt_date", *[f"first_{c}" for c in TPT_COLS],
     "last_ipt_date", *[f"last_{c}" for c in TPT_COLS],
@@ -110,38 +78,38 @@ COHORT_COLUMNS = [
 ]
 
 
-def followup_extremes(wh: Warehouse, p: ReportParams) -> dict[str, DataFrame]:
-    """The four follow-up snapshots of the cohort from ONE aggregate pass:
-    latest visit <= end, last / first TPT visit in [start, end], last TPT
-    visit before start.  Ties on the date are all kept."""
+def followup_snapshots(wh: Warehouse, p: ReportParams) -> DataFrame:
+    """The four follow-up snapshots of the cohort, one row per patient: latest
+    visit <= end, last / first TPT visit in [start, end], last TPT visit before
+    start.  Each is an array of the rows on its date (ties are kept; also the
+    non-TPT rows of a TPT date, as a join back to the date keeps them).
+
+    Visits after ``end`` are filtered at the scan.  The dates are one partial
+    aggregate; joined back, the rows of those dates are packed by patient in
+    the same partitioning.
+    """
     start, end = lit_date(p.start), lit_date(p.end)
-    fu = wh.mw_art_followup
     vd = F.col("visit_date")
     tpt = _tpt_any()
+    fu = wh.mw_art_followup.where(vd <= end).select(
+        "patient_id", "visit_date", "next_appointment_date", "art_regimen", "pregnant_or_lactating", "tb_status",
+        "systolic_bp", "diastolic_bp", *TPT_COLS)
     tagged = tag_extremes(fu, "patient_id", "visit_date", {
         "__latest": ("max", vd <= end),
-        "__last_ipt": ("max", vd.between(start, end) & tpt),
-        "__prev_ipt": ("max", (vd <= F.date_sub(start, 1)) & tpt),
-        "__first_ipt": ("min", vd.between(start, end) & tpt),
+        "__last": ("max", vd.between(start, end) & tpt),
+        "__previous": ("max", (vd <= F.date_sub(start, 1)) & tpt),
+        "__first": ("min", vd.between(start, end) & tpt),
     })
-    latest = tagged.where(vd == F.col("__latest")).select(
-        "patient_id", vd.alias("followup_visit_date"), F.col("next_appointment_date").alias("last_appt_date"),
+    latest = F.struct(
+        vd.alias("followup_visit_date"), F.col("next_appointment_date").alias("last_appt_date"),
         F.col("art_regimen").alias("current_regimen"), "pregnant_or_lactating", "tb_status",
         "systolic_bp", "diastolic_bp")
-
-    def tpt_snapshot(tag: str, prefix: str) -> DataFrame:
-        # every row on the tagged date is kept (also non-TPT rows of that
-        # day), as a join back to the extreme date does
-        return tagged.where(vd == F.col(tag)).select(
-            "patient_id", vd.alias(f"{prefix}_ipt_date"),
-            *[F.col(c).alias(f"{prefix}_{c}") for c in TPT_COLS])
-
-    return {
-        "latest": latest,
-        "last_ipt": tpt_snapshot("__last_ipt", "last"),
-        "previous_ipt": tpt_snapshot("__prev_ipt", "previous"),
-        "first_ipt": tpt_snapshot("__first_ipt", "first"),
-    }
+    packed = [F.collect_list(F.when(vd == F.col("__latest"), latest)).alias("latest")]
+    for prefix in ("last", "previous", "first"):
+        row = F.struct(vd.alias(f"{prefix}_ipt_date"), *[F.col(c).alias(f"{prefix}_{c}") for c in TPT_COLS])
+        packed.append(F.collect_list(F.when(vd == F.col(f"__{prefix}"), row)).alias(prefix))
+    on_a_date = (vd == F.col("__latest")) | (vd == F.col("__last")) | (vd == F.col("__previous")) | (vd == F.col("__first"))
+    return tagged.where(on_a_date).groupBy("patient_id").agg(*packed)
 
 
 def latest_initial(wh: Warehouse, end: _dt.date) -> DataFrame:
@@ -164,34 +132,28 @@ def cohort_rows(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None
                      "program_state_id").distinct()
     base = (arv_numbers(wh).join(ops, ["patient_id", "location"], "inner")
             .join(wh.mw_patient.select("patient_id", "gender", "birthdate"), "patient_id", "inner"))
-    snaps = followup_extremes(wh, p)
-    out = base.join(snaps["latest"], "patient_id", "left")
-    if tpt:
-        for name in ("last_ipt", "previous_ipt", "first_ipt"):
-            out = out.join(snaps[name], "patient_id", "left")
+    snaps = followup_snapshots(wh, p)
+    out = base.join(snaps if tpt else snaps.select("patient_id", "latest"), "patient_id", "left")
+    for name in ("latest", "last", "previous", "first") if tpt else ("latest",):
+        fields = out.schema[name].dataType.elementType.names
+        out = out.select(*[c for c in out.columns if c != name], F.explode_outer(name).alias(name))
+        out = out.select(*[c for c in out.columns if c != name], *[F.col(f"{name}.{f}").alias(f) for f in fields])
     out = out.join(latest_initial(wh, p.end), "patient_id", "left")
     end = lit_date(p.end)
-    age = F.when(ci_eq("state", K.ON_ART), age_in_units(end, F.col("birthdate"), p.divider)).otherwise(
+    age = F.when((F.col("state") == K.ON_ART), age_in_units(end, F.col("birthdate"), p.divider)).otherwise(
         age_in_units(F.col("start_date"), F.col("birthdate"), p.divider))
     return out.withColumn("age", age)
 
 
-def hiv_cohort(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None) -> DataFrame:
+def hiv_cohort(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None,
+               extra: tuple[str, ...] = ()) -> DataFrame:
     """Patients with an ARV Number and a last outcome at the facility, with
     their latest follow-up, TPT visits and latest initial visit (distinct rows).
 
-    Inner joins first (they restrict to the facility cohort), then left
-    joins on ``patient_id``; the follow-up snapshots come from one shuffle.
+    ``extra`` names more follow-up columns of the distinct rows (``tb_status``).
+    The result is lazy; a caller that reads it several times may checkpoint it.
     """
-    if outcome is not None or not STAGE_COHORT:
-        return cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS).distinct()
-    # read by the detail rows, the group rows and the flags of a report, and
-    # by every report of the same period: computed once, written once to the
-    # shared checkpoint folder, then every consumer scans the table
-    key = _memo_key(wh, "cohort", p.start, p.end, p.location, p.divider)
-    if key not in _MEMO:
-        _MEMO[key] = stage(cohort_rows(wh, p).select(*COHORT_COLUMNS).distinct(), "hiv_cohort")
-    return _MEMO[key]
+    return cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS, *extra).distinct()
 
 
 def identifier_flags(wh: Warehouse, location: str | None = None) -> DataFrame:

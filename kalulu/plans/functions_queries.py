@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu.functions.text import format_identifier, parent_facility
-from kalulu.operators.latest import nth_latest
+from kalulu.operators.latest import latest_per_key, nth_latest
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -22,46 +22,38 @@ def formatted_identifiers(wh: Warehouse) -> DataFrame:
         "patient_identifier_id", "identifier", format_identifier("identifier").alias("formatted"))
 
 
-def latest_test_result(wh: Warehouse, lab: DataFrame, offset: int = 0,
-                       date_from=None, date_to=None) -> DataFrame:
-    """Per patient: the test with any result that is the (offset+1)-th newest by
-    date entered; optional bounds apply only when given."""
-    t = lab.where(F.coalesce(F.col("result_numeric").cast("string"), F.col("result_exception")).isNotNull())
+def _tests(lab: DataFrame, test_type: str, date: str, date_from, date_to, with_result: bool) -> DataFrame:
+    """Tests of a type, optionally bounded by a date (a bound is only a condition when given)."""
+    t = lab.where(F.col("test_type") == test_type)
+    if with_result:
+        t = t.where(F.coalesce(F.col("result_numeric").cast("string"), F.col("result_coded"),
+                               F.col("result_exception")).isNotNull())
     if date_from is not None:
-        t = t.where(F.col("date_result_entered") >= F.lit(date_from))
+        t = t.where(F.col(date) >= F.lit(date_from))
     if date_to is not None:
-        t = t.where(F.col("date_result_entered") <= F.lit(date_to))
-    return nth_latest(t.select("patient_id", "date_result_entered", "encounter_id"), ["patient_id"],
-                      ["date_result_entered", "encounter_id"], offset).select(
-        "patient_id", "encounter_id", "date_result_entered")
+        t = t.where(F.col(date) <= F.lit(date_to))
+    return t.select("patient_id", date, "lab_test_id")
 
 
-def first_test_result(lab: DataFrame, test_type: str, end=None) -> DataFrame:
-    """Per patient: the first test (by date entered) of a type with any result,
-    entered on or before ``end`` when given."""
-    from kalulu.operators.latest import latest_per_key
+def latest_test_result(lab: DataFrame, test_type: str, offset: int = 0, date_from=None, date_to=None) -> DataFrame:
+    """Per patient: the test of a type with any result that is the (offset+1)-th
+    newest by date entered (undated last)."""
+    t = _tests(lab, test_type, "date_result_entered", date_from, date_to, True)
+    return nth_latest(t, ["patient_id"], ["date_result_entered", "lab_test_id"], offset)
 
-    t = lab.where((F.col("test_type") == test_type) & (F.col("result_numeric").isNotNull()
-                                                       | F.col("result_exception").isNotNull()))
-    if end is not None:
-        t = t.where(F.col("date_result_entered") <= F.lit(end))
-    first = latest_per_key(t.select("patient_id", "date_result_entered", "encounter_id"), ["patient_id"],
-                           ["date_result_entered", "encounter_id"], [], newest=False)
-    return first.select("patient_id", F.col("encounter_id").alias("lab_test_id"), "date_result_entered")
+
+def first_test_result(lab: DataFrame, test_type: str, end=None) -> DataFrame:
+    """Per patient: the first test of a type with any result by date entered
+    (undated first, as nulls sort in the source), entered by ``end`` when given."""
+    t = _tests(lab, test_type, "date_result_entered", None, end, True)
+    return latest_per_key(t, ["patient_id"], ["date_result_entered", "lab_test_id"], [], newest=False)
 
 
-def latest_test_by_sample_date(lab: DataFrame, test_type: str, offset: int = 0,
-                               date_from=None, date_to=None) -> DataFrame:
+def latest_test_by_sample_date(lab: DataFrame, test_type: str, offset: int = 0, date_from=None, date_to=None) -> DataFrame:
     """Per patient: the (offset+1)-th newest test of a type by sample date (no
-    result needed); optional bounds apply only when given; undated samples last."""
-    t = lab.where(F.col("test_type") == test_type)
-    if date_from is not None:
-        t = t.where(F.col("date_collected") >= F.lit(date_from))
-    if date_to is not None:
-        t = t.where(F.col("date_collected") <= F.lit(date_to))
-    return nth_latest(t.select("patient_id", "date_collected", "encounter_id"), ["patient_id"],
-                      ["date_collected", "encounter_id"], offset).select(
-        "patient_id", F.col("encounter_id").alias("lab_test_id"), "date_collected")
+    result needed; undated samples last)."""
+    t = _tests(lab, test_type, "date_collected", date_from, date_to, False)
+    return nth_latest(t, ["patient_id"], ["date_collected", "lab_test_id"], offset)
 
 
 def regimen_at_offset(regimens: DataFrame, offset: int = 0) -> DataFrame:

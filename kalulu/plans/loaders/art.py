@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
+from kalulu.functions.text import natural_key_id
 from kalulu.operators.pivot import eav_pivot_encounters
 from kalulu.plans.loaders import concepts as C
 from kalulu.sources.fixtures import Warehouse
@@ -65,54 +66,21 @@ def load_art_visits(wh: Warehouse) -> DataFrame:
     """mw_art_visits: initial and follow-up visits with regimen and appointment."""
     wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, C.ART_VISITS)
     return encounter_spine(wh, [K.ART_INITIAL, K.ART_FOLLOWUP]).join(wide, KEYS, "left").select(
-        *KEYS, *[c for c, _, _, _ in C.ART_VISITS])
-
-
-def load_lab_tests_vl(wh: Warehouse) -> DataFrame:
-    """mw_lab_tests (viral load): sample, LDL, "<limit" and numeric result of one
-    encounter merged into one test row (the full outer joins on
-    (patient, encounter) expressed as one grouped aggregate)."""
-    enc = wh.omrs_encounter.select("encounter_id", "patient_id")
-    obs = wh.omrs_obs.where(F.col("concept").isin(C.VL_SAMPLE, C.VL_LDL, C.VL_LESS_THAN, C.VL_RESULT))
-    is_ = lambda c: F.col("concept") == c
-    sample = is_(C.VL_SAMPLE) & (F.col("value_coded") == "True")
-    ldl = is_(C.VL_LDL) & (F.col("value_coded") == "True")
-    ltl, res = is_(C.VL_LESS_THAN), is_(C.VL_RESULT)
-    # combined per encounter (map-side) before the patient is attached
-    g = obs.where(sample | ldl | ltl | res).groupBy("encounter_id").agg(
-        F.min(F.when(sample, F.col("obs_date"))).alias("s_date"),
-        F.min(F.when(ldl, F.col("obs_date"))).alias("l_date"),
-        F.min(F.when(ldl, F.col("date_created"))).alias("l_entered"),
-        F.min(F.when(ltl, F.col("obs_date"))).alias("t_date"),
-        F.min(F.when(ltl, F.col("date_created"))).alias("t_entered"),
-        F.min(F.when(ltl, F.col("value_numeric"))).alias("t_value"),
-        F.min(F.when(res, F.col("obs_date"))).alias("r_date"),
-        F.min(F.when(res, F.col("date_created"))).alias("r_entered"),
-        F.min(F.when(res, F.col("value_numeric"))).alias("result_numeric")).join(enc, "encounter_id")
-    return g.select(
-        "patient_id", "encounter_id", F.lit(C.VL_TEST_TYPE).alias("test_type"),
-        F.coalesce("s_date", "l_date", "t_date", "r_date").alias("date_collected"),
-        F.coalesce("l_entered", "t_entered", "r_entered").alias("date_result_entered"),
-        F.col("result_numeric").cast("decimal(10,2)").alias("result_numeric"),
-        F.coalesce(F.when(F.col("l_date").isNotNull(), F.lit(C.VL_LDL_TEXT)),
-                   F.concat(F.lit("<"), F.col("t_value").cast("string"))).alias("result_exception"))
+        natural_key_id(*KEYS).alias("art_visit_id"), *KEYS, *[c for c, _, _, _ in C.ART_VISITS])
 
 
 def load_art_regimen(wh: Warehouse) -> DataFrame:
     """mw_art_regimen: one row per regimen-line observation with the start date
     recorded in the same encounter; the line number is the count of previous
-    regimens (0, 1, 2).  The three lines are appended (union), as three inputs."""
-    enc = wh.omrs_encounter.select("encounter_id", "patient_id")
-    obs = wh.omrs_obs.join(enc, "encounter_id")
-    parts = []
+    regimens (0, 1, 2).  All lines in one pass: the six concepts are filtered
+    once, start dates are a partial aggregate by (encounter, line)."""
+    line = F.lit(None).cast("int")
     for n_prev, regimen_concept, date_concept in C.REGIMEN_LINES:
-        reg = obs.where(F.col("concept") == regimen_concept).select(
-            "patient_id", "encounter_id", F.col("value_coded").alias("regimen"))
-        start = (obs.where(F.col("concept") == date_concept).groupBy("encounter_id")
-                 .agg(F.min("value_date").alias("regimen_init_date")))
-        parts.append(reg.join(start, "encounter_id", "left").select(
-            "patient_id", "regimen", "regimen_init_date", F.lit(n_prev).alias("num_of_prev_regimens")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        line = F.when(F.col("concept").isin(regimen_concept, date_concept), F.lit(n_prev)).otherwise(line)
+    obs = wh.omrs_obs.select("encounter_id", "concept", "value_coded", "value_date", line.alias("num_of_prev_regimens"))
+    regimens = obs.where(F.col("concept").isin([c for _, c, _ in C.REGIMEN_LINES]))
+    starts = obs.where(F.col("concept").isin([c for _, _, c in C.REGIMEN_LINES])).groupBy(
+        "encounter_id", "num_of_prev_regimens").agg(F.min("value_date").alias("regimen_init_date"))
+    return (regimens.join(starts, ["encounter_id", "num_of_prev_regimens"], "left")
+            .join(wh.omrs_encounter.select("encounter_id", "patient_id"), "encounter_id")
+            .select("patient_id", F.col("value_coded").alias("regimen"), "regimen_init_date", "num_of_prev_regimens"))

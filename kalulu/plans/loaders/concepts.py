@@ -15,6 +15,7 @@ NUMERIC, CODED, DATE, TEXT = "value_numeric", "value_coded", "value_date", "valu
 # --- FIXED VALUES: ART follow-up visit (spine: ART_FOLLOWUP encounters) ----
 ART_FOLLOWUP = [
     ("art_regimen", "Malawi Antiretroviral drugs received", CODED, None),
+    ("art_drugs_received", "Malawi Antiretroviral drugs received", CODED, None),
     ("arvs_given_to", "Responsible person present", CODED, None),
     ("next_appointment_date", "Appointment date", DATE, K.ART_FOLLOWUP),
     ("condoms_given", "Number of Condoms dispensed", NUMERIC, None),
@@ -70,6 +71,24 @@ ART_INITIAL = [
     ("transfer_in_date", "Transfer in date", DATE, None),
     ("weight", "Weight (kg)", NUMERIC, None),
     ("child_hcc_no", "Child HCC Registration Number", TEXT, None),
+    ("art_education_date", "ART education date", DATE, None),
+    ("art_education_done", "ARV education done", CODED, None),
+    ("cd4_percentage", "Cd4%", NUMERIC, None),
+    ("confirmatory_test_location", "Confirmatory HIV test location", TEXT, None),
+    ("confirmatory_test_type", "First positive HIV test type", CODED, None),
+    ("ks_side_effects_worsening_on_arvs", "Kaposis sarcoma side effects worsening while on ARVs?", CODED, None),
+    ("last_arvs_taken", "Last antiretroviral drugs taken", TEXT, None),
+    ("last_arvs_taken_date", "Date ART last taken", DATE, None),
+    ("presumed_hiv_severe_present", "Presumed severe HIV criteria present", CODED, None),
+    ("tb_registration_number", "TB registration number", TEXT, None),
+    ("tb_treatment_start_date", "Tuberculosis drug treatment start date", DATE, None),
+    ("who_clinical_conditions", "Clinical Conditions Text", TEXT, None),
+    ("tb_xpert", "TB Xpert", CODED, None),
+    ("tb_xpert_date", "Date of TB Xpert test", DATE, None),
+    ("urine_lam", "Urine LAM / CrAg Result", CODED, None),
+    ("urine_lam_date", "DNA-PCR Testing Result received Date 2", DATE, None),
+    ("crag", "CrAg Results", CODED, None),
+    ("crag_date", "Date of CrAg test", DATE, None),
 ]
 
 # --- FIXED VALUES: ART visits (spine: ART_INITIAL and ART_FOLLOWUP) ---------
@@ -159,12 +178,12 @@ ART_VIRAL_LOAD = [
 
 # --- FIXED VALUES: ART follow-up testing (spine: ART_FOLLOWUP_UP_TESTING) ---
 _AFT = K.ART_FOLLOWUP_TESTING
-FOLLOWUP_TESTING_REQUIRED = ("cd4_count", "CD4 count", NUMERIC, None)
+FOLLOWUP_TESTING_REQUIRED = ("cd4_count", "CD4 count", NUMERIC, _AFT)
 FOLLOWUP_TESTING = [
-    ("cd4_pct", "Cd4%", NUMERIC, None),
-    ("phq_nine_score", "PHQ 9 Score", NUMERIC, None),
-    ("serum_glucose", "Serum glucose", NUMERIC, None),
-    ("test_type", "Blood sugar test type", CODED, None),
+    ("cd4_pct", "Cd4%", NUMERIC, _AFT),
+    ("phq_nine_score", "PHQ 9 Score", NUMERIC, _AFT),
+    ("serum_glucose", "Serum glucose", NUMERIC, _AFT),
+    ("test_type", "Blood sugar test type", CODED, _AFT),
 ]
 
 # --- FIXED VALUES: child HIV serology (lab tests, HIV) ----------------------

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.text import ci_eq, format_identifier
+from kalulu.functions.text import format_identifier
 from kalulu.operators.latest import latest_per_key
 from kalulu.plans.loaders import concepts as C
+from kalulu.plans.loaders.art import load_art_visits
+from kalulu.plans.loaders.lab import load_lab_tests_vl
+from kalulu.plans.loaders.wide import load_eid_visits
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -29,8 +32,8 @@ def state_intervals(wh: Warehouse, state: str) -> DataFrame:
     """Intervals of one treatment-status state, inner-joined to the enrolment:
     end = the state's end, else the enrolment's completion; outcome = the next
     state of the same enrolment, else the enrolment outcome."""
-    ps = wh.omrs_program_state.where(ci_eq("program", K.HIV_PROGRAM) & ci_eq("workflow", K.TREATMENT_WORKFLOW))
-    states = ps.where(ci_eq("state", state))
+    ps = wh.omrs_program_state.where((F.col("program") == K.HIV_PROGRAM) & (F.col("workflow") == K.TREATMENT_WORKFLOW))
+    states = ps.where((F.col("state") == state))
     states = states.join(next_state_for_enrollment(ps, states), "program_state_id", "left")
     enr = wh.omrs_program_enrollment.select("program_enrollment_id", "completion_date",
                                             F.col("outcome").alias("enrollment_outcome"))
@@ -42,7 +45,7 @@ def state_intervals(wh: Warehouse, state: str) -> DataFrame:
 
 def newest_number(wh: Warehouse, id_type: str, out_col: str) -> DataFrame:
     """Newest identifier of a type per (patient, facility), formatted."""
-    ids = wh.omrs_patient_identifier.where(ci_eq("type", id_type)).select(
+    ids = wh.omrs_patient_identifier.where((F.col("type") == id_type)).select(
         "patient_id", "location", "date_created", "patient_identifier_id", "identifier")
     return latest_per_key(ids, ["patient_id", "location"], ["date_created", "patient_identifier_id"],
                           ["identifier"]).select("patient_id", "location",
@@ -51,26 +54,24 @@ def newest_number(wh: Warehouse, id_type: str, out_col: str) -> DataFrame:
 
 def load_art_register(wh: Warehouse) -> DataFrame:
     """mw_art_register: 'On antiretrovirals' intervals + ARV Number + the patient's
-    newest ART visit and newest viral-load test / result (any facility)."""
-    from kalulu.plans.loaders.art import load_lab_tests_vl
-
-    last_visit = latest_per_key(wh.mw_art_visits.select("patient_id", "visit_date", "art_visit_id"),
-                                ["patient_id"], ["visit_date", "art_visit_id"], []).select(
+    newest loaded ART visit and newest viral-load test / result (any facility)."""
+    visits = load_art_visits(wh).select("patient_id", "visit_date", "art_visit_id")
+    last_visit = latest_per_key(visits, ["patient_id"], ["visit_date", "art_visit_id"], []).select(
         "patient_id", F.col("art_visit_id").alias("last_art_visit_id"))
-    lab = load_lab_tests_vl(wh).withColumn("__d", F.coalesce("date_collected", "date_result_entered"))
-    last_test = latest_per_key(lab.select("patient_id", "__d", "encounter_id"), ["patient_id"],
-                               ["__d", "encounter_id"], []).select(
-        "patient_id", F.col("encounter_id").alias("last_viral_load_test_id"))
-    with_result = lab.where(F.col("result_numeric").isNotNull() | F.col("result_exception").isNotNull())
-    last_result = latest_per_key(with_result.select("patient_id", "__d", "encounter_id"), ["patient_id"],
-                                 ["__d", "encounter_id"], []).select(
-        "patient_id", F.col("encounter_id").alias("last_viral_load_result_id"))
+    tested = F.coalesce("date_collected", "date_result_received", "date_result_entered")
+    lab = load_lab_tests_vl(wh).withColumn("tested", tested)
+
+    def newest(tests: DataFrame, name: str) -> DataFrame:     # undated tests rank last, not out
+        return latest_per_key(tests.select("patient_id", "tested", "lab_test_id"), ["patient_id"],
+                              ["tested", "lab_test_id"], []).select("patient_id", F.col("lab_test_id").alias(name))
+    with_result = lab.where(F.coalesce(F.col("result_numeric").cast("string"), F.col("result_coded"),
+                                       F.col("result_exception")).isNotNull())
     return (state_intervals(wh, K.ON_ART)
             .join(newest_number(wh, K.ARV_NUMBER, "art_number"), ["patient_id", "location"], "left")
             .join(last_visit, "patient_id", "left")
-            .join(last_test, "patient_id", "left")
-            .join(last_result, "patient_id", "left")
-            .select("patient_id", "location", "art_number", "start_date", "end_date", "outcome",
+            .join(newest(lab, "last_viral_load_test_id"), "patient_id", "left")
+            .join(newest(with_result, "last_viral_load_result_id"), "patient_id", "left")
+            .select(F.col("program_enrollment_id").alias("enrollment_id"), "patient_id", "location", "art_number", "start_date", "end_date", "outcome",
                     "last_art_visit_id", "last_viral_load_test_id", "last_viral_load_result_id"))
 
 
@@ -78,33 +79,33 @@ def load_pre_art_register(wh: Warehouse) -> DataFrame:
     """mw_pre_art_register: 'Pre-ART (Continue)' intervals + newest HCC Number."""
     return (state_intervals(wh, K.PRE_ART_CONTINUE)
             .join(newest_number(wh, K.HCC_NUMBER, "pre_art_number"), ["patient_id", "location"], "left")
-            .select("patient_id", "location", "pre_art_number", "start_date", "end_date", "outcome"))
+            .select(F.col("program_enrollment_id").alias("enrollment_id"), "patient_id", "location", "pre_art_number", "start_date", "end_date", "outcome"))
 
 
 def mother_art_numbers(wh: Warehouse) -> DataFrame:
     """All mother ART registration numbers recorded for a child, joined with ','
-    (sorted, so the text is deterministic).  Values are de-duplicated per
-    (child, number) by a partial aggregate before the per-child list is built."""
+    (sorted, so the text is deterministic).  Equal numbers are counted before the
+    shuffle and repeated in the text, so a child's list holds distinct values."""
     enc = wh.omrs_encounter.select("encounter_id", "patient_id")
     obs = wh.omrs_obs.where(F.col("concept") == C.MOTHER_ART_NUMBER).join(enc, "encounter_id")
-    per_value = obs.groupBy("patient_id", "value_text").agg(F.count(F.lit(1)).alias("n"))
-    repeated = per_value.select("patient_id", F.expr("array_repeat(value_text, cast(n as int))").alias("vals"))
-    return repeated.groupBy("patient_id").agg(
-        F.array_join(F.array_sort(F.flatten(F.collect_list("vals"))), ",").alias("mother_art_number"))
+    per_value = obs.where(F.col("value_text").isNotNull()).groupBy("patient_id", "value_text").agg(F.count(F.lit(1)).alias("n"))
+    numbers = F.array_sort(F.collect_list(F.struct("value_text", "n")))
+    return per_value.groupBy("patient_id").agg(F.array_join(F.transform(
+        numbers, lambda x: F.array_join(F.array_repeat(x["value_text"], x["n"].cast("int")), ",")), ",").alias("mother_art_number"))
 
 
 def load_eid_register(wh: Warehouse) -> DataFrame:
     """mw_eid_register: 'Exposed Child (Continue)' intervals + newest HCC Number +
-    last EID visit date + concatenated mother ART numbers."""
-    from kalulu.plans.loaders.wide import load_eid_visits
-
-    last_visit = load_eid_visits(wh).groupBy("patient_id").agg(F.max("visit_date").alias("last_eid_visit_date"))
+    last EID visit + concatenated mother ART numbers."""
+    visits = load_eid_visits(wh).select("patient_id", "visit_date", "eid_visit_id")
+    last_visit = latest_per_key(visits, ["patient_id"], ["visit_date", "eid_visit_id"], []).select(
+        "patient_id", F.col("eid_visit_id").alias("last_eid_visit_id"))
     return (state_intervals(wh, K.EXPOSED_CHILD_CONTINUE)
             .join(newest_number(wh, K.HCC_NUMBER, "eid_number"), ["patient_id", "location"], "left")
             .join(last_visit, "patient_id", "left")
             .join(mother_art_numbers(wh), "patient_id", "left")
-            .select("patient_id", "location", "eid_number", "start_date", "end_date", "outcome",
-                    "last_eid_visit_date", "mother_art_number"))
+            .select(F.col("program_enrollment_id").alias("enrollment_id"), "patient_id", "location", "eid_number", "start_date", "end_date", "outcome",
+                    "last_eid_visit_id", "mother_art_number"))
 
 
 def load_patient(wh: Warehouse) -> DataFrame:

@@ -12,18 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
+from kalulu.functions.text import natural_key_id
 from kalulu.operators.latest import latest_per_key
 from kalulu.operators.pivot import eav_pivot_encounters
 from kalulu.plans.loaders import concepts as C
-from kalulu.plans.loaders.art import KEYS, _obs_with_visit, encounter_spine, visit_encounters
+from kalulu.plans.loaders.art import KEYS, encounter_spine, visit_encounters
 from kalulu.sources.fixtures import Warehouse
 
 
-def _obs_with_group(wh: Warehouse) -> DataFrame:
-    grp = wh.omrs_obs_group.select("obs_group_id", F.col("concept").alias("group_concept"))
-    return _obs_with_visit(wh).join(grp, "obs_group_id", "left")
-
-
 def _raw_obs_with_group(wh: Warehouse) -> DataFrame:
     grp = wh.omrs_obs_group.select("obs_group_id", F.col("concept").alias("group_concept"))
     return wh.omrs_obs.join(grp, "obs_group_id", "left")
@@ -44,7 +40,8 @@ def load_eid_followup(wh: Warehouse) -> DataFrame:
 
 
 def load_eid_visits(wh: Warehouse) -> DataFrame:
-    return wide_load(wh, [K.EXPOSED_CHILD_INITIAL, K.EXPOSED_CHILD_FOLLOWUP], C.EID_VISITS)
+    out = wide_load(wh, [K.EXPOSED_CHILD_INITIAL, K.EXPOSED_CHILD_FOLLOWUP], C.EID_VISITS)
+    return out.select(natural_key_id(*KEYS).alias("eid_visit_id"), *out.columns)
 
 
 def load_eid_lab_tests(wh: Warehouse) -> DataFrame:
@@ -57,12 +54,18 @@ def load_pre_art_visits(wh: Warehouse) -> DataFrame:
 
 def load_art_followup_testing(wh: Warehouse) -> DataFrame:
     """Follow-up testing visits that have a CD4 count (inner), with the other
-    tests of the visit attached (one row per visit)."""
+    tests of the visit attached.  The inputs keep every observation, so a visit
+    with several results of one kind has a row for each combination."""
+    enc = visit_encounters(wh)
     spec = [C.FOLLOWUP_TESTING_REQUIRED, *C.FOLLOWUP_TESTING]
-    wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, spec).where(
-        F.col("cd4_count").isNotNull())
-    return encounter_spine(wh, [K.ART_FOLLOWUP_TESTING]).join(wide, KEYS, "inner").select(
-        *KEYS, *[e[0] for e in spec])
+    concepts = [concept for _, concept, _, _ in spec]
+    obs = wh.omrs_obs.where(F.col("concept").isin(concepts)).join(
+        enc.where(F.col("encounter_type") == K.ART_FOLLOWUP_TESTING), "encounter_id")
+    out = encounter_spine(wh, [K.ART_FOLLOWUP_TESTING])
+    for i, (column, concept, kind, _) in enumerate(spec):
+        rows = obs.where(F.col("concept") == concept).select(*KEYS, F.col(kind).alias(column))
+        out = out.join(rows, KEYS, "inner" if i == 0 else "left")
+    return out.select(*KEYS, *[e[0] for e in spec])
 
 
 def load_art_viral_load(wh: Warehouse) -> DataFrame:
@@ -77,26 +80,3 @@ def load_art_viral_load(wh: Warehouse) -> DataFrame:
     per_visit = latest_per_key(per_group, KEYS, ["obs_group_id"], ["reason_for_test", *cols], newest=False)
     return encounter_spine(wh, [K.VIRAL_LOAD_SCREENING]).join(per_visit, KEYS, "left").select(
         *KEYS, "obs_group_id", "reason_for_test", *cols)
-
-
-def load_lab_tests_hiv(wh: Warehouse) -> DataFrame:
-    """mw_lab_tests (HIV): one row per child serology construct with a sample
-    date, result date or result; the collection date falls back to the
-    encounter date and the test type to 'HIV test'."""
-    obs = _raw_obs_with_group(wh).where(F.col("group_concept") == C.SEROLOGY_CONSTRUCT)
-    is_ = lambda c: F.col("concept") == c
-    g = obs.where(F.col("concept").isin(C.HIV_SAMPLE_DATE, C.HIV_RESULT_DATE, C.HIV_RESULT, C.HIV_TEST_TYPE)).groupBy(
-        "encounter_id", "obs_group_id").agg(
-        F.min(F.when(is_(C.HIV_SAMPLE_DATE), F.col("value_date"))).alias("sample_date"),
-        F.min(F.when(is_(C.HIV_RESULT_DATE), F.col("value_date"))).alias("date_result_received"),
-        F.min(F.when(is_(C.HIV_RESULT), F.col("value_coded"))).alias("result_coded"),
-        F.min(F.when(is_(C.HIV_RESULT), F.col("date_created"))).alias("date_result_entered"),
-        F.min(F.when(is_(C.HIV_TEST_TYPE), F.col("value_coded"))).alias("test_type"))
-    enc = wh.omrs_encounter.select("encounter_id", "patient_id", F.col("encounter_date").alias("visit_date"))
-    g = g.join(enc, "encounter_id")
-    g = g.where(F.coalesce(F.col("sample_date").cast("string"), F.col("date_result_received").cast("string"),
-                           F.col("result_coded")).isNotNull())
-    return g.select("patient_id", "encounter_id", "obs_group_id",
-                    F.coalesce("sample_date", "visit_date").alias("date_collected"),
-                    F.coalesce("test_type", F.lit(C.HIV_DEFAULT_TEST_TYPE)).alias("test_type"),
-                    "date_result_received", "date_result_entered", "result_coded")

@@ -11,9 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from kalulu.plans.loaders import art, register, wide
+from kalulu.plans.loaders import art, lab, register, wide
 from kalulu.sources.fixtures import Warehouse
-from kalulu.sources.schema import conform
+from kalulu.sources.normalise import NormalisedWarehouse
+from kalulu.sources.schema import conform, rejects
 from kalulu.sources.tables import write_table
 
 LOADERS: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -24,8 +25,7 @@ LOADERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "mw_art_followup_testing": wide.load_art_followup_testing,
     "mw_art_viral_load": wide.load_art_viral_load,
     "mw_art_regimen": art.load_art_regimen,
-    "mw_lab_tests_vl": art.load_lab_tests_vl,
-    "mw_lab_tests_hiv": wide.load_lab_tests_hiv,
+    "mw_lab_tests": lab.load_lab_tests,
     "mw_pre_art_visits": wide.load_pre_art_visits,
     "mw_eid_initial": wide.load_eid_initial,
     "mw_eid_followup": wide.load_eid_followup,
@@ -37,11 +37,34 @@ LOADERS: dict[str, Callable[[Warehouse], DataFrame]] = {
 }
 
 
-def refresh_warehouse(wh: Warehouse, target: str, tables: list[str] | None = None) -> dict[str, str]:
-    """Load the named (default: all) warehouse tables into ``target/<table>``."""
+#: source tables that reports read beside the loaded ones
+SOURCE_TABLES = ["omrs_program_state", "omrs_program_enrollment", "omrs_patient_identifier", "lookup_location"]
+
+
+def copy_sources(wh, target: str) -> None:
+    """Write the source tables that reports read, in one spelling."""
+    wh = NormalisedWarehouse(wh)
+    for name in SOURCE_TABLES:
+        write_table(getattr(wh, name), f"{target.rstrip('/')}/{name}")
+
+
+def refresh_warehouse(wh: Warehouse, target: str, tables: list[str] | None = None, mode: str = "overwrite",
+                      keep_rejects: bool = True) -> dict[str, str]:
+    """Load the named (default: all) warehouse tables into ``target/<table>``.
+
+    ``mode="append"`` adds to what is there.  Values that do not fit a declared
+    type are counted per column in ``target/rejects/<table>``.
+    Coded text is stored in one spelling, so reports compare and push down plain
+    literals.  ``StoredWarehouse(spark, target)`` reads the result back, also the
+    source tables that reports need when they are copied there (``SOURCE_TABLES``).
+    """
     out = {}
+    wh = NormalisedWarehouse(wh)
     for name in tables or list(LOADERS):
         path = f"{target.rstrip('/')}/{name}"
-        write_table(conform(LOADERS[name](wh), name), path, mode="overwrite", sort_within=["patient_id"])
+        loaded = LOADERS[name](wh)
+        write_table(conform(loaded, name), path, mode=mode, sort_within=["patient_id"])
+        if keep_rejects:
+            write_table(rejects(loaded, name), f"{target.rstrip('/')}/rejects/{name}", mode=mode)
         out[name] = path
     return out

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.dates import lit_date
-from kalulu.functions.text import ci_eq
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams
@@ -22,7 +21,7 @@ from kalulu.sources.fixtures import Warehouse
 def is_active(p: ReportParams, state: str = "state", appt: str = "last_appt_date") -> Column:
     """On ART and the last appointment at most ``cutoff`` days before the end date
     (a null appointment is never active)."""
-    return ci_eq(state, K.ON_ART) & (F.datediff(lit_date(p.end), F.col(appt)) <= p.cutoff)
+    return (state == K.ON_ART) & (F.datediff(lit_date(p.end), F.col(appt)) <= p.cutoff)
 
 
 def cohort_indicators(p: ReportParams) -> dict[str, Column]:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.dates import lit_date
-from kalulu.functions.text import ci_eq
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams, period_start
@@ -29,7 +28,7 @@ def mmd_indicators() -> dict:
 def mmd_rows(wh: Warehouse, p: ReportParams, outcome: DataFrame) -> DataFrame:
     """Latest follow-up rows of patients on ART at the facility whose
     appointment is at most ``cutoff`` days before the end date."""
-    on_art = outcome.where(ci_eq("state", K.ON_ART)).select("patient_id", "location").distinct()
+    on_art = outcome.where((F.col("state") == K.ON_ART)).select("patient_id", "location").distinct()
     end = lit_date(p.end)
     fu = latest_followup(wh, p).select(
         "patient_id", "visit_date", "next_appointment_date",

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.dates import age_in_units, lit_date, months_between_completed
-from kalulu.functions.text import ci_eq, ci_in
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts
 from kalulu.operators.latest import rows_at_extreme
@@ -32,7 +31,7 @@ def tx_rtt(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
     # back on ART at the end: state started in the period, appointment recent,
     # first follow-up visit in the period and the CD4 taken that day
     after = last_outcome_at_facility(wh, end, location).where(
-        ci_eq("state", K.ON_ART) & F.col("start_date").between(s, e)).select("patient_id", "location")
+        (F.col("state") == K.ON_ART) & F.col("start_date").between(s, e)).select("patient_id", "location")
     latest = rows_at_extreme(wh.mw_art_followup.where(F.col("visit_date") <= e).select(
         "patient_id", "visit_date", "next_appointment_date"), ["patient_id"], "visit_date").select(
         "patient_id", "next_appointment_date")
@@ -48,9 +47,9 @@ def tx_rtt(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
     pat = wh.mw_patient.select("patient_id", "gender", "birthdate")
     rows = (base.join(pat, "patient_id").join(before_visits, "patient_id", "left")
             .join(visits, ["patient_id", "location"], "left")
-            .where(((ci_eq("state", K.ON_ART)
+            .where((((F.col("state") == K.ON_ART)
                      & (F.datediff(F.date_sub(s, 1), F.col("last_appt_date")) > cutoff))
-                    | ci_in("state", [K.DEFAULTED, K.STOPPED]))
+                    | F.col("state").isin([K.DEFAULTED, K.STOPPED]))
                    & F.col("first_visit_date").isNotNull())
             .withColumn("age", age_in_units(e, F.col("birthdate"), K.BIRTHDATE_DIVIDER))
             .withColumn("months_out_of_care", months_between_completed(F.col("default_date"),

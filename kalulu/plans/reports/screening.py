@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.dates import lit_date
-from kalulu.functions.text import ci_eq, ci_in
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams, period_start
@@ -34,15 +33,15 @@ def tx_tb_indicators(p: ReportParams) -> dict[str, Column]:
     zero = F.lit(False)
     return {
         "tx_curr": is_active(p),
-        "symptom_screen_alone": ci_in(tb, K.TB_STATUSES),
+        "symptom_screen_alone": tb.isin(K.TB_STATUSES),
         "cxr_screen": zero,
         "mwrd_screen": zero,
-        "screened_for_tb_tx_new_pos": ci_eq(tb, K.TB_SUSPECTED) & _new_here(p),
-        "screened_for_tb_tx_new_neg": ci_eq(tb, K.TB_NOT_SUSPECTED) & _new_here(p),
-        "screened_for_tb_tx_prev_pos": ci_eq(tb, K.TB_SUSPECTED) & prev,
-        "screened_for_tb_tx_prev_neg": ci_eq(tb, K.TB_NOT_SUSPECTED) & prev,
-        "tb_rx_new": ci_eq(tb, K.TB_ON_TREATMENT) & _new_here(p),
-        "tb_rx_prev": ci_eq(tb, K.TB_NOT_ON_TREATMENT) & prev,
+        "screened_for_tb_tx_new_pos": (tb == K.TB_SUSPECTED) & _new_here(p),
+        "screened_for_tb_tx_new_neg": (tb == K.TB_NOT_SUSPECTED) & _new_here(p),
+        "screened_for_tb_tx_prev_pos": (tb == K.TB_SUSPECTED) & prev,
+        "screened_for_tb_tx_prev_neg": (tb == K.TB_NOT_SUSPECTED) & prev,
+        "tb_rx_new": (tb == K.TB_ON_TREATMENT) & _new_here(p),
+        "tb_rx_prev": (tb == K.TB_NOT_ON_TREATMENT) & prev,
     }
 
 
@@ -63,7 +62,7 @@ def tx_tb(wh: Warehouse, end: _dt.date, location: str | None = None,
     cols = ["patient_id", "identifier", "program", "state", "start_date", "program_state_id", "gender", "age",
             "location", "last_appt_date", "followup_visit_date", "initial_visit_date", "transfer_in_date",
             "tb_status"]
-    cohort = hiv_cohort(wh, p)
+    cohort = hiv_cohort(wh, p, extra=("tb_status",))
     rows = _cohort_with_flags(wh, p, outcome, cols, cohort)
     locs = facilities(wh, location)
     ind = tx_tb_indicators(p)

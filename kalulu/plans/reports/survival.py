@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.text import ci_eq, ci_in
 from kalulu.operators.counts import count_if
 from kalulu.operators.periods import latest_as_of_periods, period_in_range, rows_at_max_per_period
 from kalulu.params import _add_months
@@ -32,23 +31,24 @@ def survival(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None
     periods = wh.spark.createDataFrame(
         [(i, starts[i], ends[i]) for i in range(YEARS)], "period int, p_start date, p_end date")
 
-    # last outcome per (patient, facility, period), x ARV Numbers there
-    ps = wh.omrs_program_state.where(ci_eq("program", K.HIV_PROGRAM))
+    # patients registered in the period, joined to ALL their initial visits
+    ini = wh.mw_art_initial.select("patient_id", "visit_date", "transfer_in_date", "pregnant_or_lactating")
+    registered = (ini.withColumn("period", period_in_range(F.col("visit_date"), starts, ends))
+                  .where(F.col("period").isNotNull()).select("patient_id", "period").distinct())
+    visits = registered.join(ini.withColumnRenamed("visit_date", "art_initial_visit"), "patient_id")
+    # last outcome per registered (patient, period) and facility, x ARV Numbers there
+    ps = wh.omrs_program_state.where((F.col("program") == K.HIV_PROGRAM))
+    ps = ps.join(registered.select("patient_id").distinct(), "patient_id", "left_semi")
     if location:
         ps = ps.where(F.col("location") == location)
     lfo = latest_as_of_periods(ps, ["patient_id", "location"], "start_date", ends,
                                order=["start_date", "program_state_id"], payload=["state"])
-    fac = F.broadcast(facilities(wh, location))
-    lfo = lfo.join(arv_numbers(wh), ["patient_id", "location"]).join(fac, "location")
+    lfo = (lfo.join(registered, ["patient_id", "period"], "left_semi")
+           .join(arv_numbers(wh), ["patient_id", "location"]).join(facilities(wh, location), "location"))
     # latest follow-up (ties kept) per period
     fu = rows_at_max_per_period(wh.mw_art_followup.select("patient_id", "visit_date", "next_appointment_date"),
                                 "patient_id", "visit_date", ends).select(
         "patient_id", "period", F.col("next_appointment_date").alias("last_appt_date"))
-    # patients registered in the period, joined to ALL their initial visits
-    ini = wh.mw_art_initial.select("patient_id", "visit_date", "transfer_in_date", "pregnant_or_lactating")
-    registered = (ini.withColumn("period", period_in_range(F.col("visit_date"), starts, ends))
-                  .where(F.col("period").isNotNull()).select("patient_id", "period").distinct())
-    visits = registered.join(ini.withColumnRenamed("visit_date", "art_initial_visit"), "patient_id")
     pat = wh.mw_patient.select("patient_id", "birthdate")
     rows = (lfo.join(pat, "patient_id").join(fu, ["patient_id", "period"])
             .join(visits, ["patient_id", "period"]).join(F.broadcast(periods), "period")
@@ -57,19 +57,19 @@ def survival(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None
     if option_b:
         one_number = (arv_numbers(wh).groupBy("patient_id").count().where(F.col("count") == 1)
                       .select("patient_id"))
-        rows = (rows.where(ci_in("pregnant_or_lactating", [K.BREASTFEEDING, K.PREGNANT]))
+        rows = (rows.where(F.col("pregnant_or_lactating").isin([K.BREASTFEEDING, K.PREGNANT]))
                 .join(one_number, "patient_id", "left_semi"))
     in_p = F.col("start_date").between(F.col("p_start"), F.col("p_end"))
     late = F.floor(F.datediff(F.col("p_end"), F.col("last_appt_date"))) > cutoff
-    on_art = ci_eq("state", K.ON_ART)
+    on_art = (F.col("state") == K.ON_ART)
     counts = rows.groupBy("location", "period").agg(
         count_if(F.col("art_initial_visit").between(F.col("p_start"), F.col("p_end"))).alias("new_reg"),
         count_if(on_art & (F.datediff(F.col("p_end"), F.col("last_appt_date")) <= cutoff)).alias("active"),
-        count_if(ci_eq("state", K.DIED) & in_p).alias("died"),
-        count_if((ci_eq("state", K.DEFAULTED) & in_p) | (on_art & late)
+        count_if((F.col("state") == K.DIED) & in_p).alias("died"),
+        count_if(((F.col("state") == K.DEFAULTED) & in_p) | (on_art & late)
                  | (on_art & F.col("last_appt_date").isNull())).alias("defaulted"),
-        count_if(ci_eq("state", K.STOPPED) & in_p).alias("treatment_stopped"),
-        count_if(ci_eq("state", K.TRANSFERRED_OUT) & in_p).alias("transferred_out"))
+        count_if((F.col("state") == K.STOPPED) & in_p).alias("treatment_stopped"),
+        count_if((F.col("state") == K.TRANSFERRED_OUT) & in_p).alias("transferred_out"))
     # every (facility, period) gets a row (the zero seed row of each yearly run)
     grid = facilities(wh, location).select("location", F.explode(F.sequence(F.lit(0), F.lit(YEARS - 1)))
                                            .alias("period"))

@@ -12,7 +12,7 @@ from kalulu.functions.dates import lit_date
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams, period_start
-from kalulu.plans.cohort import facilities, hiv_cohort, last_outcome_at_facility
+from kalulu.plans.cohort import COHORT_COLUMNS, facilities, hiv_cohort, last_outcome_at_facility
 from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
@@ -104,8 +104,10 @@ def tb_prev(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
     thirteen = period_start(end, months=13)
     quarter = period_start(end, days=90)
     p6 = ReportParams(start=six, end=end, location=location)
-    outcome = last_outcome_at_facility(wh, end, location)
-    rows = (hiv_cohort(wh, p6).join(pill_totals(wh, end, seven, thirteen), "patient_id", "left")
+    # the procedure's distinct rows carry no blood pressure
+    own = [c for c in COHORT_COLUMNS if c not in ("systolic_bp", "diastolic_bp")]
+    rows = (hiv_cohort(wh, p6).select(*own).distinct()
+            .join(pill_totals(wh, end, seven, thirteen), "patient_id", "left")
             .where(F.col("first_ipt_date") >= lit_date(six)))
     locs = facilities(wh, location)
     ind = tb_prev_indicators(six)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.dates import lit_date
-from kalulu.functions.text import ci_eq
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams
@@ -37,19 +36,19 @@ def iit_flags(wh: Warehouse, keys: DataFrame, cutoff: int) -> DataFrame:
 
 def tx_ml_indicators(p: ReportParams) -> dict[str, Column]:
     in_period = F.col("start_date").between(lit_date(p.start), lit_date(p.end))
-    lost = ((ci_eq("state", K.DEFAULTED) & in_period)
-            | (ci_eq("state", K.ON_ART) & (F.datediff(lit_date(p.end), F.col("last_appt_date")) >= p.cutoff)))
+    lost = (((F.col("state") == K.DEFAULTED) & in_period)
+            | ((F.col("state") == K.ON_ART) & (F.datediff(lit_date(p.end), F.col("last_appt_date")) >= p.cutoff)))
 
     def flag(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit(False))
 
     return {
-        "Died": ci_eq("state", K.DIED) & in_period,
+        "Died": (F.col("state") == K.DIED) & in_period,
         "IIT_3mo_or_less_mo": lost & flag("iit_short"),
         "IIT_3to5_mo": lost & flag("iit_mid"),
         "IIT_6plus_mo": lost & flag("iit_long"),
-        "Transferred_out": ci_eq("state", K.TRANSFERRED_OUT) & in_period,
-        "Refused_Stopped": ci_eq("state", K.STOPPED) & in_period,
+        "Transferred_out": (F.col("state") == K.TRANSFERRED_OUT) & in_period,
+        "Refused_Stopped": (F.col("state") == K.STOPPED) & in_period,
     }
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.dates import age_in_units, lit_date
-from kalulu.functions.text import ci_eq
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.operators.latest import rows_at_extreme
@@ -44,7 +43,7 @@ def tx_new_rows(wh: Warehouse, p: ReportParams, outcome: DataFrame) -> DataFrame
     pat = wh.mw_patient.select("patient_id", "gender", "birthdate")
     base = (arv_numbers(wh).join(ops, ["patient_id", "location"]).join(pat, "patient_id")
             .join(ini, "patient_id", "left"))
-    age = F.when(ci_eq("state", K.ON_ART), age_in_units(lit_date(p.end), F.col("birthdate"), p.divider)).otherwise(
+    age = F.when((F.col("state") == K.ON_ART), age_in_units(lit_date(p.end), F.col("birthdate"), p.divider)).otherwise(
         age_in_units(F.col("start_date"), F.col("birthdate"), p.divider))
     return base.withColumn("age", age).select(
         "patient_id", "identifier", "program", "state", "start_date", "program_state_id", "gender", "age",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.dates import age_in_units, lit_date
-from kalulu.functions.text import ci_eq, ci_in, regimen_code, regimen_name, sex_label
+from kalulu.functions.text import regimen_code, regimen_name, sex_label
 from kalulu.operators.bands import age_band, age_labels, weight_band, weight_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.operators.latest import latest_per_key, rows_at_extreme
@@ -29,11 +29,11 @@ def vl_result_text() -> Column:
 
 def pvls_indicators() -> dict[str, Column]:
     ltl, vl = F.col("less_than_limit"), F.col("viral_load_result")
-    low = (ltl < K.VL_SUPPRESSED_BELOW) | (vl < K.VL_SUPPRESSED_BELOW) | ci_eq("ldl", K.LDL_TRUE)
+    low = (ltl < K.VL_SUPPRESSED_BELOW) | (vl < K.VL_SUPPRESSED_BELOW) | (F.col("ldl") == K.LDL_TRUE)
     high = (ltl > K.VL_SUPPRESSED_BELOW) | (vl > K.VL_SUPPRESSED_BELOW)
-    routine, target = ci_eq("reason_for_test", K.ROUTINE), ci_eq("reason_for_test", K.TARGET)
+    routine, target = (F.col("reason_for_test") == K.ROUTINE), (F.col("reason_for_test") == K.TARGET)
     return {
-        "tx_curr": ci_eq("state", K.ON_ART),
+        "tx_curr": (F.col("state") == K.ON_ART),
         "due_for_vl": F.datediff("next_appointment_date", "test_date") > K.VL_TEST_AGE_DAYS,
         "routine_samples_drawn": routine,
         "target_samples_drawn": target,
@@ -50,7 +50,7 @@ def pvls_rows(wh: Warehouse, end: _dt.date, year_start: _dt.date, outcome: DataF
     patient (any facility) and every outcome row at the test's facility."""
     ys = lit_date(year_start)
     vl = rows_at_extreme(wh.mw_art_viral_load.where(F.col("visit_date") <= ys), ["patient_id"], "visit_date")
-    vl = vl.withColumnRenamed("visit_date", "test_date").where(ci_in("reason_for_test", [K.ROUTINE, K.TARGET]))
+    vl = vl.withColumnRenamed("visit_date", "test_date").where(F.col("reason_for_test").isin([K.ROUTINE, K.TARGET]))
     fu = rows_at_extreme(wh.mw_art_followup.where(F.col("visit_date") <= ys).select(
         "patient_id", "visit_date", "next_appointment_date"), ["patient_id"], "visit_date")
     fu = fu.select("patient_id", F.col("visit_date").alias("last_visit_date"), "next_appointment_date")
@@ -87,7 +87,7 @@ def _dispensed(wh: Warehouse, end: _dt.date, location: str | None, cutoff: int)
     a weight (the visit's, else the patient's newest recorded weight)."""
     p = ReportParams(start=end, end=end, location=location, cutoff=cutoff)
     outcome = last_outcome_at_facility(wh, end, location)
-    on_art = outcome.where(ci_eq("state", K.ON_ART)).select("patient_id", "location").distinct()
+    on_art = outcome.where((F.col("state") == K.ON_ART)).select("patient_id", "location").distinct()
     fu = latest_followup(wh, p).where(F.datediff(lit_date(end), F.col("next_appointment_date")) <= cutoff)
     fu = fu.drop("location")
     ids = arv_numbers(wh)

@@ -13,13 +13,9 @@ reads, and Catalyst prunes every unused derived column.
 from __future__ import annotations
 
 import functools
-import hashlib
-import os
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kalulu import constants as K
 from kalulu.sources.tables import read_parquet
@@ -44,104 +40,16 @@ def facility(n: Column) -> Column:
     return _pick(K.FACILITIES, n)
 
 
-# Warehouse tables that reports read.  They are loaded once per data
-# directory into the shared checkpoint folder (the warehouse refresh) and
-# read back as Parquet, so a report plan starts from scans with pushed-down
-# filters instead of re-deriving every table inline.
-MATERIALIZED = ["mw_patient", "omrs_program_state", "omrs_program_enrollment", "omrs_patient_identifier",
-                "mw_art_initial", "mw_art_followup", "mw_art_visits", "mw_art_viral_load",
-                "mw_art_followup_testing"]
-_LOADED: set[str] = set()
-
-
-def session_key(spark: SparkSession) -> str:
-    """Identity of a running session for process-level caches (a new session,
-    even at the same Python address, never sees another session's objects)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return str(id(spark))
-
-
-_ROOTS: dict = {}
-_READERS: dict = {}
-
-
 class Warehouse:
-    """Clinical tables for one driver data directory.
+    """Clinical tables projected from one driver data directory, all lazy.
 
-    ``materialize=True`` (default) writes each projected table once to
-    ``<spark.checkpoint.dir>/kalulu-warehouse/<key>/<table>`` and serves it
-    from there; ``False`` keeps the whole projection inline (lazy).
+    Any object with the same attributes serves the plans; see
+    ``kalulu.sources.warehouse`` for stored tables and for loaded ones.
     """
 
-    def __init__(self, spark: SparkSession, base: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base
-        self.materialize = materialize
-        # identity for caches of non-materialized instances (id() is reused)
-        self.token = uuid.uuid4().hex
-
-    def _root(self) -> str:
-        key = (session_key(self.spark), self.base)
-        if key not in _ROOTS:
-            _ROOTS[key] = self._compute_root()
-        return _ROOTS[key]
-
-    def _compute_root(self) -> str:
-        from kalulu.session import ensure_checkpoint_dir
-
-        stamp = []
-        for name in ("customer", "orders"):
-            path = f"{self.base.rstrip('/')}/{name}.parquet"
-            st = os.stat(path) if os.path.exists(path) else None
-            stamp.append(f"{path}:{st.st_size if st else 0}:{int(st.st_mtime) if st else 0}")
-        # the projection code is part of the key: a changed formula never
-        # reuses tables loaded by an older version
-        import kalulu.constants as _k
-        import kalulu.plans.loaders.concepts as _c
-
-        for mod_file in (__file__, _k.__file__, _c.__file__):
-            with open(mod_file, "rb") as fh:
-                stamp.append(hashlib.sha1(fh.read()).hexdigest())
-        key = hashlib.sha1("|".join(stamp).encode()).hexdigest()[:16]
-        return f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/kalulu-warehouse/{key}"
-
-    def _write(self, name: str, path: str) -> None:
-        df = getattr(self, f"_build_{name}")()
-        sort_key = "patient_id" if "patient_id" in df.columns else df.columns[0]
-        # sorted inside each file (tight min/max statistics for patient
-        # filters) without a full shuffle of the table
-        df.sortWithinPartitions(sort_key).write.mode("overwrite").parquet(path)
-
-    def refresh(self) -> None:
-        """Full refresh of every warehouse table (overwrite), like the nightly load."""
-        from kalulu.plans.cohort import clear_memo
-
-        clear_memo()
-        root = self._root()
-        for name in MATERIALIZED:
-            path = f"{root}/{name}"
-            self._write(name, path)
-            _LOADED.add(path)
-            _READERS.pop((session_key(self.spark), path), None)
-
-    def table(self, name: str) -> DataFrame:
-        """A warehouse table, loaded on first use (full refresh, atomic _SUCCESS marker).
-
-        The reader DataFrame is shared per session, so building a report does
-        not re-read Parquet footers or re-plan the projection."""
-        if not self.materialize:
-            return getattr(self, f"_build_{name}")()
-        path = f"{self._root()}/{name}"
-        if path not in _LOADED:
-            if not os.path.exists(f"{path}/_SUCCESS"):
-                self._write(name, path)
-            _LOADED.add(path)
-        key = (session_key(self.spark), path)
-        if key not in _READERS:
-            _READERS[key] = self.spark.read.parquet(path)
-        return _READERS[key]
 
     # -- driver tables -------------------------------------------------------
     def _orders(self) -> DataFrame:
@@ -163,9 +71,6 @@ class Warehouse:
     # -- source tables ---------------------------------------------------------
     @functools.cached_property
     def mw_patient(self) -> DataFrame:
-        return self.table("mw_patient")
-
-    def _build_mw_patient(self) -> DataFrame:
         p = F.col("p")
         return self._customers().select(
             p.alias("patient_id"),
@@ -179,12 +84,10 @@ class Warehouse:
 
     @functools.cached_property
     def omrs_program_state(self) -> DataFrame:
-        return self.table("omrs_program_state")
-
-    def _build_omrs_program_state(self) -> DataFrame:
-        """Treatment-status states, one per order.  Orders with k % 13 = 5 add a
-        pre-ART or exposed-child enrolment state dated 20 years later, i.e.
-        after every report period (the report fixtures stay as probed)."""
+        """Two states per order: a treatment status, and a pre-ART or exposed-child
+        state dated 20 years later, i.e. after every report period.  A third of
+        the statuses end on the day that the order's other state starts, a
+        third after some weeks, the rest are open."""
         k, p = F.col("k"), F.col("p")
         state = (F.when(k % 10 <= 5, F.lit(K.ON_ART))
                  .when(k % 10 == 6, F.lit(K.DIED))
@@ -193,23 +96,23 @@ class Warehouse:
                  .otherwise(F.lit(K.TRANSFERRED_OUT)))
         loc = facility((p + F.when(k % 7 == 0, 1).otherwise(0)) % 5)
         o = self._orders()
-        treat = o.select(k.alias("program_state_id"), p.alias("patient_id"), state.alias("state"),
-                         loc.alias("location"), F.col("d").alias("start_date"))
-        extra = o.where(k % 13 == 5).select(
+        treat = o.select(
+            k.alias("program_state_id"), p.alias("patient_id"), state.alias("state"), loc.alias("location"),
+            F.col("d").alias("start_date"),
+            F.when(k % 3 == 0, F.date_add(F.col("d"), EXTRA_STATE_DAYS))
+            .when(k % 3 == 1, F.date_add(F.col("d"), (k % 90 + 30).cast("int"))).alias("end_date"))
+        extra = o.select(
             (k + EXTRA_STATE_ID_OFFSET).alias("program_state_id"), p.alias("patient_id"),
             F.when(k % 2 == 0, F.lit(K.PRE_ART_CONTINUE)).otherwise(F.lit(K.EXPOSED_CHILD_CONTINUE)).alias("state"),
-            loc.alias("location"), F.date_add(F.col("d"), EXTRA_STATE_DAYS).alias("start_date"))
-        nxt = F.lead("start_date").over(Window.partitionBy("patient_id").orderBy("start_date", "program_state_id"))
+            loc.alias("location"), F.date_add(F.col("d"), EXTRA_STATE_DAYS).alias("start_date"),
+            F.lit(None).cast("date").alias("end_date"))
         return treat.unionByName(extra).select(
             "program_state_id", F.col("patient_id").alias("program_enrollment_id"), "patient_id",
             F.lit(K.HIV_PROGRAM).alias("program"), F.lit(K.TREATMENT_WORKFLOW).alias("workflow"),
-            "state", "location", "start_date", nxt.alias("end_date"))
+            "state", "location", "start_date", "end_date")
 
     @functools.cached_property
     def omrs_program_enrollment(self) -> DataFrame:
-        return self.table("omrs_program_enrollment")
-
-    def _build_omrs_program_enrollment(self) -> DataFrame:
         p = F.col("p")
         closed = (p % 3) == 0
         return self._customers().select(
@@ -221,9 +124,6 @@ class Warehouse:
 
     @functools.cached_property
     def omrs_patient_identifier(self) -> DataFrame:
-        return self.table("omrs_patient_identifier")
-
-    def _build_omrs_patient_identifier(self) -> DataFrame:
         p = F.col("p")
         arv_type = F.when(p % 17 == 0, F.lit("ARV number")).otherwise(F.lit(K.ARV_NUMBER))
         created = F.date_add(F.lit("1995-01-01").cast("date"), (p % 97).cast("int"))
@@ -258,7 +158,7 @@ class Warehouse:
     # -- warehouse tables ------------------------------------------------------
     def _initial_k(self) -> DataFrame:
         k, p, d = F.col("k"), F.col("p"), F.col("d")
-        return self._orders().where(k % 8 == 0).select(
+        return self._orders().select(
             k,
             p.alias("patient_id"),
             d.alias("visit_date"),
@@ -270,9 +170,6 @@ class Warehouse:
 
     @functools.cached_property
     def mw_art_initial(self) -> DataFrame:
-        return self.table("mw_art_initial")
-
-    def _build_mw_art_initial(self) -> DataFrame:
         return self._initial_k().drop("k")
 
     def _followup_k(self) -> DataFrame:
@@ -311,16 +208,10 @@ class Warehouse:
 
     @functools.cached_property
     def mw_art_followup(self) -> DataFrame:
-        return self.table("mw_art_followup")
-
-    def _build_mw_art_followup(self) -> DataFrame:
         return self._followup_k().drop("k")
 
     @functools.cached_property
     def mw_art_visits(self) -> DataFrame:
-        return self.table("mw_art_visits")
-
-    def _build_mw_art_visits(self) -> DataFrame:
         """Follow-up and initial visits; ids 2k+1 / 2k (unique without a global sort)."""
         k = F.col("k")
         fu = self._followup_k().select(
@@ -334,12 +225,9 @@ class Warehouse:
 
     @functools.cached_property
     def mw_art_viral_load(self) -> DataFrame:
-        return self.table("mw_art_viral_load")
-
-    def _build_mw_art_viral_load(self) -> DataFrame:
         k, p, d = F.col("k"), F.col("p"), F.col("d")
         r = k % 4
-        return self._orders().where(k % 3 == 0).select(
+        return self._orders().select(
             p.alias("patient_id"),
             d.alias("visit_date"),
             facility(p % 5).alias("location"),
@@ -352,11 +240,8 @@ class Warehouse:
 
     @functools.cached_property
     def mw_art_followup_testing(self) -> DataFrame:
-        return self.table("mw_art_followup_testing")
-
-    def _build_mw_art_followup_testing(self) -> DataFrame:
         k, p, d = F.col("k"), F.col("p"), F.col("d")
-        return self._orders().where(k % 5 == 0).select(
+        return self._orders().select(
             p.alias("patient_id"), d.alias("visit_date"), facility(p % 5).alias("location"),
             ((k * 53) % 800).cast("int").alias("cd4_count"),
         )
@@ -419,7 +304,7 @@ class Warehouse:
     @functools.cached_property
     def omrs_relationship(self) -> DataFrame:
         k, p, d = F.col("k"), F.col("p"), F.col("d")
-        return self._orders().where(k % 10 == 3).select(
+        return self._orders().select(
             k.alias("relationship_id"), p.alias("patient_id"),
             F.concat(F.lit("CHW "), (k % 50).cast("string")).alias("related_person"),
             F.when(k % 3 != 0, F.lit("Community Health Worker")).otherwise(F.lit("Guardian"))

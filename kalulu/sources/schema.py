@@ -20,8 +20,8 @@ WAREHOUSE: dict[str, list[tuple[str, str]]] = {
                    ("traditional_authority", "string"), ("village", "string"), ("chw", "string"),
                    ("dead", "boolean"), ("death_date", "date"), ("patient_uuid", "string")],
     "mw_art_followup": _KEYS + [
-        ("art_regimen", "string"), ("arvs_given_to", "string"), ("next_appointment_date", "date"),
-        ("condoms_given", "int"), ("depo_given", "string"), ("diastolic_bp", "int"), ("doses_missed", "int"),
+        ("art_regimen", "string"), ("art_drugs_received", "string"), ("arvs_given_to", "string"), ("next_appointment_date", "date"),
+        ("condoms_given", "string"), ("depo_given", "string"), ("diastolic_bp", "int"), ("doses_missed", "decimal(10,2)"),
         ("height", "decimal(10,2)"), ("arvs_given", "int"), ("pill_count", "int"),
         ("pregnant_or_lactating", "string"), ("systolic_bp", "int"), ("tb_status", "string"),
         ("weight", "decimal(10,2)"), ("ctx_960", "string"), ("ctx_960_pills", "decimal(10,2)"),
@@ -35,10 +35,16 @@ WAREHOUSE: dict[str, list[tuple[str, str]]] = {
         ("art_alternative_first_line_regimen", "string"), ("art_alternative_first_line_regimen_date", "date"),
         ("art_second_line_regimen", "string"), ("art_second_line_regimen_start_date", "date"),
         ("age_at_initiation", "int"), ("cd4_count", "int"), ("cd4_date", "date"), ("clinical_stage", "string"),
-        ("confirmatory_test_date", "date"), ("ever_taken_arvs", "string"), ("height", "decimal(6,2)"),
+        ("confirmatory_test_date", "date"), ("ever_taken_arvs", "string"), ("height", "decimal(10,2)"),
         ("pregnant_or_lactating", "string"), ("tb_status", "string"), ("transfer_in_date", "date"),
-        ("weight", "decimal(6,2)"), ("child_hcc_no", "string")],
-    "mw_art_visits": _KEYS + [("next_appointment_date", "date"), ("art_drug_regimen", "string")],
+        ("weight", "decimal(10,2)"), ("child_hcc_no", "string"), ("art_education_date", "date"),
+        ("art_education_done", "string"), ("cd4_percentage", "decimal(6,2)"), ("confirmatory_test_location", "string"),
+        ("confirmatory_test_type", "string"), ("ks_side_effects_worsening_on_arvs", "string"),
+        ("last_arvs_taken", "string"), ("last_arvs_taken_date", "string"), ("presumed_hiv_severe_present", "string"),
+        ("tb_registration_number", "string"), ("tb_treatment_start_date", "date"),
+        ("who_clinical_conditions", "string"), ("tb_xpert", "string"), ("tb_xpert_date", "date"),
+        ("urine_lam", "string"), ("urine_lam_date", "date"), ("crag", "string"), ("crag_date", "date")],
+    "mw_art_visits": [("art_visit_id", "bigint")] + _KEYS + [("next_appointment_date", "date"), ("art_drug_regimen", "string")],
     "mw_art_followup_testing": _KEYS + [("cd4_count", "int"), ("cd4_pct", "int"), ("phq_nine_score", "int"),
                                         ("serum_glucose", "int"), ("test_type", "string")],
     "mw_art_viral_load": _KEYS + [("obs_group_id", "bigint"), ("reason_for_test", "string"), ("ldl", "string"),
@@ -47,12 +53,10 @@ WAREHOUSE: dict[str, list[tuple[str, str]]] = {
                                   ("viral_load_result", "int")],
     "mw_art_regimen": [("patient_id", "bigint"), ("regimen", "string"), ("regimen_init_date", "date"),
                        ("num_of_prev_regimens", "int")],
-    "mw_lab_tests_vl": [("patient_id", "bigint"), ("encounter_id", "bigint"), ("test_type", "string"),
-                        ("date_collected", "date"), ("date_result_entered", "date"),
-                        ("result_numeric", "decimal(10,2)"), ("result_exception", "string")],
-    "mw_lab_tests_hiv": [("patient_id", "bigint"), ("encounter_id", "bigint"), ("obs_group_id", "bigint"),
-                         ("date_collected", "date"), ("test_type", "string"), ("date_result_received", "date"),
-                         ("date_result_entered", "date"), ("result_coded", "string")],
+    "mw_lab_tests": [("lab_test_id", "bigint"), ("patient_id", "bigint"), ("encounter_id", "bigint"),
+                     ("date_collected", "date"), ("test_type", "string"), ("date_result_received", "date"),
+                     ("date_result_entered", "date"), ("result_coded", "string"),
+                     ("result_numeric", "decimal(10,2)"), ("result_exception", "string")],
     "mw_pre_art_visits": _KEYS + [("next_appointment_date", "date")],
     "mw_eid_initial": _KEYS + [("age", "int"), ("age_when_starting_nvp", "int"), ("birth_weight", "decimal(10,2)"),
                                ("duration_type_when_starting_nvp", "string"), ("mother_art_reg_no", "string"),
@@ -63,27 +67,52 @@ WAREHOUSE: dict[str, list[tuple[str, str]]] = {
                                 ("next_appointment_date", "date"), ("wasting_or_malnutrition", "string"),
                                 ("weight", "int"), ("cpt", "int"), ("hiv_infection", "string"),
                                 ("muac", "decimal(16,4)")],
-    "mw_eid_visits": _KEYS + [("next_appointment_date", "date"), ("breastfeeding_status", "string"),
+    "mw_eid_visits": [("eid_visit_id", "bigint")] + _KEYS + [("next_appointment_date", "date"), ("breastfeeding_status", "string"),
                               ("mother_status", "string")],
     "mw_eid_lab_tests": _KEYS + [("result_date", "date"), ("test_type", "string"), ("lab_laboratory", "string"),
                                  ("reasons_for_testing", "string"), ("hiv_result", "string"),
                                  ("sample_id", "string")],
-    "mw_art_register": [("patient_id", "bigint"), ("location", "string"), ("art_number", "string"),
+    "mw_art_register": [("enrollment_id", "bigint"), ("patient_id", "bigint"), ("location", "string"), ("art_number", "string"),
                         ("start_date", "date"), ("end_date", "date"), ("outcome", "string"),
                         ("last_art_visit_id", "bigint"), ("last_viral_load_test_id", "bigint"),
                         ("last_viral_load_result_id", "bigint")],
-    "mw_pre_art_register": [("patient_id", "bigint"), ("location", "string"), ("pre_art_number", "string"),
+    "mw_pre_art_register": [("enrollment_id", "bigint"), ("patient_id", "bigint"), ("location", "string"), ("pre_art_number", "string"),
                             ("start_date", "date"), ("end_date", "date"), ("outcome", "string")],
-    "mw_eid_register": [("patient_id", "bigint"), ("location", "string"), ("eid_number", "string"),
+    "mw_eid_register": [("enrollment_id", "bigint"), ("patient_id", "bigint"), ("location", "string"), ("eid_number", "string"),
                         ("start_date", "date"), ("end_date", "date"), ("outcome", "string"),
-                        ("last_eid_visit_date", "date"), ("mother_art_number", "string")],
+                        ("last_eid_visit_id", "bigint"), ("mother_art_number", "string")],
+}
+
+
+#: the source system's tables that loaders and reports read
+SOURCES: dict[str, list[tuple[str, str]]] = {
+    "omrs_patient": [("patient_id", "bigint"), ("identifier", "string"), ("gender", "string"), ("birthdate", "date"),
+                     ("birthdate_estimated", "boolean"), ("state_province", "string"), ("county_district", "string"),
+                     ("city_village", "string"), ("dead", "boolean"), ("death_date", "date"), ("patient_uuid", "string")],
+    "omrs_relationship": [("relationship_id", "bigint"), ("patient_id", "bigint"), ("related_person", "string"),
+                          ("related_person_role", "string"), ("start_date", "date"), ("end_date", "date"),
+                          ("date_created", "date")],
+    "omrs_encounter": [("encounter_id", "bigint"), ("patient_id", "bigint"), ("encounter_date", "date"),
+                       ("encounter_type", "string"), ("location", "string")],
+    "omrs_obs": [("encounter_id", "bigint"), ("obs_group_id", "bigint"), ("concept", "string"), ("obs_date", "date"),
+                 ("value_coded", "string"), ("value_numeric", "decimal(16,4)"), ("value_date", "date"),
+                 ("value_text", "string"), ("date_created", "date")],
+    "omrs_obs_group": [("obs_group_id", "bigint"), ("encounter_id", "bigint"), ("concept", "string")],
+    "omrs_program_state": [("program_state_id", "bigint"), ("program_enrollment_id", "bigint"), ("patient_id", "bigint"),
+                           ("program", "string"), ("workflow", "string"), ("state", "string"), ("location", "string"),
+                           ("start_date", "date"), ("end_date", "date")],
+    "omrs_program_enrollment": [("program_enrollment_id", "bigint"), ("patient_id", "bigint"),
+                                ("completion_date", "date"), ("outcome", "string")],
+    "omrs_patient_identifier": [("patient_identifier_id", "bigint"), ("patient_id", "bigint"), ("type", "string"),
+                                ("identifier", "string"), ("location", "string"), ("date_created", "date")],
+    "lookup_location": [("target_value", "string"), ("source_key", "int")],
 }
 
 
 def struct_type(table: str) -> StructType:
     from pyspark.sql.types import _parse_datatype_string
 
-    return StructType([StructField(n, _parse_datatype_string(t), True) for n, t in WAREHOUSE[table]])
+    return StructType([StructField(n, _parse_datatype_string(t), True) for n, t in (WAREHOUSE.get(table) or SOURCES[table])])
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -94,3 +123,11 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     if missing:
         raise ValueError(f"{table}: loader output lacks {missing}")
     return df.select(*[F.col(n).try_cast(t).alias(n) for n, t in cols])
+
+
+def rejects(df: DataFrame, table: str) -> DataFrame:
+    """How many values of each column ``conform`` would lose: column, n (those above zero)."""
+    lost = [F.count_if(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull()).alias(n) for n, t in WAREHOUSE[table]]
+    one = df.agg(*lost)
+    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("n")) for n, _ in WAREHOUSE[table]])
+    return one.select(F.explode(pairs).alias("r")).select("r.column", "r.n").where("n > 0")

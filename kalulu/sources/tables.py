@@ -7,7 +7,6 @@ Reads always name their columns so that the Parquet scan is pruned
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 
 def read_parquet(spark: SparkSession, base: str, name: str, *columns: str) -> DataFrame:
@@ -15,11 +14,6 @@ def read_parquet(spark: SparkSession, base: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-def read_typed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a warehouse table with its declared schema (nothing inferred)."""
-    return spark.read.schema(schema).parquet(path)
-
-
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None,
                 sort_within: list[str] | None = None) -> None:
@@ -34,26 +28,3 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-
-
-def assert_schema(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project and cast to a declared schema (the sink's explicit column map)."""
-    from pyspark.sql import functions as F
-
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns for declared schema: {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate result once as Parquet in the shared checkpoint
-    folder and continue from the written table (cuts lineage; a lost executor
-    re-reads the files instead of recomputing the whole upstream plan)."""
-    import uuid
-
-    from kalulu.session import ensure_checkpoint_dir
-
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/kalulu-stage/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)

@@ -6,21 +6,26 @@ Lists are 1-based in DuckDB, so ``list[i + 1]`` picks the i-th (0-based) item.
 
 from __future__ import annotations
 
-from kalulu import constants as K
-from kalulu.plans.loaders.concepts import ALL_CODED, ALL_CONCEPTS, GROUP_CONCEPTS
-from kalulu.sources.fixtures import EXTRA_STATE_DAYS, EXTRA_STATE_ID_OFFSET, PREGNANCY_CYCLE, REGIMEN_CYCLE
+from oracle import values as V
 
+# the projection's own numbers
+LATER_DAYS, LATER_ID = 7300, 1_000_000_000
 
-def _q(s: str | None) -> str:
+
+def quoted(s: str | None) -> str:
     return "NULL" if s is None else "'" + s.replace("'", "''") + "'"
 
 
-def _lst(values) -> str:
-    return "[" + ", ".join(_q(v) for v in values) + "]"
+def quoted_list(values) -> str:
+    return "[" + ", ".join(quoted(v) for v in values) + "]"
 
 
-FAC = _lst(K.FACILITIES)
-NENO_CLINICS = _lst([c for c, p in K.OUTREACH_PARENT if p == K.FACILITIES[0]])
+_q, _lst = quoted, quoted_list
+FAC = _lst(V.FACILITIES)
+NENO_CLINICS = _lst([c for c, parent in V.PARENTS if parent == 0])
+REGIMEN_CYCLE = [t for _, t in V.REGIMENS + V.WEIGHT_REGIMENS]
+PREGNANCY_CYCLE = V.PREGNANCY
+GROUP_CONCEPTS = [V.NEVIRAPINE, V.SEROLOGY, "Other construct"]
 
 CTES: dict[str, str] = {
     "o_": """SELECT o_orderkey AS k, o_custkey AS p, CAST(o_orderdate AS DATE) AS d FROM orders""",
@@ -31,21 +36,21 @@ CTES: dict[str, str] = {
         FROM customer""",
     "omrs_program_state": f"""
         SELECT program_state_id, patient_id AS program_enrollment_id, patient_id, 'HIV program' AS program,
-               'Treatment status' AS workflow, state, location, start_date,
-               LEAD(start_date) OVER (PARTITION BY patient_id ORDER BY start_date, program_state_id) AS end_date
+               'Treatment status' AS workflow, state, location, start_date, end_date
         FROM (SELECT k AS program_state_id, p AS patient_id,
                      CASE WHEN k % 10 <= 5 THEN 'On antiretrovirals' WHEN k % 10 = 6 THEN 'Patient died'
                           WHEN k % 10 = 7 THEN 'Patient defaulted' WHEN k % 10 = 8 THEN 'Treatment stopped'
                           ELSE 'Patient transferred out' END AS state,
                      ({FAC})[CAST((p + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END) % 5 AS INTEGER) + 1] AS location,
-                     d AS start_date
+                     d AS start_date,
+                     CASE k % 3 WHEN 0 THEN d + {LATER_DAYS} WHEN 1 THEN d + CAST(k % 90 + 30 AS INTEGER) END AS end_date
               FROM o_
               UNION ALL
-              SELECT k + {EXTRA_STATE_ID_OFFSET}, p,
+              SELECT k + {LATER_ID}, p,
                      CASE WHEN k % 2 = 0 THEN 'Pre-ART (Continue)' ELSE 'Exposed Child (Continue)' END,
                      ({FAC})[CAST((p + CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END) % 5 AS INTEGER) + 1],
-                     d + {EXTRA_STATE_DAYS}
-              FROM o_ WHERE k % 13 = 5) s""",
+                     d + {LATER_DAYS}, NULL
+              FROM o_) s""",
     "omrs_program_enrollment": """
         SELECT c_custkey AS program_enrollment_id, c_custkey AS patient_id,
                CASE WHEN c_custkey % 3 = 0 THEN DATE '2001-12-31' END AS completion_date,
@@ -64,7 +69,7 @@ CTES: dict[str, str] = {
         WHERE v = 0 OR (v = 1 AND c_custkey % 11 = 0) OR (v = 2 AND c_custkey % 29 = 0)
               OR (v = 3 AND c_custkey % 4 = 0)""",
     "lookup_location": "SELECT * FROM (VALUES " + ", ".join(
-        f"({_q(n)}, {i})" for i, n in enumerate(K.FACILITIES)) + ") AS t(target_value, source_key)",
+        f"({_q(n)}, {i})" for i, n in enumerate(V.FACILITIES)) + ") AS t(target_value, source_key)",
     "mw_art_initial": f"""
         SELECT p AS patient_id, d AS visit_date, ({FAC})[CAST(p % 5 AS INTEGER) + 1] AS location,
                CAST(CASE WHEN k % 5 <> 0 THEN (k * 37) % 600 END AS INTEGER) AS cd4_count,
@@ -72,7 +77,7 @@ CTES: dict[str, str] = {
                CASE WHEN p % 2 = 0 THEN ({_lst(PREGNANCY_CYCLE)})[CAST((k // 8) % 4 AS INTEGER) + 1] END
                    AS pregnant_or_lactating,
                k AS k_
-        FROM o_ WHERE k % 8 = 0""",
+        FROM o_""",
     "mw_art_followup": f"""
         SELECT p AS patient_id, d AS visit_date,
                CASE WHEN k % 13 = 1 AND p % 5 <= 2 THEN
@@ -85,7 +90,7 @@ CTES: dict[str, str] = {
                CAST(30 * (k % 6 + 1) AS INTEGER) AS arvs_given,
                CAST(CASE WHEN k % 5 <> 0 THEN 100 + k % 70 END AS INTEGER) AS systolic_bp,
                CAST(CASE WHEN k % 5 <> 0 THEN 60 + k % 50 END AS INTEGER) AS diastolic_bp,
-               ({_lst(K.TB_STATUSES)})[CAST((k // 4) % 4 AS INTEGER) + 1] AS tb_status,
+               ({_lst(V.TB_STATUSES)})[CAST((k // 4) % 4 AS INTEGER) + 1] AS tb_status,
                CASE WHEN k % 4 IN (0, 1) THEN 'Isoniazid' END AS inh_300,
                CASE WHEN k % 4 IN (0, 1) THEN CAST(12 * (k % 4 + 1) AS DECIMAL(10,2)) END AS inh_300_pills,
                CASE WHEN k % 4 = 1 THEN 'Rifapentine' END AS rfp_150,
@@ -108,21 +113,21 @@ CTES: dict[str, str] = {
                CAST(CASE WHEN k % 4 = 1 THEN 400 END AS INTEGER) AS less_than_limit,
                CASE WHEN k % 4 = 2 THEN 'True' END AS ldl,
                CASE WHEN k % 4 = 3 THEN 'Sample rejected' END AS other_results
-        FROM o_ WHERE k % 3 = 0""",
+        FROM o_""",
     "mw_art_followup_testing": f"""
         SELECT p AS patient_id, d AS visit_date, ({FAC})[CAST(p % 5 AS INTEGER) + 1] AS location,
                CAST((k * 53) % 800 AS INTEGER) AS cd4_count
-        FROM o_ WHERE k % 5 = 0""",
+        FROM o_""",
     "omrs_encounter": f"""
         SELECT k AS encounter_id, p AS patient_id, d AS encounter_date,
-               ({_lst(K.ENCOUNTER_TYPES)})[CAST(k % {len(K.ENCOUNTER_TYPES)} AS INTEGER) + 1] AS encounter_type,
+               ({_lst(V.ENCOUNTER_TYPES)})[CAST(k % {len(V.ENCOUNTER_TYPES)} AS INTEGER) + 1] AS encounter_type,
                ({FAC})[CAST(p % 5 AS INTEGER) + 1] AS location
         FROM o_""",
     "omrs_obs": f"""
         SELECT l_orderkey AS encounter_id, l_orderkey * 10 + l_linenumber AS obs_group_id,
-               ({_lst(ALL_CONCEPTS)})[CAST((l_partkey + l_linenumber) % {len(ALL_CONCEPTS)} AS INTEGER) + 1] AS concept,
+               ({_lst(V.CONCEPTS)})[CAST((l_partkey + l_linenumber) % {len(V.CONCEPTS)} AS INTEGER) + 1] AS concept,
                CAST(l_shipdate AS DATE) AS obs_date,
-               ({_lst(ALL_CODED)})[CAST((l_partkey * 3 + l_suppkey) % {len(ALL_CODED)} AS INTEGER) + 1] AS value_coded,
+               ({_lst(V.ANSWERS)})[CAST((l_partkey * 3 + l_suppkey) % {len(V.ANSWERS)} AS INTEGER) + 1] AS value_coded,
                CAST(l_quantity AS DECIMAL(16,4)) AS value_numeric, CAST(l_shipdate AS DATE) AS value_date,
                'T' || CAST(l_partkey AS VARCHAR) AS value_text,
                CAST(l_shipdate AS DATE) + CAST(l_suppkey % 30 AS INTEGER) AS date_created
@@ -142,7 +147,7 @@ CTES: dict[str, str] = {
                CASE WHEN k % 3 <> 0 THEN 'Community Health Worker' ELSE 'Guardian' END AS related_person_role,
                CASE WHEN k % 4 <> 0 THEN d END AS start_date, CASE WHEN k % 5 = 0 THEN d + 365 END AS end_date,
                d + CAST(k % 11 AS INTEGER) AS date_created
-        FROM o_ WHERE k % 10 = 3""",
+        FROM o_""",
     "omrs_obs_group": f"""
         SELECT DISTINCT l_orderkey * 10 + l_linenumber AS obs_group_id, l_orderkey AS encounter_id,
                ({_lst(GROUP_CONCEPTS)})[CAST((l_orderkey + l_linenumber) % {len(GROUP_CONCEPTS)} AS INTEGER) + 1]
@@ -151,7 +156,13 @@ CTES: dict[str, str] = {
 }
 
 
-def with_fixtures(body: str) -> str:
-    """Prefix a query body with every fixture CTE (DuckDB drops unused ones)."""
-    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items())
-    return f"WITH {ctes}\n{body}"
+def with_fixtures(body: str, replace: dict[str, str] | None = None, more_steps: bool = False) -> str:
+    """Prefix a body with every fixture CTE (DuckDB drops unused ones).
+
+    ``replace`` gives other SQL for some tables; it comes last, so that it can
+    read the source tables.  ``more_steps``: the body begins with further CTEs.
+    """
+    replace = replace or {}
+    tables = {n: q for n, q in CTES.items() if n not in replace} | replace
+    ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in tables.items())
+    return f"WITH {ctes}{',' if more_steps else ''}\n{body}"

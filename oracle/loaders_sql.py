@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from kalulu import constants as K
-from kalulu.plans.loaders import concepts as C
-from oracle.fixtures_sql import _q, with_fixtures
+from oracle import values as V
+from oracle.fixtures_sql import quoted, with_fixtures
+
+_q = quoted
 
 OBS = """(SELECT o.*, e.patient_id, e.encounter_date AS visit_date, e.location, e.encounter_type,
                  g.concept AS group_concept
@@ -21,10 +22,10 @@ def _spine(types):
 def _concept_inputs(spec):
     """One grouped input per concept (the shape of the source: one SQL per column)."""
     joins, cols = [], []
-    for i, (col, concept, kind, etype, *grp) in enumerate(spec):
+    for i, (col, concept, kind, etype, group) in enumerate(spec):
         flt = f" AND encounter_type = {_q(etype)}" if etype else ""
-        if grp:
-            flt += f" AND group_concept = {_q(grp[0])}"
+        if group:
+            flt += f" AND group_concept = {_q(group)}"
         joins.append(f"LEFT JOIN (SELECT {KEYS}, MIN({kind}) AS v FROM {OBS} x WHERE concept = {_q(concept)}{flt} "
                      f"GROUP BY {KEYS}) c{i} ON c{i}.patient_id = s.patient_id AND c{i}.visit_date = s.visit_date "
                      f"AND c{i}.location = s.location")
@@ -33,24 +34,24 @@ def _concept_inputs(spec):
 
 
 def art_followup_sql() -> str:
-    joins, cols = _concept_inputs(C.ART_FOLLOWUP)
-    for j, (col, drug) in enumerate(C.TPT_DRUGS):
+    joins, cols = _concept_inputs(V.ART_FOLLOWUP)
+    for j, (col, drug) in enumerate(V.DRUGS):
         joins.append(f"""LEFT JOIN (SELECT d.patient_id, d.visit_date, d.location, MIN(d.value_coded) AS v,
                                   MIN(p.value_numeric) AS pills
                            FROM {OBS} d LEFT JOIN (SELECT obs_group_id, value_numeric FROM {OBS} y
-                                                  WHERE concept = {_q(C.PILLS_CONCEPT)}
-                                                    AND encounter_type = {_q(K.ART_FOLLOWUP)}) p
+                                                  WHERE concept = {_q(V.PILLS_CONCEPT)}
+                                                    AND encounter_type = 'ART_FOLLOWUP') p
                              ON p.obs_group_id = d.obs_group_id
-                           WHERE d.concept = {_q(C.TPT_CONCEPT)} AND d.value_coded = {_q(drug)}
+                           WHERE d.concept = {_q(V.DRUG_CONCEPT)} AND d.value_coded = {_q(drug)}
                            GROUP BY d.patient_id, d.visit_date, d.location) t{j}
                    ON t{j}.patient_id = s.patient_id AND t{j}.visit_date = s.visit_date AND t{j}.location = s.location""")
         cols += [f"t{j}.v AS {col}", f"t{j}.pills AS {col}_pills"]
-    for j, (col, value) in enumerate(C.SIDE_EFFECTS):
-        joins.append(f"""LEFT JOIN (SELECT DISTINCT {KEYS} FROM {OBS} z WHERE concept = {_q(C.SIDE_EFFECTS_CONCEPT)}
+    for j, (col, value) in enumerate(V.SIDE_EFFECTS):
+        joins.append(f"""LEFT JOIN (SELECT DISTINCT {KEYS} FROM {OBS} z WHERE concept = {_q(V.SIDE_EFFECT_CONCEPT)}
                                   AND value_coded = {_q(value)}) se{j}
                    ON se{j}.patient_id = s.patient_id AND se{j}.visit_date = s.visit_date AND se{j}.location = s.location""")
         cols.append(f"se{j}.patient_id IS NOT NULL AS {col}")
-    body = f"SELECT s.patient_id, s.visit_date, s.location, {', '.join(cols)} FROM {_spine([K.ART_FOLLOWUP])} s\n" + \
+    body = f"SELECT s.patient_id, s.visit_date, s.location, {', '.join(cols)} FROM {_spine(["ART_FOLLOWUP"])} s\n" + \
         "\n".join(joins)
     return with_fixtures(body)
 
@@ -63,35 +64,96 @@ def _simple(spec, types) -> str:
 
 
 def art_initial_sql() -> str:
-    return _simple(C.ART_INITIAL, [K.ART_INITIAL])
+    return _simple(V.ART_INITIAL, ["ART_INITIAL"])
+
+
+def row_id(*columns: str) -> str:
+    """60 bits of the digest of the natural key."""
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT"
+
+
+def _visit_rows(spec, types, name: str) -> str:
+    joins, cols = _concept_inputs(spec)
+    return (f"SELECT {row_id('s.patient_id', 's.visit_date', 's.location')} AS {name}, s.patient_id, s.visit_date, "
+            f"s.location, {', '.join(cols)} FROM {_spine(types)} s\n" + "\n".join(joins))
+
+
+def _art_visit_rows() -> str:
+    return _visit_rows(V.ART_VISITS, ["ART_INITIAL", "ART_FOLLOWUP"], "art_visit_id")
+
+
+def _eid_visit_rows() -> str:
+    return _visit_rows(V.EID_VISITS, ["EXPOSED_CHILD_INITIAL", "EXPOSED_CHILD_FOLLOWUP"], "eid_visit_id")
 
 
 def art_visits_sql() -> str:
-    return _simple(C.ART_VISITS, [K.ART_INITIAL, K.ART_FOLLOWUP])
+    return with_fixtures(_art_visit_rows())
+
+
+LAB = ["patient_id", "encounter_id", "date_collected", "test_type", "date_result_received", "date_result_entered",
+       "result_coded", "result_numeric", "result_exception"]
+
+
+def _vl_rows() -> str:
+    """Four inputs of all observations, matched per encounter; what has no match stays."""
+    def kind(name, concept, true=False):
+        only = " AND o.value_coded = 'True'" if true else ""
+        return (f"(SELECT e.patient_id, o.encounter_id, o.obs_date AS {name}d, o.date_created AS {name}e, o.value_numeric AS {name}v "
+                f"FROM omrs_obs o JOIN omrs_encounter e USING (encounter_id) WHERE o.concept = {_q(concept)}{only})")
+    on = "USING (patient_id, encounter_id)"
+    rows = f"""SELECT patient_id, encounter_id, coalesce(sd, ld, td, rd) AS date_collected, 'Viral Load' AS test_type,
+                      CAST(NULL AS DATE) AS date_result_received, coalesce(le, te, re) AS date_result_entered,
+                      CAST(NULL AS VARCHAR) AS result_coded, CAST(rv AS DECIMAL(10,2)) AS result_numeric,
+                      CASE WHEN ld IS NOT NULL THEN 'Lower than Detection Limit' ELSE '<' || CAST(tv AS VARCHAR) END AS result_exception
+               FROM {kind('s', 'Sample taken for Viral Load', True)} s
+               FULL JOIN {kind('l', 'Lower than Detection Limit', True)} l {on}
+               FULL JOIN {kind('t', 'Less than limit')} t {on} FULL JOIN {kind('r', 'HIV viral load')} r {on}"""
+    return f"SELECT {row_id(*LAB)} AS lab_test_id, {', '.join(LAB)} FROM ({rows}) x"
+
+
+def _hiv_rows() -> str:
+    """Constructs, all results and sample dates matched per patient and group; then type and date received."""
+    def of(concept, cols):
+        return (f"(SELECT e.patient_id, o.obs_group_id, {cols} FROM omrs_obs o JOIN omrs_encounter e USING (encounter_id) "
+                f"WHERE o.concept = {_q(concept)})")
+    on = "USING (patient_id, obs_group_id)"
+    groups = f"(SELECT obs_group_id, encounter_id FROM omrs_obs_group WHERE concept = {_q(V.SEROLOGY)})"
+    rows = f"""SELECT patient_id, obs_group_id, encounter_id, coalesce(sampled, encounter_date) AS date_collected,
+                      coalesce(kind, 'HIV test') AS test_type, received AS date_result_received, entered AS date_result_entered,
+                      result AS result_coded, CAST(NULL AS DECIMAL(10,2)) AS result_numeric, CAST(NULL AS VARCHAR) AS result_exception
+               FROM (SELECT e.patient_id, g.obs_group_id, g.encounter_id, e.encounter_date
+                     FROM {groups} g JOIN omrs_encounter e USING (encounter_id)) c
+               FULL JOIN {of('Result of HIV test', 'o.value_coded AS result, o.date_created AS entered')} r {on}
+               FULL JOIN (SELECT * FROM {of('Date of blood sample', 'o.value_date AS sampled')} a
+                          WHERE obs_group_id IN (SELECT obs_group_id FROM {groups} g2)) s {on}
+               LEFT JOIN {of('HIV test type', 'o.value_coded AS kind')} t {on}
+               LEFT JOIN {of('Date of returned result', 'o.value_date AS received')} d {on}"""
+    return f"SELECT {row_id(*LAB, 'obs_group_id')} AS lab_test_id, {', '.join(LAB)} FROM ({rows}) x"
 
 
 def lab_tests_vl_sql() -> str:
-    ob = """(SELECT o.*, e.patient_id FROM omrs_obs o JOIN omrs_encounter e ON e.encounter_id = o.encounter_id)"""
-
-    def part(cond, cols):
-        return (f"(SELECT patient_id, encounter_id, {cols} FROM {ob} q WHERE {cond} "
-                f"GROUP BY patient_id, encounter_id)")
-
-    s = part(f"concept = {_q(C.VL_SAMPLE)} AND value_coded = 'True'", "MIN(obs_date) AS d")
-    l_ = part(f"concept = {_q(C.VL_LDL)} AND value_coded = 'True'", "MIN(obs_date) AS d, MIN(date_created) AS e")
-    t = part(f"concept = {_q(C.VL_LESS_THAN)}",
-             "MIN(obs_date) AS d, MIN(date_created) AS e, MIN(value_numeric) AS v")
-    r = part(f"concept = {_q(C.VL_RESULT)}", "MIN(obs_date) AS d, MIN(date_created) AS e, MIN(value_numeric) AS v")
-    body = f"""SELECT patient_id, encounter_id, {_q(C.VL_TEST_TYPE)} AS test_type,
-                   COALESCE(s.d, l_.d, t.d, r.d) AS date_collected,
-                   COALESCE(l_.e, t.e, r.e) AS date_result_entered,
-                   CAST(r.v AS DECIMAL(10,2)) AS result_numeric,
-                   COALESCE(CASE WHEN l_.d IS NOT NULL THEN {_q(C.VL_LDL_TEXT)} END,
-                            '<' || CAST(t.v AS VARCHAR)) AS result_exception
-            FROM {s} s FULL OUTER JOIN {l_} l_ USING (patient_id, encounter_id)
-                 FULL OUTER JOIN {t} t USING (patient_id, encounter_id)
-                 FULL OUTER JOIN {r} r USING (patient_id, encounter_id)"""
-    return with_fixtures(body)
+    return with_fixtures(_vl_rows())
+
+
+def lab_tests_hiv_sql() -> str:
+    return with_fixtures(_hiv_rows())
+
+
+def lab_tests_sql() -> str:
+    return with_fixtures(f"{_hiv_rows()}\nUNION ALL\n{_vl_rows()}")
+
+
+HAS_RESULT = "coalesce(result_coded, CAST(result_numeric AS VARCHAR), result_exception) IS NOT NULL"
+
+
+def test_lookup_sql(date: str, test_type: str, with_result: bool, offset: int = 0, newest: bool = True, bounds=(None, None)) -> str:
+    where = [f"test_type = {_q(test_type)}"] + [HAS_RESULT] * with_result
+    where += [f"{date} {op} DATE '{b}'" for op, b in zip((">=", "<="), bounds) if b]
+    order = f"{date} DESC NULLS LAST, lab_test_id DESC" if newest else f"{date} ASC NULLS FIRST, lab_test_id"
+    return with_fixtures(f"""lab AS ({_hiv_rows()} UNION ALL {_vl_rows()})
+        SELECT patient_id, {date}, lab_test_id FROM lab WHERE {' AND '.join(where)}
+        QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY {order}) = {offset + 1}""", more_steps=True)
 
 
 def _intervals_sql(state: str) -> str:
@@ -118,49 +180,42 @@ def _newest_number_sql(id_type: str) -> str:
               FROM omrs_patient_identifier WHERE lower(rtrim(type)) = {_q(id_type.lower())}) z WHERE rn = 1)"""
 
 
+def _newest(source: str, by: str, pick: str) -> str:
+    return (f"(SELECT patient_id, {pick} AS picked FROM {source} "
+            f"QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY {by}) = 1)")
+
+
+def _register(state: str, id_type: str, number: str, more: str = "", joins: str = "", steps: str = "") -> str:
+    body = f"""SELECT s.program_enrollment_id AS enrollment_id, s.patient_id, s.location, n.num AS {number}, s.start_date,
+                      s.end_date, s.outcome{more}
+               FROM {_intervals_sql(state)} s
+               LEFT JOIN {_newest_number_sql(id_type)} n ON n.patient_id = s.patient_id AND n.location = s.location {joins}"""
+    return with_fixtures(f"{steps}\n{body}", more_steps=bool(steps))
+
+
 def art_register_sql() -> str:
-    lab = lab_tests_vl_sql()[len("WITH "):]
-    ctes, _, body = lab.rpartition("\nSELECT patient_id, encounter_id, ")
-    q = f"""
-    SELECT s.patient_id, s.location, idn.num AS art_number, s.start_date, s.end_date, s.outcome,
-           lv.art_visit_id AS last_art_visit_id, lt.encounter_id AS last_viral_load_test_id,
-           lr.encounter_id AS last_viral_load_result_id
-    FROM {_intervals_sql(K.ON_ART)} s
-    LEFT JOIN {_newest_number_sql(K.ARV_NUMBER)} idn ON idn.patient_id = s.patient_id AND idn.location = s.location
-    LEFT JOIN (SELECT patient_id, art_visit_id,
-                      row_number() OVER (PARTITION BY patient_id ORDER BY visit_date DESC, art_visit_id DESC) AS rn
-               FROM mw_art_visits) lv ON lv.patient_id = s.patient_id AND lv.rn = 1
-    LEFT JOIN (SELECT patient_id, encounter_id, row_number() OVER (PARTITION BY patient_id
-                   ORDER BY COALESCE(date_collected, date_result_entered) DESC NULLS LAST, encounter_id DESC) AS rn
-               FROM lab) lt ON lt.patient_id = s.patient_id AND lt.rn = 1
-    LEFT JOIN (SELECT patient_id, encounter_id, row_number() OVER (PARTITION BY patient_id
-                   ORDER BY COALESCE(date_collected, date_result_entered) DESC NULLS LAST, encounter_id DESC) AS rn
-               FROM lab WHERE result_numeric IS NOT NULL OR result_exception IS NOT NULL) lr
-      ON lr.patient_id = s.patient_id AND lr.rn = 1"""
-    return f"WITH {ctes}, lab AS (SELECT patient_id, encounter_id, {body})\n{q}"
+    tested = "coalesce(date_collected, date_result_received, date_result_entered) DESC NULLS LAST, lab_test_id DESC"
+    return _register(
+        "On antiretrovirals", "ARV Number", "art_number",
+        ", v.picked AS last_art_visit_id, t.picked AS last_viral_load_test_id, r.picked AS last_viral_load_result_id",
+        f"""LEFT JOIN {_newest('visits', 'visit_date DESC NULLS LAST, art_visit_id DESC', 'art_visit_id')} v ON v.patient_id = s.patient_id
+            LEFT JOIN {_newest('lab', tested, 'lab_test_id')} t ON t.patient_id = s.patient_id
+            LEFT JOIN {_newest(f'(SELECT * FROM lab WHERE {HAS_RESULT}) w', tested, 'lab_test_id')} r ON r.patient_id = s.patient_id""",
+        f"visits AS ({_art_visit_rows()}), lab AS ({_vl_rows()})")
 
 
 def pre_art_register_sql() -> str:
-    return with_fixtures(f"""
-    SELECT s.patient_id, s.location, idn.num AS pre_art_number, s.start_date, s.end_date, s.outcome
-    FROM {_intervals_sql(K.PRE_ART_CONTINUE)} s
-    LEFT JOIN {_newest_number_sql(K.HCC_NUMBER)} idn ON idn.patient_id = s.patient_id AND idn.location = s.location""")
+    return _register("Pre-ART (Continue)", "HCC Number", "pre_art_number")
 
 
 def eid_register_sql() -> str:
-    visits = eid_visits_sql()[len("WITH "):]
-    ctes, _, body = visits.rpartition("\nSELECT s.patient_id, s.visit_date, s.location, ")
-    q = f"""
-    SELECT s.patient_id, s.location, idn.num AS eid_number, s.start_date, s.end_date, s.outcome,
-           lv.d AS last_eid_visit_date, m.mother_art_number
-    FROM {_intervals_sql(K.EXPOSED_CHILD_CONTINUE)} s
-    LEFT JOIN {_newest_number_sql(K.HCC_NUMBER)} idn ON idn.patient_id = s.patient_id AND idn.location = s.location
-    LEFT JOIN (SELECT patient_id, MAX(visit_date) AS d FROM eid_visits GROUP BY patient_id) lv
-      ON lv.patient_id = s.patient_id
-    LEFT JOIN (SELECT e.patient_id, string_agg(o.value_text, ',' ORDER BY o.value_text) AS mother_art_number
-               FROM omrs_obs o JOIN omrs_encounter e ON e.encounter_id = o.encounter_id
-               WHERE o.concept = {_q(C.MOTHER_ART_NUMBER)} GROUP BY e.patient_id) m ON m.patient_id = s.patient_id"""
-    return f"WITH {ctes}, eid_visits AS (SELECT s.patient_id, s.visit_date, s.location, {body})\n{q}"
+    return _register(
+        "Exposed Child (Continue)", "HCC Number", "eid_number", ", v.picked AS last_eid_visit_id, m.mother_art_number",
+        f"""LEFT JOIN {_newest('visits', 'visit_date DESC NULLS LAST, eid_visit_id DESC', 'eid_visit_id')} v ON v.patient_id = s.patient_id
+            LEFT JOIN (SELECT e.patient_id, string_agg(o.value_text, ',' ORDER BY o.value_text) AS mother_art_number
+                       FROM omrs_obs o JOIN omrs_encounter e USING (encounter_id)
+                       WHERE o.concept = {_q(V.MOTHER_NUMBER)} GROUP BY 1) m ON m.patient_id = s.patient_id""",
+        f"visits AS ({_eid_visit_rows()})")
 
 
 def patient_sql() -> str:
@@ -178,8 +233,8 @@ def patient_sql() -> str:
 
 
 def parent_facilities_sql() -> str:
-    case = "CASE " + " ".join(f"WHEN lower(rtrim(location)) = {_q(c.rstrip().lower())} THEN {_q(p)}"
-                              for c, p in K.OUTREACH_PARENT) + " ELSE location END"
+    case = "CASE " + " ".join(f"WHEN lower(rtrim(location)) = {_q(c.lower())} THEN {_q(V.FACILITIES[p])}"
+                              for c, p in V.PARENTS) + " ELSE location END"
     return with_fixtures(f"SELECT DISTINCT location, {case} AS parent_facility FROM mw_art_followup")
 
 
@@ -191,62 +246,54 @@ def formatted_identifiers_sql() -> str:
         FROM omrs_patient_identifier""")
 
 
-def latest_test_result_sql(offset: int = 0) -> str:
-    lab = lab_tests_vl_sql()[len("WITH "):]
-    # reuse the lab load as a CTE, then the n-th newest per patient
-    ctes, _, body = lab.rpartition("\nSELECT patient_id, encounter_id, ")
-    return (f"WITH {ctes}, lab AS (SELECT patient_id, encounter_id, {body})\n"
-            f"SELECT patient_id, encounter_id, date_result_entered FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY patient_id ORDER BY date_result_entered DESC, encounter_id DESC) AS rn FROM lab "
-            f"WHERE COALESCE(CAST(result_numeric AS VARCHAR), result_exception) IS NOT NULL) z WHERE rn = {offset + 1}")
+def _regimen_rows() -> str:
+    lines = ", ".join(f"({n}, {_q(a)}, {_q(b)})" for n, a, b in V.REGIMEN_LINES)
+    return f"""SELECT e.patient_id, o.value_coded AS regimen, l.num_of_prev_regimens,
+                      (SELECT min(s.value_date) FROM omrs_obs s WHERE s.encounter_id = o.encounter_id AND s.concept = l.started)
+                          AS regimen_init_date
+               FROM omrs_obs o JOIN omrs_encounter e USING (encounter_id)
+               JOIN (VALUES {lines}) l(num_of_prev_regimens, given, started) ON l.given = o.concept"""
 
 
 def art_regimen_sql() -> str:
-    parts = []
-    for n_prev, reg, dt in C.REGIMEN_LINES:
-        parts.append(f"""SELECT e.patient_id, o.value_coded AS regimen, s.d AS regimen_init_date,
-                                {n_prev} AS num_of_prev_regimens
-            FROM omrs_obs o JOIN omrs_encounter e ON e.encounter_id = o.encounter_id
-            LEFT JOIN (SELECT encounter_id, MIN(value_date) AS d FROM omrs_obs WHERE concept = {_q(dt)}
-                       GROUP BY encounter_id) s ON s.encounter_id = o.encounter_id
-            WHERE o.concept = {_q(reg)}""")
-    return with_fixtures("\nUNION ALL\n".join(parts))
+    return with_fixtures(_regimen_rows())
 
 
 def eid_initial_sql() -> str:
-    return _simple(C.EID_INITIAL, [K.EXPOSED_CHILD_INITIAL])
+    return _simple(V.EID_INITIAL, ["EXPOSED_CHILD_INITIAL"])
 
 
 def eid_followup_sql() -> str:
-    return _simple(C.EID_FOLLOWUP, [K.EXPOSED_CHILD_FOLLOWUP])
+    return _simple(V.EID_FOLLOWUP, ["EXPOSED_CHILD_FOLLOWUP"])
 
 
 def eid_visits_sql() -> str:
-    return _simple(C.EID_VISITS, [K.EXPOSED_CHILD_INITIAL, K.EXPOSED_CHILD_FOLLOWUP])
+    return with_fixtures(_eid_visit_rows())
 
 
 def eid_lab_tests_sql() -> str:
-    return _simple(C.EID_LAB_TESTS, [K.EID_SCREENING])
+    return _simple(V.EID_LAB_TESTS, ["EID Screening"])
 
 
 def pre_art_visits_sql() -> str:
-    return _simple(C.PRE_ART_VISITS, [K.PART_INITIAL, K.PART_FOLLOWUP])
+    return _simple(V.PRE_ART_VISITS, ["PART_INITIAL", "PART_FOLLOWUP"])
 
 
 def art_followup_testing_sql() -> str:
-    spec = [C.FOLLOWUP_TESTING_REQUIRED, *C.FOLLOWUP_TESTING]
-    joins, cols = _concept_inputs(spec)
-    joins[0] = joins[0].replace("LEFT JOIN", "JOIN", 1)  # CD4 is the inner input
-    body = (f"SELECT s.patient_id, s.visit_date, s.location, {', '.join(cols)} "
-            f"FROM {_spine([K.ART_FOLLOWUP_TESTING])} s\n" + "\n".join(joins))
-    return with_fixtures(body)
+    """All observations of the visit's kind: a row for each combination; CD4 is required."""
+    joins = []
+    for i, (col, concept, kind, etype, _) in enumerate(V.FOLLOWUP_TESTING):
+        joins.append(f"{'LEFT ' if i else ''}JOIN (SELECT {KEYS}, {kind} AS {col} FROM {OBS} x WHERE concept = {_q(concept)} "
+                     f"AND encounter_type = {_q(etype)}) c{i} USING ({KEYS})")
+    cols = ", ".join(e[0] for e in V.FOLLOWUP_TESTING)
+    return with_fixtures(f"SELECT {KEYS}, {cols} FROM {_spine(['ART_FOLLOWUP_UP_TESTING'])} s " + " ".join(joins))
 
 
 def art_viral_load_sql() -> str:
-    anchor = C.ART_VIRAL_LOAD_ANCHOR
+    anchor = next(e for e in V.ART_VIRAL_LOAD if e[0] == "reason_for_test")
     cols = []
     joins = []
-    for i, (col, concept, kind, etype) in enumerate(C.ART_VIRAL_LOAD):
+    for i, (col, concept, kind, etype, _) in enumerate(e for e in V.ART_VIRAL_LOAD if e is not anchor):
         joins.append(f"""LEFT JOIN (SELECT {KEYS}, obs_group_id, MIN({kind}) AS v FROM {OBS} x
                                    WHERE concept = {_q(concept)} AND encounter_type = {_q(etype)}
                                    GROUP BY {KEYS}, obs_group_id) c{i}
@@ -255,7 +302,7 @@ def art_viral_load_sql() -> str:
         cols.append(f"c{i}.v AS {col}")
     body = f"""SELECT s.patient_id, s.visit_date, s.location, r.obs_group_id, r.reason_for_test,
                       {', '.join(cols)}
-        FROM {_spine([K.VIRAL_LOAD_SCREENING])} s
+        FROM {_spine(["Viral Load Screening"])} s
         LEFT JOIN (SELECT * FROM (SELECT {KEYS}, obs_group_id, MIN({anchor[2]}) AS reason_for_test,
                                          row_number() OVER (PARTITION BY {KEYS} ORDER BY obs_group_id) AS rn
                                   FROM {OBS} a WHERE concept = {_q(anchor[1])} AND encounter_type = {_q(anchor[3])}
@@ -265,69 +312,39 @@ def art_viral_load_sql() -> str:
     return with_fixtures(body)
 
 
-def lab_tests_hiv_sql() -> str:
-    ob = f"""(SELECT * FROM {OBS} q WHERE group_concept = {_q(C.SEROLOGY_CONSTRUCT)})"""
-
-    def part(concept, cols):
-        return (f"(SELECT patient_id, encounter_id, obs_group_id, visit_date, {cols} FROM {ob} w "
-                f"WHERE concept = {_q(concept)} GROUP BY patient_id, encounter_id, obs_group_id, visit_date)")
-
-    s_ = part(C.HIV_SAMPLE_DATE, "MIN(value_date) AS v")
-    rd = part(C.HIV_RESULT_DATE, "MIN(value_date) AS v")
-    rs = part(C.HIV_RESULT, "MIN(value_coded) AS v, MIN(date_created) AS e")
-    tt = part(C.HIV_TEST_TYPE, "MIN(value_coded) AS v")
-    body = f"""SELECT patient_id, encounter_id, obs_group_id, COALESCE(s_.v, visit_date) AS date_collected,
-                   COALESCE(tt.v, {_q(C.HIV_DEFAULT_TEST_TYPE)}) AS test_type, rd.v AS date_result_received,
-                   rs.e AS date_result_entered, rs.v AS result_coded
-            FROM {s_} s_ FULL OUTER JOIN {rd} rd USING (patient_id, encounter_id, obs_group_id, visit_date)
-                 FULL OUTER JOIN {rs} rs USING (patient_id, encounter_id, obs_group_id, visit_date)
-                 LEFT JOIN {tt} tt USING (patient_id, encounter_id, obs_group_id, visit_date)"""
-    return with_fixtures(body)
-
-
-def _with_lab(q: str) -> str:
-    lab = lab_tests_vl_sql()[len("WITH "):]
-    ctes, _, body = lab.rpartition("\nSELECT patient_id, encounter_id, ")
-    return f"WITH {ctes}, lab AS (SELECT patient_id, encounter_id, {body})\n{q}"
-
-
-def first_test_result_sql(end) -> str:
-    return _with_lab(f"""SELECT patient_id, encounter_id AS lab_test_id, date_result_entered FROM (
-        SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY date_result_entered, encounter_id) AS rn
-        FROM lab WHERE test_type = 'Viral Load' AND (result_numeric IS NOT NULL OR result_exception IS NOT NULL)
-          AND date_result_entered <= DATE '{end.isoformat()}') z WHERE rn = 1""")
-
-
-def latest_test_by_sample_date_sql(offset: int) -> str:
-    return _with_lab(f"""SELECT patient_id, encounter_id AS lab_test_id, date_collected FROM (
-        SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY date_collected DESC NULLS LAST,
-                                     encounter_id DESC) AS rn
-        FROM lab WHERE test_type = 'Viral Load') z WHERE rn = {offset + 1}""")
-
-
 def regimen_at_offset_sql(offset: int) -> str:
-    reg = art_regimen_sql()[len("WITH "):]
-    ctes, _, body = reg.rpartition("\nSELECT e.patient_id, o.value_coded AS regimen")
-    # the regimen union is the last statement; wrap the whole union as a CTE
-    first_sel = reg.index("SELECT e.patient_id, o.value_coded AS regimen")
-    ctes, union = reg[:first_sel].rstrip().rstrip("\n"), reg[first_sel:]
-    return (f"WITH {ctes}\n, regimens AS ({union})\n"
-            f"SELECT patient_id, regimen, regimen_init_date AS regimen_start FROM (SELECT *, row_number() OVER "
-            f"(PARTITION BY patient_id ORDER BY regimen_init_date DESC NULLS LAST, num_of_prev_regimens DESC, "
-            f"regimen DESC NULLS LAST) AS rn FROM regimens) z WHERE rn = {offset + 1}")
+    return with_fixtures(f"""regimens AS ({_regimen_rows()})
+        SELECT patient_id, regimen, regimen_init_date AS regimen_start FROM regimens
+        QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY regimen_init_date DESC NULLS LAST,
+                                   num_of_prev_regimens DESC, regimen DESC NULLS LAST) = {offset + 1}""", more_steps=True)
 
 
 def first_date_no_breastfeeding_sql(end) -> str:
-    visits = eid_visits_sql()[len("WITH "):]
-    ctes, _, body = visits.rpartition("\nSELECT s.patient_id, s.visit_date, s.location, ")
-    stopped = _q(C.BREASTFEEDING_STOPPED)
-    e = f"DATE '{end.isoformat()}'"
-    q = f"""SELECT v.patient_id, MIN(v.visit_date) AS first_date_no_breastfeeding
-        FROM eid_visits v
-        LEFT JOIN (SELECT patient_id, MAX(visit_date) AS last_invalid FROM eid_visits
-                   WHERE breastfeeding_status <> {stopped} AND visit_date <= {e} GROUP BY patient_id) li
-          ON li.patient_id = v.patient_id
-        WHERE v.breastfeeding_status = {stopped}
-          AND (li.last_invalid IS NULL OR (v.visit_date <= {e} AND v.visit_date <= li.last_invalid))
-        GROUP BY v.patient_id"""
-    return f"WITH {ctes}, eid_visits AS (SELECT s.patient_id, s.visit_date, s.location, {body})\n{q}"
+    e, stopped = f"DATE '{end.isoformat()}'", _q(V.STOPPED_FEEDING)
+    return with_fixtures(f"""visits AS ({_eid_visit_rows()}),
+        other AS (SELECT patient_id, max(visit_date) AS d FROM visits
+                  WHERE breastfeeding_status <> {stopped} AND visit_date <= {e} GROUP BY 1)
+        SELECT v.patient_id, min(v.visit_date) AS first_date_no_breastfeeding
+        FROM visits v LEFT JOIN other o USING (patient_id)
+        WHERE v.breastfeeding_status = {stopped} AND (o.d IS NULL OR (v.visit_date <= {e} AND v.visit_date <= o.d))
+        GROUP BY 1""", more_steps=True)
+
+
+def _bare(sql: str) -> str:
+    """A loader's statement without the fixtures in front of it."""
+    return sql[len(with_fixtures("")):]
+
+
+def loaded_tables() -> dict[str, str]:
+    """The warehouse tables that the cohort reports read, as their loaders make them, in the declared types."""
+    followup = _bare(art_followup_sql())
+    whole = lambda c: f"TRY_CAST({c} AS INTEGER) AS {c}"
+    decimal = lambda c: f"TRY_CAST({c} AS DECIMAL(10,2)) AS {c}"
+    numbers = [whole(c) for c in ("diastolic_bp", "systolic_bp", "arvs_given")]
+    numbers += [decimal(c) for c in ("height", "weight", "inh_300_pills", "rfp_150_pills", "rfp_inh_pills")]
+    return {
+        "mw_patient": _bare(patient_sql()),
+        "mw_art_followup": f"SELECT * REPLACE ({', '.join(numbers)}) FROM ({followup}) x",
+        "mw_art_initial": f"SELECT * REPLACE ({whole('cd4_count')}) FROM ({_bare(art_initial_sql())}) x",
+        "mw_art_visits": _art_visit_rows(),
+    }

@@ -20,7 +20,9 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not pr
 def wh(spark):
     from kalulu.sources.fixtures import Warehouse
 
-    return Warehouse(spark, SF)
+    from kalulu.sources.normalise import NormalisedWarehouse
+
+    return NormalisedWarehouse(Warehouse(spark, SF))
 
 
 def _rows(df):

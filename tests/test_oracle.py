@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["customer", "orders", "lineitem"]
+TABLES = ["customer", "orders", "lineitem", "documents"]
 
 
 def _norm(v):
@@ -33,6 +33,12 @@ def con():
     return c
 
 
+def test_oracle_is_independent():
+    import glob
+    for path in glob.glob(os.path.join(os.path.dirname(E.__file__), "oracle", "*.py")):
+        assert "kalulu" not in open(path).read(), path
+
+
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):

@@ -8,9 +8,11 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql.types import StructField, StructType
 
 from kalulu import constants as K
 from kalulu.sources.fixtures import Warehouse
+from kalulu.sources.normalise import NormalisedWarehouse
 
 D = dt.date
 END = D(2000, 6, 30)
@@ -22,18 +24,19 @@ TABLES = ["mw_patient", "omrs_program_state", "omrs_patient_identifier", "mw_art
           "mw_art_viral_load", "mw_art_visits", "mw_art_followup_testing"]
 
 
-class TableWarehouse(Warehouse):
-    """A warehouse whose tables are given DataFrames (not materialized)."""
+class TableWarehouse:
+    """A warehouse whose tables are given DataFrames."""
 
     def __init__(self, spark, tables):
-        super().__init__(spark, "<memory>", materialize=False)
+        self.spark = spark
         self.__dict__.update(tables)
+        self.lookup_location = Warehouse(spark, "").lookup_location
 
 
 @pytest.fixture(scope="module")
 def schemas(spark):
     ref = Warehouse(spark, "/root/testdata/sf0.001")
-    return {t: getattr(ref, t).schema for t in TABLES}
+    return {t: StructType([StructField(f.name, f.dataType) for f in getattr(ref, t).schema]) for t in TABLES}
 
 
 def make(spark, schemas, **rows):
@@ -42,7 +45,7 @@ def make(spark, schemas, **rows):
         sch = schemas[t]
         data = [tuple(r.get(f.name) for f in sch.fields) for r in rows.get(t, [])]
         tables[t] = spark.createDataFrame(data, sch)
-    return TableWarehouse(spark, tables)
+    return NormalisedWarehouse(TableWarehouse(spark, tables))
 
 
 def patient(pid, gender="F", age_days=10000):
