@@ -55,7 +55,7 @@ PAIRS = (CLASSES + 1) ** 2
 FEATURES = 2 * WORD_FEATURES + 2 * PAIRS
 SKETCH = 64
 ROUNDS = 2
-BUCKET_BYTES, SHARD_BYTES = 4 << 20, 8 << 20
+BUCKET_BYTES, SHARD_BYTES = 2 << 20, 8 << 20
 BATCH = 1 << 15
 LOG10 = np.log(10.0)
 
@@ -96,9 +96,10 @@ def fit_topics(train: DataFrame, parts: int, rounds: int = 6) -> np.ndarray:
     """Unit centres of the documents' sketches, by spherical k-means over all training documents."""
     def sketch(batches):
         for batch in batches:
-            t = Tokens(batch.column(0))
-            s = _sketches(t.word, t.doc, len(t.off) - 1)[np.diff(t.off) > 0]
-            yield pa.record_batch({"s": pa.array([x.astype(np.float32).tobytes() for x in s], pa.binary())})
+            for lo in range(0, batch.num_rows, 256):      # a batch can hold many long texts
+                t = Tokens(batch.column(0).slice(lo, 256))
+                s = _sketches(t.word, t.doc, len(t.off) - 1)[np.diff(t.off) > 0]
+                yield pa.record_batch({"s": pa.array([x.astype(np.float32).tobytes() for x in s], pa.binary())})
     table = checkpoint(train.select("text").mapInArrow(sketch, "s binary"))
     # start far apart: each next centre is, of a few hashed documents, the least like those before
     first = [np.frombuffer(r.s, np.float32) for r in table.orderBy(F.xxhash64("s")).limit(256).collect()]
@@ -312,8 +313,8 @@ def _train(weights_of, v: Vocabulary, rate: float = 0.5):
         start = weights_of.value.astype(np.float32)
         bias = v.log_share.astype(np.float32)
         for batch in batches:
-            for row in batch.to_pylist():
-                e = Encoded(row)
+            for i in range(batch.num_rows):
+                e = Encoded(batch.slice(i, 1).to_pylist()[0])
                 # a training word is known; only words of held-out documents are not
                 mine = ~e.docs["held"].to_numpy(zero_copy_only=False)[e.doc]
                 features, cls = e.features[mine], e.cls[mine]
@@ -349,8 +350,8 @@ def _score(weights_of, v: Vocabulary, n_train: int):
             inside = -np.log(np.append(v.tokens_of, 1.0))       # of a class; a word's own log count is in its document's sum
         inside[lowest], inside[END], inside[UNKNOWN] = -np.log(v.spread), 0.0, 0.0
         for batch in batches:
-            for row in batch.to_pylist():
-                e = Encoded(row)
+            for i in range(batch.num_rows):
+                e = Encoded(batch.slice(i, 1).to_pylist()[0])
                 n = len(e.docs)
                 score = e.docs["above"].to_numpy().copy()
                 for lo in range(0, len(e.cls), BATCH):
