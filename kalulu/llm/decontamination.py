@@ -229,8 +229,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
             index = shared.value
             for batch in batches:
                 rows = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    words = words_of(text)
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    words = words_of(text.as_py())
                     best: dict[int, tuple] = {}
                     for hit in index.search(words):
                         q, a = index.verify(words, hit)

@@ -129,6 +129,7 @@ class Spec:
     length: int          # units in a window
     gram: int            # units in an anchor
     within: bool         # does an earlier start in the same document count?
+    characters: bool = False    # bytes only: drop what is left of characters that were cut in part
 
 
 class Bucket:
@@ -489,7 +490,8 @@ def _results(bucket: Bucket, gone: np.ndarray) -> pa.Table:
         spans.append([{"start": x - lo, "end": y - lo} for x, y in zip(a, z)])
         holes = [lo, *(v for xy in zip(a, z) for v in xy), hi]
         ranges = [bucket.text(x, y) for x, y in zip(holes[::2], holes[1::2]) if y > x]
-        kept.append((b"" if bucket.start is None else b" ").join(raw[x:y] for x, y in ranges))
+        left = (b"" if bucket.start is None else b" ").join(raw[x:y] for x, y in ranges)
+        kept.append(left.decode("utf-8", "ignore").encode() if bucket.spec.characters and len(ranges) + bool(a) > 1 else left)
     r = bucket.row_doc
     return pa.table({
         "rest": bucket.rest, "n_units": np.diff(off)[r], "n_removed": (total[off[1:]] - total[off[:-1]])[r],

@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id and the fingerprint as a long, for each row."""
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            texts = (x.as_py() for x in batch.column(1).cast(pa.binary()))     # one text at a time
             yield pa.record_batch({
                 "doc_id": batch.column(0),
                 "fp": pa.array([_fingerprint(t or b"", shingle) for t in texts], pa.int64()),

@@ -16,10 +16,8 @@ of their text.  Other columns are not read.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from kalulu.llm.repeats import Spec, remove_repeats
 
@@ -110,8 +108,8 @@ def lpf_matcher(length: int):
     return match
 
 
-def _cut(docs: DataFrame, length: int) -> DataFrame:
-    spec = Spec("byte", length, min(GRAM_BYTES, max(1, length // 3)), within=True)
+def _cut(docs: DataFrame, length: int, characters: bool = False) -> DataFrame:
+    spec = Spec("byte", length, min(GRAM_BYTES, max(1, length // 3)), within=True, characters=characters)
     return remove_repeats(docs, spec, lpf_matcher(length))
 
 
@@ -127,7 +125,7 @@ def suffix_dedup_texts(docs: DataFrame, length: int = 100) -> DataFrame:
     Bytes of a character of which only a part was cut are dropped.  A null text
     comes back empty.
     """
-    cut = _cut(docs, length).withColumn("text", _whole_characters("kept"))
+    cut = _cut(docs, length, characters=True).withColumn("text", F.col("kept").cast("string"))
     out = []
     for c in docs.columns:
         if c == "text":
@@ -137,8 +135,3 @@ def suffix_dedup_texts(docs: DataFrame, length: int = 100) -> DataFrame:
         else:
             out.append(F.col(f"rest.`{c}`").alias(c))
     return cut.select(*out)
-
-
-@F.pandas_udf(StringType())
-def _whole_characters(kept: pd.Series) -> pd.Series:
-    return kept.map(lambda x: x.decode("utf-8", "ignore"))

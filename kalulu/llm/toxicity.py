@@ -244,7 +244,7 @@ def score_documents(docs: DataFrame, grammar_: Grammar) -> DataFrame:
     def run(batches):
         g = shared.value
         for batch in batches:
-            yield pa.record_batch({"doc_id": batch.column(0), "score": pa.array([g.score(t) for t in batch.column(1).to_pylist()], pa.float64())})
+            yield pa.record_batch({"doc_id": batch.column(0), "score": pa.array([g.score(t.as_py()) for t in batch.column(1)], pa.float64())})
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, score double")
 
 
@@ -257,5 +257,7 @@ def accept(docs: DataFrame, grammar_: Grammar, threshold: float = 0.5) -> DataFr
     def run(batches):
         g = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([g.score(t) < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+            for lo in range(0, batch.num_rows, 256):        # a batch can hold many long texts
+                part = batch.slice(lo, 256)
+                yield part.filter(pa.array([g.score(t) < threshold for t in part.column(at).to_pylist()], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)
