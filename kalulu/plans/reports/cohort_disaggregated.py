@@ -21,7 +21,7 @@ from kalulu.sources.fixtures import Warehouse
 def is_active(p: ReportParams, state: str = "state", appt: str = "last_appt_date") -> Column:
     """On ART and the last appointment at most ``cutoff`` days before the end date
     (a null appointment is never active)."""
-    return (state == K.ON_ART) & (F.datediff(lit_date(p.end), F.col(appt)) <= p.cutoff)
+    return (F.col(state) == K.ON_ART) & (F.datediff(lit_date(p.end), F.col(appt)) <= p.cutoff)
 
 
 def cohort_indicators(p: ReportParams) -> dict[str, Column]:

@@ -249,7 +249,8 @@ def test_switch_at_outreach_clinic_uses_parent_number(spark, schemas):
 def test_followup_loader_pairs_pills_by_obs_group(spark):
     from decimal import Decimal as Dec
 
-    from kalulu.plans.loaders.art import load_art_followup, load_lab_tests_vl
+    from kalulu.plans.loaders.art import load_art_followup
+    from kalulu.plans.loaders.lab import load_lab_tests_vl
 
     ref = Warehouse(spark, "/root/testdata/sf0.001")
     from pyspark.sql.types import StructField, StructType
