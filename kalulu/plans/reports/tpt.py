@@ -12,7 +12,7 @@ from kalulu.functions.dates import lit_date
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams, period_start
-from kalulu.plans.cohort import COHORT_COLUMNS, facilities, hiv_cohort, last_outcome_at_facility
+from kalulu.plans.cohort import COHORT_COLUMNS, facilities, hiv_cohort
 from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
