@@ -95,7 +95,7 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
         raise ValueError("the grid covers up to two differing bits")
     # each fingerprint becomes 33 rows: spread them first, adaptive coalescing looks at the bytes before
     width = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    at = prints.repartition(width, "fp").select("fp", F.explode(_grid_points(F.col("fp"))).alias("point"))
+    at = prints.repartition(width, F.xxhash64("fp")).select("fp", F.explode(_grid_points(F.col("fp"))).alias("point"))
     # points that hold two or more; their fullness decides how they are verified
     full = at.groupBy("point").agg(F.count("*").alias("n")).where("n > 1")
     at = at.join(full, "point")
