@@ -1,6 +1,6 @@
 """The fixture projection written as DuckDB SQL CTEs (the oracle side).
 
-Independent second statement of the formulas in ``kalulu/sources/fixtures.py``.
+Independent second statement of the formulas of the fixture projection.
 Lists are 1-based in DuckDB, so ``list[i + 1]`` picks the i-th (0-based) item.
 """
 
