@@ -123,7 +123,11 @@ def fit_topics(train: DataFrame, parts: int, rounds: int = 6) -> np.ndarray:
 
 
 def _tree_sum(rows: DataFrame, dtype, count: int, fan: int = 64) -> np.ndarray:
-    """Sum of equal-sized arrays, ``fan`` to a task at each level of a tree; one array reaches the driver."""
+    """Sum of equal-sized arrays, about ``fan`` to a task at each level of a tree; one array reaches the driver.
+
+    ``count``: how many arrays there are, unless the session has more partitions.
+    """
+    count = max(count, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     def add(table: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x, dtype).astype(np.float64) for x in table["s"].to_pylist())
         return pa.table({"s": pa.array([total.astype(dtype).tobytes()], pa.binary())})
