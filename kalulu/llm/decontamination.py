@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kalulu.llm.common import parts_for
+from kalulu.llm.common import NULL_ID, checked_side, parts_for
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6            # of the item's own score
@@ -219,9 +219,14 @@ _HITS = "doc_id bigint, item_id bigint, passage_start bigint, passage_words bigi
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """A row per document row and item found in it (its best passage): question and answer both at or above ``overlap``."""
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = spark.createDataFrame([], _HITS)
+    return _found(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
+                  benchmark, threshold, overlap, _HITS)
+
+
+def _found(texts: DataFrame, benchmark: DataFrame, threshold: float, overlap: float, schema: str) -> DataFrame:
+    """Hits in ``texts`` (a key and a text); their first column is the key, of the type that ``schema`` names."""
+    spark = texts.sparkSession
+    out = spark.createDataFrame([], schema)
     for index in index_shards(benchmark, threshold):
         shared = spark.sparkContext.broadcast(index)    # INDEX_BYTES of text at most
 
@@ -229,7 +234,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
             index = shared.value
             for batch in batches:
                 rows = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                     words = words_of(text.as_py())
                     best: dict[int, tuple] = {}
                     for hit in index.search(words):
@@ -238,16 +243,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
                             i, start, size, score = hit
                             rank = (q + a, score, -start)
                             if i not in best or rank > best[i][0]:
-                                best[i] = (rank, (doc_id, index.ids[i], start, size, score, q, a))
+                                best[i] = (rank, (key, index.ids[i], start, size, score, q, a))
                     rows += [best[i][1] for i in sorted(best)]
                 cols = list(zip(*rows)) or [()] * 7
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.float64()] * 3)],
-                                      names=[x.split()[0] for x in _HITS.split(", ")])
-        out = out.unionByName(texts.mapInArrow(run, _HITS))
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, [batch.schema.field(0).type] + [pa.int64()] * 3 + [pa.float64()] * 3)],
+                                      names=[x.split()[0] for x in schema.split(", ")])
+        out = out.unionByName(texts.mapInArrow(run, schema))
     return out
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
-    """The rows of ``docs`` whose document holds no benchmark item."""
-    bad = contaminated(docs, benchmark, threshold, overlap).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs`` whose own text holds no benchmark item.
+
+    Each row is judged by its text: other rows of its doc_id, null or not, stay.
+    """
+    id_ = lambda d: F.coalesce(d["doc_id"].cast("long"), F.lit(NULL_ID))
+    digest = lambda d: F.sha2(d["text"].cast("string").cast("binary"), 256)
+    keyed = docs.select(F.struct(id_(docs).alias("id"), digest(docs).alias("digest")).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    bad = _found(keyed, benchmark, threshold, overlap, _HITS.replace("bigint", "struct<id:bigint,digest:string>", 1))
+    bad = checked_side(bad.select(F.col("doc_id.id").alias("_bad"), F.col("doc_id.digest").alias("_bad_digest")).distinct())
+    return docs.join(bad, (id_(docs) == bad["_bad"]) & (digest(docs) == bad["_bad_digest"]), "left_anti")

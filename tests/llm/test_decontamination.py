@@ -83,3 +83,12 @@ def test_edges(spark):
     none = items.where("false")
     assert D.contaminated(docs, none).collect() == [] and D.clean_documents(docs, none).count() == 5
     assert D.contaminated(docs.where("false"), items).collect() == []
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    item = "What is the name of the tall tower? It is Eiffel"
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(None, item, "a"), (None, "clean one", "b"), (None, None, "c"), (7, item, "d"), (7, "clean two", "e"),
+                                  (7, item, "f"), (8, "clean one", "g"), (9, item, "h")], SCHEMA)
+    kept = D.clean_documents(docs, items)
+    assert kept.columns == docs.columns and sorted(r.score for r in kept.collect()) == ["b", "c", "e", "g"]
