@@ -15,7 +15,8 @@ The insult words are a fixed list, and words and word beginnings (of
 sampled texts or more, nearly all toxic.  Fixed words that the
 labels contradict are dropped.  Learning uses the labelled rows outside the
 held-out fold (crc32(doc_id as text) mod 5 is 0), at most about ``SAMPLE_ROWS``
-of them, chosen by a hash of the id.  doc_id, lang, source and labels are never
+of them, chosen by a hash of the id.  Equal texts count once there, toxic by
+the share of their labels: copies are no evidence.  doc_id, lang, source and labels are never
 inputs of a score.
 
 Nulls: a null text is empty; texts without a matched clause score the base
@@ -39,7 +40,6 @@ from kalulu.llm.common import checked_side, id_crc
 
 SAMPLE_ROWS = 20_000
 MIN_TEXTS = 6
-HEAD_CHARS = 48            # sampled texts that begin alike count once: copies are no evidence
 STEM_CHARS = (4, 5, 6)
 FOLDS = 5
 
@@ -159,13 +159,14 @@ class Grammar:
 _EDGE = _TRIM + b".!?;:,"
 
 
-def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 2.0) -> np.ndarray:
-    """Logistic regression by Newton steps, shrunk to the prior weights."""
+def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 2.0, m: np.ndarray | None = None) -> np.ndarray:
+    """Logistic regression by Newton steps, shrunk to the prior weights; ``m`` weighs the rows."""
+    m = np.ones(len(y)) if m is None else m
     w = _PRIOR.copy()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (p - y) + ridge * (w - _PRIOR)
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        g = x.T @ (m * (p - y)) + ridge * (w - _PRIOR)
+        h = (x * (m * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(h, g)
         w = w - step * min(1.0, 4.0 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-6:
@@ -174,15 +175,16 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 2.0) -> np.ndarray:
 
 
 def _labelled_sample(docs: DataFrame, labels: DataFrame, folds: int) -> DataFrame:
-    """text, toxic of about SAMPLE_ROWS labelled documents outside the held-out fold, one of those that begin alike."""
+    """text, toxic of about SAMPLE_ROWS labelled documents outside the held-out fold, equal texts once: toxic is the share of their toxic labels."""
     mine = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (id_crc() % folds != 0))
     mine = mine.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("_toxic"))
     share = min(1.0, SAMPLE_ROWS / max(1, mine.count()))
     picked = checked_side(mine.where(F.pmod(F.xxhash64(F.lit("sample"), "_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
     rows = docs.join(picked, docs["doc_id"].cast("long") == picked["_id"]).select(
         docs["text"].cast("string").alias("text"), picked["_toxic"].alias("toxic"))
-    best = F.max(F.struct("toxic", F.coalesce("text", F.lit("")).alias("text"))).alias("m")
-    return rows.groupBy(F.substring("text", 1, HEAD_CHARS)).agg(best).select("m.text", "m.toxic")
+    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    return rows.groupBy(F.sha2(F.col("text").cast("binary"), 256)).agg(
+        F.first("text").alias("text"), (F.sum("toxic") / F.count("*")).alias("toxic")).select("text", "toxic")
 
 
 def _words_seen(batches):
@@ -195,19 +197,19 @@ def _words_seen(batches):
             seen |= {x[:n].encode() + b"*" for x in text for n in STEM_CHARS if len(x) >= n}
             words += seen
             label += [y] * len(seen)
-        yield pa.record_batch({"word": pa.array(words, pa.binary()), "toxic": pa.array(label, pa.int64())})
+        yield pa.record_batch({"word": pa.array(words, pa.binary()), "toxic": pa.array(label, pa.float64())})
 
 
 def learn(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Grammar:
     from kalulu.llm.common import checkpoint
 
     sample = checkpoint(_labelled_sample(docs, labels, folds))
-    n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0.0))).first()
     fixed = {w.encode() for w in INSULTS}
     if not n or not toxic or toxic == n:
         return Grammar(fixed)
     base = toxic / n
-    words = sample.mapInArrow(_words_seen, "word binary, toxic bigint").groupBy("word").agg(
+    words = sample.mapInArrow(_words_seen, "word binary, toxic double").groupBy("word").agg(
         F.count("*").alias("n"), F.sum("toxic").alias("toxic")).where(F.col("n") >= MIN_TEXTS)
     known = [F.lit(w) for w in sorted(fixed)]
     words = words.withColumn("p", F.col("toxic") / F.col("n"))
@@ -225,16 +227,11 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Grammar:
             x = [grammar_.features(t).tolist() for t in batch.column(0).to_pylist()]
             yield pa.record_batch({"x": pa.array(x, pa.list_(pa.float64())), "toxic": batch.column(1)})
     # equal feature rows are summed, so the fit sees a small table of distinct rows
-    rows = sample.mapInArrow(features, "x array<double>, toxic int").groupBy("x").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).collect()
+    rows = sample.mapInArrow(features, "x array<double>, toxic double").groupBy("x").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).collect()
     x = np.array([r.x for r in rows for _ in (0, 1)])
     y = np.array([v for _ in rows for v in (1.0, 0.0)])
     m = np.array([v for r in rows for v in (r.t, r.n - r.t)], float)
-    return Grammar(insults, _fit_counted(x, y, m), stems)
-
-
-def _fit_counted(x: np.ndarray, y: np.ndarray, m: np.ndarray) -> np.ndarray:
-    keep = np.repeat(np.arange(len(y)), m.astype(int))
-    return fit_weights(x[keep], y[keep])
+    return Grammar(insults, fit_weights(x, y, m=m), stems)
 
 
 def score_documents(docs: DataFrame, grammar_: Grammar) -> DataFrame:

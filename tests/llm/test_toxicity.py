@@ -76,3 +76,20 @@ def test_without_labels(spark, labels):
     g = T.learn(df, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
     assert {r.doc_id: r.score >= .5 for r in T.score_documents(df, g).collect()} == {0: False, 1: True}
     assert T.score_documents(df.where("false"), g).collect() == [] and T.accept(df.where("false"), g).collect() == []
+
+
+def test_texts_that_begin_alike_are_all_learned_from(spark):
+    import zlib
+    head = "This page is part of the archive of letters to the editor of the paper: "
+    docs, labels = labelled(1500, 3)
+    docs = [(i, head + t, a, b) for i, t, a, b in docs]
+    g = T.learn(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert {b"grumbolt", b"snark"} <= g.loaded
+    # copies count once, by the share of their labels: neither the many clean copies nor the one toxic one decide
+    docs, labels = labelled(1500, 3)
+    free = [i for i in range(5000, 6000) if zlib.crc32(str(i).encode()) % 5]
+    docs += [(i, "plainword here", "en", "x") for i in free]
+    labels += [(i, int(i == free[0])) for i in free]
+    sample = T._labelled_sample(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id bigint, toxic int"), T.FOLDS)
+    (row,) = sample.where("text = 'plainword here'").collect()
+    assert abs(row.toxic - 1 / len(free)) < 1e-9
