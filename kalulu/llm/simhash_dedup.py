@@ -58,16 +58,21 @@ def _fingerprint(text: bytes, shingle: int) -> int:
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and the fingerprint as a long, for each row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, *more: Column) -> DataFrame:
+    """doc_id, the fingerprint ``fp`` as a long, and ``key`` (a struct of ``more``, if given), for each row."""
+    keyed = bool(more)
+
     def run(batches):
         for batch in batches:
             texts = (x.as_py() for x in batch.column(1).cast(pa.binary()))     # one text at a time
             yield pa.record_batch({
                 "doc_id": batch.column(0),
                 "fp": pa.array([_fingerprint(t or b"", shingle) for t in texts], pa.int64()),
+                **({"key": batch.column(2)} if keyed else {}),
             })
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), *([F.struct(*more).alias("key")] if keyed else []))
+    key = f", key {rows.schema['key'].dataType.simpleString()}" if keyed else ""
+    return rows.mapInArrow(run, f"doc_id bigint, fp bigint{key}")
 
 
 def _embedding(fp: Column) -> list[Column]:
@@ -126,21 +131,36 @@ def components_of(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     from kalulu.llm.common import checkpoint
 
     prints = checkpoint(prints)
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    tied = connected_components(fingerprint_links(classes.select("fp"), max_bits))
-    classes = classes.join(tied.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
+    classes = _tied(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), max_bits)
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "component").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _tied(classes: DataFrame, max_bits: int) -> DataFrame:
+    """fp, least, component of the distinct fingerprints ``fp``."""
+    tied = connected_components(fingerprint_links(classes.select("fp"), max_bits))
+    return classes.join(tied.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component"))
+
+
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The rows of ``docs`` that are the smallest doc_id of their component.
+    """One row of ``docs`` of each component: that of the smallest doc_id.
 
-    Rows of one doc_id stay or go together; components without any id keep all rows.
+    Null ids come last; of several rows of that id the one of the smallest
+    hashes of text and row stays, and rows that are equal throughout count once.
     """
-    keep = simhash_components(docs, shingle, max_bits).where(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(keep, docs["doc_id"].cast("long").eqNullSafe(keep["_kept"]), "left_semi")
+    from kalulu.llm.common import NULL_ID, checkpoint
+
+    id_ = F.col("doc_id").cast("long")
+    key = [id_.isNull().alias("none"), F.coalesce(id_, F.lit(NULL_ID)).alias("id"), F.xxhash64(F.col("text")).alias("text_hash"),
+           F.xxhash64(F.lit("row"), *[F.col(f"`{c}`") for c in docs.columns]).alias("row_hash")]
+    prints = checkpoint(fingerprints(docs, shingle, *key).groupBy("fp", "key").agg(F.count("*").alias("n")))
+    classes = _tied(prints.groupBy("fp").agg(F.min(F.struct("key", "n")).alias("least")), max_bits)
+    keep = classes.groupBy("component").agg(F.min("least").alias("kept")).select("kept.key.*", "kept.n")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *key)
+    rows = rows.join(keep, ["none", "id", "text_hash", "row_hash"])
+    # equal rows: counted under another key than the join's, so that adaptive execution may split a hot one there
+    equal = rows.where("n > 1").groupBy(F.xxhash64("none", "id", "text_hash", "row_hash"), "row_hash").agg(F.first("row").alias("row"))
+    return rows.where("n = 1").select("row.*").unionByName(equal.select("row.*"))

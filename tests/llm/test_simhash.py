@@ -95,3 +95,15 @@ def test_null_ids_and_repeats(spark):
     df = spark.createDataFrame([(None, "a b c"), (4, "a b c"), (4, "a b c"), (None, "zz yy xx ww")], "doc_id bigint, text string")
     got = sorted(((r.doc_id, r.component_id) for r in S.simhash_components(df).collect()), key=str)
     assert got == sorted([(None, 4), (4, 4), (4, 4), (None, None)], key=str)
+
+
+def test_one_row_of_each(spark):
+    a, b, c = "a b c d e f", "zz yy xx ww vv", "one two three four five six"
+    rows = [(None, a, "1"), (None, a, "2"),                        # no other id: one of the two
+            (None, b, "3"), (5, b, "4"), (4, b, "5"),              # null never before an id
+            (4, c, "6"), (3, c, "7"), (3, c, "7"), (3, c, "8")]    # 4 is smallest elsewhere, repeated rows count once
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, fp string")
+    kept = S.one_of_each(df)
+    got = {r.text: (r.doc_id, r.fp) for r in kept.collect()}
+    assert kept.columns == df.columns and kept.count() == 3
+    assert got[a][0] is None and got[b] == (4, "5") and got[c][0] == 3
