@@ -1,7 +1,9 @@
 """License scans by a trained paragraph classifier (operator 9).
 
 A text is cut into lines, and long lines into windows of ``WINDOW`` words that
-overlap by half.  Word 1- to 3-grams (those of the templates) feed a softmax regression over the
+overlap by half; paragraphs of several lines (runs of lines with words) are also
+read as a whole, their lines joined, in such windows, so that wrapped notices are
+seen whole.  Word 1- to 3-grams (those of the templates) feed a softmax regression over the
 licence families and one class for paragraphs that are no licence.  It is
 trained here: on the templates below in varied surroundings, and, for the
 unknown class, on at most ``SAMPLE_LINES`` lines of the corpus (those with the
@@ -14,11 +16,14 @@ holds at least ``CONFIRM`` of some template's five-word shingles.
 Words are lower-cased (A-Z) and parted by ASCII blanks and punctuation.  Nulls:
 a null text has no paragraphs; a null doc_id stays null.  Paragraphs without
 words belong to no family.  Repeated rows are scanned each; of the windows of a
-line the most probable one per family is returned.  Other columns are not read.
+line the most probable one per family is returned, and a notice over several
+lines once, at its first line, in place of unconfirmed parts of it.  Other columns are not read.
 """
 
 from __future__ import annotations
 
+import copy
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -122,6 +127,34 @@ class Paragraphs:
         self.lo = lo[line] + nth * (WINDOW // 2)
         self.hi = np.minimum(self.lo + WINDOW, bound[line])
         self.doc, self.line = doc[line], line - first_line[doc[line]]
+        self.bound, self.size = bound, size
+        self.line_doc, self.first_line = doc, first_line
+
+    def joined(self) -> "Paragraphs":
+        """The windows of the paragraphs of several lines, their lines joined; ``line`` is the first word's."""
+        held = np.flatnonzero(self.size > 0)
+        new = np.ones(len(held), bool)
+        new[1:] = (np.diff(held) > 1) | (np.diff(self.line_doc[held]) > 0)
+        head = np.flatnonzero(new)
+        last = np.append(head[1:], len(held)) - 1 if len(head) else head
+        several = last > head
+        first, last = held[head[several]], held[last[several]]
+        lo, hi = self.bound[first] - self.size[first], self.bound[last]
+        windows = np.maximum(1, -(-(hi - lo - WINDOW) // (WINDOW // 2)) + 1)
+        of = np.repeat(np.arange(len(lo)), windows)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        p = copy.copy(self)
+        p.lo = lo[of] + nth * (WINDOW // 2)
+        p.hi = np.minimum(p.lo + WINDOW, hi[of])
+        p.doc = self.line_doc[first[of]]
+        p.line = self.lines_of(p.lo)
+        p.paragraph = of
+        return p
+
+    def lines_of(self, words: np.ndarray) -> np.ndarray:
+        """The line in its text of each word, by number."""
+        line = np.searchsorted(self.bound, words, "right")
+        return line - self.first_line[self.line_doc[line]]
 
     def gram_hashes(self) -> list[np.ndarray]:
         h, out = self.hash, []
@@ -193,6 +226,30 @@ def template_similarity(family: str, text: str) -> float:
     return best
 
 
+def template_share(shingles: set[tuple], words: list[str]) -> float:
+    n = len(next(iter(shingles)))
+    return len(shingles & set(zip(*(words[i:] for i in range(n))))) / len(shingles)
+
+
+def notices_in(family: str, text: str) -> list[tuple[int, int, float]]:
+    """(first word, last word, share of the shingles) of each notice that confirms a template of the family."""
+    words, out = words_of(text), []
+    for s in _TEMPLATE_SHINGLES.get(family, ()):
+        n = len(next(iter(s)))
+        runs, seen = [], set()
+        for i, x in enumerate(zip(*(words[j:] for j in range(n)))):
+            if x in s:
+                if x in seen or not runs:           # a shingle comes again: the next notice
+                    runs.append([i, i, 0])
+                    seen = set()
+                seen.add(x)
+                runs[-1][1:] = i, len(seen)
+        sure = [(a, z + n - 1, m / len(s)) for a, z, m in runs if m / len(s) >= CONFIRM]
+        share = template_share(s, words)
+        out += sure or ([(runs[0][0], runs[-1][1] + n - 1, share)] if share >= CONFIRM else [])
+    return out
+
+
 def training_texts(lines: list[str], seed: int = 9) -> tuple[list[str], np.ndarray]:
     """Templates in varied surroundings, sampled lines and other uses, with their classes."""
     rnd = np.random.default_rng(seed)
@@ -303,8 +360,40 @@ def sample_lines(docs: DataFrame) -> list[str]:
 _FOUND = "doc_id bigint, line bigint, family string, probability double, similarity double, confirmed boolean, paragraph string"
 
 
+def _over_lines(model: Classifier, p: Paragraphs, rows: dict[tuple, tuple]) -> None:
+    """Adds to ``rows`` the notices that span lines; unconfirmed parts of a confirmed one go."""
+    q = model.probabilities(p)
+    best = q.argmax(axis=1) if len(q) else np.zeros(0, int)
+    named = [(float(q[i, best[i]]), i) for i in np.flatnonzero(best != UNKNOWN).tolist() if q[i, best[i]] >= model.least]
+    sure, doubtful = {}, {}
+    for prob, i in sorted(named, reverse=True):
+        k, d = int(best[i]), int(p.doc[i])
+        text = p.text(i).replace("\n", " ")
+        found = notices_in(FAMILIES[k], text)
+        for a, z, share in found:
+            first, last = p.lines_of(p.lo[i] + np.array([a, z])).tolist()
+            key = (d, first, k)
+            if key not in sure or share > sure[key][1]:
+                sure[key] = (prob, share, text, last)
+        if not found:
+            doubtful.setdefault((d, int(p.paragraph[i]), k), (prob, i, text))
+    covered: dict[tuple, set] = {}
+    for (d, first, k), (prob, share, text, last) in sure.items():
+        covered.setdefault((d, k), set()).update(range(first, last + 1))
+    for d, line, k in [x for x, row in rows.items() if row[1] < CONFIRM and x[1] in covered.get((x[0], x[2]), ())]:
+        del rows[d, line, k]
+    for (d, first, k), (prob, share, text, _) in sure.items():
+        if (d, first, k) not in rows:
+            rows[d, first, k] = (prob, share, text)
+    for (d, _, k), (prob, i, text) in doubtful.items():
+        first, last = p.lines_of(np.array([p.lo[i], p.hi[i] - 1])).tolist()
+        lines = range(first, last + 1)
+        if not any((d, x, k) in rows for x in lines) and covered.get((d, k), set()).isdisjoint(lines):
+            rows[d, first, k] = (prob, template_similarity(FAMILIES[k], text), text)
+
+
 def scan(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """A row per line and licence family named in it."""
+    """A row per line and licence family named in it, or in the lines from it on."""
     shared = docs.sparkSession.sparkContext.broadcast(classifier)   # the templates' n-grams x families
 
     def run(batches):
@@ -321,9 +410,10 @@ def scan(docs: DataFrame, classifier: Classifier) -> DataFrame:
                     where = (int(p.doc[i]), int(p.line[i]), k)
                     if prob >= model.least and (where not in hits or prob > hits[where][0]):
                         hits[where] = (prob, p.text(i))
+                found = {x: (prob, template_similarity(FAMILIES[x[2]], text), text) for x, (prob, text) in hits.items()}
+                _over_lines(model, p.joined(), found)
                 rows = []
-                for (d, line, k), (prob, text) in sorted(hits.items()):
-                    s = template_similarity(FAMILIES[k], text)
+                for (d, line, k), (prob, s, text) in sorted(found.items()):
                     rows.append((part.column(0)[d].as_py(), line, FAMILIES[k], prob, s, s >= CONFIRM, text))
                 cols = list(zip(*rows)) or [()] * 7
                 types = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.string()]

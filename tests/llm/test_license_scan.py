@@ -57,3 +57,32 @@ def test_empty_and_sample(spark, model):
     assert sorted(L.sample_lines(df)) == ["a", "b", "c"]
     assert L.scan(df.where("false"), model).collect() == [] and L.sample_lines(df.where("false")) == []
     assert L.fit([]).weights.shape[1] == len(L.FAMILIES)
+
+
+def test_wrapped_notices(spark, model):
+    import textwrap
+    rnd = random.Random(4)
+    rows, want = [], set()
+    for i, (f, ts) in enumerate(L.TEMPLATES.items()):
+        for j, t in enumerate(ts):
+            d = 100 * i + j
+            lines = textwrap.wrap(t, 72)
+            around = textwrap.wrap(prose(rnd, 40), 72)
+            if d % 2:                                             # the notice is a paragraph of its own, or inside one
+                rows.append((d, "\n".join([*around, "", *lines, " ", *around]), None))
+                want.add((d, len(around) + 1, f))
+            else:
+                rows.append((d, "\n".join([*around, *lines, *around]), None))
+                want.add((d, len(around), f))
+    rows += [(90_000 + i, "\n".join(textwrap.wrap(prose(rnd, 400), 72)), None) for i in range(30)]
+    got = L.scan(spark.createDataFrame(rows, S), model).collect()
+    named = {(r.doc_id, r.line, r.family) for r in got if r.confirmed}
+    assert len(want & named) >= 0.95 * len(want)
+    assert not [r for r in got if r.doc_id >= 90_000 and r.confirmed]
+    long_ = [(100 * i + j, f) for i, (f, ts) in enumerate(L.TEMPLATES.items()) for j, t in enumerate(ts) if len(t) > 100]
+    assert len(long_) >= 8 and set(long_) <= {(d, f) for d, _, f in named}
+    assert len({(r.doc_id, r.line, r.family) for r in got}) == len(got)
+    # twice in one window: each is found
+    t = textwrap.wrap(L.TEMPLATES["MIT"][4], 72)
+    twice = L.scan(spark.createDataFrame([(1, "\n".join([*t, *t]), None)], S), model).collect()
+    assert {(r.line, r.family) for r in twice if r.confirmed} == {(0, "MIT"), (len(t), "MIT")} and all(r.confirmed for r in twice)
