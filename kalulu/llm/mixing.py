@@ -5,7 +5,8 @@ its present share, times ``size``.  Each document draws its number of copies
 from a Poisson distribution of that mean by inverting the distribution function
 at a number hashed from the seed and its id, is exploded by that count, and
 the copies are shuffled globally by a hashed key: rows go to partitions by the
-key and are sorted by it inside, so partitions read in turn are in random order.
+key and a salt of the row (rows of one id have one key) and are sorted by the key
+inside, so partitions read in turn are in random order.
 
 Rates above ``DRAW_RATE`` are split into several independent draws of equal
 mean (their sum has the same distribution), so arrays stay short whatever the
@@ -73,7 +74,8 @@ def mix(docs: DataFrame, weights: dict | None = None, temperature: float = TEMPE
     rates = checked_side(_with_distribution(repetition_rates(docs, weights, temperature, size)))
     docs = docs.drop("copy", "shuffle_key")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")     # no name of a document can clash
-    rows = docs.select(row, F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("source").cast("string").alias("source"))
+    salt = F.xxhash64(F.spark_partition_id(), row).alias("salt")              # rows of one id share a key: spread them
+    rows = docs.select(row, F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.col("source").cast("string").alias("source"), salt)
     rows = rows.join(rates, F.col("source").eqNullSafe(F.col("_source")))
     rows = rows.withColumn("draw", F.explode(F.sequence(F.lit(0), F.col("_rate.draws") - 1)))
     rows = rows.withColumn("u", _uniform(_hashed(F.lit(seed), F.col("id"), F.col("draw").cast("string"))))
@@ -81,8 +83,9 @@ def mix(docs: DataFrame, weights: dict | None = None, temperature: float = TEMPE
     rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     key = F.substring(_hashed(F.lit(seed), F.col("id"), F.col("draw").cast("string"), F.col("k").cast("string"), F.lit("key")), 1, 16)
     rows = rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns],
-                       (F.col("draw").cast("long") * 1_000_000 + F.col("k")).alias("copy"), key.alias("shuffle_key"))
-    return rows.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+                       (F.col("draw").cast("long") * 1_000_000 + F.col("k")).alias("copy"), key.alias("shuffle_key"), "salt")
+    rows = rows.repartition("shuffle_key", "salt")
+    return rows.select(*[c for c in rows.columns[:-1]]).sortWithinPartitions("shuffle_key")
 
 
 def mix_sql(table: str = "documents", columns: str = "d.doc_id, d.text, d.lang, d.source, d.n_chars", temperature: float = TEMPERATURE, seed: str = SEED) -> str:

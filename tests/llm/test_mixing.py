@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from kalulu.llm.mixing import mix, mix_sql, repetition_rates
 
@@ -38,3 +39,18 @@ def test_rates_and_shuffle(spark):
     ids = [r.doc_id for r in out if r.doc_id is not None]
     assert sum(a < b for a, b in zip(ids, ids[1:])) < 0.7 * len(ids)
     assert mix(df.where("false")).collect() == [] and mix(df, {}).collect() == []
+
+
+def test_rows_of_one_id_are_spread(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.createDataFrame([(None, f"text {i}", "a") for i in range(400)], "doc_id bigint, text string, source string")
+        out = mix(df, size=4.0)
+        rows = out.select("shuffle_key", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert out.columns == [*df.columns, "copy", "shuffle_key"] and len(rows) >= 400
+    one = rows[0].shuffle_key
+    assert len({r.p for r in rows if r.shuffle_key == one}) > 1
