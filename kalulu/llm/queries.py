@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kalulu.llm.common import id_crc, read_table
 from kalulu.llm.mixing import mix_sql
+from kalulu.llm.source_audit import audit_sql
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.source_audit import audit
+    return audit(read_table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.token_alignment import align
+    found = align(read_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_substring_dedup": op2_substring_dedup,
@@ -90,6 +103,8 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_license_scan": op9_license_scan,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_source_audit": op12_source_audit,
+    "op13_token_alignment": op13_token_alignment,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_source_mixing": mix_sql()}
+ORACLE_SQL: dict[str, str] = {"op7_source_mixing": mix_sql(), "op12_source_audit": audit_sql()}
