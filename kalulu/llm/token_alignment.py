@@ -14,8 +14,9 @@ punctuation mark, nor around a lone line end.  Texts are cut there, and
 distinct stretches are encoded once per worker and kept in a dictionary of
 bounded size; the ids are those of the whole text (tested).
 
-Two scans: the first counts id pairs (summed in the task, then by Spark), the
-second aligns again and reads the counts.  The pairs are at most the product of
+Two scans: the first counts the distinct stretches (in the task, then by
+Spark), of which each is aligned once to count id pairs; the second aligns the
+texts and reads the counts.  The pairs are at most the product of
 the two vocabularies, whatever the corpus; they are broadcast in shards of
 ``SHARD_PAIRS``, one shard at a time, with a checkpoint between shards.
 
@@ -42,15 +43,18 @@ from kalulu.llm.common import checkpoint, parts_for
 
 FOLDER = "/opt/tokenizers"
 SHARD_PAIRS = 2_000_000    # id pairs of one broadcast: 34 MB
-KEEP_WORDS = 100_000       # aligned stretches that a worker keeps
+KEEP_WORDS = 200_000       # aligned stretches that a worker keeps
+FLUSH_WORDS = 300_000      # distinct stretches that a task counts before it writes them out
 FLUSH_PAIRS = 400_000      # id pairs that a task holds before it writes them out
 SLICE_CHARS = 1 << 20      # text that is aligned at once
+TOGETHER = 500             # stretches encoded by one call
 SIDE = 1 << 17             # a pair's key is a * SIDE + b
 
 _MARKS = ",.!?;:"
 _BLANK = "▁"
 _DOUBLE = re.compile(r"\s ")
 _AT_BLANK = re.compile(r"(?<=\S)(?= )")
+_PLAIN = re.compile(r" ?\S+")             # can be encoded between two line ends
 _LATIN = re.compile("[\n !-~¡-ɏ]*")      # both encoders of A agree on these
 
 
@@ -61,6 +65,27 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def split(text: str):
+    """The stretches of space + text, each without its first blank, at most ``SLICE_CHARS`` of text at a time."""
+    if _DOUBLE.search(text) or text[0].isspace():
+        whole = " " + text
+        words = [x[1:] for x in _AT_BLANK.split(whole)]
+    elif len(text) <= SLICE_CHARS:
+        words = text.split(" ")
+    else:                                          # no blank follows a blank: cut anywhere at a blank
+        lo = 0
+        while lo < len(text):
+            hi = text.find(" ", lo + SLICE_CHARS)
+            hi = hi if hi >= 0 else len(text)
+            yield text[lo:hi].split(" ")
+            lo = hi + 1
+            if lo == len(text):                    # the text ends in this blank
+                yield [""]
+        return
+    for at in range(0, len(words), SLICE_CHARS // 4):
+        yield words[at:at + SLICE_CHARS // 4]
+
+
 class Aligner:
     """Both tokenizers and the stretches aligned so far."""
 
@@ -96,6 +121,9 @@ class Aligner:
                 joined |= set(zip(piece, piece[1:]))
         if any(y == _BLANK and x != _BLANK for x, y in joined) or any("\n" in x for x in joined):
             raise ValueError("pieces of the model reach across blanks or line ends")
+        line = next(i for i, raw in self.b_bytes.items() if raw == b"\n" and self.b.is_byte(i))
+        self.line_end = (next(i for i, raw in self.a_bytes.items() if raw == b"\n"), -1, line)
+        self.groups: dict[tuple, tuple] = {}
         marks = "".join(m for m in _MARKS if not any(y == m and x.isalnum() for x, y in joined))
         cuts = [r"(?<=\S)(?=\n\S)", r"(?<=\S\n)(?=\S)"] + ([rf"(?<=[^\W\d_])(?=[{re.escape(marks)}])"] if marks else [])
         self.cut = re.compile("|".join(cuts))
@@ -103,26 +131,6 @@ class Aligner:
         self.words: dict[str, tuple] = {}
         self.bad: set[str] = set()
 
-    def split(self, text: str):
-        """The stretches of space + text, each without its first blank, at most ``SLICE_CHARS`` of text at a time."""
-        if _DOUBLE.search(text) or text[0].isspace():
-            whole = " " + text
-            words = [x[1:] for x in _AT_BLANK.split(whole)]
-        elif len(text) <= SLICE_CHARS:
-            words = text.split(" ")
-        else:                                          # no blank follows a blank: cut anywhere at a blank
-            lo = 0
-            while lo < len(text):
-                hi = text.find(" ", lo + SLICE_CHARS)
-                hi = hi if hi >= 0 else len(text)
-                yield text[lo:hi].split(" ")
-                lo = hi + 1
-                if lo == len(text):                    # the text ends in this blank
-                    yield [""]
-            return
-        for at in range(0, len(words), SLICE_CHARS // 4):
-            yield words[at:at + SLICE_CHARS // 4]
-
     def resolve(self, words) -> None:
         """Aligns the stretches not yet known."""
         if len(self.words) > KEEP_WORDS:
@@ -133,11 +141,12 @@ class Aligner:
             self.atoms.clear()
         new = [(w, self.cut.split(" " + w)) for w in words if w not in self.words and w not in self.bad]
         need = list({x for _, parts in new for x in parts if x not in self.atoms})
-        if need:
-            a = self._encode_a(need)
-            b = self.b.encode([x[1:] if x[0] == " " else "\n" + x for x in need], num_threads=1)
-            for x, a_ids, b_ids in zip(need, a, b):
-                self.atoms[x] = self._align(x, a_ids, b_ids if x[0] == " " else b_ids[2:])
+        odd = [x for x in need if not _PLAIN.fullmatch(x)]
+        if odd:
+            need = [x for x in need if _PLAIN.fullmatch(x)]
+            self._one_by_one(odd)
+        for at in range(0, len(need), TOGETHER):
+            self._together(need[at:at + TOGETHER])
         for w, parts in new:
             found = [self.atoms[x] for x in parts]
             if None in found:
@@ -148,13 +157,38 @@ class Aligner:
                 self.words[w] = (";".join(x[0] for x in found), sum(x[1] for x in found), sum(x[2] for x in found),
                                  sum((x[3] for x in found), ()))
 
-    def _encode_a(self, texts: list[str]) -> list[list[int]]:
-        out: list = [self.quick.encode_ordinary(x) if self.quick and _LATIN.fullmatch(x) else None for x in texts]
-        rest = [i for i, x in enumerate(out) if x is None]
-        if rest:
-            for i, e in zip(rest, self.whole.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-                out[i] = e.ids
-        return out
+    def _together(self, atoms: list[str]) -> None:
+        """Encodes atoms in one call, a line end between two: it is a token and so a group of its own."""
+        text = "\n".join(atoms)
+        if text[0] != " ":
+            text = " \n" + text                         # B puts a blank before a text
+        a = self.quick.encode_ordinary(text) if self.quick and _LATIN.fullmatch(text) else self.whole.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:], num_threads=1)
+        a_raw, b_raw, raw = list(map(self.a_bytes.get, a)), list(map(self.b_bytes.get, b)), text.encode()
+        if None in a_raw or None in b_raw or b"".join(a_raw) != raw or b"".join(b_raw) != raw:
+            return self._one_by_one(atoms)
+        at, here = 0 if len(raw) == sum(map(len, map(str.encode, atoms))) + len(atoms) - 1 else -1, []      # -1: what precedes the first atom
+        known, line = self.groups, self.line_end
+        if len(known) > KEEP_WORDS:
+            known.clear()
+        for x, y in slices(a, list(map(len, a_raw)), b, list(map(len, b_raw))):
+            key = (*x, -1, *y)
+            if key == line:
+                if at >= 0:
+                    self.atoms[atoms[at]] = _joined(here)
+                at, here = at + 1, []
+                continue
+            group = known.get(key)
+            if group is None:
+                group = known[key] = (_group(x, y), len(x), len(y), x[-1] * SIDE + y[-1])
+            here.append(group)
+        self.atoms[atoms[at]] = _joined(here)
+
+    def _one_by_one(self, atoms: list[str]) -> None:
+        a = self.whole.encode_batch(atoms, add_special_tokens=False)
+        b = self.b.encode([x[1:] if x[0] == " " else "\n" + x for x in atoms], num_threads=1)
+        for x, a_ids, b_ids in zip(atoms, a, b):
+            self.atoms[x] = self._align(x, a_ids.ids, b_ids if x[0] == " " else b_ids[2:])
 
     def _align(self, text: str, a_ids: list[int], b_ids: list[int]) -> tuple | None:
         """(groups, number of a, of b, link keys); None if the bytes of a side are not the text's."""
@@ -165,23 +199,34 @@ class Aligner:
         b_raw = [self.b_bytes.get(i, b"") for i in b_ids]
         if b"".join(a_raw) != raw or b"".join(b_raw) != raw:
             return None
-        return align_ids(a_ids, [len(x) for x in a_raw], b_ids, [len(x) for x in b_raw])
+        cut = list(slices(a_ids, list(map(len, a_raw)), b_ids, list(map(len, b_raw))))
+        return _joined([(_group(x, y), len(x), len(y), x[-1] * SIDE + y[-1]) for x, y in cut])
 
     def _lone_blank(self) -> list[int]:
         return [self.b.piece_to_id(_BLANK)]
 
 
-def align_ids(a_ids: list[int], a_sizes: list[int], b_ids: list[int], b_sizes: list[int]) -> tuple:
-    """Slices both id lists at the byte ends they share: (groups as text, number of a, of b, link keys)."""
-    at_a = {end: i for i, end in enumerate(accumulate(a_sizes), 1)}
-    at_b = {end: i for i, end in enumerate(accumulate(b_sizes), 1)}
-    groups, links, i, j = [], [], 0, 0
+def _group(x: list[int], y: list[int]) -> str:
+    return ",".join(map(str, x)) + "|" + ",".join(map(str, y))
+
+
+def _joined(parts: list[tuple]) -> tuple:
+    """(groups as text, number of a, of b, link keys) of groups in a row."""
+    if len(parts) == 1:
+        return parts[0][0], parts[0][1], parts[0][2], (parts[0][3],)
+    text, n_a, n_b, links = zip(*parts)
+    return ";".join(text), sum(n_a), sum(n_b), links
+
+
+def slices(a_ids: list[int], a_sizes: list[int], b_ids: list[int], b_sizes: list[int]):
+    """Both id lists cut at the byte ends they share."""
+    at_a = dict(zip(accumulate(a_sizes), range(1, len(a_ids) + 1)))
+    at_b = dict(zip(accumulate(b_sizes), range(1, len(b_ids) + 1)))
+    i = j = 0
     for end in sorted(at_a.keys() & at_b.keys()):
         x, y = at_a[end], at_b[end]
-        groups.append(",".join(map(str, a_ids[i:x])) + "|" + ",".join(map(str, b_ids[j:y])))
-        links.append(a_ids[x - 1] * SIDE + b_ids[y - 1])
+        yield a_ids[i:x], b_ids[j:y]
         i, j = x, y
-    return ";".join(groups), len(a_ids), len(b_ids), tuple(links)
 
 
 _ALIGNERS: dict[str, Aligner] = {}
@@ -213,33 +258,74 @@ def _slices(batch: pa.RecordBatch, at: int):
 
 def _aligned(al: Aligner, texts: list[str]):
     """Per text, a list of its stretches in slices, or None where a side does not give back the bytes."""
-    parts = [list(al.split(t)) if t else None for t in texts]
+    parts = [list(split(t)) if t else None for t in texts]
     al.resolve({w for p in parts if p for words in p for w in words})
     if al.bad:
         parts = [p if p and all(al.bad.isdisjoint(words) for words in p) else None for p in parts]
     return parts
 
 
+def _pair_rows(held: Counter) -> pa.RecordBatch:
+    out = pa.record_batch({"pair": pa.array(held.keys(), pa.int64()), "n": pa.array(held.values(), pa.int64())})
+    held.clear()
+    return out
+
+
+def vocabulary(docs: DataFrame) -> DataFrame:
+    """word, n: the corpus's stretches and how often each occurs; texts that B cannot give back left out."""
+    def run(batches):
+        held: Counter = Counter()
+        for batch in batches:
+            for _, texts in _slices(batch, 0):
+                for t in texts:
+                    for words in split(t) if t else ():
+                        held.update(words)
+                if len(held) > FLUSH_WORDS:
+                    yield pa.record_batch({"word": pa.array(held.keys(), pa.string()), "n": pa.array(held.values(), pa.int64())})
+                    held.clear()
+        yield pa.record_batch({"word": pa.array(held.keys(), pa.string()), "n": pa.array(held.values(), pa.int64())})
+    words = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word string, n bigint")
+    return words.groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def link_counts(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
-    """pair (a * SIDE + b), n: how many links of the corpus hold each id pair."""
+    """pair (a * SIDE + b), n: how many links of the corpus hold each id pair.
+
+    Each distinct stretch is aligned once and its links counted as often as it
+    occurs.  Should a side not give back a stretch's bytes, whole texts have
+    no links: these are counted text by text then.
+    """
     def run(batches):
         al, held = aligner(folder), Counter()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 20_000):
+                part = batch.slice(at, 20_000)
+                words = part.column(0).to_pylist()
+                al.resolve(words)
+                for w, n in zip(words, part.column(1).to_pylist()):
+                    if w in al.bad:
+                        held[-1] += n
+                    else:
+                        for link in al.words[w][3]:
+                            held[link] += n
+                if len(held) > FLUSH_PAIRS:
+                    yield _pair_rows(held)
+        yield _pair_rows(held)
+    counts = checkpoint(vocabulary(docs).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")))
+    return _by_text(docs, folder) if counts.where("pair < 0").head(1) else counts
+
 
-        def out():
-            yield pa.record_batch({"pair": pa.array(held.keys(), pa.int64()), "n": pa.array(held.values(), pa.int64())})
-            held.clear()
+def _by_text(docs: DataFrame, folder: str) -> DataFrame:
+    def run(batches):
+        al, held = aligner(folder), Counter()
         for batch in batches:
             for _, texts in _slices(batch, 0):
-                words: Counter = Counter()
                 for p in _aligned(al, texts):
-                    for part in p or ():
-                        words.update(part)
-                for w, n in words.items():
-                    for link in al.words[w][3]:
-                        held[link] += n
+                    for w in (w for words in p or () for w in words):
+                        held.update(al.words[w][3])
                 if len(held) > FLUSH_PAIRS:
-                    yield from out()
-        yield from out()
+                    yield _pair_rows(held)
+        yield _pair_rows(held)
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -302,7 +388,7 @@ def _score(rows: DataFrame, shared, folder: str, first: bool, last: bool) -> Dat
 
 def align(docs: DataFrame, folder: str = FOLDER, shard_pairs: int = SHARD_PAIRS) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups ("a1,a2|b1;a3|b2,b3") of each row."""
-    counts = checkpoint(best_links(checkpoint(link_counts(docs, folder))))
+    counts = checkpoint(best_links(link_counts(docs, folder)))
     shards = parts_for(counts.count(), shard_pairs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     for s in range(shards):

@@ -75,6 +75,16 @@ def test_long_texts_bounded_caches_and_empty_table(spark, monkeypatch):
     assert T.align(spark.createDataFrame([], COLS)).collect() == []
 
 
+def test_a_stretch_that_does_not_come_back_empties_its_text(spark):
+    T._ALIGNERS.clear()
+    al = T.aligner(T.FOLDER)
+    al.resolve(["a▁b", "fine"])
+    assert al.bad == {"a▁b"} and "fine" in al.words
+    assert T._aligned(al, ["fine a▁b", "fine"])[0] is None and T._aligned(al, ["fine"])[0] == [["fine"]]
+    df = spark.createDataFrame([("fine one fine",)], "text string")
+    assert sorted(T._by_text(df, T.FOLDER).collect()) == sorted(T.link_counts(df).collect())
+
+
 def test_query_digest(spark):
     from kalulu.llm.queries import QUERIES
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
