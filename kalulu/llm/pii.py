@@ -52,8 +52,8 @@ PIECE = 1 << 22
 
 # fixed values: the strict patterns of the contract
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")       # a run of digits alone is taken too, so that it is read once
 _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -64,6 +64,7 @@ _LOOSE_DOMAIN = re.compile(rf"[\w-]+(?:{_DOT}[\w-]+)*", re.I)
 _LOOSE_LOCAL = re.compile(r"[\w.%+-]+\Z")
 _NUMBER = re.compile(r"(?<![\w@.#])[+(]?[0-9](?:[\x20()./·:-]{0,2}[0-9])+(?![\w@])")
 _HEX = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){3,7}:?[0-9A-Fa-f]{1,4}(?![\w:])")
+_DOT_WORD = re.compile(r"(?i:[\s\[({<]dot[\s\])}>])")
 _ANY = re.compile(r"[0-9@]|(?i:dot)")
 
 
@@ -81,13 +82,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     after, at = 0, text.find("@")
     while at >= 0:                                      # the run before an @ is the only place a match can start
         lo = at
-        while lo > after:                               # step back in pieces: a long run is read once
-            step = _LOCAL.search(text, max(after, lo - 256), lo)
-            if not step:
-                break
-            whole, lo = step.start() == max(after, lo - 256), step.start()
-            if not whole:
-                break
+        while lo > after and text[lo - 1] in _LOCAL:
+            lo -= 1
         domain = _DOMAIN.match(text, at + 1) if lo < at else None
         if domain:
             out.append((lo, EMAIL, domain.end()))
@@ -115,8 +111,7 @@ def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     """(start, end, kinds it may be) of the looser forms that touch no strict span, apart from each other."""
     held = sorted((s, e) for s, _, e in taken)
     found: list[tuple[int, int, list[int]]] = []
-    low = text.lower() if "@" in text or "(" in text or "[" in text or "{" in text or "<" in text or " dot " in text.lower() else ""
-    if low and ("@" in low or "dot" in low or "at" in low):
+    if "@" in text or _DOT_WORD.search(text):
         for m in _AT.finditer(text):
             domain = _LOOSE_DOMAIN.match(text, m.end())
             local = _LOOSE_LOCAL.search(text, max(0, m.start() - 64), m.start())

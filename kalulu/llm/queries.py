@@ -80,6 +80,16 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kalulu.llm.pii import KINDS, count_kind, find_pii, span_text
+    found = find_pii(read_table(spark, sf_dir, "documents"))
+    plain = F.transform("added", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+    return found.select(
+        "doc_id", *[count_kind(F.col("base"), k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        span_text(F.sort_array(F.concat("base", plain))).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kalulu.llm.source_audit import audit
     return audit(read_table(spark, sf_dir, "documents"))
@@ -103,6 +113,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_license_scan": op9_license_scan,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_pii": op11_pii,
     "op12_source_audit": op12_source_audit,
     "op13_token_alignment": op13_token_alignment,
 }
