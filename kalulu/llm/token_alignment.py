@@ -9,10 +9,9 @@ byte ranges end together.  Tokens have at least one byte, so these are the last
 tokens of a slice.  How many links of the corpus hold an id pair is its count.
 
 Stretches.  Neither tokenizer joins bytes across a blank that follows a
-non-blank, nor (checked against the vocabulary) across a letter and a
-punctuation mark, nor around a lone line end.  Texts are cut there, and
-distinct stretches are encoded once per worker and kept in a dictionary of
-bounded size; the ids are those of the whole text (tested).
+non-blank (checked against B's vocabulary).  Texts are cut there, and a task
+encodes each distinct stretch once, many in one call, and keeps a bounded
+number; the ids are those of the whole text (tested).
 
 Two scans: the first counts the distinct stretches (in the task, then by
 Spark), of which each is aligned once to count id pairs; the second aligns the
@@ -32,7 +31,7 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
-from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,18 +42,16 @@ from kalulu.llm.common import checkpoint, parts_for
 
 FOLDER = "/opt/tokenizers"
 SHARD_PAIRS = 2_000_000    # id pairs of one broadcast: 34 MB
-KEEP_WORDS = 200_000       # aligned stretches that a worker keeps
+KEEP_WORDS = 400_000       # aligned stretches that a worker keeps
 FLUSH_WORDS = 300_000      # distinct stretches that a task counts before it writes them out
 FLUSH_PAIRS = 400_000      # id pairs that a task holds before it writes them out
 SLICE_CHARS = 1 << 20      # text that is aligned at once
-TOGETHER = 500             # stretches encoded by one call
+TOGETHER = 2_000            # stretches encoded by one call
 SIDE = 1 << 17             # a pair's key is a * SIDE + b
 
-_MARKS = ",.!?;:"
 _BLANK = "▁"
 _DOUBLE = re.compile(r"\s ")
 _AT_BLANK = re.compile(r"(?<=\S)(?= )")
-_PLAIN = re.compile(r" ?\S+")             # can be encoded between two line ends
 _LATIN = re.compile("[\n !-~¡-ɏ]*")      # both encoders of A agree on these
 
 
@@ -119,114 +116,107 @@ class Aligner:
             elif not self.b.is_control(i) and not self.b.is_unknown(i):
                 self.b_bytes[i] = piece.replace(_BLANK, " ").encode()
                 joined |= set(zip(piece, piece[1:]))
-        if any(y == _BLANK and x != _BLANK for x, y in joined) or any("\n" in x for x in joined):
-            raise ValueError("pieces of the model reach across blanks or line ends")
+        if any(y == _BLANK and x != _BLANK for x, y in joined) :
+            raise ValueError("pieces of the model reach across blanks")
         line = next(i for i, raw in self.b_bytes.items() if raw == b"\n" and self.b.is_byte(i))
-        self.line_end = (next(i for i, raw in self.a_bytes.items() if raw == b"\n"), -1, line)
-        self.groups: dict[tuple, tuple] = {}
-        marks = "".join(m for m in _MARKS if not any(y == m and x.isalnum() for x, y in joined))
-        cuts = [r"(?<=\S)(?=\n\S)", r"(?<=\S\n)(?=\S)"] + ([rf"(?<=[^\W\d_])(?=[{re.escape(marks)}])"] if marks else [])
-        self.cut = re.compile("|".join(cuts))
-        self.atoms: dict[str, tuple | None] = {}
-        self.words: dict[str, tuple] = {}
-        self.bad: set[str] = set()
-
-    def resolve(self, words) -> None:
-        """Aligns the stretches not yet known."""
-        if len(self.words) > KEEP_WORDS:
-            self.words.clear()
-        if len(self.bad) > KEEP_WORDS:
-            self.bad.clear()
-        if len(self.atoms) > KEEP_WORDS:
-            self.atoms.clear()
-        new = [(w, self.cut.split(" " + w)) for w in words if w not in self.words and w not in self.bad]
-        need = list({x for _, parts in new for x in parts if x not in self.atoms})
-        odd = [x for x in need if not _PLAIN.fullmatch(x)]
-        if odd:
-            need = [x for x in need if _PLAIN.fullmatch(x)]
-            self._one_by_one(odd)
-        for at in range(0, len(need), TOGETHER):
-            self._together(need[at:at + TOGETHER])
-        for w, parts in new:
-            found = [self.atoms[x] for x in parts]
-            if None in found:
-                self.bad.add(w)
-            elif len(found) == 1:
-                self.words[w] = found[0]
-            else:
-                self.words[w] = (";".join(x[0] for x in found), sum(x[1] for x in found), sum(x[2] for x in found),
-                                 sum((x[3] for x in found), ()))
-
-    def _together(self, atoms: list[str]) -> None:
-        """Encodes atoms in one call, a line end between two: it is a token and so a group of its own."""
-        text = "\n".join(atoms)
-        if text[0] != " ":
-            text = " \n" + text                         # B puts a blank before a text
-        a = self.quick.encode_ordinary(text) if self.quick and _LATIN.fullmatch(text) else self.whole.encode(text, add_special_tokens=False).ids
-        b = self.b.encode(text[1:], num_threads=1)
-        a_raw, b_raw, raw = list(map(self.a_bytes.get, a)), list(map(self.b_bytes.get, b)), text.encode()
-        if None in a_raw or None in b_raw or b"".join(a_raw) != raw or b"".join(b_raw) != raw:
-            return self._one_by_one(atoms)
-        at, here = 0 if len(raw) == sum(map(len, map(str.encode, atoms))) + len(atoms) - 1 else -1, []      # -1: what precedes the first atom
-        known, line = self.groups, self.line_end
-        if len(known) > KEEP_WORDS:
-            known.clear()
-        for x, y in slices(a, list(map(len, a_raw)), b, list(map(len, b_raw))):
-            key = (*x, -1, *y)
-            if key == line:
-                if at >= 0:
-                    self.atoms[atoms[at]] = _joined(here)
-                at, here = at + 1, []
+        self.line_end = next(i for i, raw in self.a_bytes.items() if raw == b"\n"), line
+        if "\n" in "".join(x + y for x, y in joined):
+            raise ValueError("pieces of the model reach across line ends")
+        size = lambda raws, n: np.array([len(raws.get(i, b"")) for i in range(n)], np.int64)
+        self.a_size, self.b_size = size(self.a_bytes, max(self.a_bytes) + 2), size(self.b_bytes, self.b.get_piece_size())
+        written = lambda n, end: np.array([f"{i}{end}" for i in range(n)], object)
+        self.a_text = written(len(self.a_size), ","), written(len(self.a_size), "|")
+        self.b_text = written(len(self.b_size), ","), written(len(self.b_size), ";")
+
+    def encode(self, words: list[str]) -> "Encoded":
+        """Aligns stretches, each without its first blank; those whose bytes do not come back have no tokens and are marked bad."""
+        plain = [i for i, w in enumerate(words) if w and not w[0].isspace() and not w[-1].isspace()]
+        done: list[tuple] = []                          # (places of words, their A ids, their B ids)
+        for at in range(0, len(plain), TOGETHER):
+            self._together(words, plain[at:at + TOGETHER], done)
+        skip = set(plain)
+        self._one_by_one(words, [i for i in range(len(words)) if i not in skip], done)
+        return self._slice(words, done)
+
+    def _a_ids(self, text: str) -> list[int]:
+        return self.quick.encode_ordinary(text) if self.quick and _LATIN.fullmatch(text) else self.whole.encode(text, add_special_tokens=False).ids
+
+    def _together(self, words: list[str], places: list[int], done: list) -> None:
+        """One call for many stretches, a line end between two: it is a token of its own on either side."""
+        text = "\n ".join([words[i] for i in places])
+        a, b = np.array(self._a_ids(" " + text), np.int64), np.array(self.b.encode(text, num_threads=1), np.int64)
+        size = np.fromiter((len(words[i].encode()) for i in places), np.int64, len(places))
+        line = np.cumsum(size + 2)[:-1]                 # where the line ends end, in bytes
+        a_cut, b_cut = np.searchsorted(np.cumsum(self.a_size[a]), line), np.searchsorted(np.cumsum(self.b_size[b]), line)
+        if (self._raw(a, b) == ((" " + text).encode(),) * 2 and (a[a_cut] == self.line_end[0]).all() and (b[b_cut] == self.line_end[1]).all()):
+            done.append((places, a, a_cut, b, b_cut))
+        else:
+            self._one_by_one(words, places, done)
+
+    def _raw(self, a, b) -> tuple[bytes, bytes]:
+        return b"".join([self.a_bytes.get(i, b"") for i in a.tolist()]), b"".join([self.b_bytes.get(i, b"") for i in b.tolist()])
+
+    def _one_by_one(self, words: list[str], places: list[int], done: list) -> None:
+        for i in places:
+            text, none = " " + words[i], np.zeros(0, np.int64)
+            a = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int64)
+            b = self.b.encode(words[i]) if words[i] else [self.b.piece_to_id(_BLANK)]        # B writes nothing for a lone blank at the end
+            b = np.array(b, np.int64)
+            fine = self._raw(a, b) == (text.encode(),) * 2
+            done.append(([i], a if fine else none, none, b if fine else none, none))
+
+    def _slice(self, words: list[str], done: list) -> "Encoded":
+        out = Encoded([""] * len(words), *np.zeros((3, len(words)), np.int64), [], [])
+        for places, a, a_cut, b, b_cut in done:
+            if not len(a):
                 continue
-            group = known.get(key)
-            if group is None:
-                group = known[key] = (_group(x, y), len(x), len(y), x[-1] * SIDE + y[-1])
-            here.append(group)
-        self.atoms[atoms[at]] = _joined(here)
-
-    def _one_by_one(self, atoms: list[str]) -> None:
-        a = self.whole.encode_batch(atoms, add_special_tokens=False)
-        b = self.b.encode([x[1:] if x[0] == " " else "\n" + x for x in atoms], num_threads=1)
-        for x, a_ids, b_ids in zip(atoms, a, b):
-            self.atoms[x] = self._align(x, a_ids.ids, b_ids if x[0] == " " else b_ids[2:])
-
-    def _align(self, text: str, a_ids: list[int], b_ids: list[int]) -> tuple | None:
-        """(groups, number of a, of b, link keys); None if the bytes of a side are not the text's."""
-        raw = text.encode()
-        # "\n" + text: blank, line end, then B's pieces; a text of one blank is encoded as nothing
-        b_ids = b_ids if b_ids or text != " " else self._lone_blank()
-        a_raw = [self.a_bytes.get(i, b"") for i in a_ids]
-        b_raw = [self.b_bytes.get(i, b"") for i in b_ids]
-        if b"".join(a_raw) != raw or b"".join(b_raw) != raw:
-            return None
-        cut = list(slices(a_ids, list(map(len, a_raw)), b_ids, list(map(len, b_raw))))
-        return _joined([(_group(x, y), len(x), len(y), x[-1] * SIDE + y[-1]) for x, y in cut])
-
-    def _lone_blank(self) -> list[int]:
-        return [self.b.piece_to_id(_BLANK)]
-
-
-def _group(x: list[int], y: list[int]) -> str:
-    return ",".join(map(str, x)) + "|" + ",".join(map(str, y))
-
-
-def _joined(parts: list[tuple]) -> tuple:
-    """(groups as text, number of a, of b, link keys) of groups in a row."""
-    if len(parts) == 1:
-        return parts[0][0], parts[0][1], parts[0][2], (parts[0][3],)
-    text, n_a, n_b, links = zip(*parts)
-    return ";".join(text), sum(n_a), sum(n_b), links
-
-
-def slices(a_ids: list[int], a_sizes: list[int], b_ids: list[int], b_sizes: list[int]):
-    """Both id lists cut at the byte ends they share."""
-    at_a = dict(zip(accumulate(a_sizes), range(1, len(a_ids) + 1)))
-    at_b = dict(zip(accumulate(b_sizes), range(1, len(b_ids) + 1)))
-    i = j = 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        x, y = at_a[end], at_b[end]
-        yield a_ids[i:x], b_ids[j:y]
-        i, j = x, y
+            x, y = shared_ends(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
+            before_x, before_y = np.concatenate([[0], x[:-1]]), np.concatenate([[0], y[:-1]])
+            # "a1,a2|b1;a3|b2,b3": the A ids of a group stand before its B ids
+            piece = np.empty(len(a) + len(b), object)
+            for ids, text, stop, other in ((a, self.a_text, x, before_y), (b, self.b_text, y, x)):
+                token = np.arange(len(ids))
+                group = np.searchsorted(stop, token, "right")
+                last = token + 1 == stop[group]
+                piece[token + other[group]] = np.where(last, text[1][ids], text[0][ids])
+            link = a[x - 1] * SIDE + b[y - 1]
+            edge = np.concatenate([a_cut, [len(a)]])
+            own = np.searchsorted(edge, before_x, "right")                          # which word a group is of; line ends are groups of none
+            none = np.zeros(len(x), bool)
+            none[np.searchsorted(x, a_cut + 1)] = True
+            where = np.array(places)
+            lo_a, lo_b = np.concatenate([[0], a_cut + 1]), np.concatenate([[0], b_cut + 1])
+            hi_a, hi_b = edge, np.concatenate([b_cut, [len(b)]])
+            out.n_a[where], out.n_b[where] = hi_a - lo_a, hi_b - lo_b
+            out.n_links[where] = np.bincount(own[~none], minlength=len(places))
+            for i, lo, hi in zip(places, (lo_a + lo_b).tolist(), (hi_a + hi_b).tolist()):
+                out.groups[i] = "".join(piece[lo:hi])[:-1]
+            out.owner.append(where[own[~none]])
+            out.links.append(link[~none])
+        return out
+
+
+class Encoded(NamedTuple):
+    """Stretches aligned together; ``links`` and the places of the stretches they are of, ``owner``, are in pieces."""
+
+    groups: list[str]
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_links: np.ndarray
+    owner: list[np.ndarray]
+    links: list[np.ndarray]
+
+    def flat(self) -> tuple[np.ndarray, np.ndarray]:
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(self.owner or none), np.concatenate(self.links or none)
+
+
+def shared_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens of either side end at or before each byte end that both have."""
+    at_a = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1)))
+    at_b = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1)))
+    common = sorted(at_a.keys() & at_b.keys())
+    return np.array(list(map(at_a.__getitem__, common)), np.int64), np.array(list(map(at_b.__getitem__, common)), np.int64)
 
 
 _ALIGNERS: dict[str, Aligner] = {}
@@ -256,19 +246,16 @@ def _slices(batch: pa.RecordBatch, at: int):
         yield rows, texts
 
 
-def _aligned(al: Aligner, texts: list[str]):
-    """Per text, a list of its stretches in slices, or None where a side does not give back the bytes."""
-    parts = [list(split(t)) if t else None for t in texts]
-    al.resolve({w for p in parts if p for words in p for w in words})
-    if al.bad:
-        parts = [p if p and all(al.bad.isdisjoint(words) for words in p) else None for p in parts]
-    return parts
+def _stretches(texts: list[str]) -> list[list[list[str]]]:
+    """Per text its stretches, in slices."""
+    return [list(split(t)) if t else [] for t in texts]
 
 
-def _pair_rows(held: Counter) -> pa.RecordBatch:
-    out = pa.record_batch({"pair": pa.array(held.keys(), pa.int64()), "n": pa.array(held.values(), pa.int64())})
-    held.clear()
-    return out
+def _pair_rows(pairs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    found, place = np.unique(pairs, return_inverse=True)
+    total = np.zeros(len(found), np.int64)
+    np.add.at(total, place.reshape(-1), n)
+    return pa.record_batch({"pair": pa.array(found), "n": pa.array(total)})
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -296,36 +283,29 @@ def link_counts(docs: DataFrame, folder: str = FOLDER) -> DataFrame:
     no links: these are counted text by text then.
     """
     def run(batches):
-        al, held = aligner(folder), Counter()
+        al = aligner(folder)
         for batch in batches:
             for at in range(0, batch.num_rows, 20_000):
                 part = batch.slice(at, 20_000)
-                words = part.column(0).to_pylist()
-                al.resolve(words)
-                for w, n in zip(words, part.column(1).to_pylist()):
-                    if w in al.bad:
-                        held[-1] += n
-                    else:
-                        for link in al.words[w][3]:
-                            held[link] += n
-                if len(held) > FLUSH_PAIRS:
-                    yield _pair_rows(held)
-        yield _pair_rows(held)
+                n = part.column(1).to_numpy()
+                found = al.encode(part.column(0).to_pylist())
+                owner, links = found.flat()
+                bad = found.n_a == 0
+                yield _pair_rows(np.concatenate([links, np.full(int(bad.sum()), -1)]), np.concatenate([n[owner], n[bad]]))
     counts = checkpoint(vocabulary(docs).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")))
     return _by_text(docs, folder) if counts.where("pair < 0").head(1) else counts
 
 
 def _by_text(docs: DataFrame, folder: str) -> DataFrame:
     def run(batches):
-        al, held = aligner(folder), Counter()
+        al = aligner(folder)
         for batch in batches:
             for _, texts in _slices(batch, 0):
-                for p in _aligned(al, texts):
-                    for w in (w for words in p or () for w in words):
-                        held.update(al.words[w][3])
-                if len(held) > FLUSH_PAIRS:
-                    yield _pair_rows(held)
-        yield _pair_rows(held)
+                for p in _stretches(texts):
+                    found = al.encode([w for words in p for w in words])
+                    if (found.n_a > 0).all():
+                        links = found.flat()[1]
+                        yield _pair_rows(links, np.ones(len(links), np.int64))
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
@@ -339,49 +319,70 @@ def best_links(counts: DataFrame) -> DataFrame:
 _OUT = "doc_id bigint, {text}n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint{groups}"
 
 
+_FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+
+
+class _Memory:
+    """The stretches a task has aligned: their groups, and their figures under one shard of the pair counts."""
+
+    def __init__(self, al: Aligner, pairs: np.ndarray, n: np.ndarray, best: np.ndarray):
+        self.al, self.pairs, self.n, self.best = al, pairs, n, best
+        self.forget()
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.figures = np.zeros((1024, len(_FIGURES)), np.int64)
+
+    def learn(self, words) -> None:
+        if len(self.groups) > KEEP_WORDS:
+            self.forget()
+        new = [w for w in words if w not in self.place]
+        if not new:
+            return
+        found, first = self.al.encode(new), len(self.groups)
+        owner, links = found.flat()
+        at = np.minimum(np.searchsorted(self.pairs, links), max(0, len(self.pairs) - 1))
+        hit = self.pairs[at] == links if len(self.pairs) else np.zeros(len(links), bool)
+        while len(self.figures) < first + len(new):
+            self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
+        here = self.figures[first:first + len(new)]
+        for i, x in enumerate((found.n_a, found.n_b, found.n_links, found.n_links)):
+            here[:, i] = x
+        here[:, 4:] = 0
+        np.add.at(here[:, 4], owner[hit], self.best[at[hit]])
+        np.add.at(here[:, 5], owner[hit], self.n[at[hit]])
+        self.place.update(zip(new, range(first, first + len(new))))
+        self.groups += found.groups
+
+
 def _score(rows: DataFrame, shared, folder: str, first: bool, last: bool) -> DataFrame:
     """Adds what a shard of the pair counts gives; the first adds the sizes, the last the groups in place of the text."""
     def run(batches):
-        al = aligner(folder)
-        pairs, n, best = shared.value
-        known: dict[str, tuple] = {}
+        memory = _Memory(aligner(folder), *shared.value)
         for batch in batches:
             for rows_, texts in _slices(batch, 1):
-                if len(known) > KEEP_WORDS:
-                    known.clear()
-                parts = _aligned(al, texts)
-                new = [w for w in {w for p in parts if p for words in p for w in words} if w not in known]
-                links = [al.words[w][3] for w in new]
-                sizes = np.array([len(x) for x in links], np.int64)
-                keys = np.fromiter((k for x in links for k in x), np.int64, int(sizes.sum()))
-                at = np.minimum(np.searchsorted(pairs, keys), max(0, len(pairs) - 1))
-                hit = pairs[at] == keys if len(pairs) else np.zeros(len(keys), bool)
-                owner = np.repeat(np.arange(len(new)), sizes)
-                total, top = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-                if hit.any():
-                    np.add.at(total, owner[hit], n[at[hit]])
-                    np.add.at(top, owner[hit], best[at[hit]].astype(np.int64))
-                for w, s, t in zip(new, total.tolist(), top.tolist()):
-                    groups, n_a, n_b, link = al.words[w]
-                    known[w] = (n_a, n_b, len(link), t, s, groups)
-                out = []
-                for p in parts:
-                    n_a = n_b = n_links = n_best = count = 0
-                    text = []
-                    for words in p or ():
-                        a, b, k, t, s, g = zip(*[known[w] for w in words])
-                        n_a, n_b, n_links, n_best, count = n_a + sum(a), n_b + sum(b), n_links + sum(k), n_best + sum(t), count + sum(s)
-                        text.append(";".join(g) if last else "")
-                    out.append((n_a, n_b, n_links, n_links, n_best, count, ";".join(text)))
+                parts = _stretches(texts)
+                memory.learn(dict.fromkeys(w for p in parts for words in p for w in words))
+                place, groups = memory.place, memory.groups
+                ids = [list(map(place.__getitem__, words)) for p in parts for words in p]
+                sizes = [sum(map(len, p)) for p in parts]
+                figures = memory.figures[np.fromiter((i for x in ids for i in x), np.int64, sum(sizes))]
+                each = np.zeros((len(parts), len(_FIGURES)), np.int64)
+                np.add.at(each, np.repeat(np.arange(len(parts)), sizes), figures)
+                bad = np.zeros(len(parts), bool)
+                bad[np.repeat(np.arange(len(parts)), sizes)[figures[:, 0] == 0]] = True       # a stretch without tokens empties its text
+                each[bad] = 0
+                text, at = [], 0
+                for i, p in enumerate(parts):
+                    text.append("" if bad[i] or not last else ";".join([groups[j] for x in ids[at:at + len(p)] for j in x]))
+                    at += len(p)
                 part = batch.slice(rows_[0], len(rows_))
-                cols = list(zip(*out))
                 made = {"doc_id": part.column(0)} | ({} if last else {"text": part.column(1)})
-                for i, name in enumerate(("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")):
-                    here = np.array(cols[i], np.int64)
-                    if not first and i > 3:
-                        here = here + part.column(part.schema.get_field_index(name)).to_numpy()
-                    made[name] = pa.array(here, pa.int64())
-                yield pa.record_batch(made | ({"groups": pa.array(cols[6], pa.string())} if last else {}))
+                for i, name in enumerate(_FIGURES):
+                    here = each[:, i] if first or i < 4 else each[:, i] + part.column(part.schema.get_field_index(name)).to_numpy()
+                    made[name] = pa.array(np.ascontiguousarray(here), pa.int64())
+                yield pa.record_batch(made | ({"groups": pa.array(text, pa.string())} if last else {}))
     schema = _OUT.format(text="" if last else "text string, ", groups=", groups string" if last else "")
     return rows.mapInArrow(run, schema)
 
@@ -396,7 +397,7 @@ def align(docs: DataFrame, folder: str = FOLDER, shard_pairs: int = SHARD_PAIRS)
         pairs = mine.column("pair").to_numpy()
         by = np.argsort(pairs)
         shared = docs.sparkSession.sparkContext.broadcast(
-            (pairs[by], mine.column("n").to_numpy()[by], mine.column("best").to_numpy(zero_copy_only=False)[by]))
+            (pairs[by], mine.column("n").to_numpy()[by], mine.column("best").to_numpy(zero_copy_only=False)[by].astype(np.int64)))
         rows = _score(rows, shared, folder, s == 0, s == shards - 1)
         if s < shards - 1:
             rows = checkpoint(rows)

@@ -2,7 +2,9 @@
 
 import hashlib
 from collections import Counter
+from itertools import accumulate
 
+import numpy as np
 import pytest
 
 from kalulu.llm import token_alignment as T
@@ -29,7 +31,7 @@ def plain(texts, folder=T.FOLDER):
         yb = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in y]
         if not text or b"".join(xb) != (" " + text).encode() or b"".join(yb) != (" " + text).encode():
             x = y = xb = yb = []
-        ends = lambda z: [sum(map(len, z[:i + 1])) for i in range(len(z))] if len(z) < 400 else list(T.accumulate(map(len, z)))
+        ends = lambda z: [sum(map(len, z[:i + 1])) for i in range(len(z))] if len(z) < 400 else list(accumulate(map(len, z)))
         xe, ye = ends(xb), ends(yb)
         links, groups, i, j = [], [], 0, 0
         where = {e: k for k, e in enumerate(ye)}
@@ -65,22 +67,21 @@ def test_against_whole_texts(spark, shard):
 def test_long_texts_bounded_caches_and_empty_table(spark, monkeypatch):
     monkeypatch.setattr(T, "SLICE_CHARS", 40)
     monkeypatch.setattr(T, "KEEP_WORDS", 3)
-    T._ALIGNERS.clear()
-    al = T.Aligner()
+    monkeypatch.setattr(T, "TOGETHER", 2)
     texts = ["word, other words and more of the same " * 9, "x " * 50, "no blanks" * 30 + " ", "a  b  c " * 20, "end. "]
-    for text in texts:
-        parts = T._aligned(al, [text])[0]
-        joined = ";".join(al.words[w][0] for words in parts for w in words)
-        assert joined == plain([text])[0][6]
+    rows = [(i, t, 0, "") for i, t in enumerate(texts)]
+    got = {r.doc_id: r.groups for r in T.align(spark.createDataFrame(rows, COLS)).collect()}
+    assert [got[i] for i in range(len(texts))] == [w[6] for w in plain(texts)]
     assert T.align(spark.createDataFrame([], COLS)).collect() == []
 
 
 def test_a_stretch_that_does_not_come_back_empties_its_text(spark):
-    T._ALIGNERS.clear()
     al = T.aligner(T.FOLDER)
-    al.resolve(["a▁b", "fine"])
-    assert al.bad == {"a▁b"} and "fine" in al.words
-    assert T._aligned(al, ["fine a▁b", "fine"])[0] is None and T._aligned(al, ["fine"])[0] == [["fine"]]
+    found = al.encode(["a▁b", "fine", "", "x\ny"])
+    assert found.n_a[0] == 0 and found.groups[0] == "" and all(found.n_a[1:]) and not (found.flat()[0] == 0).any()
+    memory = T._Memory(al, *np.zeros((3, 0), np.int64))
+    memory.learn(["fine", "a▁b"])
+    assert memory.figures[:2, 0].tolist() == [1, 0]
     df = spark.createDataFrame([("fine one fine",)], "text string")
     assert sorted(T._by_text(df, T.FOLDER).collect()) == sorted(T.link_counts(df).collect())
 
