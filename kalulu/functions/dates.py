@@ -8,8 +8,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def date_text(d: _dt.date | str) -> str:
+    return f"date '{d if isinstance(d, str) else d.isoformat()}'"
+
+
 def lit_date(d: _dt.date | str) -> Column:
-    return F.lit(d if isinstance(d, _dt.date) else _dt.date.fromisoformat(d)).cast("date")
+    return F.expr(date_text(d))
 
 
 def age_in_units(as_of: Column, birthdate: Column, divider: int) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.text import sex_label
+from kalulu.functions.sqltext import quoted
 from kalulu.operators.bands import band_dimension
 
 
@@ -21,6 +21,14 @@ def count_if(pred: Column) -> Column:
     return F.count(F.when(pred, F.lit(1))).cast("bigint")
 
 
+def _counts(indicators) -> list[Column]:
+    return [F.expr(f"count_if(`__p_{n}`) as `{n}`") for n in indicators]
+
+
+def _filled(indicators) -> list[str]:
+    return [f"coalesce(`{n}`, 0L) as `{n}`" for n in indicators]
+
+
 def group_predicates(gender: Column, pregnancy: Column) -> dict[str, Column]:
     """The four population groups of the appended rows (may overlap)."""
     female = (gender == "F")
@@ -40,13 +48,10 @@ def banded_counts(rows: DataFrame, locations: DataFrame, band: Column, gender: C
                            *[p.alias(f"__p_{n}") for n, p in indicators.items()])
                .where(F.col(band_col).isNotNull())
                .groupBy("location", band_col, "__g")
-               .agg(*[count_if(F.col(f"__p_{n}")).alias(n) for n in indicators]))
+               .agg(*_counts(indicators)))
     dim = band_dimension(locations, labels, band_col)
-    joined = dim.join(counted, (dim.location == counted.location) & (dim[band_col] == counted[band_col])
-                      & (dim.gender == counted["__g"]), "left")
-    return joined.select(
-        dim.location, dim.sort_value, dim[band_col], sex_label(dim.gender).alias("gender"),
-        *[F.coalesce(counted[n], F.lit(0).cast("bigint")).alias(n) for n in indicators])
+    joined = dim.join(counted.withColumnRenamed("__g", "gender"), ["location", band_col, "gender"], "left")
+    return joined.selectExpr("location", "sort_value", band_col, "if(gender = 'F', 'Female', 'Male') as gender", *_filled(indicators))
 
 
 def group_label(gender: Column, pregnancy: Column) -> Column:
@@ -72,11 +77,8 @@ def group_rows(rows: DataFrame, locations: DataFrame, gender: Column, pregnancy:
                            *[p.alias(f"__p_{n}") for n, p in indicators.items()])
                .where(F.col("__grp").isNotNull())
                .groupBy("location", "__grp")
-               .agg(*[count_if(F.col(f"__p_{n}")).alias(n) for n in indicators]))
-    dim_rows = [F.struct(F.lit(first_sort_value + i).alias("sort_value"), F.lit(g).alias("__grp"))
-                for i, g in enumerate(K.GROUPS)]
-    dim = (locations.select("location", F.explode(F.array(*dim_rows)).alias("__d"))
-           .select("location", "__d.sort_value", "__d.__grp"))
+               .agg(*_counts(indicators)))
+    dim_rows = ", ".join(f"struct({first_sort_value + i} as sort_value, {quoted(g)} as __grp)" for i, g in enumerate(K.GROUPS))
+    dim = locations.selectExpr("location", f"inline(array({dim_rows}))")
     out = dim.join(counted, ["location", "__grp"], "left")
-    return out.select("location", "sort_value", F.lit("All").alias(band_col), F.col("__grp").alias(label_col),
-                      *[F.coalesce(F.col(n), F.lit(0).cast("bigint")).alias(n) for n in indicators])
+    return out.selectExpr("location", "sort_value", f"'All' as {band_col}", f"__grp as {label_col}", *_filled(indicators))

@@ -32,18 +32,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """
     payload = [c for c in (payload if payload is not None else df.columns)
                if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])
-    agg = F.max(packed) if newest else F.min(packed)
-    return (df
-            .groupBy(*keys).agg(agg.alias("__r"))
-            .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in (*order, *payload)]))
+    fields = ", ".join(f"`{c}`" for c in (*order, *payload))
+    return df.groupBy(*keys).agg(F.expr(f"{'max' if newest else 'min'}(struct({fields})) as __r")).select(*keys, "__r.*")
 
 
 def rows_at_extreme(df: DataFrame, keys: Sequence[str], date_col: str,
                     newest: bool = True) -> DataFrame:
     """All rows of each key whose ``date_col`` equals the key's MAX (or MIN); ties kept."""
-    agg = F.max(date_col) if newest else F.min(date_col)
-    ext = df.groupBy(*keys).agg(agg.alias(date_col))
+    ext = df.groupBy(*keys).agg(F.expr(f"{'max' if newest else 'min'}(`{date_col}`) as `{date_col}`"))
     return df.join(ext, [*keys, date_col], "inner")
 
 

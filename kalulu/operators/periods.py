@@ -13,26 +13,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kalulu.functions.dates import lit_date
+from kalulu.functions.dates import date_text
 
 
-def oldest_period_index(date: Column, ends: Sequence[_dt.date]) -> Column:
+def oldest_period_index(date: str, ends: Sequence[_dt.date]) -> Column:
     """For period ends E_0 > E_1 > ... the largest i with ``date <= E_i``
     (null when the date is after E_0): the row is "as of" every period 0..i."""
-    expr = None
-    for i in range(len(ends) - 1, -1, -1):
-        cond = date <= lit_date(ends[i])
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
+    arms = " ".join(f"when {date} <= {date_text(ends[i])} then {i}" for i in reversed(range(len(ends))))
+    return F.expr(f"case {arms} end")
 
 
-def period_in_range(date: Column, starts: Sequence[_dt.date], ends: Sequence[_dt.date]) -> Column:
-    """Index of the (disjoint) period [start_i, end_i] containing the date, else null."""
-    expr = None
-    for i, (s, e) in enumerate(zip(starts, ends)):
-        cond = date.between(lit_date(s), lit_date(e))
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr
+def period_in_range(date: str, starts: Sequence[_dt.date], ends: Sequence[_dt.date]) -> Column:
+    """Index of the (disjoint) period [start_i, end_i] containing the date (a column name), else null."""
+    arms = " ".join(f"when {date} between {date_text(s)} and {date_text(e)} then {i}" for i, (s, e) in enumerate(zip(starts, ends)))
+    return F.expr(f"case {arms} end")
 
 
 def latest_as_of_periods(df: DataFrame, keys: Sequence[str], date_col: str, ends: Sequence[_dt.date],
@@ -44,7 +38,7 @@ def latest_as_of_periods(df: DataFrame, keys: Sequence[str], date_col: str, ends
     of a key out to the periods they cover, aggregating once more.
     """
     packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in payload])
-    j = oldest_period_index(F.col(date_col), ends)
+    j = oldest_period_index(date_col, ends)
     summary = (df.withColumn("__j", j).where(F.col("__j").isNotNull())
                .groupBy(*keys, "__j").agg(F.max(packed).alias("__r")))
     fanned = summary.withColumn("period", F.explode(F.sequence(F.lit(0), F.col("__j"))))
@@ -54,7 +48,7 @@ def latest_as_of_periods(df: DataFrame, keys: Sequence[str], date_col: str, ends
 
 def max_as_of_periods(df: DataFrame, key: str, date_col: str, ends: Sequence[_dt.date]) -> DataFrame:
     """(key, period, MAX(date) with date <= end_i) from one partial aggregate."""
-    j = oldest_period_index(F.col(date_col), ends)
+    j = oldest_period_index(date_col, ends)
     summary = (df.withColumn("__j", j).where(F.col("__j").isNotNull())
                .groupBy(key, "__j").agg(F.max(date_col).alias("__m")))
     fanned = summary.withColumn("period", F.explode(F.sequence(F.lit(0), F.col("__j"))))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kalulu.functions.sqltext import listed, quoted
+
 
 def eav_pivot_encounters(obs: DataFrame, encounters: DataFrame, keys: Sequence[str], spec: Sequence[tuple],
                          obs_keys: Sequence[str] = (), type_col: str = "encounter_type",
@@ -22,17 +24,11 @@ def eav_pivot_encounters(obs: DataFrame, encounters: DataFrame, keys: Sequence[s
     visit.  The encounter-type filter is applied after the join, where the
     type is known; the observation-group filter before it.
     """
-    concepts = sorted({e[1] for e in spec})
-    pre = []
-    for i, (_, concept, kind, _etype, *group) in enumerate(spec):
-        cond = F.col("concept") == concept
-        if group:
-            cond = cond & (F.col(group_col) == group[0])
-        pre.append(F.min(F.when(cond, F.col(kind))).alias(f"__v{i}"))
-    per_enc = obs.where(F.col("concept").isin(concepts)).groupBy("encounter_id", *obs_keys).agg(*pre)
-    joined = per_enc.join(encounters, "encounter_id")
-    post = []
-    for i, (col, _concept, _kind, etype, *_g) in enumerate(spec):
-        v = F.col(f"__v{i}")
-        post.append(F.min(F.when(F.col(type_col) == etype, v) if etype else v).alias(col))
-    return joined.groupBy(*keys).agg(*post)
+    pre, post = [], []
+    for i, (col, concept, kind, etype, *group) in enumerate(spec):
+        cond = f"concept = {quoted(concept)}" + (f" and {group_col} = {quoted(group[0])}" if group else "")
+        pre.append(F.expr(f"min(if({cond}, {kind}, null)) as __v{i}"))
+        post.append(F.expr(f"min(if({type_col} = {quoted(etype)}, __v{i}, null)) as `{col}`" if etype else f"min(__v{i}) as `{col}`"))
+    concepts = listed(sorted({e[1] for e in spec}))
+    per_enc = obs.where(f"concept in ({concepts})").groupBy("encounter_id", *obs_keys).agg(*pre)
+    return per_enc.join(encounters, "encounter_id").groupBy(*keys).agg(*post)

@@ -65,7 +65,7 @@ TPT_COLS = ["inh_300", "inh_300_pills", "rfp_150", "rfp_150_pills", "rfp_inh", "
 
 def _tpt_any() -> Column:
     """Any preventive-therapy drug or pill count recorded on the visit."""
-    return F.coalesce(*[F.col(c).cast("string") for c in TPT_COLS]).isNotNull()
+    return F.expr(" or ".join(f"{c} is not null" for c in TPT_COLS))
 
 COHORT_COLUMNS = [
     "patient_id", "identifier", "state", "start_date", "gender", "age", "location",
@@ -100,15 +100,12 @@ def followup_snapshots(wh: Warehouse, p: ReportParams) -> DataFrame:
         "__previous": ("max", (vd <= F.date_sub(start, 1)) & tpt),
         "__first": ("min", vd.between(start, end) & tpt),
     })
-    latest = F.struct(
-        vd.alias("followup_visit_date"), F.col("next_appointment_date").alias("last_appt_date"),
-        F.col("art_regimen").alias("current_regimen"), "pregnant_or_lactating", "tb_status",
-        "systolic_bp", "diastolic_bp")
-    packed = [F.collect_list(F.when(vd == F.col("__latest"), latest)).alias("latest")]
+    rows = {"latest": "visit_date as followup_visit_date, next_appointment_date as last_appt_date, art_regimen as current_regimen, "
+                      "pregnant_or_lactating, tb_status, systolic_bp, diastolic_bp"}
     for prefix in ("last", "previous", "first"):
-        row = F.struct(vd.alias(f"{prefix}_ipt_date"), *[F.col(c).alias(f"{prefix}_{c}") for c in TPT_COLS])
-        packed.append(F.collect_list(F.when(vd == F.col(f"__{prefix}"), row)).alias(prefix))
-    on_a_date = (vd == F.col("__latest")) | (vd == F.col("__last")) | (vd == F.col("__previous")) | (vd == F.col("__first"))
+        rows[prefix] = ", ".join([f"visit_date as {prefix}_ipt_date", *[f"{c} as {prefix}_{c}" for c in TPT_COLS]])
+    packed = [F.expr(f"collect_list(if(visit_date = __{name}, struct({fields}), null)) as {name}") for name, fields in rows.items()]
+    on_a_date = " or ".join(f"visit_date = __{name}" for name in rows)
     return tagged.where(on_a_date).groupBy("patient_id").agg(*packed)
 
 
@@ -135,9 +132,7 @@ def cohort_rows(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None
     snaps = followup_snapshots(wh, p)
     out = base.join(snaps if tpt else snaps.select("patient_id", "latest"), "patient_id", "left")
     for name in ("latest", "last", "previous", "first") if tpt else ("latest",):
-        fields = out.schema[name].dataType.elementType.names
-        out = out.select(*[c for c in out.columns if c != name], F.explode_outer(name).alias(name))
-        out = out.select(*[c for c in out.columns if c != name], *[F.col(f"{name}.{f}").alias(f) for f in fields])
+        out = out.selectExpr("*", f"inline_outer({name})").drop(name)
     out = out.join(latest_initial(wh, p.end), "patient_id", "left")
     end = lit_date(p.end)
     age = F.when((F.col("state") == K.ON_ART), age_in_units(end, F.col("birthdate"), p.divider)).otherwise(
@@ -153,7 +148,7 @@ def hiv_cohort(wh: Warehouse, p: ReportParams, outcome: DataFrame | None = None,
     ``extra`` names more follow-up columns of the distinct rows (``tb_status``).
     The result is lazy; a caller that reads it several times may checkpoint it.
     """
-    return cohort_rows(wh, p, outcome).select(*COHORT_COLUMNS, *extra).distinct()
+    return cohort_rows(wh, p, outcome).selectExpr(*COHORT_COLUMNS, *extra).distinct()
 
 
 def identifier_flags(wh: Warehouse, location: str | None = None) -> DataFrame:

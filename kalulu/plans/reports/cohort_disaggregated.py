@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.dates import lit_date
+from kalulu.functions.dates import date_text, lit_date
+from kalulu.functions.sqltext import quoted
 from kalulu.operators.bands import age_band, age_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.params import ReportParams
@@ -25,11 +26,8 @@ def is_active(p: ReportParams, state: str = "state", appt: str = "last_appt_date
 
 
 def cohort_indicators(p: ReportParams) -> dict[str, Column]:
-    active = is_active(p)
-    ind = {"tx_curr": active}
-    for code, text in K.REGIMENS:
-        ind[code] = active & (F.col("current_regimen") == text)
-    return ind
+    active = f"state = {quoted(K.ON_ART)} and datediff({date_text(p.end)}, last_appt_date) <= {p.cutoff}"
+    return {"tx_curr": is_active(p)} | {code: F.expr(f"{active} and current_regimen = {quoted(text)}") for code, text in K.REGIMENS}
 
 
 def cohort_disaggregated(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None = None,
@@ -38,7 +36,7 @@ def cohort_disaggregated(wh: Warehouse, start: _dt.date, end: _dt.date, location
     cohort = hiv_cohort(wh, p)
     locs = facilities(wh, p.location)
     ind = cohort_indicators(p)
-    detail = banded_counts(cohort, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
+    detail = banded_counts(cohort, locs, age_band("age", "gender"), F.col("gender"), ind,
                            age_labels())
     grouped = group_rows(cohort, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
     return order_report(detail.unionByName(grouped))

@@ -46,7 +46,7 @@ def tx_mmd(wh: Warehouse, end, location: str | None = None,
     rows = mmd_rows(wh, p, outcome)
     locs = facilities(wh, p.location)
     ind = mmd_indicators()
-    detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
+    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
                            age_labels())
     cohort = hiv_cohort(wh, p).select(
         "patient_id", "location", F.col("gender").alias("c_gender"), F.col("pregnant_or_lactating").alias("c_preg"))

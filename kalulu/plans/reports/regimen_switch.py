@@ -29,7 +29,7 @@ def regimen_switch(wh: Warehouse, start: _dt.date, location: str | None = None)
     last_before = max_as_of_periods(visits, "patient_id", "visit_date", before_ends)
     prev = fu.join(last_before, ["patient_id", "visit_date"]).select(
         "patient_id", "period", F.col("art_regimen").alias("previous_full"))
-    first_in = (visits.withColumn("k", period_in_range(F.col("visit_date"), month_starts, month_ends))
+    first_in = (visits.withColumn("k", period_in_range("visit_date", month_starts, month_ends))
                 .where(F.col("k").isNotNull()).groupBy("patient_id", "k").agg(F.min("visit_date").alias("visit_date"))
                 .withColumn("period", F.lit(MONTHS - 1) - F.col("k")))
     cur = fu.join(first_in, ["patient_id", "visit_date"]).select(

@@ -66,5 +66,5 @@ def tx_rtt(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
         "returned_three_to_five_months": m.between(3, 5),
         "returned_six_months_plus": m >= 6,
     }
-    return order_report(banded_counts(rows, facilities(wh, location), age_band(F.col("age"), F.col("gender")),
+    return order_report(banded_counts(rows, facilities(wh, location), age_band("age", "gender"),
                                       F.col("gender"), ind, age_labels()))

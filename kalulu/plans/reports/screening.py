@@ -66,7 +66,7 @@ def tx_tb(wh: Warehouse, end: _dt.date, location: str | None = None,
     rows = _cohort_with_flags(wh, p, outcome, cols, cohort)
     locs = facilities(wh, location)
     ind = tx_tb_indicators(p)
-    detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
+    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
                            age_labels())
     coh = cohort.join(identifier_flags(wh, location), ["patient_id", "location"], "left")
     grouped = group_rows(coh, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
@@ -98,7 +98,7 @@ def tx_hiv_htn(wh: Warehouse, end: _dt.date, location: str | None = None,
     rows = _cohort_with_flags(wh, p, outcome, cols, cohort)
     locs = facilities(wh, location)
     ind = htn_indicators(p)
-    detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
+    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
                            age_labels())
     coh = cohort.join(identifier_flags(wh, location), ["patient_id", "location"], "left")
     grouped = group_rows(coh, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)

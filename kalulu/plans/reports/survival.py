@@ -33,7 +33,7 @@ def survival(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None
 
     # patients registered in the period, joined to ALL their initial visits
     ini = wh.mw_art_initial.select("patient_id", "visit_date", "transfer_in_date", "pregnant_or_lactating")
-    registered = (ini.withColumn("period", period_in_range(F.col("visit_date"), starts, ends))
+    registered = (ini.withColumn("period", period_in_range("visit_date", starts, ends))
                   .where(F.col("period").isNotNull()).select("patient_id", "period").distinct())
     visits = registered.join(ini.withColumnRenamed("visit_date", "art_initial_visit"), "patient_id")
     # last outcome per registered (patient, period) and facility, x ARV Numbers there

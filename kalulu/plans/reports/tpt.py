@@ -55,7 +55,7 @@ def tpt_initiation(wh: Warehouse, start: _dt.date, end: _dt.date, location: str
     ind = tpt_initiation_indicators(p)
     started = ((F.col("first_inh_300").isNotNull() | F.col("first_rfp_150").isNotNull()
                 | F.col("first_rfp_inh").isNotNull()) & (F.col("first_ipt_date") >= lit_date(p.start)))
-    detail = banded_counts(cohort.where(started), locs, age_band(F.col("age"), F.col("gender")),
+    detail = banded_counts(cohort.where(started), locs, age_band("age", "gender"),
                            F.col("gender"), ind, age_labels())
     grouped = group_rows(cohort, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
     out = order_report(detail.unionByName(grouped))
@@ -111,7 +111,7 @@ def tb_prev(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
             .where(F.col("first_ipt_date") >= lit_date(six)))
     locs = facilities(wh, location)
     ind = tb_prev_indicators(six)
-    detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
+    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
                            age_labels())
     # group rows: the same rows joined to the quarter cohort, grouped by the
     # quarter cohort's sex and pregnancy status

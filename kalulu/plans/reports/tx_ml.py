@@ -62,7 +62,7 @@ def tx_ml(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
             .join(flags, ["patient_id", "last_appt_date"], "left"))
     locs = facilities(wh, location)
     ind = tx_ml_indicators(p)
-    detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
+    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
                            age_labels())
     grouped = group_rows(coh.join(flags, ["patient_id", "last_appt_date"], "left"), locs, F.col("gender"),
                          F.col("pregnant_or_lactating"), ind, 41)

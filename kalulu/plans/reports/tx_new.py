@@ -57,7 +57,7 @@ def tx_new(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
     flags = identifier_flags(wh, p.location)
     locs = facilities(wh, p.location)
     rows = tx_new_rows(wh, p, outcome).join(flags, ["patient_id", "location"], "left")
-    detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"),
+    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"),
                            tx_new_indicators(p), age_labels())
     # group rows: every initial visit of the patient joined to the cohort rows;
     # the period test uses the cohort's latest initial visit, CD4 and

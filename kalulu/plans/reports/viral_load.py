@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kalulu import constants as K
 from kalulu.functions.dates import age_in_units, lit_date
 from kalulu.functions.text import regimen_code, regimen_name, sex_label
+from kalulu.functions.sqltext import quoted
 from kalulu.operators.bands import age_band, age_labels, weight_band, weight_labels
 from kalulu.operators.counts import banded_counts, group_rows
 from kalulu.operators.latest import latest_per_key, rows_at_extreme
@@ -72,7 +73,7 @@ def tx_pvls(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
         rows = rows.where(F.col("location") == location)
     locs = facilities(wh, location)
     ind = pvls_indicators()
-    detail = banded_counts(rows, locs, age_band(F.col("age"), F.col("gender")), F.col("gender"), ind,
+    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
                            age_labels())
     coh = hiv_cohort(wh, ReportParams(start=year_start, end=end, location=location)).select(
         "patient_id", "location", F.col("gender").alias("g_gender"), F.col("pregnant_or_lactating").alias("g_preg"))
@@ -127,9 +128,9 @@ def regimen_by_weight(wh: Warehouse, end: _dt.date, location: str | None = None,
     rows = _dispensed(wh, end, location, cutoff).withColumn("current_regimen", F.col("art_regimen"))
     codes = list(K.REGIMENS) + [K.WEIGHT_REPORT_EXTRA_REGIMENS[0]]
     extra_11p = K.WEIGHT_REPORT_EXTRA_REGIMENS[1]
-    ind = {code: F.col("current_regimen") == text for code, text in codes}
+    ind = {code: F.expr(f"current_regimen = {quoted(text)}") for code, text in codes}
     ind_all = dict(ind)
     ind_all[extra_11p[0]] = F.col("current_regimen") == extra_11p[1]  # counted, not output
-    out = banded_counts(rows, facilities(wh, location), weight_band(F.col("weight")), F.col("gender"), ind_all,
+    out = banded_counts(rows, facilities(wh, location), weight_band("weight"), F.col("gender"), ind_all,
                         weight_labels(), band_col="weight_group")
     return order_report(out.drop(extra_11p[0]))

@@ -14,10 +14,10 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from kalulu import constants as K
+from kalulu.functions.sqltext import pick, quoted
 from kalulu.sources.tables import read_parquet
 
 # Fixed reference date of the projection (birthdates count back from it).
@@ -31,13 +31,11 @@ EXTRA_STATE_ID_OFFSET = 1_000_000_000
 EXTRA_STATE_DAYS = 7300
 
 
-def _pick(values: list, idx: Column) -> Column:
-    """values[idx] for a 0-based integer Column (a literal array lookup)."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int"))
+def facility(index: str) -> str:
+    return pick(K.FACILITIES, index)
 
 
-def facility(n: Column) -> Column:
-    return _pick(K.FACILITIES, n)
+FEMALE = "p % 2 = 0"
 
 
 class Warehouse:
@@ -52,35 +50,21 @@ class Warehouse:
         self.base = base
 
     # -- driver tables -------------------------------------------------------
+    @functools.cached_property
     def _orders(self) -> DataFrame:
-        o = read_parquet(self.spark, self.base, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-        return o.select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_custkey").alias("p"),
-            F.col("o_orderdate").cast("date").alias("d"),
-        )
+        return read_parquet(self.spark, self.base, "orders").selectExpr("o_orderkey as k", "o_custkey as p", "cast(o_orderdate as date) as d")
 
+    @functools.cached_property
     def _customers(self) -> DataFrame:
-        return read_parquet(self.spark, self.base, "customer", "c_custkey").select(
-            F.col("c_custkey").alias("p"))
-
-    @staticmethod
-    def _female(p: Column) -> Column:
-        return (p % 2) == 0
+        return read_parquet(self.spark, self.base, "customer").selectExpr("c_custkey as p")
 
     # -- source tables ---------------------------------------------------------
     @functools.cached_property
     def mw_patient(self) -> DataFrame:
-        p = F.col("p")
-        return self._customers().select(
-            p.alias("patient_id"),
-            F.concat(F.lit("NNO "), p.cast("string")).alias("identifier"),
-            F.when(self._female(p), F.lit("F")).otherwise(F.lit("M")).alias("gender"),
-            F.date_sub(F.lit(ANCHOR).cast("date"), ((p * 7919) % 33000).cast("int")).alias("birthdate"),
-            F.lit(False).alias("birthdate_estimated"),
-            F.lit(False).alias("dead"),
-            F.lit(None).cast("date").alias("death_date"),
-        )
+        return self._customers.selectExpr(
+            "p as patient_id", "concat('NNO ', cast(p as string)) as identifier", f"if({FEMALE}, 'F', 'M') as gender",
+            f"date_sub(date '{ANCHOR}', cast((p * 7919) % 33000 as int)) as birthdate",
+            "false as birthdate_estimated", "false as dead", "cast(null as date) as death_date")
 
     @functools.cached_property
     def omrs_program_state(self) -> DataFrame:
@@ -88,227 +72,146 @@ class Warehouse:
         state dated 20 years later, i.e. after every report period.  A third of
         the statuses end on the day that the order's other state starts, a
         third after some weeks, the rest are open."""
-        k, p = F.col("k"), F.col("p")
-        state = (F.when(k % 10 <= 5, F.lit(K.ON_ART))
-                 .when(k % 10 == 6, F.lit(K.DIED))
-                 .when(k % 10 == 7, F.lit(K.DEFAULTED))
-                 .when(k % 10 == 8, F.lit(K.STOPPED))
-                 .otherwise(F.lit(K.TRANSFERRED_OUT)))
-        loc = facility((p + F.when(k % 7 == 0, 1).otherwise(0)) % 5)
-        o = self._orders()
-        treat = o.select(
-            k.alias("program_state_id"), p.alias("patient_id"), state.alias("state"), loc.alias("location"),
-            F.col("d").alias("start_date"),
-            F.when(k % 3 == 0, F.date_add(F.col("d"), EXTRA_STATE_DAYS))
-            .when(k % 3 == 1, F.date_add(F.col("d"), (k % 90 + 30).cast("int"))).alias("end_date"))
-        extra = o.select(
-            (k + EXTRA_STATE_ID_OFFSET).alias("program_state_id"), p.alias("patient_id"),
-            F.when(k % 2 == 0, F.lit(K.PRE_ART_CONTINUE)).otherwise(F.lit(K.EXPOSED_CHILD_CONTINUE)).alias("state"),
-            loc.alias("location"), F.date_add(F.col("d"), EXTRA_STATE_DAYS).alias("start_date"),
-            F.lit(None).cast("date").alias("end_date"))
-        return treat.unionByName(extra).select(
-            "program_state_id", F.col("patient_id").alias("program_enrollment_id"), "patient_id",
-            F.lit(K.HIV_PROGRAM).alias("program"), F.lit(K.TREATMENT_WORKFLOW).alias("workflow"),
-            "state", "location", "start_date", "end_date")
+        ends = [K.DIED, K.DEFAULTED, K.STOPPED, K.TRANSFERRED_OUT]
+        state = f"case when k % 10 <= 5 then {quoted(K.ON_ART)} else {pick(ends, 'k % 10 - 6')} end"
+        place = facility("(p + if(k % 7 = 0, 1, 0)) % 5")
+        later = f"date_add(d, {EXTRA_STATE_DAYS})"
+        treat = self._orders.selectExpr(
+            "k as program_state_id", "p as patient_id", f"{state} as state", f"{place} as location", "d as start_date",
+            f"case when k % 3 = 0 then {later} when k % 3 = 1 then date_add(d, cast(k % 90 + 30 as int)) end as end_date")
+        extra = self._orders.selectExpr(
+            f"k + {EXTRA_STATE_ID_OFFSET} as program_state_id", "p as patient_id",
+            f"if(k % 2 = 0, {quoted(K.PRE_ART_CONTINUE)}, {quoted(K.EXPOSED_CHILD_CONTINUE)}) as state",
+            f"{place} as location", f"{later} as start_date", "cast(null as date) as end_date")
+        return treat.unionByName(extra).selectExpr(
+            "program_state_id", "patient_id as program_enrollment_id", "patient_id", f"{quoted(K.HIV_PROGRAM)} as program",
+            f"{quoted(K.TREATMENT_WORKFLOW)} as workflow", "state", "location", "start_date", "end_date")
 
     @functools.cached_property
     def omrs_program_enrollment(self) -> DataFrame:
-        p = F.col("p")
-        closed = (p % 3) == 0
-        return self._customers().select(
-            p.alias("program_enrollment_id"),
-            p.alias("patient_id"),
-            F.when(closed, F.lit("2001-12-31").cast("date")).alias("completion_date"),
-            F.when(closed, F.lit(K.TRANSFERRED_OUT)).alias("outcome"),
-        )
+        return self._customers.selectExpr(
+            "p as program_enrollment_id", "p as patient_id", "if(p % 3 = 0, date '2001-12-31', null) as completion_date",
+            f"if(p % 3 = 0, {quoted(K.TRANSFERRED_OUT)}, null) as outcome")
 
     @functools.cached_property
     def omrs_patient_identifier(self) -> DataFrame:
-        p = F.col("p")
-        arv_type = F.when(p % 17 == 0, F.lit("ARV number")).otherwise(F.lit(K.ARV_NUMBER))
-        created = F.date_add(F.lit("1995-01-01").cast("date"), (p % 97).cast("int"))
-
-        def rows(variant: int, loc: Column, ident: Column, typ: Column, cond: Column | None):
-            df = self._customers()
-            if cond is not None:
-                df = df.where(cond)
-            return df.select(
-                (p * 10 + variant).alias("patient_identifier_id"),
-                p.alias("patient_id"),
-                typ.alias("type"),
-                ident.alias("identifier"),
-                facility(loc).alias("location"),
-                F.date_add(created, variant).alias("date_created"),
-            )
-
-        num = F.concat(F.lit("NNO "), p.cast("string"))
-        return (rows(0, p % 5, num, arv_type, None)
-                .unionByName(rows(1, (p + 1) % 5, F.concat(F.lit("ALT "), p.cast("string")), arv_type, p % 11 == 0))
-                .unionByName(rows(2, p % 5, F.concat(num, F.lit(" 2")), arv_type, p % 29 == 0))
-                .unionByName(rows(3, p % 5, F.concat(F.lit("HCC "), p.cast("string")),
-                                  F.lit(K.HCC_NUMBER), p % 4 == 0)))
+        arv = f"if(p % 17 = 0, 'ARV number', {quoted(K.ARV_NUMBER)})"
+
+        def rows(variant: int, place: str, number: str, kind: str, cond: str = "true") -> DataFrame:
+            return self._customers.where(cond).selectExpr(
+                f"p * 10 + {variant} as patient_identifier_id", "p as patient_id", f"{kind} as type", f"{number} as identifier",
+                f"{facility(place)} as location", f"date_add(date_add(date '1995-01-01', cast(p % 97 as int)), {variant}) as date_created")
+
+        return (rows(0, "p % 5", "concat('NNO ', cast(p as string))", arv)
+                .unionByName(rows(1, "(p + 1) % 5", "concat('ALT ', cast(p as string))", arv, "p % 11 = 0"))
+                .unionByName(rows(2, "p % 5", "concat('NNO ', cast(p as string), ' 2')", arv, "p % 29 = 0"))
+                .unionByName(rows(3, "p % 5", "concat('HCC ', cast(p as string))", quoted(K.HCC_NUMBER), "p % 4 = 0")))
 
     @functools.cached_property
     def lookup_location(self) -> DataFrame:
-        """Facility name -> key.  A constant dimension; broadcast by callers."""
+        """Facility name -> key.  A constant dimension."""
         return self.spark.createDataFrame(
             [(name, i) for i, name in enumerate(K.FACILITIES)],
             "target_value string, source_key int")
 
     # -- warehouse tables ------------------------------------------------------
+    @functools.cached_property
     def _initial_k(self) -> DataFrame:
-        k, p, d = F.col("k"), F.col("p"), F.col("d")
-        return self._orders().select(
-            k,
-            p.alias("patient_id"),
-            d.alias("visit_date"),
-            facility(p % 5).alias("location"),
-            F.when(k % 5 != 0, (k * 37) % 600).cast("int").alias("cd4_count"),
-            F.when(k % 6 == 0, d).alias("transfer_in_date"),
-            F.when(self._female(p), _pick(PREGNANCY_CYCLE, F.floor(k / 8) % 4)).alias("pregnant_or_lactating"),
-        )
+        return self._orders.selectExpr(
+            "k", "p as patient_id", "d as visit_date", f"{facility('p % 5')} as location",
+            "if(k % 5 != 0, cast((k * 37) % 600 as int), null) as cd4_count", "if(k % 6 = 0, d, null) as transfer_in_date",
+            f"if({FEMALE}, {pick(PREGNANCY_CYCLE, 'floor(k / 8) % 4')}, null) as pregnant_or_lactating")
 
     @functools.cached_property
     def mw_art_initial(self) -> DataFrame:
-        return self._initial_k().drop("k")
+        return self._initial_k.drop("k")
 
+    @functools.cached_property
     def _followup_k(self) -> DataFrame:
-        k, p, d = F.col("k"), F.col("p"), F.col("d")
-        home = p % 5
         neno_clinics = [c for c, par in K.OUTREACH_PARENT if par == K.FACILITIES[0]]
-        outreach = (F.when(home == 0, _pick(neno_clinics, F.floor(k / 13) % 3))
-                    .when(home == 1, F.lit("Felemu Outreach Clinic"))
-                    .otherwise(F.lit("Kasamba Outreach Clinic")))
-        loc = F.when((k % 13 == 1) & (home <= 2), outreach).otherwise(facility(home))
-        pills = (F.lit(12) * (k % 4 + 1)).cast("decimal(10,2)")
-        inh = (k % 4 == 0) | (k % 4 == 1)
-        rfp = k % 4 == 1
-        rfp_inh = k % 12 == 2
-        bp_missing = k % 5 == 0
-        return self._orders().select(
-            k,
-            p.alias("patient_id"),
-            d.alias("visit_date"),
-            loc.alias("location"),
-            F.when(k % 23 != 0, F.date_add(d, (F.lit(28) * (k % 7 + 1)).cast("int"))).alias("next_appointment_date"),
-            _pick(REGIMEN_CYCLE, (k * 31 + p) % len(REGIMEN_CYCLE)).alias("art_regimen"),
-            F.when(k % 17 != 0, ((k * 13) % 900).cast("decimal(10,2)") / 10).cast("decimal(10,2)").alias("weight"),
-            (F.lit(30) * (k % 6 + 1)).cast("int").alias("arvs_given"),
-            F.when(~bp_missing, k % 70 + 100).cast("int").alias("systolic_bp"),
-            F.when(~bp_missing, k % 50 + 60).cast("int").alias("diastolic_bp"),
-            _pick(K.TB_STATUSES, F.floor(k / 4) % 4).alias("tb_status"),
-            F.when(inh, F.lit(K.ISONIAZID)).alias("inh_300"),
-            F.when(inh, pills).alias("inh_300_pills"),
-            F.when(rfp, F.lit(K.RIFAPENTINE)).alias("rfp_150"),
-            F.when(rfp, pills).alias("rfp_150_pills"),
-            F.when(rfp_inh, F.lit(K.RFP_INH)).alias("rfp_inh"),
-            F.when(rfp_inh, pills).alias("rfp_inh_pills"),
-            F.when(self._female(p), _pick(PREGNANCY_CYCLE, F.floor(k / 2) % 4)).alias("pregnant_or_lactating"),
-        )
+        outreach = (f"case when p % 5 = 0 then {pick(neno_clinics, 'floor(k / 13) % 3')} when p % 5 = 1 then 'Felemu Outreach Clinic' "
+                    "else 'Kasamba Outreach Clinic' end")
+        pills = "cast(12 * (k % 4 + 1) as decimal(10,2))"
+        drugs = [("inh_300", K.ISONIAZID, "k % 4 in (0, 1)"), ("rfp_150", K.RIFAPENTINE, "k % 4 = 1"), ("rfp_inh", K.RFP_INH, "k % 12 = 2")]
+        return self._orders.selectExpr(
+            "k", "p as patient_id", "d as visit_date",
+            f"case when k % 13 = 1 and p % 5 <= 2 then {outreach} else {facility('p % 5')} end as location",
+            "if(k % 23 != 0, date_add(d, cast(28 * (k % 7 + 1) as int)), null) as next_appointment_date",
+            f"{pick(REGIMEN_CYCLE, f'(k * 31 + p) % {len(REGIMEN_CYCLE)}')} as art_regimen",
+            "if(k % 17 != 0, cast(cast((k * 13) % 900 as decimal(10,2)) / 10 as decimal(10,2)), null) as weight",
+            "cast(30 * (k % 6 + 1) as int) as arvs_given",
+            "if(k % 5 != 0, cast(k % 70 + 100 as int), null) as systolic_bp", "if(k % 5 != 0, cast(k % 50 + 60 as int), null) as diastolic_bp",
+            f"{pick(K.TB_STATUSES, 'floor(k / 4) % 4')} as tb_status",
+            *[x for name, drug, given in drugs for x in (f"if({given}, {quoted(drug)}, null) as {name}", f"if({given}, {pills}, null) as {name}_pills")],
+            f"if({FEMALE}, {pick(PREGNANCY_CYCLE, 'floor(k / 2) % 4')}, null) as pregnant_or_lactating")
 
     @functools.cached_property
     def mw_art_followup(self) -> DataFrame:
-        return self._followup_k().drop("k")
+        return self._followup_k.drop("k")
 
     @functools.cached_property
     def mw_art_visits(self) -> DataFrame:
         """Follow-up and initial visits; ids 2k+1 / 2k (unique without a global sort)."""
-        k = F.col("k")
-        fu = self._followup_k().select(
-            (k * 2 + 1).alias("art_visit_id"), "patient_id", "visit_date", "location",
-            F.col("art_regimen").alias("art_drug_regimen"), "next_appointment_date")
-        ini = self._initial_k().select(
-            (k * 2).alias("art_visit_id"), "patient_id", "visit_date", "location",
-            F.lit(None).cast("string").alias("art_drug_regimen"),
-            F.lit(None).cast("date").alias("next_appointment_date"))
+        fu = self._followup_k.selectExpr(
+            "k * 2 + 1 as art_visit_id", "patient_id", "visit_date", "location", "art_regimen as art_drug_regimen", "next_appointment_date")
+        ini = self._initial_k.selectExpr(
+            "k * 2 as art_visit_id", "patient_id", "visit_date", "location",
+            "cast(null as string) as art_drug_regimen", "cast(null as date) as next_appointment_date")
         return fu.unionByName(ini)
 
     @functools.cached_property
     def mw_art_viral_load(self) -> DataFrame:
-        k, p, d = F.col("k"), F.col("p"), F.col("d")
-        r = k % 4
-        return self._orders().select(
-            p.alias("patient_id"),
-            d.alias("visit_date"),
-            facility(p % 5).alias("location"),
-            F.when(k % 2 == 0, F.lit(K.ROUTINE)).otherwise(F.lit(K.TARGET)).alias("reason_for_test"),
-            F.when(r == 0, (k * 97) % 3000).cast("int").alias("viral_load_result"),
-            F.when(r == 1, F.lit(400)).cast("int").alias("less_than_limit"),
-            F.when(r == 2, F.lit(K.LDL_TRUE)).alias("ldl"),
-            F.when(r == 3, F.lit("Sample rejected")).alias("other_results"),
-        )
+        return self._orders.selectExpr(
+            "p as patient_id", "d as visit_date", f"{facility('p % 5')} as location",
+            f"if(k % 2 = 0, {quoted(K.ROUTINE)}, {quoted(K.TARGET)}) as reason_for_test",
+            "if(k % 4 = 0, cast((k * 97) % 3000 as int), null) as viral_load_result", "if(k % 4 = 1, 400, null) as less_than_limit",
+            f"if(k % 4 = 2, {quoted(K.LDL_TRUE)}, null) as ldl", "if(k % 4 = 3, 'Sample rejected', null) as other_results")
 
     @functools.cached_property
     def mw_art_followup_testing(self) -> DataFrame:
-        k, p, d = F.col("k"), F.col("p"), F.col("d")
-        return self._orders().select(
-            p.alias("patient_id"), d.alias("visit_date"), facility(p % 5).alias("location"),
-            ((k * 53) % 800).cast("int").alias("cd4_count"),
-        )
+        return self._orders.selectExpr(
+            "p as patient_id", "d as visit_date", f"{facility('p % 5')} as location", "cast((k * 53) % 800 as int) as cd4_count")
 
     # -- EAV source (inputs of the warehouse loaders) ---------------------------
     @functools.cached_property
     def omrs_encounter(self) -> DataFrame:
-        k, p = F.col("k"), F.col("p")
-        return self._orders().select(
-            k.alias("encounter_id"), p.alias("patient_id"), F.col("d").alias("encounter_date"),
-            _pick(K.ENCOUNTER_TYPES, k % len(K.ENCOUNTER_TYPES)).alias("encounter_type"),
-            facility(p % 5).alias("location"))
+        return self._orders.selectExpr(
+            "k as encounter_id", "p as patient_id", "d as encounter_date",
+            f"{pick(K.ENCOUNTER_TYPES, f'k % {len(K.ENCOUNTER_TYPES)}')} as encounter_type", f"{facility('p % 5')} as location")
 
     @functools.cached_property
     def omrs_obs(self) -> DataFrame:
         from kalulu.plans.loaders.concepts import ALL_CODED, ALL_CONCEPTS
 
-        li = read_parquet(self.spark, self.base, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-                          "l_linenumber", "l_quantity", "l_shipdate")
-        ship = F.col("l_shipdate").cast("date")
-        return li.select(
-            F.col("l_orderkey").alias("encounter_id"),
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("obs_group_id"),
-            _pick(ALL_CONCEPTS, (F.col("l_partkey") + F.col("l_linenumber")) % len(ALL_CONCEPTS)).alias("concept"),
-            ship.alias("obs_date"),
-            _pick(ALL_CODED, (F.col("l_partkey") * 3 + F.col("l_suppkey")) % len(ALL_CODED)).alias("value_coded"),
-            F.col("l_quantity").cast("decimal(16,4)").alias("value_numeric"),
-            ship.alias("value_date"),
-            F.concat(F.lit("T"), F.col("l_partkey").cast("string")).alias("value_text"),
-            F.date_add(ship, (F.col("l_suppkey") % 30).cast("int")).alias("date_created"))
+        concept = pick(ALL_CONCEPTS, f"(l_partkey + l_linenumber) % {len(ALL_CONCEPTS)}")
+        coded = pick(ALL_CODED, f"(l_partkey * 3 + l_suppkey) % {len(ALL_CODED)}")
+        return read_parquet(self.spark, self.base, "lineitem").selectExpr(
+            "l_orderkey as encounter_id", "l_orderkey * 10 + l_linenumber as obs_group_id", f"{concept} as concept",
+            "cast(l_shipdate as date) as obs_date", f"{coded} as value_coded", "cast(l_quantity as decimal(16,4)) as value_numeric",
+            "cast(l_shipdate as date) as value_date", "concat('T', cast(l_partkey as string)) as value_text",
+            "date_add(cast(l_shipdate as date), cast(l_suppkey % 30 as int)) as date_created")
 
     @functools.cached_property
     def omrs_obs_group(self) -> DataFrame:
         """One row per observation group (construct) with its concept."""
         from kalulu.plans.loaders.concepts import GROUP_CONCEPTS
 
-        li = read_parquet(self.spark, self.base, "lineitem", "l_orderkey", "l_linenumber")
-        return li.select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("obs_group_id"),
-            F.col("l_orderkey").alias("encounter_id"),
-            _pick(GROUP_CONCEPTS, (F.col("l_orderkey") + F.col("l_linenumber")) % len(GROUP_CONCEPTS))
-            .alias("concept")).distinct()
+        concept = pick(GROUP_CONCEPTS, f"(l_orderkey + l_linenumber) % {len(GROUP_CONCEPTS)}")
+        return read_parquet(self.spark, self.base, "lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber as obs_group_id", "l_orderkey as encounter_id", f"{concept} as concept").distinct()
 
     @functools.cached_property
     def omrs_patient(self) -> DataFrame:
-        c = read_parquet(self.spark, self.base, "customer", "c_custkey", "c_name", "c_nationkey")
-        p = F.col("c_custkey")
-        return c.select(
-            p.alias("patient_id"), F.col("c_name").alias("identifier"),
-            F.when(p % 2 == 0, F.lit("F")).otherwise(F.lit("M")).alias("gender"),
-            F.date_sub(F.lit(ANCHOR).cast("date"), ((p * 7919) % 33000).cast("int")).alias("birthdate"),
-            (p % 9 == 0).alias("birthdate_estimated"),
-            F.lit("Neno").alias("state_province"),
-            F.concat(F.lit("TA "), F.col("c_nationkey").cast("string")).alias("county_district"),
-            F.concat(F.lit("Village "), (p % 40).cast("string")).alias("city_village"),
-            (p % 23 == 0).alias("dead"),
-            F.when(p % 23 == 0, F.lit("2001-01-01").cast("date")).alias("death_date"),
-            F.concat(F.lit("uuid-"), p.cast("string")).alias("patient_uuid"))
+        return read_parquet(self.spark, self.base, "customer").selectExpr(
+            "c_custkey as patient_id", "c_name as identifier", "if(c_custkey % 2 = 0, 'F', 'M') as gender",
+            f"date_sub(date '{ANCHOR}', cast((c_custkey * 7919) % 33000 as int)) as birthdate", "c_custkey % 9 = 0 as birthdate_estimated",
+            "'Neno' as state_province", "concat('TA ', cast(c_nationkey as string)) as county_district",
+            "concat('Village ', cast(c_custkey % 40 as string)) as city_village", "c_custkey % 23 = 0 as dead",
+            "if(c_custkey % 23 = 0, date '2001-01-01', null) as death_date", "concat('uuid-', cast(c_custkey as string)) as patient_uuid")
 
     @functools.cached_property
     def omrs_relationship(self) -> DataFrame:
-        k, p, d = F.col("k"), F.col("p"), F.col("d")
-        return self._orders().select(
-            k.alias("relationship_id"), p.alias("patient_id"),
-            F.concat(F.lit("CHW "), (k % 50).cast("string")).alias("related_person"),
-            F.when(k % 3 != 0, F.lit("Community Health Worker")).otherwise(F.lit("Guardian"))
-            .alias("related_person_role"),
-            F.when(k % 4 != 0, d).alias("start_date"),
-            F.when(k % 5 == 0, F.date_add(d, 365)).alias("end_date"),
-            F.date_add(d, (k % 11).cast("int")).alias("date_created"))
+        return self._orders.selectExpr(
+            "k as relationship_id", "p as patient_id", "concat('CHW ', cast(k % 50 as string)) as related_person",
+            "if(k % 3 != 0, 'Community Health Worker', 'Guardian') as related_person_role", "if(k % 4 != 0, d, null) as start_date",
+            "if(k % 5 = 0, date_add(d, 365), null) as end_date", "date_add(d, cast(k % 11 as int)) as date_created")

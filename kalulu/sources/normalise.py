@@ -8,10 +8,13 @@ plain literals and joins, and filters on stored tables reach the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import functools
+
+from pyspark.sql import DataFrame
 
 from kalulu import constants as K
+from kalulu.functions.sqltext import column as quoted_name
+from kalulu.functions.sqltext import listed
 from kalulu.plans.loaders import concepts as C
 
 _STATES = [K.ON_ART, K.DIED, K.DEFAULTED, K.STOPPED, K.TRANSFERRED_OUT, K.PRE_ART_CONTINUE, K.EXPOSED_CHILD_CONTINUE]
@@ -42,19 +45,22 @@ COLUMNS: dict[str, dict[str, list[str]]] = {
 }
 
 
-def one_spelling(column: Column, known: list[str]) -> Column:
-    pairs = [x for v in dict.fromkeys(known) for x in (F.lit(v.rstrip().lower()), F.lit(v.rstrip()))]
-    bare = F.rtrim(column)
-    return F.coalesce(F.create_map(*pairs)[F.lower(bare)], bare)
+@functools.cache
+def one_spelling(column: str, known: tuple[str, ...]) -> str:
+    """SQL text: the dictionary's spelling of a value it knows, else the value without trailing blanks."""
+    pairs = listed(x for v in dict.fromkeys(known) for x in (v.rstrip().lower(), v.rstrip()))
+    return f"coalesce(map({pairs})[lower(rtrim({column}))], rtrim({column}))"
 
 
 def normalise(df: DataFrame, table: str) -> DataFrame:
     known = COLUMNS.get(table, {})
-    return df.select(*[one_spelling(F.col(c), known[c]).alias(c) if c in known else F.col(c) for c in df.columns])
+    if not known:
+        return df
+    return df.selectExpr(*[f"{one_spelling(quoted_name(c), tuple(known[c]))} as {quoted_name(c)}" if c in known else quoted_name(c) for c in df.columns])
 
 
 class NormalisedWarehouse:
-    """Any warehouse with the coded columns of its tables in one spelling."""
+    """Any warehouse with the coded columns of its tables in one spelling; a table is read once per object."""
 
     def __init__(self, base):
         self.base, self.spark = base, base.spark
@@ -62,4 +68,6 @@ class NormalisedWarehouse:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("__") or name in ("base", "spark"):
             raise AttributeError(name)
-        return normalise(getattr(self.base, name), name)
+        table = normalise(getattr(self.base, name), name)
+        self.__dict__[name] = table
+        return table

@@ -122,7 +122,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     missing = [n for n, _ in cols if n not in df.columns]
     if missing:
         raise ValueError(f"{table}: loader output lacks {missing}")
-    return df.select(*[F.col(n).try_cast(t).alias(n) for n, t in cols])
+    return df.selectExpr(*[f"try_cast(`{n}` as {t}) as `{n}`" for n, t in cols])
 
 
 def rejects(df: DataFrame, table: str) -> DataFrame:

@@ -37,5 +37,8 @@ class LoadedWarehouse:
             raise AttributeError(name)
         if name in WAREHOUSE:
             from kalulu.plans.refresh import LOADERS
-            return conform(LOADERS[name](self.source), name)
-        return getattr(self.source, name)
+            table = conform(LOADERS[name](self.source), name)
+        else:
+            table = getattr(self.source, name)
+        self.__dict__[name] = table        # one plan per table, whoever reads it
+        return table

@@ -122,3 +122,25 @@ def test_no_query_plan_has_cross_products_unlimited_windows_or_python(spark):
         if hits:
             flagged[name] = hits
     assert flagged == {}
+
+
+def test_plans_are_built_with_few_calls_to_the_jvm(spark, monkeypatch):
+    """Expressions over fixed lists are one text each: the calls do not grow with the lists."""
+    from py4j import clientserver
+
+    import __spark_entry__ as E
+
+    calls = []
+    send = clientserver.JavaClient.send_command
+
+    def counted(self, command, *args, **kwargs):
+        if not command.startswith("m\nd"):            # the release of objects no longer used
+            calls.append(command)
+        return send(self, command, *args, **kwargs)
+    E._QUERIES["moh_tx_mmd"](spark, E.SF_SMOKE)
+    monkeypatch.setattr(clientserver.JavaClient, "send_command", counted)
+    most = {"pepfar_tx_mmd": 3_000, "moh_regimen_by_weight": 2_500, "load_art_initial": 1_000, "fn_parent_health_facility": 300}
+    for name, limit in most.items():
+        calls.clear()
+        E._QUERIES[name](spark, E.SF_SMOKE)
+        assert len(calls) <= limit, (name, len(calls))
