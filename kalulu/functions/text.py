@@ -48,10 +48,3 @@ def regimen_name(regimen: Column | str) -> Column:
     """Text after the last ':' (the whole string when there is none)."""
     c = F.col(regimen) if isinstance(regimen, str) else regimen
     return F.substring_index(c, ":", -1)
-
-
-def natural_key_id(*columns: str) -> Column:
-    """A row id from the row's natural key: 60 bits of the digest of its values
-    (no global sort, the same on every run; equal rows share an id)."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 15), 16, 10).cast("bigint")

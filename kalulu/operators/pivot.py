@@ -10,6 +10,23 @@ from pyspark.sql import functions as F
 from kalulu.functions.sqltext import listed, quoted
 
 
+def eav_pivot_paired(obs: DataFrame, encounters: DataFrame, keys: Sequence[str], spec: Sequence[tuple], pairs: Sequence[tuple[str, str]],
+                     group: str = "obs_group_id", **cols) -> DataFrame:
+    """As :func:`eav_pivot_encounters`, but the columns of a pair (lead, partner) come from one observation group.
+
+    Of a key's groups with a value of the lead the one of the smallest value is
+    taken (then the smallest group id, none first), and the partner is read
+    from that group; a partner without a lead in its group is no value.
+    """
+    paired = {c for pair in pairs for c in pair}
+    plain = eav_pivot_encounters(obs, encounters, keys, [e for e in spec if e[0] not in paired], **cols)
+    per_group = eav_pivot_encounters(obs, encounters, [*keys, group], [e for e in spec if e[0] in paired], obs_keys=[group], **cols)
+    picked = [F.expr(f"min(if(`{a}` is not null, struct(`{a}`, `{group}`, `{b}`), null)) as __p{i}") for i, (a, b) in enumerate(pairs)]
+    one = per_group.groupBy(*keys).agg(*picked).selectExpr(
+        *keys, *[f"__p{i}.`{c}` as `{c}`" for i, pair in enumerate(pairs) for c in pair])
+    return plain.join(one, list(keys), "full")
+
+
 def eav_pivot_encounters(obs: DataFrame, encounters: DataFrame, keys: Sequence[str], spec: Sequence[tuple],
                          obs_keys: Sequence[str] = (), type_col: str = "encounter_type",
                          group_col: str = "group_concept") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.text import natural_key_id
+from kalulu.operators.ids import dense_ids
 from kalulu.operators.pivot import eav_pivot_encounters
 from kalulu.plans.loaders import concepts as C
 from kalulu.sources.fixtures import Warehouse
@@ -65,8 +65,8 @@ def load_art_initial(wh: Warehouse) -> DataFrame:
 def load_art_visits(wh: Warehouse) -> DataFrame:
     """mw_art_visits: initial and follow-up visits with regimen and appointment."""
     wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, C.ART_VISITS)
-    return encounter_spine(wh, [K.ART_INITIAL, K.ART_FOLLOWUP]).join(wide, KEYS, "left").select(
-        natural_key_id(*KEYS).alias("art_visit_id"), *KEYS, *[c for c, _, _, _ in C.ART_VISITS])
+    rows = encounter_spine(wh, [K.ART_INITIAL, K.ART_FOLLOWUP]).join(wide, KEYS, "left").select(*KEYS, *[c for c, _, _, _ in C.ART_VISITS])
+    return dense_ids(rows, "art_visit_id", KEYS)
 
 
 def load_art_regimen(wh: Warehouse) -> DataFrame:

@@ -139,6 +139,9 @@ EID_INITIAL = [
     ("nvp_duration_type", "Time units", CODED, _ECI),
 ]
 
+# value and unit recorded in one observation group
+EID_INITIAL_PAIRS = [("age_when_starting_nvp", "duration_type_when_starting_nvp"), ("nvp_duration", "nvp_duration_type")]
+
 # --- FIXED VALUES: exposed-child visits (spine: both child encounter types) -
 EID_VISITS = [
     ("next_appointment_date", "Appointment date", DATE, _ECF),

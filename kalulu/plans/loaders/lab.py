@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kalulu.functions.text import natural_key_id
+from kalulu.operators.ids import dense_ids
 from kalulu.plans.loaders import concepts as C
 from kalulu.sources.fixtures import Warehouse
 
@@ -23,11 +23,7 @@ def _observations(wh: Warehouse, concepts: list[str]) -> DataFrame:
     return wh.omrs_obs.where(F.col("concept").isin(concepts)).join(enc, "encounter_id")
 
 
-def _with_id(tests: DataFrame, *more: str) -> DataFrame:
-    return tests.select(natural_key_id(*COLUMNS, *more).alias("lab_test_id"), *COLUMNS)
-
-
-def load_lab_tests_vl(wh: Warehouse) -> DataFrame:
+def _viral_loads(wh: Warehouse) -> DataFrame:
     """Viral loads: samples, LDL results, "<limit" results and numeric results,
     full outer joined by (patient, encounter)."""
     obs = _observations(wh, [C.VL_SAMPLE, C.VL_LDL, C.VL_LESS_THAN, C.VL_RESULT])
@@ -41,17 +37,17 @@ def load_lab_tests_vl(wh: Warehouse) -> DataFrame:
                            F.col("value_numeric").alias(f"{prefix}_value"), F.lit(True).alias(f"{prefix}_here"))
     tests = (part(C.VL_SAMPLE, "s", True).join(part(C.VL_LDL, "l", True), keys, "full")
              .join(part(C.VL_LESS_THAN, "t", False), keys, "full").join(part(C.VL_RESULT, "r", False), keys, "full"))
-    return _with_id(tests.select(
+    return tests.select(
         *keys, F.coalesce("s_date", "l_date", "t_date", "r_date").alias("date_collected"),
         F.lit(C.VL_TEST_TYPE).alias("test_type"), F.lit(None).cast("date").alias("date_result_received"),
         F.coalesce("l_entered", "t_entered", "r_entered").alias("date_result_entered"),
         F.lit(None).cast("string").alias("result_coded"),
         F.col("r_value").cast("decimal(10,2)").alias("result_numeric"),
         F.coalesce(F.when(F.col("l_here"), F.lit(C.VL_LDL_TEXT)),
-                   F.concat(F.lit("<"), F.col("t_value").cast("string"))).alias("result_exception")))
+                   F.concat(F.lit("<"), F.col("t_value").cast("string"))).alias("result_exception"))
 
 
-def load_lab_tests_hiv(wh: Warehouse) -> DataFrame:
+def _hiv_tests(wh: Warehouse) -> DataFrame:
     """HIV tests: child serology constructs, all HIV results and the constructs'
     sample dates, full outer joined by (patient, observation group), then test
     type and date received; the collection date falls back to the construct's
@@ -71,13 +67,25 @@ def load_lab_tests_hiv(wh: Warehouse) -> DataFrame:
              .join(samples, keys, "full")
              .join(of(C.HIV_TEST_TYPE, F.col("value_coded").alias("type")), keys, "left")
              .join(of(C.HIV_RESULT_DATE, F.col("value_date").alias("date_result_received")), keys, "left"))
-    return _with_id(tests.select(
+    return tests.select(
         "obs_group_id", "patient_id", "encounter_id", F.coalesce("sample_date", "encounter_date").alias("date_collected"),
         F.coalesce("type", F.lit(C.HIV_DEFAULT_TEST_TYPE)).alias("test_type"), "date_result_received",
         "date_result_entered", "result_coded", F.lit(None).cast("decimal(10,2)").alias("result_numeric"),
-        F.lit(None).cast("string").alias("result_exception")), "obs_group_id")
+        F.lit(None).cast("string").alias("result_exception"))
+
+
+def load_lab_tests_vl(wh: Warehouse) -> DataFrame:
+    """The viral loads of mw_lab_tests; their ids are those of the whole table."""
+    return dense_ids(_viral_loads(wh), "lab_test_id", COLUMNS).select("lab_test_id", *COLUMNS)
+
+
+def load_lab_tests_hiv(wh: Warehouse) -> DataFrame:
+    """The HIV tests alone, numbered from 1."""
+    return dense_ids(_hiv_tests(wh), "lab_test_id", [*COLUMNS, "obs_group_id"]).select("lab_test_id", *COLUMNS)
 
 
 def load_lab_tests(wh: Warehouse) -> DataFrame:
-    """mw_lab_tests: both kinds, appended."""
-    return load_lab_tests_hiv(wh).unionByName(load_lab_tests_vl(wh))
+    """mw_lab_tests: both kinds, appended and numbered through, viral loads first."""
+    both = _viral_loads(wh).withColumns({"kind": F.lit(0), "obs_group_id": F.lit(None).cast("long")}).unionByName(
+        _hiv_tests(wh).withColumn("kind", F.lit(1)))
+    return dense_ids(both, "lab_test_id", ["kind", *COLUMNS, "obs_group_id"]).select("lab_test_id", *COLUMNS)

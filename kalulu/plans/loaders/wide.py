@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.text import natural_key_id
+from kalulu.operators.ids import dense_ids
 from kalulu.operators.latest import latest_per_key
-from kalulu.operators.pivot import eav_pivot_encounters
+from kalulu.operators.pivot import eav_pivot_encounters, eav_pivot_paired
 from kalulu.plans.loaders import concepts as C
 from kalulu.plans.loaders.art import KEYS, encounter_spine, visit_encounters
 from kalulu.sources.fixtures import Warehouse
@@ -32,7 +32,9 @@ def wide_load(wh: Warehouse, spine_types: list[str], spec: list[tuple], with_gro
 
 
 def load_eid_initial(wh: Warehouse) -> DataFrame:
-    return wide_load(wh, [K.EXPOSED_CHILD_INITIAL], C.EID_INITIAL, with_groups=True)
+    """mw_eid_initial: nevirapine age and duration with the unit of their own observation group."""
+    wide = eav_pivot_paired(_raw_obs_with_group(wh), visit_encounters(wh), KEYS, C.EID_INITIAL, C.EID_INITIAL_PAIRS)
+    return encounter_spine(wh, [K.EXPOSED_CHILD_INITIAL]).join(wide, KEYS, "left").select(*KEYS, *[e[0] for e in C.EID_INITIAL])
 
 
 def load_eid_followup(wh: Warehouse) -> DataFrame:
@@ -41,7 +43,7 @@ def load_eid_followup(wh: Warehouse) -> DataFrame:
 
 def load_eid_visits(wh: Warehouse) -> DataFrame:
     out = wide_load(wh, [K.EXPOSED_CHILD_INITIAL, K.EXPOSED_CHILD_FOLLOWUP], C.EID_VISITS)
-    return out.select(natural_key_id(*KEYS).alias("eid_visit_id"), *out.columns)
+    return dense_ids(out, "eid_visit_id", KEYS)
 
 
 def load_eid_lab_tests(wh: Warehouse) -> DataFrame:

@@ -68,9 +68,8 @@ def art_initial_sql() -> str:
 
 
 def row_id(*columns: str) -> str:
-    """60 bits of the digest of the natural key."""
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
-    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT"
+    """1, 2, ... in the order of the natural key."""
+    return f"row_number() OVER (ORDER BY {', '.join(f'{c} NULLS FIRST' for c in columns)})"
 
 
 def _visit_rows(spec, types, name: str) -> str:
@@ -141,7 +140,9 @@ def lab_tests_hiv_sql() -> str:
 
 
 def lab_tests_sql() -> str:
-    return with_fixtures(f"{_hiv_rows()}\nUNION ALL\n{_vl_rows()}")
+    """Viral loads first, then HIV tests, numbered on."""
+    return with_fixtures(f"{_vl_rows()}\nUNION ALL\nSELECT lab_test_id + (SELECT count(*) FROM ({_vl_rows()}) v) AS lab_test_id, "
+                         f"{', '.join(LAB)} FROM ({_hiv_rows()}) h")
 
 
 HAS_RESULT = "coalesce(result_coded, CAST(result_numeric AS VARCHAR), result_exception) IS NOT NULL"
@@ -260,7 +261,24 @@ def art_regimen_sql() -> str:
 
 
 def eid_initial_sql() -> str:
-    return _simple(V.EID_INITIAL, ["EXPOSED_CHILD_INITIAL"])
+    """Value and unit of the nevirapine age and duration: joined on the visit and the observation group of the value."""
+    pairs = [("age_when_starting_nvp", "duration_type_when_starting_nvp"), ("nvp_duration", "nvp_duration_type")]
+    by_name = {e[0]: e for e in V.EID_INITIAL}
+    joins, cols = _concept_inputs([e for e in V.EID_INITIAL if e[0] not in {c for p in pairs for c in p}])
+    for n, (value, unit) in enumerate(pairs):
+        def of(name):
+            _, concept, kind, etype, group = by_name[name]
+            only = f" AND group_concept = {_q(group)}" if group else ""
+            return (f"(SELECT {KEYS}, obs_group_id, MIN({kind}) AS v FROM {OBS} x WHERE concept = {_q(concept)} "
+                    f"AND encounter_type = {_q(etype)}{only} GROUP BY ALL)")
+        chosen = (f"(SELECT * FROM {of(value)} y WHERE v IS NOT NULL "
+                  f"QUALIFY row_number() OVER (PARTITION BY {KEYS} ORDER BY v, obs_group_id NULLS FIRST) = 1)")
+        same_visit = lambda a, b: " AND ".join(f"{a}.{k} = {b}.{k}" for k in KEYS.split(", "))
+        joins += [f"LEFT JOIN {chosen} a{n} ON {same_visit(f'a{n}', 's')}",
+                  f"LEFT JOIN {of(unit)} b{n} ON {same_visit(f'b{n}', 's')} AND b{n}.obs_group_id IS NOT DISTINCT FROM a{n}.obs_group_id AND a{n}.v IS NOT NULL"]
+        cols += [f"a{n}.v AS {value}", f"b{n}.v AS {unit}"]
+    spine = _spine(["EXPOSED_CHILD_INITIAL"])
+    return with_fixtures(f"SELECT s.patient_id, s.visit_date, s.location, {', '.join(cols)} FROM {spine} s " + " ".join(joins))
 
 
 def eid_followup_sql() -> str:

@@ -102,6 +102,40 @@ def test_lookups(spark):
     assert pick(latest_test_result(df, "HIV test", 0, D(2000, 2, 1))) == []
 
 
+def test_units_come_from_the_group_of_their_value(spark):
+    age, unit = "Patient age when result to guardian", "Units of age of child"
+    groups = [{"obs_group_id": g, "encounter_id": 1, "concept": C.NVP_CONSTRUCT} for g in (10, 11)]
+    w = wh(spark, omrs_encounter=[enc(1, 7, K.EXPOSED_CHILD_INITIAL), enc(2, 8, K.EXPOSED_CHILD_INITIAL)], omrs_obs_group=groups,
+           omrs_obs=[obs(1, age, 10, value_numeric=6), obs(1, unit, 10, value_coded="Weeks"), obs(1, age, 11, value_numeric=9), obs(1, unit, 11, value_coded="Days"),
+                     obs(1, "Medication duration", 12, value_numeric=3), obs(1, "Time units", 13, value_coded="Months"),
+                     obs(2, "Medication duration", value_numeric=4), obs(2, "Time units", value_coded="Years"),
+                     obs(2, "Birth weight", value_numeric=3)])
+    got = {r.patient_id: r for r in wide.load_eid_initial(w).collect()}
+    one, two = got[7], got[8]
+    assert (one.age_when_starting_nvp, one.duration_type_when_starting_nvp) == (6, "Weeks")      # not 6 "Days"
+    assert (one.nvp_duration, one.nvp_duration_type) == (3, None)                                # the unit is of another group
+    assert (two.nvp_duration, two.nvp_duration_type, two.birth_weight) == (4, "Years", 3)        # both outside groups
+
+
+def test_equal_lab_rows_get_ids_of_their_own(spark):
+    w = wh(spark, omrs_encounter=[enc(i, 7, "x") for i in (1, 2)],
+           omrs_obs=[obs(1, C.VL_RESULT, value_numeric=100)] * 3 + [obs(2, C.VL_LESS_THAN, value_numeric=40)] + [obs(1, C.HIV_RESULT, 5, value_coded="Positive")] * 2)
+    rows = lab.load_lab_tests(w).collect()
+    assert sorted(r.lab_test_id for r in rows) == [1, 2, 3, 4, 5, 6]
+    assert {r.lab_test_id for r in rows if r.test_type == "Viral Load"} == {r.lab_test_id for r in lab.load_lab_tests_vl(w).collect()} == {1, 2, 3, 4}
+
+
+def test_dense_ids_number_a_whole_table_in_order(spark):
+    from pyspark.sql import functions as F
+    from kalulu.operators.ids import dense_ids
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 37 % 101).alias("a"), F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("b"))
+    rows = dense_ids(df, "n", ["b", "a"]).collect()
+    assert sorted(r.n for r in rows) == list(range(1, 5001))
+    by_id = [(r.b or "", r.a) for r in sorted(rows, key=lambda r: r.n)]
+    assert by_id == sorted(by_id)
+    assert dense_ids(df.where("false"), "n", ["a"]).collect() == []
+
+
 def test_spelling_of_regimens_and_places(spark):
     w = wh(spark, omrs_encounter=[enc(1, 7, "art_followup ", place="NENO district hospital")],
            omrs_obs=[obs(1, "malawi antiretroviral drugs RECEIVED ", value_coded="5a: tdf / 3tc / efv ")])
