@@ -34,7 +34,7 @@ from kalulu.llm.repeats import _mix, word_hashes
 
 WINDOW = 60
 SAMPLE_LINES = 4000
-SAMPLE_BYTES = 2000        # of a sampled line, for fitting only
+SAMPLE_CHARS = 2000        # of a sampled line, for fitting only
 FALSE_RATE = 0.001
 CONFIRM, SHINGLE = 0.8, 5
 
@@ -253,7 +253,10 @@ def notices_in(family: str, text: str) -> list[tuple[int, int, float]]:
 def training_texts(lines: list[str], seed: int = 9) -> tuple[list[str], np.ndarray]:
     """Templates in varied surroundings, sampled lines and other uses, with their classes."""
     rnd = np.random.default_rng(seed)
-    other = [w for x in lines[:500] for w in x.split()[:40]] or ["word"]
+    def window(words: list[str], size: int) -> list[str]:
+        at = int(rnd.integers(0, max(1, len(words) - size + 1)))
+        return words[at:at + size]
+    other = [w for x in lines for w in window(x.split(), 40)] or ["word"]
     texts, y = [], []
 
     def around(words: list[str], most: int) -> str:
@@ -279,7 +282,7 @@ def training_texts(lines: list[str], seed: int = 9) -> tuple[list[str], np.ndarr
         y.append(UNKNOWN)
     for t in lines:
         if max(template_similarity(f, t) for f in TEMPLATES) < 0.5:
-            texts.append(" ".join(t.split()[:WINDOW]))
+            texts.append(" ".join(window(t.split(), WINDOW)))
             y.append(UNKNOWN)
     return texts, np.array(y)
 
@@ -346,15 +349,18 @@ def fit(lines: list[str], steps: int = 60, rate: float = 0.3, decay: float = 1e-
     return Classifier(known, w.astype(np.float32), b, float(t), min(least, 0.999))
 
 
-def sample_lines(docs: DataFrame) -> list[str]:
-    """At most SAMPLE_LINES distinct lines of the corpus, those of the smallest hashes."""
+def sample_lines(docs: DataFrame, most: int = SAMPLE_LINES) -> list[str]:
+    """At most ``most`` distinct lines of the corpus, those of the smallest hashes; of a long one a window placed by its hash.
+
+    Hashes are made distinct before any limit, so that a repeated line takes
+    one place; only they are shuffled, the lines themselves are read again.
+    """
     lines = docs.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("x")).where("x <> ''")
-    lines = lines.select(F.substring("x", 1, SAMPLE_BYTES).alias("x"), F.xxhash64("x").alias("h"))
-    share = lines.where(F.pmod("h", F.lit(64)) == 0) if SAMPLE_LINES else lines
-    rows = share.orderBy("h", "x").limit(2 * SAMPLE_LINES).collect()
-    if len(rows) < 2 * SAMPLE_LINES:
-        rows = lines.orderBy("h", "x").limit(2 * SAMPLE_LINES).collect()
-    return list(dict.fromkeys(r.x for r in rows))[:SAMPLE_LINES]
+    lines = lines.select("x", F.xxhash64("x").alias("h"))
+    picked = lines.select("h").distinct().orderBy("h").limit(most)
+    at = F.pmod("h", F.greatest(F.length("x") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    found = lines.join(F.broadcast(picked), "h").groupBy("h").agg(F.min(F.substring("x", at, F.lit(SAMPLE_CHARS))).alias("x"))     # most hashes at most
+    return [r.x for r in found.orderBy("h").collect()]
 
 
 _FOUND = "doc_id bigint, line bigint, family string, probability double, similarity double, confirmed boolean, paragraph string"

@@ -86,3 +86,17 @@ def test_wrapped_notices(spark, model):
     t = textwrap.wrap(L.TEMPLATES["MIT"][4], 72)
     twice = L.scan(spark.createDataFrame([(1, "\n".join([*t, *t]), None)], S), model).collect()
     assert {(r.line, r.family) for r in twice if r.confirmed} == {(0, "MIT"), (len(t), "MIT")} and all(r.confirmed for r in twice)
+
+
+def test_sample_holds_distinct_lines_however_often_one_repeats(spark):
+    from pyspark.sql import functions as F
+    from kalulu.llm.license_scan import SAMPLE_CHARS, sample_lines
+    lines = spark.range(3000).select(F.concat(F.lit("line number "), F.col("id")).alias("text"))
+    alone = sample_lines(lines)
+    assert len(alone) == len(set(alone)) == 3000
+    for hot in (alone[0], alone[-1]):
+        assert sample_lines(lines.unionByName(spark.range(20_000).select(F.lit(hot).alias("text")))) == alone
+    assert sample_lines(lines, most=100) == alone[:100]
+    head = "a " * SAMPLE_CHARS
+    long = spark.createDataFrame([(f"{head}tail{i} " * 3,) for i in range(40)], "text string")
+    assert any("tail" in x for x in sample_lines(long)) and max(map(len, sample_lines(long))) <= SAMPLE_CHARS
