@@ -125,9 +125,55 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.selectExpr(*[f"try_cast(`{n}` as {t}) as `{n}`" for n, t in cols])
 
 
-def rejects(df: DataFrame, table: str) -> DataFrame:
-    """How many values of each column ``conform`` would lose: column, n (those above zero)."""
-    lost = [F.count_if(F.col(n).isNotNull() & F.col(n).try_cast(t).isNull()).alias(n) for n, t in WAREHOUSE[table]]
-    one = df.agg(*lost)
-    pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("n")) for n, _ in WAREHOUSE[table]])
-    return one.select(F.explode(pairs).alias("r")).select("r.column", "r.n").where("n > 0")
+# fixed values: declared lengths other than the usual 255
+LENGTHS: dict[str, dict[str, int]] = {
+    "mw_patient": {"identifier": 50, "gender": 1, "chw": 100, "patient_uuid": 38},
+    "mw_lab_tests": {"test_type": 100, "result_coded": 100, "result_exception": 100},
+    "mw_eid_visits": {"breastfeeding_status": 100, "mother_status": 100},
+    "mw_art_register": {"art_number": 50, "outcome": 100},
+    "mw_pre_art_register": {"pre_art_number": 50, "outcome": 100},
+    "mw_eid_register": {"eid_number": 50, "mother_art_number": 100, "outcome": 100},
+}
+LENGTH = 255
+NOT_NULL = {"patient_id", "enrollment_id", "lab_test_id", "art_visit_id", "eid_visit_id"}
+
+
+def validated(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns, cast, with ``__faults`` (what is wrong with the row) and ``__row`` (a faulty row as JSON).
+
+    Faults: ``null: c`` and ``length: c`` keep the row out of the table;
+    ``type: c`` (a value that is none of the declared type becomes null) and
+    ``fraction: c`` (it is cut to a whole number) do not.
+    """
+    given = dict(df.dtypes)
+    missing = [n for n, _ in WAREHOUSE[table] if n not in given]
+    if missing:
+        raise ValueError(f"{table}: loader output lacks {missing}")
+    faults = []
+    for n, t in WAREHOUSE[table]:
+        if n in NOT_NULL:
+            faults.append(f"if(`{n}` is null, 'null: {n}', null)")
+        if given[n] != t:
+            faults.append(f"if(`{n}` is not null and try_cast(`{n}` as {t}) is null, 'type: {n}', null)")
+            if given[n].startswith("decimal") and t in ("int", "bigint"):
+                faults.append(f"if(try_cast(`{n}` as {t}) <> `{n}`, 'fraction: {n}', null)")
+        if t == "string":
+            faults.append(f"if(length(`{n}`) > {LENGTHS.get(table, {}).get(n, LENGTH)}, 'length: {n}', null)")
+    found = f"filter(array({', '.join(faults)}), x -> x is not null)"
+    checked = df.selectExpr(*[f"`{n}`" for n, _ in WAREHOUSE[table]], f"{found} as __faults")
+    row = ", ".join(f"`{n}`" for n, _ in WAREHOUSE[table])
+    return checked.selectExpr(*[f"try_cast(`{n}` as {t}) as `{n}`" for n, t in WAREHOUSE[table]], "__faults",
+                              f"if(size(__faults) > 0, to_json(struct({row})), null) as __row")
+
+
+_OUT = "exists(__faults, x -> x like 'null:%' or x like 'length:%')"
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """Of validated rows, those that the table takes."""
+    return rows.where(f"not {_OUT}").drop("__faults", "__row")
+
+
+def rejects(rows: DataFrame) -> DataFrame:
+    """Of validated rows, the faulty ones: faults, kept (the row is in the table), row (JSON, as loaded)."""
+    return rows.where("size(__faults) > 0").selectExpr("__faults as faults", f"not {_OUT} as kept", "__row as `row`")

@@ -140,9 +140,13 @@ def lab_tests_hiv_sql() -> str:
 
 
 def lab_tests_sql() -> str:
+    return with_fixtures(_lab_rows())
+
+
+def _lab_rows() -> str:
     """Viral loads first, then HIV tests, numbered on."""
-    return with_fixtures(f"{_vl_rows()}\nUNION ALL\nSELECT lab_test_id + (SELECT count(*) FROM ({_vl_rows()}) v) AS lab_test_id, "
-                         f"{', '.join(LAB)} FROM ({_hiv_rows()}) h")
+    return (f"{_vl_rows()}\nUNION ALL\nSELECT lab_test_id + (SELECT count(*) FROM ({_vl_rows()}) v) AS lab_test_id, "
+            f"{', '.join(LAB)} FROM ({_hiv_rows()}) h")
 
 
 HAS_RESULT = "coalesce(result_coded, CAST(result_numeric AS VARCHAR), result_exception) IS NOT NULL"
@@ -152,7 +156,7 @@ def test_lookup_sql(date: str, test_type: str, with_result: bool, offset: int =
     where = [f"test_type = {_q(test_type)}"] + [HAS_RESULT] * with_result
     where += [f"{date} {op} DATE '{b}'" for op, b in zip((">=", "<="), bounds) if b]
     order = f"{date} DESC NULLS LAST, lab_test_id DESC" if newest else f"{date} ASC NULLS FIRST, lab_test_id"
-    return with_fixtures(f"""lab AS ({_hiv_rows()} UNION ALL {_vl_rows()})
+    return with_fixtures(f"""lab AS ({_lab_rows()})
         SELECT patient_id, {date}, lab_test_id FROM lab WHERE {' AND '.join(where)}
         QUALIFY row_number() OVER (PARTITION BY patient_id ORDER BY {order}) = {offset + 1}""", more_steps=True)
 

@@ -1,6 +1,7 @@
 """Loaders on hand-made observations: every row kept, in any spelling."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,7 @@ from kalulu.plans.loaders import concepts as C
 from kalulu.plans.loaders import art, lab, register, wide
 from kalulu.plans.refresh import LOADERS
 from kalulu.sources.normalise import NormalisedWarehouse
-from kalulu.sources.schema import SOURCES, WAREHOUSE, conform, rejects, struct_type
+from kalulu.sources.schema import SOURCES, WAREHOUSE, accepted, conform, rejects, struct_type, validated
 
 D = dt.date
 
@@ -162,14 +163,65 @@ def test_every_mapped_column_is_loaded(spark):
     assert len(V.ART_INITIAL) == 36 and set(LOADERS) == set(WAREHOUSE)
 
 
-def test_rejects_are_counted(spark):
-    df = spark.createDataFrame([(1, D(2000, 1, 1), "x", "abc"), (2, D(2000, 1, 1), "x", "7")], "patient_id bigint, visit_date date, location string, cd4_count string")
+def test_faulty_rows_go_to_the_rejects_with_their_reasons(spark):
+    from pyspark.sql import functions as F
+    columns = "patient_id bigint, visit_date date, location string, cd4_count string, cd4_pct decimal(16,4)"
+    rows = [(1, D(2000, 1, 1), "x", "abc", None), (2, D(2000, 1, 1), "x", "7", Decimal("2.5")), (None, D(2000, 1, 1), "y", "8", None),
+            (3, None, "z" * 256, "9", None), (4, None, None, None, Decimal("3"))]
+    df = spark.createDataFrame(rows, columns)
     for n, t in WAREHOUSE["mw_art_followup_testing"]:
         if n not in df.columns:
-            from pyspark.sql import functions as F
             df = df.withColumn(n, F.lit(None).cast(t))
-    assert [(r.column, r.n) for r in rejects(df, "mw_art_followup_testing").collect()] == [("cd4_count", 1)]
-    assert [r.cd4_count for r in conform(df, "mw_art_followup_testing").orderBy("patient_id").collect()] == [None, 7]
+    checked = validated(df, "mw_art_followup_testing")
+    table = accepted(checked).orderBy("patient_id").collect()
+    assert [(r.patient_id, r.cd4_count, r.cd4_pct) for r in table] == [(1, None, None), (2, 7, 2), (4, None, 3)]
+    assert [f.dataType for f in accepted(checked).schema] == [f.dataType for f in struct_type("mw_art_followup_testing")]
+    bad = sorted((r.faults, r.kept) for r in rejects(checked).collect())
+    assert bad == [(["fraction: cd4_pct"], True), (["length: location"], False), (["null: patient_id"], False), (["type: cd4_count"], True)]
+    assert any(json.loads(r.row).get("cd4_count") == "abc" for r in rejects(checked).collect())
+    with pytest.raises(ValueError):
+        validated(df.drop("test_type"), "mw_art_followup_testing")
+    assert [r.cd4_count for r in conform(df, "mw_art_followup_testing").where("patient_id < 3").orderBy("patient_id").collect()] == [None, 7]
+
+
+def test_a_batch_is_committed_once_and_whole(spark, tmp_path, monkeypatch):
+    from kalulu.plans import refresh
+    from kalulu.sources.commit import CommittedWarehouse, Commits
+    names = ["mw_art_visits", "mw_lab_tests", "mw_art_register", "mw_patient"]
+    state = {"program_state_id": 1, "program_enrollment_id": 4, "patient_id": 7, "program": K.HIV_PROGRAM, "workflow": K.TREATMENT_WORKFLOW,
+             "state": K.ON_ART, "location": K.FACILITIES[0], "start_date": D(2000, 1, 1)}
+
+    def source(patient):
+        return Tables(spark, omrs_encounter=[enc(1, patient, K.ART_INITIAL), enc(2, patient, K.ART_FOLLOWUP, D(2000, 2, 2))],
+                      omrs_obs=[obs(1, C.VL_RESULT, value_numeric=100)] * 2, omrs_program_state=[state | {"patient_id": patient}],
+                      omrs_program_enrollment=[{"program_enrollment_id": 4, "patient_id": patient}])
+    read = lambda: CommittedWarehouse(spark, str(tmp_path))
+    assert read().mw_art_visits.count() == 0 and read().version == 0
+    assert refresh.commit_batch(source(7), str(tmp_path), "day 1", names)
+    assert not refresh.commit_batch(source(7), str(tmp_path), "day 1", names)                # run again: nothing is added
+    assert read().mw_art_visits.count() == 2 and read().batches == ["day 1"]
+    assert refresh.commit_batch(source(8), str(tmp_path), "day 2", names)
+    now = read()
+    assert sorted(r.art_visit_id for r in now.mw_art_visits.collect()) == [1, 2, 3, 4]       # ids go on
+    assert sorted(r.lab_test_id for r in now.mw_lab_tests.collect()) == [1, 2, 3, 4]
+    visits = {(r.patient_id, r.visit_date): r.art_visit_id for r in now.mw_art_visits.collect()}
+    assert {r.patient_id: r.last_art_visit_id for r in now.mw_art_register.collect()} == {p: visits[p, D(2000, 2, 2)] for p in (7, 8)}
+
+    # a run that dies between its tables leaves the old state
+    def broken(_):
+        raise RuntimeError("lost")
+    log, old = Commits(spark, str(tmp_path)), now.mw_art_visits.count()
+    with pytest.raises(RuntimeError):
+        log.commit("day 3", {"mw_art_visits": now.mw_art_visits, "mw_lab_tests": lambda: broken(0)})
+    assert read().version == 2 and read().mw_art_visits.count() == old
+    monkeypatch.setitem(refresh.LOADERS, "mw_lab_tests", broken)
+    with pytest.raises(RuntimeError):
+        refresh.commit_batch(source(9), str(tmp_path), "day 3", names)
+    assert read().batches == ["day 1", "day 2"]
+    monkeypatch.undo()
+    assert refresh.commit_batch(source(9), str(tmp_path), "day 3", names) and read().mw_art_visits.count() == 6
+    assert refresh.commit_batch(source(9), str(tmp_path), "anew", names, replace=True) and read().mw_art_visits.count() == 2
+    assert now.mw_art_visits.count() == 4                                                    # an open reader keeps its state
 
 
 @pytest.mark.parametrize("mode,times", [("overwrite", 1), ("append", 2)])
