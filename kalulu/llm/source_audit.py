@@ -36,7 +36,7 @@ from kalulu.llm.common import checked_side, checkpoint
 
 UNIT = 1_000_000_000
 MAX_COLUMNS = 2_048       # indicator columns of one product
-BLOCK_CELLS = 1 << 21     # terms x groups of one block
+BLOCK_CELLS = 1 << 16     # terms x groups of one block
 FLUSH_TERMS = 250_000     # distinct (group, term) that a task holds before it writes them out
 PIECE = 1 << 22           # bytes of a text that are split at once
 
@@ -150,7 +150,7 @@ def joint_tables(counts: np.ndarray):
             continue
         group = np.repeat(np.arange(len(levels)), [len(x) for x in levels])
         level = np.concatenate(levels) if levels else np.zeros(0, np.int64)
-        hot = np.zeros((len(part), first), np.float32)      # counts of at most 2^21 terms: exact
+        hot = np.zeros((len(part), first), np.float32)      # counts of far fewer than 2^24 terms: exact
         hot[np.arange(len(part))[:, None], column] = 1
         for lo in range(0, first, MAX_COLUMNS):
             for lo2 in range(lo, first, MAX_COLUMNS):
