@@ -9,6 +9,7 @@ all facilities in one job.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -249,7 +250,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 try:  # the training-data operators are optional: their folders may be absent
     import corpus_pipeline as _pipeline
     from kalulu.llm import queries as _llm
-except ImportError:
+except ImportError as missing:
+    logging.getLogger(__name__).warning("the training-data operators are left out: %s", missing)
     _pipeline = _llm = None
 
 
