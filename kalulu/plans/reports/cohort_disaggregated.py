@@ -12,7 +12,7 @@ from kalulu import constants as K
 from kalulu.functions.dates import date_text, lit_date
 from kalulu.functions.sqltext import quoted
 from kalulu.operators.bands import age_band, age_labels
-from kalulu.operators.counts import banded_counts, group_rows
+from kalulu.operators.counts import group_label, report_counts
 from kalulu.params import ReportParams
 from kalulu.plans.cohort import facilities, hiv_cohort
 from kalulu.plans.reports.common import order_report
@@ -33,10 +33,6 @@ def cohort_indicators(p: ReportParams) -> dict[str, Column]:
 def cohort_disaggregated(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None = None,
                          cutoff: int = K.MOH_CUTOFF_DAYS) -> DataFrame:
     p = ReportParams(start=start, end=end, location=location, cutoff=cutoff)
-    cohort = hiv_cohort(wh, p)
-    locs = facilities(wh, p.location)
-    ind = cohort_indicators(p)
-    detail = banded_counts(cohort, locs, age_band("age", "gender"), F.col("gender"), ind,
-                           age_labels())
-    grouped = group_rows(cohort, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
-    return order_report(detail.unionByName(grouped))
+    groups = {group_label("gender", "pregnant_or_lactating"): "1"}
+    return order_report(report_counts(hiv_cohort(wh, p), facilities(wh, p.location), age_band("age", "gender"), "gender", groups,
+                                      cohort_indicators(p), age_labels()))

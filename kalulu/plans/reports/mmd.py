@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from kalulu import constants as K
 from kalulu.functions.dates import lit_date
 from kalulu.operators.bands import age_band, age_labels
-from kalulu.operators.counts import banded_counts, group_rows
+from kalulu.operators.counts import WEIGHTED, group_weights, report_counts
 from kalulu.params import ReportParams, period_start
-from kalulu.plans.cohort import facilities, hiv_cohort, last_outcome_at_facility
-from kalulu.plans.reports.common import latest_followup, order_report, with_age_at_end
+from kalulu.plans.cohort import facilities, hiv_cohort
+from kalulu.plans.reports.common import latest_followup, order_report
 from kalulu.sources.fixtures import Warehouse
 
 
@@ -25,31 +25,24 @@ def mmd_indicators() -> dict:
     }
 
 
-def mmd_rows(wh: Warehouse, p: ReportParams, outcome: DataFrame) -> DataFrame:
+def mmd_rows(wh: Warehouse, p: ReportParams) -> DataFrame:
     """Latest follow-up rows of patients on ART at the facility whose
-    appointment is at most ``cutoff`` days before the end date."""
-    on_art = outcome.where((F.col("state") == K.ON_ART)).select("patient_id", "location").distinct()
-    end = lit_date(p.end)
-    fu = latest_followup(wh, p).select(
-        "patient_id", "visit_date", "next_appointment_date",
-        F.datediff("next_appointment_date", "visit_date").alias("days_diff"))
-    rows = fu.join(on_art, "patient_id", "inner").where(
-        F.datediff(end, F.col("next_appointment_date")) <= p.cutoff)
-    return with_age_at_end(rows, wh, p)
+    appointment is at most ``cutoff`` days before the end date, with how many
+    cohort rows of each population group the patient has there.
+
+    The patients, their sex and their age at the end date (that of the cohort
+    while on ART) come from the one cohort of the report.
+    """
+    on_art = hiv_cohort(wh, p).where(F.col("state") == K.ON_ART).groupBy("patient_id", "location", "gender", "age").agg(
+        *group_weights("gender", "pregnant_or_lactating"))
+    fu = latest_followup(wh, p).where(F.datediff(lit_date(p.end), F.col("next_appointment_date")) <= p.cutoff).select(
+        "patient_id", F.datediff("next_appointment_date", "visit_date").alias("days_diff"))
+    return fu.join(on_art, "patient_id")
 
 
 def tx_mmd(wh: Warehouse, end, location: str | None = None,
            cutoff: int = K.MOH_CUTOFF_DAYS) -> DataFrame:
     """Detail rows by age band x sex + the four group rows, per facility."""
     p = ReportParams(start=period_start(end, days=90), end=end, location=location, cutoff=cutoff)
-    outcome = last_outcome_at_facility(wh, p.end, p.location)
-    rows = mmd_rows(wh, p, outcome)
-    locs = facilities(wh, p.location)
-    ind = mmd_indicators()
-    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
-                           age_labels())
-    cohort = hiv_cohort(wh, p).select(
-        "patient_id", "location", F.col("gender").alias("c_gender"), F.col("pregnant_or_lactating").alias("c_preg"))
-    grouped = group_rows(rows.join(cohort, ["patient_id", "location"], "inner"), locs,
-                         F.col("c_gender"), F.col("c_preg"), ind, first_sort_value=41)
-    return order_report(detail.unionByName(grouped))
+    return order_report(report_counts(mmd_rows(wh, p), facilities(wh, p.location), age_band("age", "gender"), "gender", WEIGHTED,
+                                      mmd_indicators(), age_labels()))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from kalulu import constants as K
 from kalulu.functions.dates import lit_date
 from kalulu.operators.bands import age_band, age_labels
-from kalulu.operators.counts import banded_counts, group_rows
+from kalulu.operators.counts import WEIGHTED, group_weights, report_counts
 from kalulu.params import ReportParams, period_start
-from kalulu.plans.cohort import facilities, hiv_cohort, identifier_flags, last_outcome_at_facility
+from kalulu.plans.cohort import facilities, hiv_cohort, identifier_flags
 from kalulu.plans.reports.cohort_disaggregated import is_active
 from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
@@ -45,32 +45,23 @@ def tx_tb_indicators(p: ReportParams) -> dict[str, Column]:
     }
 
 
-def _cohort_with_flags(wh: Warehouse, p: ReportParams, outcome: DataFrame, columns: list[str],
-                       cohort: DataFrame) -> DataFrame:
-    """Detail rows: a distinct projection of the (already computed) cohort plus
-    the state's program / id, which depend on (patient, facility) only."""
-    state_cols = outcome.select("patient_id", "location", "program", "program_state_id").distinct()
-    own = [c for c in columns if c not in ("program", "program_state_id")]
-    rows = cohort.select(*own).distinct().join(state_cols, ["patient_id", "location"]).select(*columns)
-    return rows.join(identifier_flags(wh, p.location), ["patient_id", "location"], "left")
+def _screening_counts(wh: Warehouse, p: ReportParams, cohort: DataFrame, columns: list[str], indicators: dict[str, Column]) -> DataFrame:
+    """Detail rows count the distinct projection of the cohort on ``columns``, group
+    rows every cohort row: one row per distinct projection carries how many
+    cohort rows of each group it stands for.  The programme and state id of
+    the procedures' rows depend on (patient, facility) and part none."""
+    rows = cohort.groupBy(*columns).agg(*group_weights("gender", "pregnant_or_lactating"))
+    rows = rows.join(identifier_flags(wh, p.location), ["patient_id", "location"], "left")
+    return order_report(report_counts(rows, facilities(wh, p.location), age_band("age", "gender"), "gender", WEIGHTED,
+                                      indicators, age_labels()))
 
 
 def tx_tb(wh: Warehouse, end: _dt.date, location: str | None = None,
           cutoff: int = K.PEPFAR_CUTOFF_DAYS) -> DataFrame:
     p = ReportParams(start=period_start(end, days=90), end=end, location=location, cutoff=cutoff)
-    outcome = last_outcome_at_facility(wh, end, location)
-    cols = ["patient_id", "identifier", "program", "state", "start_date", "program_state_id", "gender", "age",
-            "location", "last_appt_date", "followup_visit_date", "initial_visit_date", "transfer_in_date",
-            "tb_status"]
-    cohort = hiv_cohort(wh, p, extra=("tb_status",))
-    rows = _cohort_with_flags(wh, p, outcome, cols, cohort)
-    locs = facilities(wh, location)
-    ind = tx_tb_indicators(p)
-    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
-                           age_labels())
-    coh = cohort.join(identifier_flags(wh, location), ["patient_id", "location"], "left")
-    grouped = group_rows(coh, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
-    return order_report(detail.unionByName(grouped))
+    cols = ["patient_id", "identifier", "state", "start_date", "gender", "age", "location", "last_appt_date",
+            "followup_visit_date", "initial_visit_date", "transfer_in_date", "tb_status"]
+    return _screening_counts(wh, p, hiv_cohort(wh, p, extra=("tb_status",)), cols, tx_tb_indicators(p))
 
 
 def htn_indicators(p: ReportParams) -> dict[str, Column]:
@@ -89,17 +80,7 @@ def htn_indicators(p: ReportParams) -> dict[str, Column]:
 def tx_hiv_htn(wh: Warehouse, end: _dt.date, location: str | None = None,
                cutoff: int = K.PEPFAR_CUTOFF_DAYS) -> DataFrame:
     p = ReportParams(start=period_start(end, months=6), end=end, location=location, cutoff=cutoff)
-    outcome = last_outcome_at_facility(wh, end, location)
-    cols = ["patient_id", "identifier", "program", "state", "start_date", "program_state_id", "gender", "age",
-            "location", "last_appt_date", "current_regimen", "pregnant_or_lactating",
-            "initial_pregnant_or_lactating", "followup_visit_date", "initial_visit_date", "transfer_in_date",
-            "systolic_bp", "diastolic_bp"]
-    cohort = hiv_cohort(wh, p)
-    rows = _cohort_with_flags(wh, p, outcome, cols, cohort)
-    locs = facilities(wh, location)
-    ind = htn_indicators(p)
-    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
-                           age_labels())
-    coh = cohort.join(identifier_flags(wh, location), ["patient_id", "location"], "left")
-    grouped = group_rows(coh, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
-    return order_report(detail.unionByName(grouped))
+    cols = ["patient_id", "identifier", "state", "start_date", "gender", "age", "location", "last_appt_date",
+            "current_regimen", "pregnant_or_lactating", "initial_pregnant_or_lactating", "followup_visit_date",
+            "initial_visit_date", "transfer_in_date", "systolic_bp", "diastolic_bp"]
+    return _screening_counts(wh, p, hiv_cohort(wh, p), cols, htn_indicators(p))

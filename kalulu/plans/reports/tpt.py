@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
-from kalulu.functions.dates import lit_date
+from kalulu.functions.dates import date_text, lit_date
 from kalulu.operators.bands import age_band, age_labels
-from kalulu.operators.counts import banded_counts, group_rows
+from kalulu.operators.counts import WEIGHTED, group_label, group_weights, report_counts
 from kalulu.params import ReportParams, period_start
 from kalulu.plans.cohort import COHORT_COLUMNS, facilities, hiv_cohort
 from kalulu.plans.reports.common import order_report
@@ -50,15 +50,11 @@ def tpt_initiation_indicators(p: ReportParams) -> dict[str, Column]:
 
 def tpt_initiation(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None = None) -> DataFrame:
     p = ReportParams(start=start, end=end, location=location)
-    cohort = hiv_cohort(wh, p)
-    locs = facilities(wh, p.location)
-    ind = tpt_initiation_indicators(p)
-    started = ((F.col("first_inh_300").isNotNull() | F.col("first_rfp_150").isNotNull()
-                | F.col("first_rfp_inh").isNotNull()) & (F.col("first_ipt_date") >= lit_date(p.start)))
-    detail = banded_counts(cohort.where(started), locs, age_band("age", "gender"),
-                           F.col("gender"), ind, age_labels())
-    grouped = group_rows(cohort, locs, F.col("gender"), F.col("pregnant_or_lactating"), ind, 41)
-    out = order_report(detail.unionByName(grouped))
+    # the detail rows count patients who started in the period, the group rows all
+    started = (f"if(coalesce(first_inh_300, first_rfp_150, first_rfp_inh) is not null and first_ipt_date >= {date_text(p.start)}, 1, 0)")
+    out = order_report(report_counts(
+        hiv_cohort(wh, p), facilities(wh, p.location), age_band("age", "gender"), "gender",
+        {group_label("gender", "pregnant_or_lactating"): "1"}, tpt_initiation_indicators(p), age_labels(), detail=started))
     return out.select("location", F.lit(NEW_VS_PREVIOUS_DISTRICT).alias("district"), *[
         c for c in out.columns if c != "location"])
 
@@ -109,15 +105,10 @@ def tb_prev(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
     rows = (hiv_cohort(wh, p6).select(*own).distinct()
             .join(pill_totals(wh, end, seven, thirteen), "patient_id", "left")
             .where(F.col("first_ipt_date") >= lit_date(six)))
-    locs = facilities(wh, location)
-    ind = tb_prev_indicators(six)
-    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
-                           age_labels())
-    # group rows: the same rows joined to the quarter cohort, grouped by the
-    # quarter cohort's sex and pregnancy status
-    gcoh = hiv_cohort(wh, ReportParams(start=quarter, end=end, location=location)).select(
-        "patient_id", "location", F.col("gender").alias("g_gender"),
-        F.col("pregnant_or_lactating").alias("g_preg"))
-    grouped = group_rows(rows.join(gcoh, ["patient_id", "location"]), locs, F.col("g_gender"),
-                         F.col("g_preg"), ind, 41)
-    return order_report(detail.unionByName(grouped))
+    # group rows: the same rows once for each quarter cohort row of the patient,
+    # grouped by that cohort row's sex and pregnancy status
+    weights = hiv_cohort(wh, ReportParams(start=quarter, end=end, location=location)).groupBy("patient_id", "location").agg(
+        *group_weights("gender", "pregnant_or_lactating"))
+    return order_report(report_counts(
+        rows.join(weights, ["patient_id", "location"], "left"), facilities(wh, location), age_band("age", "gender"), "gender",
+        WEIGHTED, tb_prev_indicators(six), age_labels()))

@@ -10,28 +10,31 @@ from pyspark.sql import functions as F
 from kalulu import constants as K
 from kalulu.functions.dates import lit_date
 from kalulu.operators.bands import age_band, age_labels
-from kalulu.operators.counts import banded_counts, group_rows
+from kalulu.operators.counts import WEIGHTED, group_weights, report_counts
+from kalulu.operators.ranges import any_date_between, sorted_dates
 from kalulu.params import ReportParams
-from kalulu.plans.cohort import arv_numbers, facilities, hiv_cohort
+from kalulu.plans.cohort import facilities, hiv_cohort
 from kalulu.plans.reports.common import order_report
 from kalulu.sources.fixtures import Warehouse
 
 
-def iit_flags(wh: Warehouse, keys: DataFrame, cutoff: int) -> DataFrame:
-    """For each (patient, last_appt_date): does SOME initial visit of the
-    patient lie <= 90, within 90..179, or >= 180 days before appt + cutoff?
+def with_iit_flags(rows: DataFrame, wh: Warehouse, cutoff: int) -> DataFrame:
+    """For each row's last appointment: does SOME initial visit of the patient
+    lie <= 90, within 90..179, or >= 180 days before appointment + cutoff?
 
-    The left side has one row per (patient, appointment date), so the join
-    on patient is linear in the patient's initial visits; the three
-    existence tests are one aggregate (semi joins with a range predicate).
+    A patient's initial visits are one sorted array of dates, joined by
+    patient; rows stay as many as they are and each searches the array.
     """
-    ini = wh.mw_art_initial.select("patient_id", F.col("visit_date").alias("iv")).distinct()
-    k = keys.select("patient_id", "last_appt_date").where(F.col("last_appt_date").isNotNull()).distinct()
-    gap = F.datediff(F.date_add(F.col("last_appt_date"), cutoff), F.col("iv"))
-    return (k.join(ini, "patient_id").groupBy("patient_id", "last_appt_date").agg(
-        F.bool_or(gap <= K.IIT_SHORT_DAYS).alias("iit_short"),
-        F.bool_or(gap.between(K.IIT_SHORT_DAYS, K.IIT_LONG_DAYS - 1)).alias("iit_mid"),
-        F.bool_or(gap >= K.IIT_LONG_DAYS).alias("iit_long")))
+    ini = sorted_dates(wh.mw_art_initial.select("patient_id", "visit_date"), "patient_id", "visit_date", "__initial")
+
+    def before(days: int) -> str:
+        return f"date_add(last_appt_date, {cutoff - days})"
+
+    return rows.join(ini, "patient_id", "left").withColumns({
+        "iit_short": F.expr(f"get(__initial, size(__initial) - 1) >= {before(K.IIT_SHORT_DAYS)}"),
+        "iit_mid": any_date_between("__initial", before(K.IIT_LONG_DAYS - 1), before(K.IIT_SHORT_DAYS)),
+        "iit_long": F.expr(f"get(__initial, 0) <= {before(K.IIT_LONG_DAYS)}"),
+    }).drop("__initial")
 
 
 def tx_ml_indicators(p: ReportParams) -> dict[str, Column]:
@@ -55,15 +58,9 @@ def tx_ml_indicators(p: ReportParams) -> dict[str, Column]:
 def tx_ml(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None = None,
           cutoff: int = K.PEPFAR_CUTOFF_DAYS) -> DataFrame:
     p = ReportParams(start=start, end=end, location=location, cutoff=cutoff)
-    coh = hiv_cohort(wh, p)
-    flags = iit_flags(wh, coh, cutoff)
-    rows = (coh.select("patient_id", "state", "start_date", "gender", "age", "location", "last_appt_date")
-            .join(arv_numbers(wh), ["patient_id", "location"]).distinct()
-            .join(flags, ["patient_id", "last_appt_date"], "left"))
-    locs = facilities(wh, location)
-    ind = tx_ml_indicators(p)
-    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
-                           age_labels())
-    grouped = group_rows(coh.join(flags, ["patient_id", "last_appt_date"], "left"), locs, F.col("gender"),
-                         F.col("pregnant_or_lactating"), ind, 41)
-    return order_report(detail.unionByName(grouped))
+    # detail rows: the distinct rows per ARV Number (the cohort has a row for each of them); group rows: all cohort rows
+    rows = hiv_cohort(wh, p).groupBy("patient_id", "identifier", "state", "start_date", "gender", "age", "location",
+                                     "last_appt_date").agg(*group_weights("gender", "pregnant_or_lactating"))
+    return order_report(report_counts(
+        with_iit_flags(rows, wh, cutoff), facilities(wh, location), age_band("age", "gender"), "gender", WEIGHTED,
+        tx_ml_indicators(p), age_labels()))

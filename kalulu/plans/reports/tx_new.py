@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kalulu import constants as K
 from kalulu.functions.dates import age_in_units, lit_date
 from kalulu.operators.bands import age_band, age_labels
-from kalulu.operators.counts import banded_counts, group_rows
+from kalulu.operators.counts import WEIGHTED, group_weights, report_counts
 from kalulu.operators.latest import rows_at_extreme
 from kalulu.params import ReportParams
 from kalulu.plans.cohort import (arv_numbers, facilities, hiv_cohort, identifier_flags,
@@ -56,16 +56,17 @@ def tx_new(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None =
     outcome = last_outcome_at_facility(wh, p.end, p.location)
     flags = identifier_flags(wh, p.location)
     locs = facilities(wh, p.location)
-    rows = tx_new_rows(wh, p, outcome).join(flags, ["patient_id", "location"], "left")
-    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"),
-                           tx_new_indicators(p), age_labels())
     # group rows: every initial visit of the patient joined to the cohort rows;
     # the period test uses the cohort's latest initial visit, CD4 and
-    # transfer-in come from each initial visit
-    cohort = hiv_cohort(wh, p).select(
-        "patient_id", "location", "gender", "pregnant_or_lactating", "initial_visit_date")
-    mai = wh.mw_art_initial.select("patient_id", "cd4_count", "transfer_in_date")
-    grows = mai.join(cohort, "patient_id").join(flags, ["patient_id", "location"], "left")
-    grouped = group_rows(grows, locs, F.col("gender"), F.col("pregnant_or_lactating"),
-                         tx_new_indicators(p), 41)
-    return order_report(detail.unionByName(grouped))
+    # transfer-in come from each initial visit.  Both sides are counted first: the
+    # visits by what the indicators tell apart, the cohort rows by group
+    cohort = hiv_cohort(wh, p).groupBy("patient_id", "location", "initial_visit_date").agg(
+        *group_weights("gender", "pregnant_or_lactating"))
+    visits = wh.mw_art_initial.groupBy(
+        "patient_id", F.expr(f"cd4_count >= {K.CD4_THRESHOLD}").alias("__high"), F.expr("transfer_in_date is null").alias("__own")).agg(
+        F.min("cd4_count").alias("cd4_count"), F.min("transfer_in_date").alias("transfer_in_date"), F.count(F.lit(1)).alias("__visits"))
+    grouped = visits.join(cohort, "patient_id").selectExpr(
+        "patient_id", "location", "initial_visit_date", "transfer_in_date", "cd4_count", *[f"{w} * __visits as {w}" for w in WEIGHTED.values()])
+    rows = tx_new_rows(wh, p, outcome).unionByName(grouped, allowMissingColumns=True).join(flags, ["patient_id", "location"], "left")
+    # a row of the visits has no sex: it counts for no band
+    return order_report(report_counts(rows, locs, age_band("age", "gender"), "gender", WEIGHTED, tx_new_indicators(p), age_labels()))

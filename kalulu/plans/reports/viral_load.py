@@ -12,7 +12,7 @@ from kalulu.functions.dates import age_in_units, lit_date
 from kalulu.functions.text import regimen_code, regimen_name, sex_label
 from kalulu.functions.sqltext import quoted
 from kalulu.operators.bands import age_band, age_labels, weight_band, weight_labels
-from kalulu.operators.counts import banded_counts, group_rows
+from kalulu.operators.counts import WEIGHTED, banded_counts, group_weights, report_counts
 from kalulu.operators.latest import latest_per_key, rows_at_extreme
 from kalulu.params import ReportParams, period_start
 from kalulu.plans.cohort import arv_numbers, facilities, hiv_cohort, last_outcome_at_facility
@@ -71,15 +71,11 @@ def tx_pvls(wh: Warehouse, end: _dt.date, location: str | None = None) -> DataFr
     rows = pvls_rows(wh, end, year_start, outcome)
     if location:
         rows = rows.where(F.col("location") == location)
-    locs = facilities(wh, location)
-    ind = pvls_indicators()
-    detail = banded_counts(rows, locs, age_band("age", "gender"), F.col("gender"), ind,
-                           age_labels())
-    coh = hiv_cohort(wh, ReportParams(start=year_start, end=end, location=location)).select(
-        "patient_id", "location", F.col("gender").alias("g_gender"), F.col("pregnant_or_lactating").alias("g_preg"))
-    grouped = group_rows(rows.join(coh, ["patient_id", "location"]), locs, F.col("g_gender"), F.col("g_preg"),
-                         ind, 41)
-    return order_report(detail.unionByName(grouped))
+    weights = hiv_cohort(wh, ReportParams(start=year_start, end=end, location=location)).groupBy("patient_id", "location").agg(
+        *group_weights("gender", "pregnant_or_lactating"))
+    return order_report(report_counts(
+        rows.join(weights, ["patient_id", "location"], "left"), facilities(wh, location), age_band("age", "gender"), "gender",
+        WEIGHTED, pvls_indicators(), age_labels()))
 
 
 def _dispensed(wh: Warehouse, end: _dt.date, location: str | None, cutoff: int) -> DataFrame:

@@ -144,3 +144,63 @@ def test_plans_are_built_with_few_calls_to_the_jvm(spark, monkeypatch):
         calls.clear()
         E._QUERIES[name](spark, E.SF_SMOKE)
         assert len(calls) <= limit, (name, len(calls))
+
+
+def _scans(plan, of=""):
+    return sum("FileScan" in x and of in x for x in plan.splitlines())
+
+
+def test_a_report_builds_its_cohort_once(spark, tmp_path):
+    """Detail and group rows are counted in one pass: no report reads the stored tables twice for them."""
+    import __spark_entry__ as E
+    from kalulu.plans.refresh import copy_sources, refresh_warehouse
+    from kalulu.plans.reports.cohort_disaggregated import cohort_disaggregated
+    from kalulu.plans.reports.mmd import tx_mmd
+    from kalulu.plans.reports.screening import tx_hiv_htn, tx_tb
+    from kalulu.plans.reports.tpt import tpt_initiation
+    from kalulu.plans.reports.tx_ml import tx_ml
+    from kalulu.sources.fixtures import Warehouse
+    from kalulu.sources.warehouse import StoredWarehouse
+
+    source = Warehouse(spark, E.SF_SMOKE)
+    refresh_warehouse(source, str(tmp_path), ["mw_patient", "mw_art_followup", "mw_art_initial"], keep_rejects=False)
+    copy_sources(source, str(tmp_path))
+    wh = StoredWarehouse(spark, str(tmp_path))
+    start, end = dt.date(2000, 4, 1), dt.date(2000, 6, 30)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    reports = {
+        # report: scans of the follow-ups (a cohort has two: the dates, the rows of those dates), of the patients, of the states
+        "cohort": (cohort_disaggregated(wh, start, end), 2), "mmd": (tx_mmd(wh, end), 4), "tpt": (tpt_initiation(wh, start, end), 2),
+        "tb": (tx_tb(wh, end), 2), "htn": (tx_hiv_htn(wh, end), 2), "ml": (tx_ml(wh, start, end), 2)}
+    for name, (report, followups) in reports.items():
+        plan = _plan(report)
+        assert (_scans(plan, "/mw_art_followup"), _scans(plan, "/mw_patient"), _scans(plan, "/omrs_program_state")) == (followups, 1, 1), name
+        assert _scans(plan) <= 15, (name, _scans(plan))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_range_existence_is_a_search_per_row_not_a_join_with_every_date(spark):
+    import random
+
+    from kalulu.operators.ranges import any_date_between, dates_up_to, sorted_dates
+
+    rng = random.Random(5)
+    day = lambda: dt.date(2000, 1, 1) + dt.timedelta(rng.randrange(60))
+    dates = [(k, day()) for k in range(8) for _ in range(k * k)] + [(9, None), (3, dt.date(2000, 1, 5)), (3, dt.date(2000, 1, 5))]
+    probes = [(k, a, a + dt.timedelta(rng.randrange(0, 9))) for k in range(11) for a in [day() for _ in range(12)]] + [(4, None, day()), (4, day(), None)]
+    lists = sorted_dates(spark.createDataFrame(dates, "k int, d date"), "k", "d", "ds")
+    out = spark.createDataFrame(probes, "k int, low date, high date").join(lists, "k", "left").select(
+        "k", "low", "high", any_date_between("ds", "low", "high").alias("hit"), F.expr(dates_up_to("ds", "high")).alias("n"))
+    plan = _plan(out)
+    assert "BroadcastNestedLoop" not in plan and plan.count("Join") == 1
+    own = {}
+    for k, d in dates:
+        own.setdefault(k, set()).update([d] if d else [])
+    rows = out.collect()
+    assert len(rows) == len(probes)
+    for r in rows:
+        if r.k not in own or r.low is None or r.high is None:
+            assert r.hit is None
+        else:
+            assert r.hit == any(r.low <= d <= r.high for d in own[r.k])
+            assert r.n == sum(d <= r.high for d in own[r.k])

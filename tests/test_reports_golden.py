@@ -297,3 +297,28 @@ def test_optional_switches(spark, schemas):
     as_coded = first_date_no_breastfeeding(visits, END).first()[1]
     as_documented = first_date_no_breastfeeding(visits, END, after_invalid=True).first()[1]
     assert (as_coded, as_documented) == (D(2000, 1, 1), D(2000, 3, 1))
+
+
+def test_group_rows_count_cohort_rows_by_weight(spark, schemas):
+    """Tied follow-up rows of two pregnancy statuses and two ARV Numbers: a dispensing row counts once for its band
+    and once per cohort row for the groups; so does a screening row."""
+    from kalulu.plans.reports.cohort_disaggregated import cohort_disaggregated
+    from kalulu.plans.reports.mmd import tx_mmd
+    from kalulu.plans.reports.screening import tx_hiv_htn
+
+    seen = {"patient_id": 1, "visit_date": D(2000, 6, 1), "location": F0, "next_appointment_date": D(2000, 7, 1),
+            "systolic_bp": 150, "diastolic_bp": 80}
+    wh = make(spark, schemas, mw_patient=[patient(1), patient(2, gender=None)], omrs_program_state=[state(1, 1), state(2, 2)],
+              omrs_patient_identifier=[arv(1, "NNO 1"), arv(1, "NNO 1 2"), arv(2, "NNO 2")],
+              mw_art_followup=[{**seen, "pregnant_or_lactating": K.PREGNANT}, {**seen, "pregnant_or_lactating": K.BREASTFEEDING},
+                               {**seen, "patient_id": 2, "pregnant_or_lactating": None}])
+
+    def counts(report, column):
+        rows = [r for r in report.collect() if r.location == F0]
+        assert [r.sort_value for r in rows] == list(range(1, 45))
+        return sum(r[column] for r in rows[:40]), {r.gender: r[column] for r in rows[40:]}
+
+    # two tied visits x (detail: patient; groups: two numbers x one cohort row of the status each), the patient without a sex nowhere
+    assert counts(tx_mmd(wh, END), "less_than_three_months") == (2, {"Male": 0, "FP": 4, "FNP": 0, "FBF": 4})
+    assert counts(cohort_disaggregated(wh, START, END), "tx_curr") == (4, {"Male": 0, "FP": 2, "FNP": 0, "FBF": 2})
+    assert counts(tx_hiv_htn(wh, END), "diagnosed_htn") == (4, {"Male": 0, "FP": 2, "FNP": 0, "FBF": 2})
