@@ -47,12 +47,11 @@ def load_art_followup(wh: Warehouse) -> DataFrame:
             F.min(F.when(F.col("value_coded") == drug, F.col("value_coded"))).alias(col),
             F.min(F.when(F.col("value_coded") == drug, F.col("pills"))).alias(f"{col}_pills"))])
     side = (obs.where(F.col("concept") == C.SIDE_EFFECTS_CONCEPT).groupBy(*KEYS)
-            .agg(*[F.bool_or(F.col("value_coded") == v).alias(col) for col, v in C.SIDE_EFFECTS]))
+            .agg(*[F.min(F.when(F.col("value_coded") == v, F.col("value_coded"))).alias(col) for col, v in C.SIDE_EFFECTS]))
     spine = encounter_spine(wh, [K.ART_FOLLOWUP])
     out = spine.join(wide, KEYS, "left").join(tpt, KEYS, "left").join(side, KEYS, "left")
-    flags = [F.coalesce(F.col(c), F.lit(False)).alias(c) for c, _ in C.SIDE_EFFECTS]
     return out.select(*KEYS, *[c for c, _, _, _ in C.ART_FOLLOWUP],
-                      *[x for c, _ in C.TPT_DRUGS for x in (c, f"{c}_pills")], *flags)
+                      *[x for c, _ in C.TPT_DRUGS for x in (c, f"{c}_pills")], *[c for c, _ in C.SIDE_EFFECTS])
 
 
 def load_art_initial(wh: Warehouse) -> DataFrame:
@@ -73,7 +72,8 @@ def load_art_regimen(wh: Warehouse) -> DataFrame:
     """mw_art_regimen: one row per regimen-line observation with the start date
     recorded in the same encounter; the line number is the count of previous
     regimens (0, 1, 2).  All lines in one pass: the six concepts are filtered
-    once, start dates are a partial aggregate by (encounter, line)."""
+    once, start dates are a partial aggregate by (encounter, line).  The table's
+    ``regimen_end_date`` and ``line`` are never known: null."""
     line = F.lit(None).cast("int")
     for n_prev, regimen_concept, date_concept in C.REGIMEN_LINES:
         line = F.when(F.col("concept").isin(regimen_concept, date_concept), F.lit(n_prev)).otherwise(line)
@@ -83,4 +83,5 @@ def load_art_regimen(wh: Warehouse) -> DataFrame:
         "encounter_id", "num_of_prev_regimens").agg(F.min("value_date").alias("regimen_init_date"))
     return (regimens.join(starts, ["encounter_id", "num_of_prev_regimens"], "left")
             .join(wh.omrs_encounter.select("encounter_id", "patient_id"), "encounter_id")
-            .select("patient_id", F.col("value_coded").alias("regimen"), "regimen_init_date", "num_of_prev_regimens"))
+            .select("patient_id", F.col("value_coded").alias("regimen"), "regimen_init_date", "num_of_prev_regimens",
+                    F.expr("cast(null as date) as regimen_end_date"), F.expr("cast(null as string) as line")))

@@ -43,11 +43,11 @@ TPT_DRUGS = [
 ]
 SIDE_EFFECTS_CONCEPT = "Malawi ART side effects"
 SIDE_EFFECTS = [
-    ("no_side_effects", "No"),
-    ("peripheral_neuropathy", "Peripheral neuropathy"),
-    ("hepatitis", "Hepatitis"),
-    ("skin_rash", "Skin rash"),
-    ("lipodystrophy", "Lipodystrophy"),
+    ("no_side_effect", "No"),
+    ("peripheral_neuropathy_side_effect", "Peripheral neuropathy"),
+    ("hepatitis_side_effect", "Hepatitis"),
+    ("skin_rash_side_effect", "Skin rash"),
+    ("lipodystrophy_side_effect", "Lipodystrophy"),
     ("other_side_effect", "Other"),
 ]
 

@@ -27,9 +27,9 @@ WAREHOUSE: dict[str, list[tuple[str, str]]] = {
         ("weight", "decimal(10,2)"), ("ctx_960", "string"), ("ctx_960_pills", "decimal(10,2)"),
         ("inh_300", "string"), ("inh_300_pills", "decimal(10,2)"), ("pyridoxine", "string"),
         ("pyridoxine_pills", "decimal(10,2)"), ("rfp_150", "string"), ("rfp_150_pills", "decimal(10,2)"),
-        ("rfp_inh", "string"), ("rfp_inh_pills", "decimal(10,2)"), ("no_side_effects", "boolean"),
-        ("peripheral_neuropathy", "boolean"), ("hepatitis", "boolean"), ("skin_rash", "boolean"),
-        ("lipodystrophy", "boolean"), ("other_side_effect", "boolean")],
+        ("rfp_inh", "string"), ("rfp_inh_pills", "decimal(10,2)"), ("no_side_effect", "string"),
+        ("peripheral_neuropathy_side_effect", "string"), ("hepatitis_side_effect", "string"),
+        ("skin_rash_side_effect", "string"), ("lipodystrophy_side_effect", "string"), ("other_side_effect", "string")],
     "mw_art_initial": _KEYS + [
         ("art_first_line_regimen", "string"), ("art_first_line_regimen_start_date", "date"),
         ("art_alternative_first_line_regimen", "string"), ("art_alternative_first_line_regimen_date", "date"),
@@ -52,7 +52,7 @@ WAREHOUSE: dict[str, list[tuple[str, str]]] = {
                                   ("other_results", "string"), ("sample_id", "string"),
                                   ("viral_load_result", "int")],
     "mw_art_regimen": [("patient_id", "bigint"), ("regimen", "string"), ("regimen_init_date", "date"),
-                       ("num_of_prev_regimens", "int")],
+                       ("num_of_prev_regimens", "int"), ("regimen_end_date", "date"), ("line", "string")],
     "mw_lab_tests": [("lab_test_id", "bigint"), ("patient_id", "bigint"), ("encounter_id", "bigint"),
                      ("date_collected", "date"), ("test_type", "string"), ("date_result_received", "date"),
                      ("date_result_entered", "date"), ("result_coded", "string"),
@@ -127,6 +127,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 # fixed values: declared lengths other than the usual 255
 LENGTHS: dict[str, dict[str, int]] = {
+    "mw_art_regimen": {"line": 100},
     "mw_patient": {"identifier": 50, "gender": 1, "chw": 100, "patient_uuid": 38},
     "mw_lab_tests": {"test_type": 100, "result_coded": 100, "result_exception": 100},
     "mw_eid_visits": {"breastfeeding_status": 100, "mother_status": 100},

@@ -50,7 +50,7 @@ def art_followup_sql() -> str:
         joins.append(f"""LEFT JOIN (SELECT DISTINCT {KEYS} FROM {OBS} z WHERE concept = {_q(V.SIDE_EFFECT_CONCEPT)}
                                   AND value_coded = {_q(value)}) se{j}
                    ON se{j}.patient_id = s.patient_id AND se{j}.visit_date = s.visit_date AND se{j}.location = s.location""")
-        cols.append(f"se{j}.patient_id IS NOT NULL AS {col}")
+        cols.append(f"CASE WHEN se{j}.patient_id IS NOT NULL THEN {_q(value)} END AS {col}")
     body = f"SELECT s.patient_id, s.visit_date, s.location, {', '.join(cols)} FROM {_spine(["ART_FOLLOWUP"])} s\n" + \
         "\n".join(joins)
     return with_fixtures(body)
@@ -261,7 +261,7 @@ def _regimen_rows() -> str:
 
 
 def art_regimen_sql() -> str:
-    return with_fixtures(_regimen_rows())
+    return with_fixtures(f"SELECT *, CAST(NULL AS DATE) AS regimen_end_date, CAST(NULL AS VARCHAR) AS line FROM ({_regimen_rows()})")
 
 
 def eid_initial_sql() -> str:

@@ -169,8 +169,8 @@ WEIGHT_REGIMENS = [
     ('11P', '11P: AZT / 3TC + LPV/r (previous AZT3TCLPV)'),
 ]
 SIDE_EFFECT_CONCEPT = "Malawi ART side effects"
-SIDE_EFFECTS = [("no_side_effects", "No"), ("peripheral_neuropathy", "Peripheral neuropathy"), ("hepatitis", "Hepatitis"),
-                ("skin_rash", "Skin rash"), ("lipodystrophy", "Lipodystrophy"), ("other_side_effect", "Other")]
+SIDE_EFFECTS = [("no_side_effect", "No"), ("peripheral_neuropathy_side_effect", "Peripheral neuropathy"), ("hepatitis_side_effect", "Hepatitis"),
+                ("skin_rash_side_effect", "Skin rash"), ("lipodystrophy_side_effect", "Lipodystrophy"), ("other_side_effect", "Other")]
 REGIMEN_LINES = [
     (0, "Malawi Antiretroviral drugs change 1", "Start date 1st line ARV"),
     (1, "Malawi Antiretroviral drugs change 2", "Date of starting alternative 1st line ARV regimen"),

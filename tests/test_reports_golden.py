@@ -277,7 +277,7 @@ def test_followup_loader_pairs_pills_by_obs_group(spark):
     assert len(r) == 1
     r = r[0]
     assert (r.inh_300, float(r.inh_300_pills), r.rfp_150, float(r.rfp_150_pills)) == ("Isoniazid", 56.0, "Rifapentine", 12.0)
-    assert r.skin_rash and not r.hepatitis and float(r.weight) == 61.5
+    assert (r.skin_rash_side_effect, r.hepatitis_side_effect, r.no_side_effect) == ("Skin rash", None, None) and float(r.weight) == 61.5
     lab = load_lab_tests_vl(wh).collect()
     assert len(lab) == 1 and lab[0].result_exception == "<40.0000" and float(lab[0].result_numeric) == 35.0
 
