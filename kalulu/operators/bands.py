@@ -12,7 +12,7 @@ from kalulu.functions.sqltext import quoted
 
 
 @functools.cache
-def _age_case(age: str) -> str:
+def age_case(age: str) -> str:
     # the lowest band is open below (an age under 12 months of any sign)
     arms = " ".join(f"when {age} >= {lower} then {quoted(label)}" if lower > 0 else f"when {age} is not null then {quoted(label)}"
                     for label, lower in reversed(K.AGE_BANDS))
@@ -21,7 +21,7 @@ def _age_case(age: str) -> str:
 
 def age_band(age_months: str, gender: str) -> Column:
     """Band label for an age in 30-day months; null when gender is not M/F.  Both are column names."""
-    return F.expr(f"if({gender} in ('M', 'F'), {_age_case(age_months)}, null)")
+    return F.expr(f"if({gender} in ('M', 'F'), {age_case(age_months)}, null)")
 
 
 @functools.cache

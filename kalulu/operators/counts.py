@@ -68,7 +68,7 @@ WEIGHTED = {f"'{g}'": f"w_{g}" for g in K.GROUPS}
 
 
 @functools.cache
-def _report_dimension(labels: tuple[str, ...], band_col: str) -> str:
+def report_dimension(labels: tuple[str, ...], band_col: str) -> str:
     keys = [(label, g) for g in ("Female", "Male") for label in labels] + [("All", g) for g in K.GROUPS]
     return ", ".join(f"named_struct('sort_value', {i}, '{band_col}', {quoted(label)}, 'gender', '{g}')" for i, (label, g) in enumerate(keys, 1))
 
@@ -92,6 +92,6 @@ def report_counts(rows: DataFrame, locations: DataFrame, band: Column, gender: s
         "location", *[f"`__p_{n}`" for n in indicators], f"inline(array({slots}))")
     counted = flat.where(f"{band_col} is not null and gender is not null and __n > 0").groupBy("location", band_col, "gender").agg(
         *[F.expr(f"sum(if(`__p_{n}`, __n, 0L)) as `{n}`") for n in indicators])
-    dim = locations.selectExpr("location", f"inline(array({_report_dimension(tuple(labels), band_col)}))")
+    dim = locations.selectExpr("location", f"inline(array({report_dimension(tuple(labels), band_col)}))")
     return dim.join(counted, ["location", band_col, "gender"], "left").selectExpr(
         "location", "sort_value", band_col, "gender", *_filled(indicators))
