@@ -38,6 +38,11 @@ def format_identifier(ident: Column | str) -> Column:
     return F.array_join(F.transform(F.split(c, " "), pad), "-")
 
 
+def differs(a: str, b: str) -> Column:
+    """Two columns' texts differ, whatever their case and trailing blanks (also of values that no dictionary holds); null when one is null."""
+    return F.expr(f"collate({a}, 'UTF8_LCASE_RTRIM') <> collate({b}, 'UTF8_LCASE_RTRIM')")
+
+
 def regimen_code(regimen: Column | str) -> Column:
     """Text before the first ':' (the whole string when there is none)."""
     c = F.col(regimen) if isinstance(regimen, str) else regimen

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kalulu import constants as K
 from kalulu.functions.text import format_identifier
+from kalulu.operators.concat import joined_texts
 from kalulu.operators.latest import latest_per_key
 from kalulu.plans.loaders import concepts as C
 from kalulu.plans.loaders.art import load_art_visits
@@ -84,14 +85,10 @@ def load_pre_art_register(wh: Warehouse) -> DataFrame:
 
 def mother_art_numbers(wh: Warehouse) -> DataFrame:
     """All mother ART registration numbers recorded for a child, joined with ','
-    (sorted, so the text is deterministic).  Equal numbers are counted before the
-    shuffle and repeated in the text, so a child's list holds distinct values."""
+    (sorted, so the text is deterministic), cut as the source cuts them."""
     enc = wh.omrs_encounter.select("encounter_id", "patient_id")
     obs = wh.omrs_obs.where(F.col("concept") == C.MOTHER_ART_NUMBER).join(enc, "encounter_id")
-    per_value = obs.where(F.col("value_text").isNotNull()).groupBy("patient_id", "value_text").agg(F.count(F.lit(1)).alias("n"))
-    numbers = F.array_sort(F.collect_list(F.struct("value_text", "n")))
-    return per_value.groupBy("patient_id").agg(F.array_join(F.transform(
-        numbers, lambda x: F.array_join(F.array_repeat(x["value_text"], x["n"].cast("int")), ",")), ",").alias("mother_art_number"))
+    return joined_texts(obs, ["patient_id"], "value_text", "mother_art_number")
 
 
 def load_eid_register(wh: Warehouse) -> DataFrame:

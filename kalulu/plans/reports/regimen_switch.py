@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu.functions.dates import report_date_label
-from kalulu.functions.text import parent_facility, regimen_code, regimen_name, sex_label
+from kalulu.functions.text import differs, parent_facility, regimen_code, regimen_name, sex_label
 from kalulu.operators.periods import max_as_of_periods, period_in_range
 from kalulu.params import _add_months
 from kalulu.plans.cohort import arv_numbers
@@ -41,7 +41,7 @@ def regimen_switch(wh: Warehouse, start: _dt.date, location: str | None = None)
     pat = wh.mw_patient.select("patient_id", "gender", "birthdate")
     # the number must be held at the parent facility of the visit location
     x = (prev.join(cur, ["patient_id", "period"])
-         .where(F.col("previous_full") != F.col("current_full"))
+         .where(differs("previous_full", "current_full"))
          .withColumn("report_location", parent_facility(F.col("location")))
          .join(ids, ["patient_id", "report_location"])
          .join(pat, "patient_id"))

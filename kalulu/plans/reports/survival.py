@@ -45,9 +45,10 @@ def survival(wh: Warehouse, start: _dt.date, end: _dt.date, location: str | None
                                order=["start_date", "program_state_id"], payload=["state"])
     lfo = (lfo.join(registered, ["patient_id", "period"], "left_semi")
            .join(arv_numbers(wh), ["patient_id", "location"]).join(facilities(wh, location), "location"))
-    # latest follow-up (ties kept) per period
-    fu = rows_at_max_per_period(wh.mw_art_followup.select("patient_id", "visit_date", "next_appointment_date"),
-                                "patient_id", "visit_date", ends).select(
+    # latest follow-up (ties kept) per period, of registered patients only
+    seen = wh.mw_art_followup.select("patient_id", "visit_date", "next_appointment_date").join(
+        registered.select("patient_id").distinct(), "patient_id", "left_semi")
+    fu = rows_at_max_per_period(seen, "patient_id", "visit_date", ends).select(
         "patient_id", "period", F.col("next_appointment_date").alias("last_appt_date"))
     pat = wh.mw_patient.select("patient_id", "birthdate")
     rows = (lfo.join(pat, "patient_id").join(fu, ["patient_id", "period"])

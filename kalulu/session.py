@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +51,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is respected as is.  Only when
-    the setting is unset (local tests) a scratch folder is created.
+    A cluster names a shared folder there; it is respected as is.  Where the
+    setting is unset, a session in one process (local tests) gets a scratch
+    folder; on a cluster that is an error, since executors would not see each
+    other's files.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -60,6 +63,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext access (e.g. remote session)
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master or 'the cluster'} share")
         d = tempfile.mkdtemp(prefix="kalulu-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)

@@ -217,7 +217,7 @@ def eid_register_sql() -> str:
     return _register(
         "Exposed Child (Continue)", "HCC Number", "eid_number", ", v.picked AS last_eid_visit_id, m.mother_art_number",
         f"""LEFT JOIN {_newest('visits', 'visit_date DESC NULLS LAST, eid_visit_id DESC', 'eid_visit_id')} v ON v.patient_id = s.patient_id
-            LEFT JOIN (SELECT e.patient_id, string_agg(o.value_text, ',' ORDER BY o.value_text) AS mother_art_number
+            LEFT JOIN (SELECT e.patient_id, left(string_agg(o.value_text, ',' ORDER BY o.value_text), 1024) AS mother_art_number
                        FROM omrs_obs o JOIN omrs_encounter e USING (encounter_id)
                        WHERE o.concept = {_q(V.MOTHER_NUMBER)} GROUP BY 1) m ON m.patient_id = s.patient_id""",
         f"visits AS ({_eid_visit_rows()})")

@@ -85,3 +85,49 @@ def test_period_start_column_matches_python(spark):
     for kw in ({"days": 90}, {"months": 6}, {"months": 12}, {"months": 13}):
         got = [r[0] for r in df.select(period_start_col(F.col("e"), **kw)).collect()]
         assert got == [period_start(e, **kw) for e in ends], kw
+
+
+def test_joined_texts_are_bounded(spark):
+    import random
+
+    from kalulu.operators.concat import joined_texts
+
+    rng = random.Random(3)
+    words = ["", "a", "b'", "NNO 1", "x" * 7, "y" * 30]
+    rows = [(k, rng.choice(words)) for k in range(6) for _ in range(k * 6)] + [(9, None), (7, ""), (8, ""), (8, ""), (None, "n")]
+    rows += [(10, f"{n:05d}") for n in range(3000)] + [(11, "same")] * 5000 + [(12, "z" * 5000)]
+    df = spark.createDataFrame(rows, "k int, v string")
+    own = {}
+    for k, v in rows:
+        if v is not None:
+            own.setdefault(k, []).append(v)
+    for limit, sep in ((1024, ","), (20, ","), (7, "; "), (1, ",")):
+        out = joined_texts(df, ["k"], "v", "t", sep, limit)
+        assert {r.k: r.t for r in out.collect()} == {k: sep.join(sorted(v))[:limit] for k, v in own.items()}, limit
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan and "partial_count" in plan
+    assert joined_texts(df.where("false"), ["k"], "v", "t").collect() == []
+
+
+def test_a_cluster_without_a_shared_checkpoint_folder_is_an_error(monkeypatch):
+    import types
+
+    import pytest
+
+    from kalulu import session
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    def fake(master, **more):
+        conf = Conf({"spark.master": master, **more})
+        context = types.SimpleNamespace(getConf=lambda: conf, setCheckpointDir=lambda d: None)
+        return types.SimpleNamespace(conf=conf, sparkContext=context)
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://host"):
+        with pytest.raises(ValueError):
+            session.ensure_checkpoint_dir(fake(master))
+        assert session.ensure_checkpoint_dir(fake(master, **{"spark.checkpoint.dir": "hdfs://x/c"})) == "hdfs://x/c"
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda **kw: "/tmp/of-its-own")
+    assert session.ensure_checkpoint_dir(fake("local[4]")) == session.ensure_checkpoint_dir(fake("local")) == "/tmp/of-its-own"

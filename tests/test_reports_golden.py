@@ -322,3 +322,21 @@ def test_group_rows_count_cohort_rows_by_weight(spark, schemas):
     assert counts(tx_mmd(wh, END), "less_than_three_months") == (2, {"Male": 0, "FP": 4, "FNP": 0, "FBF": 4})
     assert counts(cohort_disaggregated(wh, START, END), "tx_curr") == (4, {"Male": 0, "FP": 2, "FNP": 0, "FBF": 2})
     assert counts(tx_hiv_htn(wh, END), "diagnosed_htn") == (4, {"Male": 0, "FP": 2, "FNP": 0, "FBF": 2})
+
+
+def test_regimens_outside_the_dictionary_differ_whatever_their_case(spark, schemas):
+    from kalulu.plans.reports.regimen_switch import regimen_switch
+
+    before, first = D(2000, 3, 10), D(2000, 4, 5)
+
+    def switches(old, new):
+        row = {"patient_id": 1, "location": F0, "arvs_given": 60}
+        wh = make(spark, schemas, mw_patient=[patient(1)], omrs_patient_identifier=[arv(1, "NNO 1")],
+                  mw_art_visits=[{"art_visit_id": i, "patient_id": 1, "visit_date": d, "location": F0} for i, d in ((1, before), (2, first))],
+                  mw_art_initial=[{"patient_id": 1, "visit_date": D(1998, 1, 1), "location": F0}],
+                  mw_art_followup=[{**row, "visit_date": before, "art_regimen": old}, {**row, "visit_date": first, "art_regimen": new}])
+        return [(r.previous_regimen, r.current_regimen) for r in regimen_switch(wh, START).collect()]
+
+    assert switches("99X: New / Drug", "99x: new / DRUG ") == []
+    assert switches("99X: New / Drug", "98X: New / Drug") == [("99X", "98X")]
+    assert switches("99X: New / Drug", None) == []
