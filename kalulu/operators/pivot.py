@@ -30,8 +30,8 @@ def eav_pivot_paired(obs: DataFrame, encounters: DataFrame, keys: Sequence[str],
 def eav_pivot_encounters(obs: DataFrame, encounters: DataFrame, keys: Sequence[str], spec: Sequence[tuple],
                          obs_keys: Sequence[str] = (), type_col: str = "encounter_type",
                          group_col: str = "group_concept") -> DataFrame:
-    """One row per key with one column per (column, concept, value kind, type
-    filter[, observation-group concept]), in place of one sorted join per concept.
+    """One row per key with one column per (column, concept, value: a column or SQL
+    expression, type filter[, observation-group concept]), in place of one sorted join per concept.
     When a key has several observations of a concept the smallest value is kept.
 
     ``min`` distributes over any partition of the rows, so the observations

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kalulu import constants as K
+from kalulu.functions.sqltext import quoted
 from kalulu.operators.ids import dense_ids
 from kalulu.operators.pivot import eav_pivot_encounters
 from kalulu.plans.loaders import concepts as C
@@ -36,7 +37,9 @@ def encounter_spine(wh: Warehouse, types: list[str]) -> DataFrame:
 def load_art_followup(wh: Warehouse) -> DataFrame:
     """mw_art_followup: one row per ART follow-up visit."""
     obs = _obs_with_visit(wh)
-    wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, C.ART_FOLLOWUP)
+    # a side effect's column holds the answer that names it
+    side = [(col, C.SIDE_EFFECTS_CONCEPT, f"if(value_coded = {quoted(v)}, value_coded, null)", None) for col, v in C.SIDE_EFFECTS]
+    wide = eav_pivot_encounters(wh.omrs_obs, visit_encounters(wh), KEYS, [*C.ART_FOLLOWUP, *side])
     # drug obs paired with its "Amount Dispensed" obs of the same group
     drugs = obs.where(F.col("concept") == C.TPT_CONCEPT).select(*KEYS, "obs_group_id", "value_coded")
     pills = obs.where((F.col("concept") == C.PILLS_CONCEPT) & (F.col("encounter_type") == K.ART_FOLLOWUP)).select(
@@ -46,10 +49,8 @@ def load_art_followup(wh: Warehouse) -> DataFrame:
         agg for col, drug in C.TPT_DRUGS for agg in (
             F.min(F.when(F.col("value_coded") == drug, F.col("value_coded"))).alias(col),
             F.min(F.when(F.col("value_coded") == drug, F.col("pills"))).alias(f"{col}_pills"))])
-    side = (obs.where(F.col("concept") == C.SIDE_EFFECTS_CONCEPT).groupBy(*KEYS)
-            .agg(*[F.min(F.when(F.col("value_coded") == v, F.col("value_coded"))).alias(col) for col, v in C.SIDE_EFFECTS]))
     spine = encounter_spine(wh, [K.ART_FOLLOWUP])
-    out = spine.join(wide, KEYS, "left").join(tpt, KEYS, "left").join(side, KEYS, "left")
+    out = spine.join(wide, KEYS, "left").join(tpt, KEYS, "left")
     return out.select(*KEYS, *[c for c, _, _, _ in C.ART_FOLLOWUP],
                       *[x for c, _ in C.TPT_DRUGS for x in (c, f"{c}_pills")], *[c for c, _ in C.SIDE_EFFECTS])
 
