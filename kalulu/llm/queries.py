@@ -56,12 +56,12 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from kalulu.llm.chat_format import format_conversations, read_back
+    from kalulu.llm.chat_format import expand, format_conversations, read_examples
     said = "\\### Assistant: </turn> ok"
     probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
     digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
-    return read_back(format_conversations(rows)).select(
+    return read_examples(expand(format_conversations(rows))).select(
         "conv_id", "n_turns", digest("turns").alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
         digest("loss_text").alias("loss_sha256"), "formatted_chars")
 
